@@ -15,16 +15,22 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioscope.functions.text import is_blank, or_empty, words
+from folioscope.functions.text import is_blank, plain_spaces
 from folioscope.schemas import DEFAULT_DIMENSION
 
 Encoder = Callable[[list[str]], np.ndarray]
 ModelFactory = Callable[[], Encoder]
 
 
-def embed(text: Column | str, factory: ModelFactory, dimension: int) -> Column:
+def embed(
+    text: Column | str,
+    factory: ModelFactory,
+    dimension: int,
+    prepare: Callable[[Column], Column] | None = None,
+) -> Column:
     """One vector per text. A blank or missing text gets the zero vector and is never
-    passed to the model."""
+    passed to the model. ``prepare`` is applied to the other texts before, in the JVM."""
+    text = F.col(text) if isinstance(text, str) else text
 
     @F.arrow_udf("array<float>")
     def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -40,15 +46,15 @@ def embed(text: Column | str, factory: ModelFactory, dimension: int) -> Column:
             starts = np.arange(0, vectors.size + 1, dimension, dtype=np.int32)
             yield pa.ListArray.from_arrays(starts, vectors.reshape(-1))
 
-    return encode_batches(F.when(~is_blank(text), F.col(text) if isinstance(text, str) else text))
+    return encode_batches(F.when(~is_blank(text), prepare(text) if prepare else text))
 
 
 def hashed_words(dimension: int = DEFAULT_DIMENSION) -> ModelFactory:
     """A stand-in model: a hashed bag of lower-case words at unit length.
 
     The bucket of a word is the number in the first four hex digits of its MD5,
-    modulo ``dimension``. It measures shared words, not meaning. It expects texts
-    split by single spaces; use :func:`embed_words`, which prepares them.
+    modulo ``dimension``. It measures shared words, not meaning. It expects lower-case
+    texts with plain spaces; :func:`embed_words` prepares them.
     """
 
     def load() -> Encoder:
@@ -76,6 +82,5 @@ def hashed_words(dimension: int = DEFAULT_DIMENSION) -> ModelFactory:
 
 
 def embed_words(text: Column | str, dimension: int = DEFAULT_DIMENSION) -> Column:
-    """Embed with :func:`hashed_words`. Lower-casing and splitting stay in the JVM."""
-    prepared = F.array_join(words(F.lower(or_empty(text))), " ")
-    return embed(prepared, hashed_words(dimension), dimension)
+    """Embed with :func:`hashed_words`."""
+    return embed(text, hashed_words(dimension), dimension, lambda t: plain_spaces(F.lower(t)))

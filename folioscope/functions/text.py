@@ -8,14 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that separate words (Unicode white space plus the
-# four information separators). Written as single characters where possible:
-# the regex engine then tests them by table, not by a chain of ranges.
+# four information separators).
 SPACES = (
-    r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0"
-    r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
-SEPARATOR = f"[{SPACES}]+"
-EDGES = rf"^[{SPACES}]+|[{SPACES}]+\z"
 
 # HTML markup dropped with its content, then entities; "&amp;" is last.
 HTML_DROPPED = (
@@ -44,13 +42,21 @@ def or_empty(text: Column | str) -> Column:
     return F.coalesce(_column(text), F.lit(""))
 
 
+def plain_spaces(text: Column | str) -> Column:
+    """Every separator turned into a space."""
+    return F.translate(_column(text), SPACES, " " * len(SPACES))
+
+
 def words(text: Column | str) -> Column:
-    """The runs of non-space characters, in order."""
-    return F.array_remove(F.split(or_empty(text), SEPARATOR), "")
+    """The runs of non-separators, in order.
+
+    Translating and splitting at a fixed space takes half the time of splitting at a
+    character class, and a tenth of counting matches of one.
+    """
+    return F.array_remove(F.split(plain_spaces(or_empty(text)), " "), "")
 
 
 def word_count(text: Column | str) -> Column:
-    """Number of words. Splitting is about five times as fast as counting matches."""
     return F.size(words(text))
 
 
@@ -60,7 +66,7 @@ def char_count(text: Column | str) -> Column:
 
 
 def strip(text: Column | str) -> Column:
-    return F.regexp_replace(_column(text), EDGES, "")
+    return F.btrim(_column(text), F.lit(SPACES))
 
 
 def is_blank(text: Column | str) -> Column:
@@ -90,7 +96,7 @@ def html_text(html: Column | str) -> Column:
         text = F.regexp_replace(text, pattern, " ")
     for entity, character in HTML_ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
-    return strip(F.regexp_replace(text, SEPARATOR, " "))
+    return F.array_join(words(text), " ")
 
 
 def like_pattern(keyword: str, literal: bool = False) -> str:

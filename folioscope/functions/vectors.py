@@ -7,7 +7,7 @@ vectors at once go through ``operators.blocks``, which multiplies matrices.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,6 +23,11 @@ def vector_literal(vector: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(x)) for x in vector]) if len(vector) else F.array().cast("array<double>")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def dot(a: Column | str, b: Column | str) -> Column:
     """Inner product in double precision; NULL on unequal lengths."""
     products = F.zip_with(_column(a), _column(b), lambda x, y: x.cast("double") * y.cast("double"))
@@ -42,22 +47,22 @@ def search_similarity(vector: Column | str, query: Sequence[float]) -> Column:
     length = math.sqrt(sum(float(x) * float(x) for x in query))
     if not length > 0:
         return F.lit(None).cast("double")
-    value = dot(vector, vector_literal(query)) / F.nullif(norm(vector), F.lit(0.0)) / F.lit(length)
-    return F.nullif(value, F.lit(float("nan")))
+    product = dot(vector, vector_literal(query))
+    cosine = _let(norm(vector), lambda n: F.when(n > 0, product / (n * F.lit(length))))
+    return _let(cosine, lambda c: F.when(~F.isnan(c), c))
 
 
 def cosine_similarity(a: Column | str, b: Column | str) -> Column:
     """Cosine similarity of two columns; 0 when either vector is zero."""
-    scale = norm(a) * norm(b)
-    return F.when(scale == 0, F.lit(0.0)).otherwise(dot(a, b) / F.nullif(scale, F.lit(0.0)))
+    return _let(norm(a) * norm(b), lambda n: F.when(n == 0, F.lit(0.0)).otherwise(dot(a, b) / n))
 
 
 def normalize(vector: Column | str) -> Column:
     """The vector at unit length; a zero vector stays zero."""
-    length = norm(vector)
-    return F.transform(
-        _column(vector),
-        lambda x: (x.cast("double") / F.when(length > 0, length).otherwise(F.lit(1.0))).cast("float"),
+    length = _let(norm(vector), lambda n: F.when(n > 0, n).otherwise(F.lit(1.0)))
+    return _let(
+        length,
+        lambda n: F.transform(_column(vector), lambda x: (x.cast("double") / n).cast("float")),
     )
 
 

@@ -161,12 +161,18 @@ def _scan(table, block, k, threshold, key, schema) -> DataFrame:
 def _meet(table, questions, k, threshold, key, schema, max_queries, cell_rows) -> DataFrame:
     query_blocks = -(-questions.count() // max(1, max_queries // 2))
     row_blocks = max(1, -(-table.count() // cell_rows))
-    left = table.withColumn("__row_block", F.pmod(F.xxhash64(*key), F.lit(row_blocks))).withColumn(
-        "__query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
+    left = table.withColumns(
+        {
+            "__row_block": F.pmod(F.xxhash64(*key), F.lit(row_blocks)).cast("long"),
+            "__query_block": F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<long>")),
+        }
+    )
+    right = questions.withColumns(
+        {
+            "__query_block": F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("long"),
+            "__row_block": F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)).cast("array<long>")),
+        }
     )
-    right = questions.withColumn(
-        "__query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")
-    ).withColumn("__row_block", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).cast("long"))
 
     def cell_best(rows: pa.Table, block: pa.Table) -> pa.Table:
         matrix, ids = _query_matrix(block)

@@ -16,12 +16,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """The table for heavy work per row: shuffled over all cores if it comes in fewer
+    pieces than there are cores, as a small file does. A large table is left as it is."""
+    rows = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+
+
 def pages(spark: SparkSession, folder: str, embedded: bool = False) -> DataFrame:
     """The page table over ``documents``: one source per ``source``, one page per row."""
     keep: dict[str, Column] = {"document_id": F.col("doc_id"), "created_at": F.expr(CREATED)}
     if embedded:
         keep["embedding"] = embed_words("text")
-    return page_table(table(spark, folder, "documents"), "source", "doc_id", keep=keep)
+    return page_table(spread_table(spark, folder, "documents", "doc_id"), "source", "doc_id", keep=keep)
 
 
 def embeddings(spark: SparkSession, folder: str) -> DataFrame:

@@ -63,7 +63,7 @@ def page_metrics(spark, folder):
 
 @query
 def html_page_text(spark, folder):
-    text = inputs.table(spark, folder, "pages").select("page_id", tx.html_text("html").alias("text"))
+    text = inputs.spread_table(spark, folder, "pages", "page_id").select("page_id", tx.html_text("html").alias("text"))
     return text.select("page_id", *_digest(), tx.word_count("text").cast("long").alias("word_count"))
 
 
@@ -278,7 +278,7 @@ def list_documents(spark, folder):
 
 @query
 def table_stats(spark, folder):
-    documents_ = inputs.table(spark, folder, "documents")
+    documents_ = inputs.spread_table(spark, folder, "documents", "doc_id")
     return listing.table_stats(
         documents_.select(F.col("source").alias("source_file"), tx.word_count("text").alias("word_count"))
     )
@@ -321,7 +321,7 @@ def keyword_each(spark, folder):
 
 @query
 def embed_hash(spark, folder):
-    vectors = inputs.table(spark, folder, "documents").select(
+    vectors = inputs.spread_table(spark, folder, "documents", "doc_id").select(
         "doc_id", F.posexplode(embed_words("text")).alias("bucket", "weight")
     )
     return vectors.filter("weight > 0").select(
