@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.functions.text import like_pattern
+from folioscope.functions.text import like_pattern, snippet
 from folioscope.operators.search import in_source, ranked
 from folioscope.schemas import PAGE_KEY
 
@@ -43,23 +43,27 @@ def each_keyword(
     key: Sequence[str] = PAGE_KEY,
     text: str = "text",
     literal: bool = False,
+    snippet_chars: int = 200,
 ) -> DataFrame:
-    """For each keyword its first ``limit`` pages; a page appears once per keyword.
+    """For each keyword its first ``limit`` pages, as ``(keyword, rank, ...)``; a page
+    appears once per keyword. ``text`` becomes a snippet.
 
     One scan tests all keywords and emits a row per match; no join with the keywords.
-    The limit per keyword is applied in each task before the shuffle.
+    Texts are cut before the sort, and the limit is applied in each task before the
+    shuffle, so neither long texts nor frequent keywords travel.
     """
-    matched = F.array_compact(
-        F.array(
-            *[
-                F.when(_matches(text, keyword, literal), F.struct(F.lit(n).alias("n"), F.lit(keyword).alias("k")))
-                for n, keyword in enumerate(keywords)
-            ]
-        )
-    )
     if not keywords:
         return pages.limit(0).withColumns({"keyword": F.lit(""), "rank": F.lit(0).cast("long")})
-    hits = pages.withColumn("__hit", F.explode(matched))
-    hits = hits.withColumns({"__n": F.col("__hit.n"), "keyword": F.col("__hit.k")}).drop("__hit")
+    matched = [
+        F.when(_matches(text, keyword, literal), F.struct(F.lit(n).alias("n"), F.lit(keyword).alias("k")))
+        for n, keyword in enumerate(keywords)
+    ]
+    others = [name for name in pages.columns if name != text]
+    hits = pages.withColumn("__hit", F.explode(F.array_compact(F.array(*matched)))).select(
+        *others,
+        F.col("__hit.n").alias("__n"),
+        F.col("__hit.k").alias("keyword"),
+        snippet(text, snippet_chars).alias(text),
+    )
     first = ranked(hits, [F.asc(name) for name in key], per=["__n"])
     return first.filter(F.col("rank") <= limit).drop("__n")

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions.embedding import embed_words
-from folioscope.functions.text import words
+from folioscope.functions.text import or_empty, word_count, words
+from folioscope.operators.search import in_source
 from folioscope.sources.paged import page_table
 
+DOCUMENT_KEY = ("source_file", "document_id")
 CREATED = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id)"
 
 
@@ -24,22 +26,55 @@ def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataF
     return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
 
 
-def pages(spark: SparkSession, folder: str, embedded: bool = False) -> DataFrame:
+def pages(
+    spark: SparkSession, folder: str, embedded: bool = False, only: str | None = None
+) -> DataFrame:
     """The page table over ``documents``: one source per ``source``, one page per row."""
     keep: dict[str, Column] = {"document_id": F.col("doc_id"), "created_at": F.expr(CREATED)}
     if embedded:
         keep["embedding"] = embed_words("text")
-    return page_table(spread_table(spark, folder, "documents", "doc_id"), "source", "doc_id", keep=keep)
+    rows = spread_table(spark, folder, "documents", "doc_id")
+    return page_table(rows, "source", "doc_id", keep=keep, only=only)
+
+
+def unnumbered_pages(spark: SparkSession, folder: str, *columns: str | Column) -> DataFrame:
+    """Rows of ``documents`` by ``DOCUMENT_KEY``, which sorts like the page key.
+
+    A search over them moves neither texts nor vectors; page numbers are looked up for
+    the hits only, with :func:`page_numbers`.
+    """
+    rows = spread_table(spark, folder, "documents", "doc_id")
+    return rows.select(
+        or_empty("source").alias("source_file"), F.col("doc_id").alias("document_id"), *columns
+    )
+
+
+def page_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Page number and chunk by ``DOCUMENT_KEY``; reads and shuffles ids only."""
+    return pages(spark, folder).select(*DOCUMENT_KEY, "page_number", "chunk_id")
+
+
+def page_contents(spark: SparkSession, folder: str) -> DataFrame:
+    """Text, word count and time by ``document_id``."""
+    return table(spark, folder, "documents").select(
+        F.col("doc_id").alias("document_id"),
+        or_empty("text").alias("text"),
+        word_count("text").alias("word_count"),
+        F.expr(CREATED).alias("created_at"),
+    )
 
 
 def embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings")
 
 
-def pages_with_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages joined with the given embedding of the same id."""
+def located_vectors(spark: SparkSession, folder: str, only: str | None = None) -> DataFrame:
+    """The given embeddings under the ``DOCUMENT_KEY`` of the page with the same id."""
     vectors = embeddings(spark, folder).select(F.col("vec_id").alias("document_id"), "embedding")
-    return pages(spark, folder).join(vectors, "document_id")
+    rows = in_source(table(spark, folder, "documents"), only, "source").select(
+        or_empty("source").alias("source_file"), F.col("doc_id").alias("document_id")
+    )
+    return rows.join(vectors, "document_id")
 
 
 def query_vector(spark: SparkSession, folder: str, vec_id: int = 0) -> list[float]:

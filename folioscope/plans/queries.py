@@ -14,7 +14,8 @@ from folioscope.functions.embedding import embed_words
 from folioscope.operators import approximate, chunking, keywords, listing, results, rollup, search
 from folioscope.operators.blocks import batch_top_k
 from folioscope.plans import inputs
-from folioscope.schemas import DEFAULT_CHUNK_SIZE, PAGE_KEY, STORED_TEXT_LIMIT
+from folioscope.plans.inputs import DOCUMENT_KEY
+from folioscope.schemas import DEFAULT_CHUNK_SIZE, STORED_TEXT_LIMIT
 from folioscope.session import scratch_path
 from folioscope.sources import documents, store
 from folioscope.streaming import ingest
@@ -253,7 +254,7 @@ def delete_sources(spark, folder):
 
 @query
 def first_page_of_source(spark, folder):
-    page = listing.first_page(inputs.pages(spark, folder), "src7")
+    page = listing.first_page(inputs.pages(spark, folder, only="src7"), "src7")
     return page.select("source_file", *_long("page_number", "word_count"), *_digest())
 
 
@@ -286,7 +287,7 @@ def table_stats(spark, folder):
 
 @query
 def document_summary(spark, folder):
-    return listing.document_summary(inputs.pages(spark, folder), "src3", "source_file")
+    return listing.document_summary(inputs.pages(spark, folder, only="src3"), "src3", "source_file")
 
 
 @query
@@ -302,18 +303,20 @@ def recent_pages(spark, folder):
 
 @query
 def keyword_any(spark, folder):
-    pages = inputs.pages(spark, folder).select(*PAGE_KEY, "text")
-    hits = keywords.any_keyword(pages, KEYWORDS[1:])
-    return hits.select("source_file", *_long("page_number"), tx.snippet("text", 100).alias("snippet"))
+    pages = inputs.unnumbered_pages(spark, folder, "text")
+    hits = keywords.any_keyword(pages, KEYWORDS[1:], key=DOCUMENT_KEY).select(
+        *DOCUMENT_KEY, tx.snippet("text", 100).alias("snippet")
+    )
+    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
+    return hits.select("source_file", *_long("page_number"), "snippet")
 
 
 @query
 def keyword_each(spark, folder):
-    pages = inputs.pages(spark, folder).select(*PAGE_KEY, "text")
-    hits = keywords.each_keyword(pages, KEYWORDS)
-    return hits.select(
-        "keyword", "source_file", *_long("page_number", "rank"), tx.snippet("text", 200).alias("snippet")
-    )
+    pages = inputs.unnumbered_pages(spark, folder, "text")
+    hits = keywords.each_keyword(pages, KEYWORDS, key=DOCUMENT_KEY)
+    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
+    return hits.select("keyword", "source_file", *_long("page_number", "rank"), F.col("text").alias("snippet"))
 
 
 # Vectors
@@ -374,20 +377,28 @@ def semantic_topk(spark, folder):
     return hits.select("rank", *_long("vec_id", "label"), "similarity")
 
 
+def _located(spark, folder, hits):
+    """Hits by ``DOCUMENT_KEY`` with page number, chunk and contents."""
+    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
+    return search.attach_rows(hits, inputs.page_contents(spark, folder), ["document_id"])
+
+
 @query
 def topk_in_source(spark, folder):
-    rows = inputs.pages_with_vectors(spark, folder).select(*PAGE_KEY, "chunk_id", "word_count", "embedding")
-    hits = search.top_k(rows, inputs.query_vector(spark, folder), 10, source="src5")
-    return hits.select("source_file", *_long("page_number", "chunk_id", "word_count", "rank"), "similarity")
+    rows = inputs.located_vectors(spark, folder, only="src5")
+    query_vector = inputs.query_vector(spark, folder)
+    hits = search.top_k(rows, query_vector, 10, source="src5", key=DOCUMENT_KEY)
+    return _located(spark, folder, hits).select(
+        "source_file", *_long("page_number", "chunk_id", "word_count", "rank"), "similarity"
+    )
 
 
 @query
 def semantic_threshold(spark, folder):
-    rows = inputs.pages_with_vectors(spark, folder).select(
-        *PAGE_KEY, "chunk_id", "word_count", "created_at", "text", "embedding"
-    )
-    hits = search.semantic_search(rows, inputs.query_vector(spark, folder), limit=20, threshold=0.2)
-    return hits.select(
+    rows = inputs.located_vectors(spark, folder)
+    query_vector = inputs.query_vector(spark, folder)
+    hits = search.semantic_search(rows, query_vector, limit=20, threshold=0.2, key=DOCUMENT_KEY)
+    return _located(spark, folder, hits).select(
         "source_file",
         *_long("page_number", "chunk_id", "word_count", "rank"),
         "similarity",
@@ -396,32 +407,38 @@ def semantic_threshold(spark, folder):
     )
 
 
+def _embedded_pages(spark, folder):
+    return inputs.unnumbered_pages(spark, folder, embed_words("text").alias("embedding"))
+
+
 def _question_hits(spark, folder, k, **options):
-    rows = inputs.pages(spark, folder, embedded=True)
-    return batch_top_k(rows, inputs.questions(spark, folder), k, **options)
+    questions = inputs.questions(spark, folder)
+    return batch_top_k(_embedded_pages(spark, folder), questions, k, key=DOCUMENT_KEY, **options)
 
 
 @query
 def semantic_batch_topk(spark, folder):
     hits = _question_hits(spark, folder, 5)
+    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
     return hits.select("query_id", "source_file", *_long("page_number", "rank"), "similarity")
 
 
 @query
 def compare_results(spark, folder):
     hits = _question_hits(spark, folder, 5, threshold=0.5)
+    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
     return results.compare_results(hits, ["source_file", "page_number", "similarity"])
 
 
 @query
 def rag_context(spark, folder):
     hits = _question_hits(spark, folder, 3)
-    texts = inputs.pages(spark, folder).select(*PAGE_KEY, "text")
-    contexts = results.context_by_query(search.attach_rows(hits, texts))
+    hits = search.attach_rows(hits, inputs.page_contents(spark, folder), ["document_id"])
     asked = inputs.table(spark, folder, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("question")
     )
-    prompts = contexts.join(asked, "query_id").withColumn("prompt", results.prompt("question"))
+    prompts = results.context_by_query(hits).join(asked, "query_id")
+    prompts = prompts.withColumn("prompt", results.prompt("question"))
     return prompts.select("query_id", "num_results", *_digest("prompt"))
 
 
@@ -437,8 +454,8 @@ def precision_at_k(spark, folder):
 @query
 def query_agreement(spark, folder):
     forms = inputs.question_forms(spark, folder)
-    hits = batch_top_k(inputs.pages(spark, folder, embedded=True), forms, 1)
-    return results.agreement(hits, forms, PAGE_KEY, "item_id")
+    hits = batch_top_k(_embedded_pages(spark, folder), forms, 1, key=DOCUMENT_KEY)
+    return results.agreement(hits, forms, DOCUMENT_KEY, "item_id")
 
 
 @query
@@ -467,15 +484,14 @@ def topic_clusters(spark, folder):
 
 @query
 def hybrid_search(spark, folder):
-    rows = inputs.pages(spark, folder, embedded=True).select(*PAGE_KEY, "embedding")
-    question = spark.range(1).select(embed_words(F.lit(QUESTION)).alias("embedding")).first()["embedding"]
-    semantic = search.top_k(rows, question, 20)
-    pages = inputs.pages(spark, folder).select(*PAGE_KEY, "text")
-    matched = keywords.any_keyword(pages, KEYWORDS[1:], 20)
-    worded = search.ranked(matched, [F.asc(name) for name in PAGE_KEY])
-    return results.fuse(semantic, worded, PAGE_KEY, 10).select(
-        "source_file", *_long("page_number", "rank"), "score"
-    )
+    question = spark.range(1).select(embed_words(F.lit(QUESTION)).alias("v")).first()["v"]
+    semantic = search.top_k(_embedded_pages(spark, folder), question, 20, key=DOCUMENT_KEY)
+    pages = inputs.unnumbered_pages(spark, folder, "text")
+    matched = keywords.any_keyword(pages, KEYWORDS[1:], 20, key=DOCUMENT_KEY).select(*DOCUMENT_KEY)
+    worded = search.ranked(matched, [F.asc(name) for name in DOCUMENT_KEY])
+    hits = results.fuse(semantic, worded, DOCUMENT_KEY, 10)
+    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
+    return hits.select("source_file", *_long("page_number", "rank"), "score")
 
 
 # Streaming

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from folioscope.functions.text import char_count, or_empty, word_count
 from folioscope.operators.chunking import assign_chunks
 from folioscope.operators.running import row_numbers
-from folioscope.schemas import DEFAULT_CHUNK_SIZE
+from folioscope.operators.search import in_source
+from folioscope.schemas import DEFAULT_CHUNK_SIZE, required
 
 PAGE_BREAK = "\f"
 Extractor = Callable[[bytes], Iterable[str | None]]
@@ -35,17 +36,19 @@ def page_table(
     text: str = "text",
     chunk_size: int = DEFAULT_CHUNK_SIZE,
     keep: dict[str, Column] | None = None,
+    only: str | None = None,
     key_bits: int = 34,
 ) -> DataFrame:
     """Number the rows of each source by the integer column ``order`` and cut them into
-    chunks. ``keep`` names further columns to carry.
+    chunks. ``keep`` names further columns to carry. ``only`` restricts the table to one
+    source, by a filter the scan can use.
 
     Counts are taken before the rows are shuffled, so that a plan which only needs
     counts never moves a text.
     """
-    pages = rows.select(
+    pages = in_source(rows, only, source).select(
         or_empty(source).alias("source_file"),
-        F.col(order).cast("long").alias("__order"),
+        required(order).cast("long").alias("__order"),
         F.col(text).alias("text"),
         *[column.alias(name) for name, column in (keep or {}).items()],
     )
