@@ -217,27 +217,23 @@ def chunk_json_roundtrip(spark, folder):
 
 @query
 def store_page_embeddings(spark, folder):
-    pages = inputs.pages(spark, folder, embedded=True).select(
-        "document_id",
-        *_long("page_number", "chunk_id", "word_count", "char_count"),
-        tx.cut("text", STORED_TEXT_LIMIT).alias("text"),
-        "embedding",
+    pages = store.page_vectors(inputs.pages(spark, folder), embed_words)
+    return pages.select(
+        *_long("document_id", "page_number", "chunk_id", "word_count", "char_count"),
+        *_digest(),
+        *_vector_digest(),
     )
-    return pages.select("*", *_digest(), *_vector_digest()).drop("text", "embedding")
 
 
 @query
 def store_chunk_embeddings(spark, folder):
-    chunks = rollup.chunk_texts(inputs.pages(spark, folder)).select(
+    chunks = store.chunk_vectors(inputs.pages(spark, folder), embed_words)
+    return chunks.select(
         "source_file",
-        "chunk_id",
-        F.col("start_page").alias("page_number"),
-        "word_count",
-        "char_count",
-        tx.cut("text", STORED_TEXT_LIMIT).alias("stored"),
-        embed_words("text").alias("embedding"),
+        *_long("chunk_id", "page_number", "word_count", "char_count"),
+        *_digest(),
+        *_vector_digest(),
     )
-    return chunks.select("*", *_digest("stored"), *_vector_digest()).drop("stored", "embedding")
 
 
 def _vector_digest():

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscope.schemas import PAGES_TABLE, conform
+from folioscope.functions.text import cut
+from folioscope.operators.rollup import chunk_texts
+from folioscope.schemas import PAGES_TABLE, STORED_TEXT_LIMIT, conform
 
 GROUP_COLUMN = "source_group"
 
@@ -137,3 +141,25 @@ def without_sources(pages: DataFrame, pattern: str) -> DataFrame:
 def without_keys(pages: DataFrame, keys: DataFrame) -> DataFrame:
     """Pages that are not listed in ``keys``."""
     return pages.join(keys, keys.columns, "left_anti")
+
+
+def page_vectors(
+    pages: DataFrame, embed: Callable[[str], Column], max_chars: int | None = STORED_TEXT_LIMIT
+) -> DataFrame:
+    """Pages ready to store: the vector of the whole text, the text cut to ``max_chars``
+    (kept whole for ``None``)."""
+    vectors = pages.withColumn("embedding", embed("text"))
+    return vectors.withColumn("text", cut("text", max_chars)) if max_chars else vectors
+
+
+def chunk_vectors(
+    pages: DataFrame, embed: Callable[[str], Column], max_chars: int | None = STORED_TEXT_LIMIT
+) -> DataFrame:
+    """The same for chunks: their pages' texts joined, under the number of the first page."""
+    return page_vectors(chunk_texts(pages), embed, max_chars).withColumn("page_number", F.col("start_page"))
+
+
+def append_rows(rows: DataFrame, path: str, partition: str | None = None) -> None:
+    """Add rows without looking at those stored before."""
+    writer = (rows.hint("rebalance", partition) if partition else rows).write.mode("append")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
