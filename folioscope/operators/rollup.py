@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from folioscope.operators.chunking import CHUNK_FILE
 from folioscope.operators.spread import count_up
+from folioscope.schemas import CHUNK_RESULT
 
 PART_CHUNKS = 64
 
@@ -125,10 +126,10 @@ def in_parts(
 
 def book_documents(results: DataFrame, part_chunks: int = PART_CHUNKS) -> DataFrame:
     """Merged books: chunk results in order, with the book's totals."""
-    fields = [name for name in results.columns if name != "chunk_id"]
+    fields = [name for name in CHUNK_RESULT.names if name in results.columns]
     nested = in_parts(
         results,
-        ["chunk_id", *fields],
+        fields,
         [
             F.sum("__chunks").alias("num_chunks"),
             F.sum("__pages").alias("total_pages"),
