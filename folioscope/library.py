@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from folioscope.functions.embedding import embed_words
 from folioscope.functions.text import snippet
-from folioscope.operators import chunking, keywords, listing, results, rollup, search
+from folioscope.operators import chunking, keywords, listing, results, rollup
 from folioscope.operators.blocks import batch_top_k
+from folioscope.operators.search import DEFAULT_THRESHOLD, DEFAULT_TOP_K, attach_rows, top_k
 from folioscope.schemas import DEFAULT_CHUNK_SIZE, DEFAULT_DIMENSION, PAGE_KEY
 from folioscope.sources import documents
 from folioscope.sources.store import PageStore
@@ -87,18 +88,18 @@ class Library:
         return list(row["vector"])
 
     def similarity_search(
-        self, query_vector: Sequence[float], top_k: int = search.DEFAULT_TOP_K, source: str | None = None
+        self, query_vector: Sequence[float], k: int = DEFAULT_TOP_K, source: str | None = None
     ) -> DataFrame:
         """The most similar pages, all columns but the vector, with score and rank."""
         if len(query_vector) != self.dimension:
             raise ValueError(f"expected {self.dimension} dimensions, not {len(query_vector)}")
-        return self._hits(query_vector, top_k, source, None)
+        return self._hits(query_vector, k, source, None)
 
     def search(
         self,
         text: str,
-        limit: int = search.DEFAULT_TOP_K,
-        threshold: float | None = search.DEFAULT_THRESHOLD,
+        limit: int = DEFAULT_TOP_K,
+        threshold: float | None = DEFAULT_THRESHOLD,
         source: str | None = None,
     ) -> DataFrame:
         """The most similar pages to a text, not below ``threshold``."""
@@ -106,10 +107,10 @@ class Library:
 
     def _hits(self, vector, k, source, threshold) -> DataFrame:
         rows = self.store.read(source)
-        hits = search.top_k(rows.select(*PAGE_KEY, "embedding"), vector, k, source, threshold)
-        return search.attach_rows(hits, rows.select(*PAGE_KEY, *HIT_COLUMNS)).orderBy("rank")
+        hits = top_k(rows.select(*PAGE_KEY, "embedding"), vector, k, source, threshold)
+        return attach_rows(hits, rows.select(*PAGE_KEY, *HIT_COLUMNS)).orderBy("rank")
 
-    def search_many(self, queries: DataFrame, k: int = search.DEFAULT_TOP_K, **options) -> DataFrame:
+    def search_many(self, queries: DataFrame, k: int = DEFAULT_TOP_K, **options) -> DataFrame:
         """The most similar pages for each row ``(query_id, text)`` of ``queries``."""
         asked = queries.withColumn("embedding", self.embed("text"))
         return batch_top_k(self.store.read(), asked, k, **options)
@@ -133,7 +134,7 @@ class Library:
         found = keywords.any_keyword(pages, terms, limit, source, literal=literal)
         return found.withColumn("snippet", snippet("text", 100))
 
-    def context(self, text: str, limit: int = search.DEFAULT_TOP_K) -> DataFrame:
+    def context(self, text: str, limit: int = DEFAULT_TOP_K) -> DataFrame:
         """One row: the texts of the best pages and a prompt around them."""
         hits = self._hits(self.vector(text), limit, None, None).withColumn("query_id", F.lit(text))
         found = results.context_by_query(hits)
