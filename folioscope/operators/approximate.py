@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions.vectors import ROUNDING, is_finite, is_zero, normalize
-from folioscope.operators.search import DEFAULT_TOP_K, in_source, rank_order, ranked
+from folioscope.operators.search import DEFAULT_TOP_K, in_source, rank_order, ranked, top_k
 from folioscope.schemas import PAGE_KEY
 
 SEED = 42
@@ -73,8 +74,51 @@ def recall(approximate: DataFrame, exact: DataFrame, key: Sequence[str] = PAGE_K
     return found.agg(F.avg(F.coalesce("found", F.lit(0))).alias("recall"))
 
 
+class CellIndex:
+    """Vectors clustered into cells, one directory per cell.
+
+    A search looks at the ``probes`` cells whose centres are nearest to the query and
+    ranks their rows exactly; the other directories are not read. Hits in other cells
+    are missed, unless all cells are probed. Large cells are written as several files.
+    """
+
+    def __init__(self, rows: DataFrame, centres: np.ndarray):
+        self.rows, self.centres = rows, centres
+
+    @classmethod
+    def build(cls, rows: DataFrame, path: str, cells: int, vector: str = "embedding") -> CellIndex:
+        grouped, model = _cluster(rows, cells, vector, "cell")
+        (
+            grouped.hint("rebalance", "cell")
+            .write.mode("overwrite")
+            .partitionBy("cell")
+            .parquet(f"{path}/cells")
+        )
+        model.write().overwrite().save(f"{path}/model")
+        return cls.load(rows.sparkSession, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> CellIndex:
+        model = KMeansModel.load(f"{path}/model")
+        return cls(spark.read.parquet(f"{path}/cells"), np.array(model.clusterCenters()))
+
+    def top_k(
+        self, query: Sequence[float], k: int = DEFAULT_TOP_K, probes: int = 1, **options
+    ) -> DataFrame:
+        """As :func:`folioscope.operators.search.top_k`, over the probed cells."""
+        direction = np.asarray(query, dtype=float)
+        direction = direction / (np.sqrt(direction @ direction) or 1.0)
+        distance = ((self.centres - direction) ** 2).sum(axis=1)
+        near = [int(cell) for cell in np.argsort(distance, kind="stable")[:probes]]
+        return top_k(self.rows.filter(F.col("cell").isin(near)), query, k, **options).drop("cell")
+
+
+def _cluster(rows: DataFrame, k: int, vector: str, name: str) -> tuple[DataFrame, KMeansModel]:
+    units = unit_vectors(rows, vector)
+    model = KMeans(k=k, seed=SEED, featuresCol="unit", predictionCol=name).fit(units)
+    return model.transform(units).drop("unit"), model
+
+
 def topics(rows: DataFrame, k: int, vector: str = "embedding") -> DataFrame:
     """Rows with ``topic``: their cluster by direction; rows without one are left out."""
-    units = unit_vectors(rows, vector)
-    model = KMeans(k=k, seed=SEED, featuresCol="unit", predictionCol="topic").fit(units)
-    return model.transform(units).drop("unit")
+    return _cluster(rows, k, vector, "topic")[0]

@@ -27,6 +27,7 @@ from folioscope.schemas import PAGE_KEY
 
 MAX_QUERIES = 1024
 BLOCK_CELLS = 1 << 20
+BLOCK_QUERIES = 4096
 CELL_ROWS = 1 << 16
 
 
@@ -115,6 +116,7 @@ def batch_top_k(
     query_id: str = "query_id",
     vector: str = "embedding",
     max_queries: int = MAX_QUERIES,
+    block_queries: int = BLOCK_QUERIES,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """``(query_id, *key, similarity, rank)``: the best ``k`` rows for each query."""
@@ -132,7 +134,7 @@ def batch_top_k(
     if block.num_rows <= max_queries:
         best = _scan(table, block, k, threshold, key, schema)
     else:
-        best = _meet(table, questions, k, threshold, key, schema, max_queries, cell_rows)
+        best = _meet(table, questions, k, threshold, key, schema, block_queries, cell_rows)
     window = Window.partitionBy("query_id").orderBy(*rank_order(key))
     return best.withColumn("rank", F.row_number().over(window).cast("long")).filter(F.col("rank") <= k)
 
@@ -158,8 +160,8 @@ def _scan(table, block, k, threshold, key, schema) -> DataFrame:
     return table.mapInArrow(local_best, schema)
 
 
-def _meet(table, questions, k, threshold, key, schema, max_queries, cell_rows) -> DataFrame:
-    query_blocks = -(-questions.count() // max(1, max_queries // 2))
+def _meet(table, questions, k, threshold, key, schema, block_queries, cell_rows) -> DataFrame:
+    query_blocks = -(-questions.count() // block_queries)
     row_blocks = max(1, -(-table.count() // cell_rows))
     left = table.withColumns(
         {

@@ -70,7 +70,7 @@ def html_page_text(spark, folder):
 
 @query
 def text_truncate(spark, folder):
-    pages = inputs.pages(spark, folder)
+    pages = inputs.page_contents(spark, folder)
     return pages.select("document_id", tx.cut("text", STORED_TEXT_LIMIT).alias("text")).select(
         "document_id", *_digest()
     )
@@ -78,7 +78,7 @@ def text_truncate(spark, folder):
 
 @query
 def search_snippets(spark, folder):
-    return inputs.pages(spark, folder).select(
+    return inputs.page_contents(spark, folder).select(
         "document_id",
         tx.snippet("text", 200, flat=True).alias("flat_200"),
         tx.snippet("text", 200).alias("raw_200"),
@@ -288,10 +288,13 @@ def document_summary(spark, folder):
 
 @query
 def recent_pages(spark, folder):
-    pages = inputs.pages(spark, folder).select(
-        "source_file", *_long("page_number", "chunk_id", "word_count"), "created_at"
+    pages = inputs.unnumbered_pages(spark, folder, F.expr(inputs.CREATED).alias("created_at"))
+    newest = listing.recent_pages(pages, key=DOCUMENT_KEY)
+    return _located(spark, folder, newest.withColumnRenamed("created_at", "newest")).select(
+        "source_file",
+        *_long("page_number", "chunk_id", "word_count", "rank"),
+        F.col("newest").alias("created_at"),
     )
-    return listing.recent_pages(pages)
 
 
 # Keyword search
@@ -464,6 +467,14 @@ def approx_topk(spark, folder):
     return hits.select("rank", *_long("vec_id", "label"), "similarity")
 
 
+@query
+def approx_topk_cells(spark, folder):
+    rows = inputs.embeddings(spark, folder)
+    index = approximate.CellIndex.build(rows, scratch_path(spark, "cells"), cells=10)
+    hits = index.top_k(inputs.query_vector(spark, folder), 5, probes=3, key=VECTOR_KEY)
+    return hits.select("rank", *_long("vec_id", "label"), "similarity")
+
+
 @query
 def similar_pages(spark, folder):
     rows = inputs.embeddings(spark, folder)

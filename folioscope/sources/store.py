@@ -25,7 +25,8 @@ class PageStore:
     Writes overwrite only the directories they touch. Tasks write to a staging folder
     and the directories are exchanged when the job commits, so a lost executor costs a
     repeated task and no rows. A directory that outgrows one task is split over several
-    (a ``rebalance`` hint, acted on by adaptive execution).
+    (a ``rebalance`` hint, acted on by adaptive execution). Files are in key order, so
+    that lookups skip row groups.
     """
 
     def __init__(
@@ -84,6 +85,7 @@ class PageStore:
     def _write(self, rows: DataFrame) -> None:
         (
             rows.hint("rebalance", self.partition)
+            .sortWithinPartitions(self.partition, "source_file", "page_number")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.partition)

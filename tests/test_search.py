@@ -108,7 +108,7 @@ def test_batch_equals_brute_force_both_ways(spark, table, max_queries, k, thresh
     rows, hot, frame = table
     asked = queries(rows, hot)
     question_frame = spark.createDataFrame(asked, "query_id long, embedding array<float>")
-    hits = batch_top_k(frame, question_frame, k, threshold, max_queries=max_queries, cell_rows=90)
+    hits = batch_top_k(frame, question_frame, k, threshold, max_queries=max_queries, block_queries=7, cell_rows=90)
     got = {}
     for r in hits.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.source_file, r.page_number, r.similarity, r["rank"]))
@@ -243,6 +243,21 @@ def test_approximate_is_a_subset_with_exact_scores(spark):
     assert approximate.approximate_top_k(index, frame, [0.0] * 8, 5).count() == 0
 
 
+def test_cells(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    rows = [("s", i, [float(x) for x in np.float32(rng.normal(size=8))]) for i in range(300)] + [("s", 999, [0.0] * 8)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    index = approximate.CellIndex.build(frame, f"{tmp_path}/cells", cells=6)
+    query = rows[7][2]
+    same(taken(index.top_k(query, 9, probes=6)), brute(rows[:-1], query, 9))
+    one = index.top_k(query, 3, probes=1)
+    assert one.filter("rank = 1").first().page_number == 7
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "cell" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    again = approximate.CellIndex.load(spark, f"{tmp_path}/cells")
+    assert taken(again.top_k(query, 3, probes=1)) == taken(one)
+
+
 def test_topics_follow_direction(spark):
     rows = [("s", i, [1.0 + i % 3, 0.01 * i]) for i in range(20)] + [("s", 100 + i, [0.01 * i, 1.0 + i]) for i in range(20)]
     got = approximate.topics(spark.createDataFrame(rows, SCHEMA), 2).collect()
