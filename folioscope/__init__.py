@@ -1 +1,9 @@
 """Paged-document analytics and vector retrieval, expressed as Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so that a cluster needs
+# no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

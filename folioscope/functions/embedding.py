@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioscope.functions.text import is_blank, plain_spaces
+from folioscope.functions.text import is_blank
 from folioscope.schemas import DEFAULT_DIMENSION
 
 Encoder = Callable[[list[str]], np.ndarray]
@@ -49,29 +49,35 @@ def embed(
     return encode_batches(F.when(~is_blank(text), prepare(text) if prepare else text))
 
 
+class _Buckets(dict):
+    """The bucket of each word, computed when a word is first seen."""
+
+    def __init__(self, dimension: int, most: int = 1_000_000):
+        super().__init__()
+        self.dimension, self.most = dimension, most
+
+    def __missing__(self, word: str) -> int:
+        bucket = int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % self.dimension
+        if len(self) < self.most:
+            self[word] = bucket
+        return bucket
+
+
 def hashed_words(dimension: int = DEFAULT_DIMENSION) -> ModelFactory:
-    """A stand-in model: a hashed bag of lower-case words at unit length.
+    """A stand-in model: a hashed bag of words at unit length.
 
     The bucket of a word is the number in the first four hex digits of its MD5,
     modulo ``dimension``. It measures shared words, not meaning. It expects lower-case
-    texts with plain spaces; :func:`embed_words` prepares them.
+    texts; :func:`embed_words` prepares them.
     """
 
     def load() -> Encoder:
-        buckets: dict[str, int] = {}
-
-        def bucket(word: str) -> int:
-            found = buckets.get(word)
-            if found is None:
-                found = int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dimension
-                if len(buckets) < 1_000_000:
-                    buckets[word] = found
-            return found
+        bucket = _Buckets(dimension).__getitem__
 
         def encode(texts: list[str]) -> np.ndarray:
-            counts = np.empty((len(texts), dimension))
+            counts = np.zeros((len(texts), dimension))
             for row, text in enumerate(texts):
-                slots = [bucket(word) for word in text.split(" ") if word]
+                slots = np.fromiter(map(bucket, text.split()), np.int64)
                 counts[row] = np.bincount(slots, minlength=dimension)
             length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
             return counts / np.where(length > 0, length, 1.0)
@@ -83,4 +89,4 @@ def hashed_words(dimension: int = DEFAULT_DIMENSION) -> ModelFactory:
 
 def embed_words(text: Column | str, dimension: int = DEFAULT_DIMENSION) -> Column:
     """Embed with :func:`hashed_words`."""
-    return embed(text, hashed_words(dimension), dimension, lambda t: plain_spaces(F.lower(t)))
+    return embed(text, hashed_words(dimension), dimension, F.lower)
