@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions.embedding import embed_words
 from folioscope.functions.text import snippet
+from folioscope.functions.vectors import checked
 from folioscope.operators import chunking, keywords, listing, results, rollup
 from folioscope.operators.blocks import batch_top_k
 from folioscope.operators.search import DEFAULT_THRESHOLD, DEFAULT_TOP_K, attach_rows, top_k
@@ -55,9 +56,9 @@ class Library:
             pages.withColumns(
                 {
                     "embedding": self.embed("text"),
-                    "created_at": F.current_timestamp().cast("timestamp_ntz"),
+                    "created_at": F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()),
                 }
-            )
+            ).withColumn("embedding", checked("embedding", self.dimension))
         )
 
     def write_results(self, chunk_size: int = DEFAULT_CHUNK_SIZE) -> None:

@@ -14,10 +14,15 @@ from folioscope.operators.search import DEFAULT_TOP_K, ranked
 PROMPT = ("Context: ", "\nQuestion: ", "\nAnswer:")
 
 
-def compare_results(hits: DataFrame, top: Sequence[str], query: str = "query_id") -> DataFrame:
+def compare_results(
+    hits: DataFrame, top: Sequence[str], query: str = "query_id", nested: bool = False
+) -> DataFrame:
     """For each query the number of hits, their mean similarity (a missing one counts
-    as 0) and the columns ``top`` of the first hit, as ``top_*``."""
+    as 0) and the columns ``top`` of the first hit, as ``top_*``. ``nested`` adds
+    ``results``: these columns of all hits, by rank."""
     first = [F.min_by(name, "rank").alias(f"top_{name}") for name in top]
+    if nested:
+        first.append(F.array_sort(F.collect_list(F.struct("rank", *top))).alias("results"))
     return hits.groupBy(query).agg(
         F.count(F.lit(1)).alias("num_results"),
         F.round(F.coalesce(F.avg(F.coalesce("similarity", F.lit(0.0))), F.lit(0.0)), ROUNDING).alias(

@@ -103,9 +103,11 @@ class PageStore:
         if self.groups:
             rows = rows.withColumn(GROUP_COLUMN, self._group(F.col("source_file")))
             incoming = rows.select("source_file", GROUP_COLUMN).distinct()
+            # At most ``groups`` numbers; as literals they prune the stored directories.
+            touched = [row[0] for row in incoming.select(GROUP_COLUMN).distinct().collect()]
             kept = (
                 self._stored()
-                .join(incoming.select(GROUP_COLUMN).distinct(), GROUP_COLUMN, "left_semi")
+                .filter(F.col(GROUP_COLUMN).isin(touched))
                 .join(incoming.select("source_file"), "source_file", "left_anti")
             )
             rows = rows.unionByName(kept)

@@ -58,14 +58,18 @@ def latest_pages(
 ) -> DataFrame:
     """Stored pages by natural key; of several arrivals the last one counts.
 
-    An aggregate with map-side combine: however often a page arrived, one row per task
-    is shuffled.
+    Keys that arrived more than once are found from the keys alone. Usually they are few:
+    then both joins broadcast them and no text is shuffled. However often one page
+    arrived, its versions meet in an aggregate with map-side combine.
     """
     stored = T.StructType([*schema.fields, T.StructField(BATCH_COLUMN, T.LongType())])
     rows = spark.read.schema(stored).parquet(path)
-    others = [name for name in rows.columns if name not in key and name != BATCH_COLUMN]
+    others = [name for name in schema.names if name not in key]
+    repeated = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key)
+    single = rows.join(repeated, list(key), "left_anti").select(*key, *others)
     newest = F.max(F.struct(BATCH_COLUMN, *others)).alias("row")
-    return rows.groupBy(*key).agg(newest).select(*key, *[f"row.{name}" for name in others])
+    several = rows.join(repeated, list(key), "left_semi").groupBy(*key).agg(newest)
+    return single.unionByName(several.select(*key, *[f"row.{name}" for name in others]))
 
 
 def running_totals(pages: DataFrame, name: str, checkpoint: str) -> StreamingQuery:

@@ -197,6 +197,8 @@ def test_compare(spark):
     )
     row = results.compare_results(hits, ["page"]).first()
     assert tuple(row) == (1, 3, 0.466667, "a")
+    nested = results.compare_results(hits, ["page"], nested=True).first()
+    assert [(hit["rank"], hit.page) for hit in nested.results] == [(1, "a"), (2, "b"), (3, "c")]
     assert results.compare_results(hits.limit(0), ["page"]).count() == 0
 
 

@@ -46,6 +46,16 @@ def test_a_repeated_batch_is_stored_once(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 1
 
 
+def test_many_versions_of_one_page(spark, tmp_path):
+    for version in range(4):
+        rows = [("hot", 1, f"version {version} " + "x " * i) for i in range(30)]
+        arrive(spark, f"{tmp_path}/in", [*rows, ("cold", version, "once")])
+        stored = run(spark, tmp_path)
+    got = {(r.source_file, r.page_number): r.text for r in stored.collect()}
+    assert len(got) == stored.count() == 5
+    assert got["hot", 1].startswith("version 3")
+
+
 def test_enrichment(spark, tmp_path):
     arrive(spark, f"{tmp_path}/in", [("a", 1, "One Two")])
     got = run(spark, tmp_path, lambda pages: pages.withColumn("low", F.lower("text")))
