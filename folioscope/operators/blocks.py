@@ -29,6 +29,8 @@ MAX_QUERIES = 1024
 BLOCK_CELLS = 1 << 20
 BLOCK_QUERIES = 4096
 CELL_ROWS = 1 << 16
+# Scores are compared rounded; unrounded ones may fall short by up to one unit.
+SLACK = 1.1 * 10.0**-ROUNDING
 
 
 def to_matrix(vectors: pa.Array, dimension: int) -> np.ndarray:
@@ -57,7 +59,6 @@ class _Best:
         self.queries, self.ids, self.k, self.key = unit_rows(queries).T, ids, k, list(key)
         self.threshold = threshold
         self.floor = np.full(len(ids), -np.inf)
-        self.seen = 0
         self.kept: pa.Table | None = None
 
     def add(self, keys: pa.Table, matrix: np.ndarray) -> None:
@@ -67,21 +68,20 @@ class _Best:
 
     def _add_block(self, keys: pa.Table, matrix: np.ndarray) -> None:
         exact = unit_rows(matrix) @ self.queries
-        missing = np.isnan(exact)
-        scores = np.where(missing, -np.inf, np.round(exact, ROUNDING))
-        floor = self.floor
-        if len(scores) > self.k:
-            # A row below the k-th best of its own block cannot be among the best.
-            floor = np.maximum(floor, np.partition(scores, -self.k, axis=0)[-self.k])
-        candidates = scores >= floor
+        np.copyto(exact, -np.inf, where=np.isnan(exact))
+        candidates = exact >= self.floor - SLACK
+        if np.count_nonzero(candidates) > 4 * self.k * len(self.ids) and len(exact) > self.k:
+            # A row clearly below the k-th best of its own block is not among the best.
+            candidates &= exact >= np.partition(exact, -self.k, axis=0)[-self.k] - SLACK
         if self.threshold is not None:
-            candidates &= ~missing & (exact >= self.threshold)
+            candidates &= np.isfinite(exact) & (exact >= self.threshold)
         row, query = np.nonzero(candidates)
         if not len(row):
             return
+        scores = np.round(exact[row, query], ROUNDING)
         found = keys.take(pa.array(row))
         found = found.append_column("__query", pa.array(query))
-        found = found.append_column("__score", pa.array(scores[row, query]))
+        found = found.append_column("__score", pa.array(scores))
         if self.kept is not None:
             found = pa.concat_tables([self.kept, found])
         order = [("__query", "ascending"), ("__score", "descending")]
@@ -162,7 +162,8 @@ def _scan(table, block, k, threshold, key, schema) -> DataFrame:
 
 def _meet(table, questions, k, threshold, key, schema, block_queries, cell_rows) -> DataFrame:
     query_blocks = -(-questions.count() // block_queries)
-    row_blocks = max(1, -(-table.count() // cell_rows))
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    row_blocks = max(-(-table.count() // cell_rows), -(-cores // query_blocks))
     left = table.withColumns(
         {
             "__row_block": F.pmod(F.xxhash64(*key), F.lit(row_blocks)).cast("long"),

@@ -66,6 +66,10 @@ def test_every_python_space_separates(spark):
     assert sorted(spaces) == sorted(tx.SPACES)
 
 
+def test_every_character_separates_as_in_python(spark):
+    check(spark, [f"a{chr(c)}b" for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000])
+
+
 def test_snippets(spark):
     text = "  " + "line one\nline two " * 30
     row = texts(spark, [text, "short"]).select(
