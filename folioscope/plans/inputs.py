@@ -43,7 +43,16 @@ def unnumbered_pages(spark: SparkSession, folder: str, *columns: str | Column) -
     A search over them moves neither texts nor vectors; page numbers are looked up for
     the hits only, with :func:`page_numbers`.
     """
+    return _keyed(table(spark, folder, "documents"), *columns)
+
+
+def embedded_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of ``documents`` by ``DOCUMENT_KEY``."""
     rows = spread_table(spark, folder, "documents", "doc_id")
+    return _keyed(rows, embed_words("text").alias("embedding"))
+
+
+def _keyed(rows: DataFrame, *columns: str | Column) -> DataFrame:
     return rows.select(
         or_empty("source").alias("source_file"), F.col("doc_id").alias("document_id"), *columns
     )

@@ -406,13 +406,9 @@ def semantic_threshold(spark, folder):
     )
 
 
-def _embedded_pages(spark, folder):
-    return inputs.unnumbered_pages(spark, folder, embed_words("text").alias("embedding"))
-
-
 def _question_hits(spark, folder, k, **options):
     questions = inputs.questions(spark, folder)
-    return batch_top_k(_embedded_pages(spark, folder), questions, k, key=DOCUMENT_KEY, **options)
+    return batch_top_k(inputs.embedded_pages(spark, folder), questions, k, key=DOCUMENT_KEY, **options)
 
 
 @query
@@ -453,7 +449,7 @@ def precision_at_k(spark, folder):
 @query
 def query_agreement(spark, folder):
     forms = inputs.question_forms(spark, folder)
-    hits = batch_top_k(_embedded_pages(spark, folder), forms, 1, key=DOCUMENT_KEY)
+    hits = batch_top_k(inputs.embedded_pages(spark, folder), forms, 1, key=DOCUMENT_KEY)
     return results.agreement(hits, forms, DOCUMENT_KEY, "item_id")
 
 
@@ -492,7 +488,7 @@ def topic_clusters(spark, folder):
 @query
 def hybrid_search(spark, folder):
     question = spark.range(1).select(embed_words(F.lit(QUESTION)).alias("v")).first()["v"]
-    semantic = search.top_k(_embedded_pages(spark, folder), question, 20, key=DOCUMENT_KEY)
+    semantic = search.top_k(inputs.embedded_pages(spark, folder), question, 20, key=DOCUMENT_KEY)
     pages = inputs.unnumbered_pages(spark, folder, "text")
     matched = keywords.any_keyword(pages, KEYWORDS[1:], 20, key=DOCUMENT_KEY).select(*DOCUMENT_KEY)
     worded = search.ranked(matched, [F.asc(name) for name in DOCUMENT_KEY])
