@@ -125,7 +125,10 @@ def in_parts(
 
 
 def book_documents(results: DataFrame, part_chunks: int = PART_CHUNKS) -> DataFrame:
-    """Merged books: chunk results in order, with the book's totals."""
+    """Merged books: chunk results in order, with the book's totals.
+
+    From :func:`chunk_metrics`, which has no pages, this is the outline of the books.
+    """
     fields = [name for name in CHUNK_RESULT.names if name in results.columns]
     nested = in_parts(
         results,

@@ -194,7 +194,7 @@ def book_nested(spark, folder):
 
 @query
 def chunk_report(spark, folder):
-    books = rollup.book_documents(rollup.chunk_results(inputs.pages(spark, folder)))
+    books = rollup.book_documents(rollup.chunk_metrics(inputs.pages(spark, folder)))
     return rollup.chunk_report(rollup.unnest_chunks(books))
 
 

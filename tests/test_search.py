@@ -219,7 +219,8 @@ def test_fusion(spark):
 
 
 def test_neighbours_without_self(spark):
-    copies = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(5)] + [(9, [0.0, 1.0])], "vec_id int, embedding array<float>")
+    rows = [(i, [1.0, 0.0]) for i in range(5)] + [(9, [0.0, 1.0])]
+    copies = spark.createDataFrame(rows, "vec_id int, embedding array<float>")
     asked = copies.select(F.col("vec_id").alias("query_id"), "embedding")
     hits = results.without_self(batch_top_k(copies, asked, 3, key=["vec_id"]), "vec_id", 2)
     got = {}

@@ -55,10 +55,17 @@ def test_delete(filled):
     assert counts(filled) == {"a": 1, "123": 1, "ü": 4}
     filled.delete(F.lit(True))
     assert counts(filled) == {}
-    filled.replace_sources(filled.spark.createDataFrame([("z", 1, 0, "t")], "source_file string, page_number int, chunk_id long, text string"))
+    schema = "source_file string, page_number int, chunk_id long, text string"
+    filled.replace_sources(filled.spark.createDataFrame([("z", 1, 0, "t")], schema))
     assert counts(filled) == {"z": 1}
 
 
+def test_stored_pages_can_be_rewritten_in_place(filled):
+    filled.replace_sources(assign_chunks(filled.read(), 1))
+    assert counts(filled) == NAMES
+    assert filled.read().filter("chunk_id <> page_number - 1").count() == 0
+
+
 def test_one_source_reads_one_directory(spark, filled):
     plan = filled.read("a")._jdf.queryExecution().executedPlan().toString()
     partition_filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]

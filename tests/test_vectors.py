@@ -2,7 +2,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from folioscope.functions import vectors as vx
 from folioscope.functions.embedding import embed, embed_words, hashed_words
