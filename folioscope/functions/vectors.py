@@ -1,7 +1,7 @@
 """Vector expressions over ``array<float>`` columns.
 
-These are Catalyst higher-order functions: right for one query vector. Many query
-vectors at once go through ``operators.blocks``, which multiplies matrices.
+These are Catalyst higher-order functions, evaluated in the JVM. Searches use the matrix
+products of ``functions.matrices``, which are faster.
 """
 
 from __future__ import annotations

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioscope.functions.matrices import to_matrix, unit_rows
 from folioscope.functions.vectors import ROUNDING
 from folioscope.operators.search import DEFAULT_TOP_K, rank_order
 from folioscope.schemas import PAGE_KEY
@@ -33,25 +34,6 @@ CELL_ROWS = 1 << 16
 SLACK = 1.1 * 10.0**-ROUNDING
 
 
-def to_matrix(vectors: pa.Array, dimension: int) -> np.ndarray:
-    """Rows as doubles; a missing vector or one of another length becomes NaN."""
-    if isinstance(vectors, pa.ChunkedArray):
-        vectors = vectors.combine_chunks()
-    matrix = np.full((len(vectors), dimension), np.nan)
-    sizes = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
-    usable = np.flatnonzero(sizes == dimension)
-    if len(usable):
-        flat = vectors.take(pa.array(usable)).flatten().to_numpy(zero_copy_only=False)
-        matrix[usable] = flat.reshape(len(usable), dimension)
-    return matrix
-
-
-def unit_rows(matrix: np.ndarray) -> np.ndarray:
-    """Rows at unit length; NaN for rows without a direction."""
-    length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-    return matrix / np.where(length > 0, length, np.nan)
-
-
 class _Best:
     """The best ``k`` rows per query seen so far."""
 

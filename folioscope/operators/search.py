@@ -6,12 +6,13 @@ then the row key, ascending. Thresholds test the unrounded value.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioscope.functions.vectors import ROUNDING, search_similarity
+from folioscope.functions.matrices import batch_similarity
+from folioscope.functions.vectors import ROUNDING
 from folioscope.schemas import PAGE_KEY
 
 DEFAULT_TOP_K = 5
@@ -43,15 +44,17 @@ def top_k(
     key: Sequence[str] = PAGE_KEY,
     source_column: str = "source_file",
     vector: str = "embedding",
+    score: Callable[[str, Sequence[float]], Column] = batch_similarity,
 ) -> DataFrame:
     """The ``k`` rows most similar to ``query``, with ``similarity`` and ``rank``.
 
     The plan is one scan with a heap of ``k`` rows per task. The vector itself is not
-    part of the result. Select few columns beforehand, or attach them with
+    part of the result. ``score`` may be ``functions.vectors.search_similarity`` to stay
+    in the JVM, at two to three times the time. Select few columns beforehand, or attach them with
     :func:`attach_rows`, when the rows are wide.
     """
     scored = in_source(rows, source, source_column).withColumn(
-        "similarity", search_similarity(vector, query)
+        "similarity", score(vector, query)
     )
     if threshold is not None:
         scored = scored.filter(F.col("similarity") >= F.lit(float(threshold)))

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioscope.functions.embedding import embed_words
+from folioscope.functions.vectors import search_similarity
 from folioscope.operators import approximate, results
 from folioscope.operators.blocks import batch_top_k
 from folioscope.operators.search import attach_rows, semantic_search, top_k
@@ -73,6 +74,17 @@ def test_top_k(table, k):
     same(taken(top_k(frame, hot, k)), brute(rows, hot, k))
 
 
+def test_top_k_in_the_jvm_is_the_same(table):
+    rows, hot, frame = table
+    same(taken(top_k(frame, hot, 9, score=search_similarity)), brute(rows, hot, 9))
+
+
+def test_scores_are_computed_once(table):
+    _, hot, frame = table
+    plan = top_k(frame, hot, 9, source="s1", threshold=0.3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_threshold_is_inclusive_and_drops_missing(spark):
     frame = spark.createDataFrame(
         [("a", 1, [1.0, 0.0]), ("a", 2, [0.0, 1.0]), ("a", 3, [0.0, 0.0]), ("a", 4, None), ("a", 5, [3.0, 4.0])],

@@ -5,6 +5,7 @@ import pytest
 
 from folioscope.functions import vectors as vx
 from folioscope.functions.embedding import embed, embed_words, hashed_words
+from folioscope.functions.matrices import batch_similarity
 
 ROWS = [
     (0, [1.0, 0.0]),
@@ -24,16 +25,18 @@ def vectors(spark):
     return spark.createDataFrame(ROWS, "id int, v array<float>").cache()
 
 
-def test_search_similarity(vectors):
-    rows = vectors.select("id", vx.search_similarity("v", [1.0, 0.0]).alias("s")).collect()
+@pytest.mark.parametrize("score", [vx.search_similarity, batch_similarity])
+def test_search_similarity(vectors, score):
+    rows = vectors.select("id", score("v", [1.0, 0.0]).alias("s")).collect()
     got = {r.id: r.s for r in rows}
     assert got[0] == 1 and got[1] == 0 and got[7] == -1
     assert math.isclose(got[2], 0.6)
     assert [got[i] for i in (3, 4, 5, 6, 8)] == [None] * 5
 
 
-def test_zero_query_has_no_similarity(vectors):
-    rows = vectors.select(vx.search_similarity("v", [0.0, 0.0]).alias("s")).collect()
+@pytest.mark.parametrize("score", [vx.search_similarity, batch_similarity])
+def test_zero_query_has_no_similarity(vectors, score):
+    rows = vectors.select(score("v", [0.0, 0.0]).alias("s")).collect()
     assert {r.s for r in rows} == {None}
 
 
