@@ -169,10 +169,10 @@ def test_related_texts_are_found_first(spark):
     pages = sentences(
         spark,
         [
-            ("ai", 1, "machine learning improves over time"),
-            ("ai", 2, "deep learning uses neural networks"),
-            ("bio", 3, "DNA contains genetic information"),
-            ("bio", 4, "cells are the basic unit of life"),
+            ("ai", 1, "machine learning models get better"),
+            ("ai", 2, "networks of neural units learn"),
+            ("bio", 3, "genes carry inherited traits"),
+            ("bio", 4, "cells build every living thing"),
         ],
     )
     hits = batch_top_k(pages, ask(spark, "neural network machine learning"), 2)

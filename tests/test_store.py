@@ -138,8 +138,8 @@ def test_library(spark, tmp_path):
         split_pages(
             spark.createDataFrame(
                 [
-                    ("kb", "PostgreSQL is a powerful relational database\fMongoDB is a document database\f"),
-                    ("langs", "Python is a versatile programming language\fJavaScript powers web programming\f\f"),
+                    ("kb", "Relational database rows live in tables\fA document database stores documents\f"),
+                    ("langs", "Python programming suits many small tools\fWeb programming uses JavaScript\f\f"),
                 ],
                 "source string, text string",
             ),
