@@ -10,6 +10,7 @@ index. Texts are then assembled from the words' codes, and nothing is shuffled.
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
@@ -25,10 +26,19 @@ from pyspark.sql import types as T
 from folioscope.llm.common import portions, strings, whole, with_columns
 
 #: Characters of text whose distinct words are merged together in one go.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 32_000_000
 #: Longer texts are split into words one match at a time, not as one list.
 LONG_TEXT = 2_000_000
 
+# The letters, numbers and white space of Unicode up to U+024F.
+LATIN_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+LATIN_NUMBERS = "0-9²³¹¼-¾"
+LATIN_SPACES = r"\t-\r \x85\xa0"
+
+NO_PAIR = np.iinfo(np.int64).max
+#: In a row of tokens: the end of a word, and a byte that belongs to a token before it.
+GAP, GONE = -1, -2
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes -> rank, from a file of base64 tokens and ranks."""
@@ -41,113 +51,136 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.pairs: dict[tuple[int, int], int | None] = {}
-
-    def pair_rank(self, left: int, right: int) -> int | None:
-        key = (left, right)
-        if key not in self.pairs:
-            if len(self.pairs) > 1_000_000:  # a cache only
-                self.pairs.clear()
-            self.pairs[key] = self.ranks.get(self.tokens[left] + self.tokens[right])
-        return self.pairs[key]
+        self.byte_ids = np.array([ranks[bytes([value])] for value in range(256)], np.int64)
+        pairs = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = rank
+        self.pair_keys = np.array([*sorted(pairs), 1 << 62], np.int64)
+        self.pair_ranks = np.array([*(pairs[key] for key in sorted(pairs)), NO_PAIR], np.int64)
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of tokens, ``NO_PAIR`` where they do not merge."""
+        keys = left << 32 | right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_PAIR)
 
     def codes(self, words: Sequence[bytes]) -> list[bytes]:
         """For each word its token ids as little-endian unsigned 32-bit integers."""
-        done: list[bytes | None] = []
-        token_at = array("i")  # -1 where a token was merged into the one before
-        starts, word_end = [], array("q")
-        for word in words:
-            known = self.ranks.get(word)
-            done.append(None if known is None and word else self._packed([known] if word else []))
-            if done[-1] is None:
-                starts.append(len(token_at))
-                token_at.extend(self.ranks[word[i : i + 1]] for i in range(len(word)))
-                word_end.extend([len(token_at)] * len(word))
-        after, before = self._merge(token_at, word_end)
-        rest = iter(starts)
-        for at, code in enumerate(done):
-            if code is None:
-                position, end, ids = next(rest), 0, []
-                end = word_end[position]
-                while position < end:
-                    ids.append(token_at[position])
-                    position = after[position]
-                done[at] = self._packed(ids)
-        return done
-
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
-    def _merge(self, token_at: array, word_end: array) -> tuple[array, array]:
-        """Merge in place; returns the links to the next and previous token."""
-        count = len(token_at)
-        after, before = array("q", range(1, count + 1)), array("q", range(-1, count - 1))
-        index: dict[int, list[int]] = defaultdict(list)
-        pair_rank = self.pair_rank
-        for at in range(count - 1):
-            if word_end[at] == word_end[at + 1]:
-                rank = pair_rank(token_at[at], token_at[at + 1])
-                if rank is not None:
-                    index[rank].append(at)
-        heap = sorted(index)
+        known = [self.ranks.get(word) for word in words]
+        rest = [word for word, rank in zip(words, known) if rank is None]
+        tokens, counts = self._merged(rest)
+        data, ends = tokens.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        merged = map(data.__getitem__, map(slice, [0, *ends], ends))
+        return [next(merged) if rank is None else rank.to_bytes(4, "little") for rank in known]
+
+    def _merged(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words in one row, and how many each word has.
+
+        A position is a byte; a token stands where its first byte stands. Between words
+        lies a position that merges with nothing. Each round merges the pair of lowest
+        rank that is left anywhere, at the leftmost of its positions in each word.
+        """
+        data = np.frombuffer(b"\0".join([*words, b""]), np.uint8)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        count = len(data)
+        word_at = np.repeat(np.arange(len(words)), lengths + 1)[:count]
+        token = self.byte_ids[data]
+        gaps = np.cumsum(lengths + 1) - 1
+        token[gaps[gaps < count]] = GAP
+        after, before = np.arange(1, count + 1), np.arange(-1, count - 1)
+
+        index: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def enter(ranks: np.ndarray, lefts: np.ndarray) -> None:
+            kept = ranks != NO_PAIR
+            ranks, lefts = ranks[kept], lefts[kept]
+            if not len(ranks):
+                return
+            order = ranks.argsort(kind="stable")
+            ranks, lefts = ranks[order], lefts[order]
+            cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+            for start, stop in zip(cuts, cuts[1:]):
+                rank = int(ranks[start])
+                if rank in index:
+                    index[rank].append(lefts[start:stop])
+                else:
+                    index[rank] = [lefts[start:stop]]
+                    heappush(heap, rank)
+
+        pair_at = np.full(count, NO_PAIR)  # rank of the pair that starts here
+        pair_at[:-1] = self.rank_of(token[:-1], token[1:])
+        enter(pair_at, np.arange(count))
         while heap:
             rank = heappop(heap)
-            positions = index.pop(rank, None)
-            if not positions:
+            found = index.pop(rank)
+            at = np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
+            at = at[pair_at[at] == rank]  # entries of pairs that are gone are passed over
+            if not len(at):
                 continue
-            positions.sort()
-            held = -1  # a lower rank arose in the word that ends here: it goes first
-            for at in positions:
-                end = word_end[at]
-                second = after[at]
-                if token_at[at] < 0 or second >= end:
-                    continue
-                if pair_rank(token_at[at], token_at[second]) != rank:
-                    continue
-                if end == held:
-                    if rank not in index:
-                        heappush(heap, rank)
-                    index[rank].append(at)
-                    continue
-                token_at[at], token_at[second] = rank, -1
-                third = after[at] = after[second]
-                if third < end:
-                    before[third] = at
-                first = before[at]
-                for left, right in ((at, third), (first, at)):
-                    if left < 0 or right >= end or word_end[left] != end:
-                        continue
-                    new = pair_rank(token_at[left], token_at[right])
-                    if new is not None:
-                        if new not in index:
-                            heappush(heap, new)
-                        index[new].append(left)
-                        if new < rank:
-                            held = end
-        return after, before
-
-
-def encode_slice(texts: Sequence[str], pattern: regex.Pattern, replay: MergeReplay) -> list[bytes]:
+            leftmost = np.ones(len(at), bool)
+            word = word_at[at]
+            leftmost[1:] = word[1:] != word[:-1]
+            if not leftmost.all():  # the rest waits, as a lower rank may arise in between
+                index[rank] = [at[~leftmost]]
+                heappush(heap, rank)
+                at = at[leftmost]
+            second = after[at]
+            third = after[second]
+            token[at], token[second] = rank, GONE
+            pair_at[second] = NO_PAIR
+            after[at], before[third] = third, at
+            right = self.rank_of(token[at], token[third])
+            pair_at[at] = right
+            first = before[at]
+            left = np.where(first >= 0, self.rank_of(token[first], token[at]), NO_PAIR)
+            pair_at[first[first >= 0]] = left[first >= 0]
+            enter(np.concatenate([right, left]), np.concatenate([at, first]))
+        stands = token >= 0
+        return token[stands], np.bincount(word_at[stands], minlength=len(words))
+
+
+class WordSplitter:
+    """The matches of a pattern in a text.
+
+    Where a text has Latin letters only, the pattern runs with its Unicode classes spelt
+    out for these, which the plain regular expressions of Python do faster.
+    """
+
+    def __init__(self, pattern: str):
+        self.any = regex.compile(pattern)
+        classes = ((r"\p{L}", LATIN_LETTERS), (r"\p{N}", LATIN_NUMBERS), (r"\s", LATIN_SPACES))
+        bracket = r"[^\s\p{L}\p{N}]"
+        for name, members in classes:
+            bracket = bracket.replace(name, members)
+        latin = pattern.replace(r"[^\s\p{L}\p{N}]", bracket)
+        for name, members in classes:
+            latin = latin.replace(name, f"[{members}]")
+        latin = latin.replace(r"\S", f"[^{LATIN_SPACES}]")
+        plain = "\\p" not in latin and "[[" not in latin
+        self.latin = re.compile(latin) if plain else None
+        self.beyond_latin = re.compile("[^\\x00-\\x1b\\x20-\u024f]")
+
+    def words(self, text: str) -> Iterator[str]:
+        latin = self.latin is not None and self.beyond_latin.search(text) is None
+        pattern = self.latin if latin else self.any
+        if len(text) > LONG_TEXT:
+            return (match.group() for match in pattern.finditer(text))
+        return iter(pattern.findall(text))
+
+
+def encode_slice(texts: Sequence[str], splitter: WordSplitter, replay: MergeReplay) -> list[bytes]:
     """The codes of some texts, their words merged together."""
     index: dict[str, int] = defaultdict()
     index.default_factory = index.__len__
-    rows = []
-    for text in texts:
-        if len(text) > LONG_TEXT:
-            words: Iterator[str] = (match.group() for match in pattern.finditer(text))
-        else:
-            words = iter(pattern.findall(text))
-        rows.append(array("q", map(index.__getitem__, words)))
+    rows = [array("i", map(index.__getitem__, splitter.words(text))) for text in texts]
     codes = replay.codes([word.encode() for word in index])
     return [b"".join(map(codes.__getitem__, row)) for row in rows]
 
 
-def _words_of(texts: Sequence[str]) -> list[int]:
-    return list(map(len, texts))
-
-
 def encode(
     docs: DataFrame,
     ranks: dict[bytes, int],
@@ -163,14 +196,15 @@ def encode(
     encoded whole. Repeated rows are encoded each; further columns are ignored; an empty
     table gives no rows. All 256 single bytes must be among the ranks.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # as large as the vocabulary
+    replay = MergeReplay(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast(replay)  # as large as the vocabulary
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay, words = MergeReplay(shared.value), regex.compile(pattern)
+        replay, splitter = shared.value, WordSplitter(pattern)
         for batch in batches:
             texts = strings(batch, "text")
-            for part in portions(_words_of(texts), SLICE_CHARS):
-                codes = encode_slice(texts[part], words, replay)
+            for part in portions(list(map(len, texts)), SLICE_CHARS):
+                codes = encode_slice(texts[part], splitter, replay)
                 rows = batch.slice(part.start, part.stop - part.start)
                 yield with_columns(
                     rows,

@@ -36,9 +36,10 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-#: Blocked where no rule fits: no URL at all, internal and listing pages, binary files.
+#: Blocked where no rule fits: no URL at all, advertising hosts, internal and listing pages, binary files.
 BLOCKED_GLOBS = (
     "",
+    "ads-*/**",
     "**/login/**",
     "**/admin/**",
     "**/cgi-bin/**",
