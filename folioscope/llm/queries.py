@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, sharding, url_filters
+from folioscope.llm import bpe, quality, sharding, simhash, url_filters
 from folioscope.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,15 +39,30 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", "fingerprint", "component_id"
+    )
+
+
 def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """The verdict on every URL of ``pages``."""
     return url_filters.judge_urls(table(spark, folder, "pages"))
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and quality verdict of every document."""
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality.judge_quality(documents, labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
+    "op7_simhash": op7_simhash,
     "op8_url_filters": op8_url_filters,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {
