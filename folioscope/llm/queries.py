@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, quality, sharding, simhash, url_filters
+from folioscope.llm import bpe, language, quality, sharding, simhash, url_filters
 from folioscope.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -51,6 +51,11 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, folder, "pages"))
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document; a third of them was not learned from."""
+    return language.language_of_documents(table(spark, folder, "documents"))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and quality verdict of every document."""
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op7_simhash": op7_simhash,
     "op8_url_filters": op8_url_filters,
+    "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
 
