@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, language, quality, sharding, simhash, url_filters
+from folioscope.llm import bpe, decontaminate, language, quality, sharding, simhash, url_filters
 from folioscope.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,6 +39,11 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that leak items of ``benchmark``, and which."""
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, folder, "documents")).select(
@@ -65,6 +70,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
+    "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op8_url_filters": op8_url_filters,
     "op9_language": op9_language,
