@@ -30,6 +30,9 @@ UNKNOWN = "und"
 DOCUMENTS_PER_LANGUAGE = 400
 PIECES, PIECE_CHARS = 4, 240
 
+#: A text is rejected if no language gets this score.
+LEAST_SCORE = 0.4
+
 #: Bytes that go through the network at a time.
 BATCH_BYTES = 1 << 18
 
@@ -257,6 +260,27 @@ def identify(docs: DataFrame, network: Network | None, text: str = "text") -> Da
     return rows.mapInArrow(run, schema)
 
 
+def with_known_language(
+    docs: DataFrame, network: Network | None, text: str = "text", least_score: float = LEAST_SCORE
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text has a letter and whose
+    language is told with a score of ``least_score`` or more. Without a network only the
+    letter counts. Rows are judged where they lie, without a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = network.tables() if network is not None else {}
+        for batch in batches:
+            texts = strings(batch, text)
+            if network is None:
+                known = [has_letter(value) for value in texts]
+            else:
+                names, scores = predict_batch(texts, network, tables)
+                known = [n != UNKNOWN and s >= least_score for n, s in zip(names, scores)]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def language_of_documents(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, decontaminate, language, quality, sharding, simhash, url_filters
+from folioscope.llm import bpe, decontaminate, language, quality, secrets, sharding, simhash, url_filters
 from folioscope.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,6 +39,85 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document, and how many are live or widely copied."""
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def count(test: Callable[[Column], Column]) -> Column:
+        return F.size(F.filter("spans", test)).cast("long")
+
+    def of_kind(name: str) -> Column:
+        return count(lambda s: s["kind"] == name)
+
+    base = F.filter("spans", lambda s: s["base"])
+    told = F.filter("spans", lambda s: s["base"] | s["live"])
+    return found.select(
+        "doc_id",
+        *(of_kind(kind.name).alias(f"n_{kind.name}") for kind in secrets.BASE),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(told).alias("spans"),
+        count(lambda s: s["live"]).alias("n_live"),
+        count(lambda s: s["example"] & s["base"]).alias("n_example"),
+    )
+
+
+def _secrets_sql() -> str:
+    """The same over lists of matches and of the pieces between them."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    kinds = " UNION ALL ".join(
+        f"""SELECT row, source, {quoted(k.name)} AS kind, {rank} AS rank, {str(k.base).lower()} AS base,
+            {k.least} AS least, regexp_extract_all(text, {quoted(k.pattern)}, 0) AS m,
+            regexp_extract_all(text, {quoted(k.pattern)}, {k.group}) AS v,
+            regexp_split_to_array(text, {quoted(k.pattern)}) AS p
+            FROM docs WHERE regexp_matches(text, {quoted(k.pattern)})"""
+        for rank, k in enumerate(secrets.KINDS)
+    )
+    return f"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text FROM documents
+        ), lists AS ({kinds}), parts AS (
+            SELECT row, source, kind, rank, base, least, unnest(m) AS m, unnest(v) AS v,
+                   unnest(p[1:len(m)]) AS p, unnest(range(len(m))) AS i
+            FROM lists
+        ), placed AS (
+            SELECT *, sum(length(m) + length(p)) OVER (PARTITION BY row, rank ORDER BY i) AS e FROM parts
+        ), spans AS (
+            SELECT row, source, kind, rank, base, v, e - length(m) AS s, e FROM placed WHERE length(v) >= least
+        ), owners AS (
+            SELECT v, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS owners
+            FROM spans GROUP BY v
+        ), judged AS (
+            SELECT spans.*, owners >= {secrets.EXAMPLE_OWNERS} AS example,
+                   owners < {secrets.EXAMPLE_OWNERS} AND (base OR (
+                       len(list_distinct(string_split(v, ''))) >= {secrets.LIVE_CHARACTERS}
+                       AND regexp_matches(v, '[0-9]'))) AS live
+            FROM spans JOIN owners USING (v)
+        ), listed AS (
+            SELECT row,
+                   count(*) FILTER (kind = 'assign') AS n_assign,
+                   count(*) FILTER (kind = 'access') AS n_access,
+                   count(*) FILTER (kind = 'hex') AS n_hex,
+                   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (base) AS base_spans,
+                   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (base OR live) AS spans,
+                   count(*) FILTER (live) AS n_live,
+                   count(*) FILTER (example AND base) AS n_example
+            FROM judged GROUP BY row
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+               coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base_spans, '')) AS base_sha256,
+               coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+        FROM docs LEFT JOIN listed USING (row)
+    """
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that leak items of ``benchmark``, and which."""
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -70,6 +149,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
+    "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op8_url_filters": op8_url_filters,
@@ -78,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_secrets": _secrets_sql(),
     "op8_url_filters": r"""
         WITH parts AS (
             SELECT page_id,

@@ -236,3 +236,34 @@ def near_duplicates(
         "component_id",
         "group",
     )
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, one of each near-duplicate group: the
+    one with the smallest id, of repeated ids the one whose text hashes lowest.
+
+    Fingerprints are joined without texts; then each kept text is shuffled once. Rows
+    that share id and text are reduced to one with a partial aggregation, so a row that
+    is repeated very often costs each task one row.
+    """
+    hashed = docs.withColumn("__hash", F.xxhash64(whole(text)))
+    found = near_duplicates(hashed, id_column, text, carry=("__hash",))
+    heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = heads.groupBy("group", "doc_id", "__hash").agg(F.count(F.lit(1)).alias("__rows"))
+    kept = settled(
+        rows.groupBy("group")
+        .agg(F.min(F.struct("__hash", "doc_id", "__rows")).alias("kept"))
+        .select(F.col("group").alias("__group"), "kept.__hash", F.col("kept.doc_id").alias("__id"), "kept.__rows")
+    )
+
+    def rows_of(which: DataFrame) -> DataFrame:
+        same = hashed[id_column].eqNullSafe(which["__id"]) & (hashed["__hash"] == which["__hash"])
+        doc = F.struct(*(hashed[name] for name in docs.columns)).alias("doc")
+        return hashed.join(which, same).select(doc, "__group")
+
+    out = rows_of(kept.filter(F.col("__rows") == 1)).select("doc.*")
+    repeated = kept.filter(F.col("__rows") > 1)
+    if not repeated.isEmpty():
+        first = rows_of(repeated).groupBy("__group").agg(F.first("doc").alias("doc"))
+        out = out.unionByName(first.select("doc.*"))
+    return out
