@@ -187,9 +187,14 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang:
     ).filter(~is_held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     step = F.greatest((F.length("text") - PIECE_CHARS) / (PIECES - 1), F.lit(0))
     cut = [F.substr("text", (step * k).cast("int") + 1, F.lit(PIECE_CHARS)) for k in range(PIECES)]
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h")
+    # Ids that hash below a bound leave a few times the wanted number, however many rows a
+    # language has; of these the lowest are taken.
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("all"))
+    chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
+    likely = known.join(counts, "lang").filter(chance * F.col("all") < 4 * DOCUMENTS_PER_LANGUAGE)
+    by_hash = Window.partitionBy("lang").orderBy(chance, "id", "h")
     sample = (
-        known.select("lang", "id", F.array(*cut).alias("pieces"), F.xxhash64("text").alias("h"))
+        likely.select("lang", "id", F.array(*cut).alias("pieces"), F.xxhash64("text").alias("h"))
         .withColumn("at", F.row_number().over(by_hash))
         .filter(F.col("at") <= DOCUMENTS_PER_LANGUAGE)
         .select("lang", "at", "pieces")

@@ -8,12 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, decontaminate, language, quality, secrets, sharding, simhash, url_filters
+from folioscope.llm import bpe, chat, decontaminate, language, quality, secrets, sharding, simhash, url_filters
 from folioscope.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Roles of all messages of ``conversations``, recovered from their lines, as turns."""
+    return chat.parse_transcripts(table(spark, folder, "conversations"))
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every text and the bytes they decode to, as digests."""
     ranks = bpe.read_ranks(RANKS)
@@ -147,6 +152,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
     "op5_secrets": op5_secrets,
