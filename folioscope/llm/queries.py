@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, chat, decontaminate, language, quality, secrets, sharding, simhash, url_filters
+from folioscope.llm import bpe, chat, decontaminate, language, licenses, quality, secrets, sharding, simhash, url_filters
 from folioscope.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -44,6 +44,11 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License wording in every document."""
+    return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in every document, and how many are live or widely copied."""
     found = secrets.find_secrets(table(spark, folder, "documents"))
@@ -155,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
+    "op4_licenses": op4_licenses,
     "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
