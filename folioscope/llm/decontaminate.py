@@ -131,6 +131,7 @@ class Space:
             return
         table, first = block_table(codes)
         weighted = self.weighted()
+        present = np.zeros(len(self.vocabulary) + 1, bool)
         best: dict[tuple[int, int], dict] = {}
         for start in range(0, max(len(table) - 1, 0), BLOCKS_AT_A_TIME):
             part = table[start : start + BLOCKS_AT_A_TIME + 1]
@@ -141,7 +142,7 @@ class Space:
             text_at = np.searchsorted(first, start + where, side="right") - 1
             for row, query, text in zip(where.tolist(), which.tolist(), text_at.tolist()):
                 item_at = int(self.query_item[query])
-                found = self._confirm(codes[text], (start + row - first[text]) * BLOCK, item_at)
+                found = self._confirm(codes[text], (start + row - first[text]) * BLOCK, item_at, present)
                 known = best.get((text, item_at))
                 if found and (known is None or found["lcs_share"] > known["lcs_share"]):
                     found["cosine"] = float(cosine[row, query])
@@ -149,12 +150,15 @@ class Space:
         for (text, item_at), found in sorted(best.items()):
             yield text, item_at, found
 
-    def _confirm(self, code: np.ndarray, at: int, item_at: int) -> dict | None:
+    def _confirm(self, code: np.ndarray, at: int, item_at: int, present: np.ndarray) -> dict | None:
         item = self.items[item_at]
         low, high = max(0, at - len(item)), min(len(code), at + 2 * BLOCK + len(item))
         around = code[low:high]
-        if np.isin(item, around).sum() < PARAPHRASE_SHARE * len(item):
-            return None  # an upper bound of the common subsequence
+        present[around] = True
+        common = np.count_nonzero(present[item])  # no less than the common subsequence
+        present[around] = False
+        if common < PARAPHRASE_SHARE * len(item):
+            return None
         share = lcs(item, around) / len(item)
         answer = item[-ANSWER_WORDS:]
         answer_share = lcs(answer, around) / len(answer)
