@@ -18,6 +18,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +26,8 @@ from pyspark.sql import types as T
 
 from folioscope.llm.common import portions, strings, whole, with_columns
 
-#: Characters of text whose distinct words are merged together in one go.
-SLICE_CHARS = 8_000_000
+#: Bytes of text whose distinct words are merged together in one go.
+SLICE_BYTES = 4_000_000
 #: Longer texts are split into words one match at a time, not as one list.
 LONG_TEXT = 2_000_000
 
@@ -202,10 +203,10 @@ def encode(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, splitter = shared.value, WordSplitter(pattern)
         for batch in batches:
-            texts = strings(batch, "text")
-            for part in portions(list(map(len, texts)), SLICE_CHARS):
-                codes = encode_slice(texts[part], splitter, replay)
+            lengths = pc.binary_length(batch.column("text")).to_pylist()
+            for part in portions(lengths, SLICE_BYTES):
                 rows = batch.slice(part.start, part.stop - part.start)
+                codes = encode_slice(strings(rows, "text"), splitter, replay)
                 yield with_columns(
                     rows,
                     ("text",),
