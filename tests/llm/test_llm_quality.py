@@ -1,0 +1,100 @@
+"""Counts by plain code; trees by their constraint; verdicts on labelled rows."""
+
+from collections import Counter
+
+import numpy as np
+import odd
+import pytest
+
+from folioscope.llm import boosting, quality, queries
+
+FOLDER = "/root/testdata/sf0.01"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def plain_counts(text):
+    words = (text or "").encode().split()
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    covered = {i + k for i, window in enumerate(windows) if often[window] > 1 for k in range(3)}
+    lines = [line for line in (text or "").split("\n") if line.encode().split()]
+    return (
+        len(words),
+        sum(len(word.decode()) for word in words),
+        sum((text or "").count(symbol) for symbol in "#*$%&|<>"),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+def test_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    rows = queries.op10_quality(spark, FOLDER).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        words, chars, symbols, lines, repeated = plain_counts(texts[row.doc_id])
+        assert (row.n_words, row.word_chars, row.n_symbols) == (words, chars, symbols)
+        assert (row.n_dup_lines, row.n_repeat_words) == (lines, repeated)
+        assert row.base_failed == (words < 50 or 100 * repeated > 50 * words)
+        assert not (row.kept and row.base_failed)
+    judged = [r for r in rows if not r.base_failed and r.doc_id in labels]
+    assert np.mean([r.kept == bool(labels[r.doc_id]) for r in judged]) > 0.97
+    good = [r.kept for r in judged if labels[r.doc_id]]
+    assert np.mean(good) > 0.995
+
+
+def test_many_different_words_fit_no_64_bits():
+    ids = np.array([0, 1, 2, 3, 0, 1, 2, 9, 8])
+    assert quality.repeated_words(ids, 10) == quality.repeated_words(ids, 3_000_000) == 6
+
+
+def test_trees_follow_the_constraint_and_fit():
+    rng = np.random.default_rng(4)
+    rows = rng.uniform(size=(3000, 3))
+    chance = 1 / (1 + np.exp(-6 * (rows[:, 0] - 0.5) + 3 * np.sin(9 * rows[:, 1])))
+    target = (rng.uniform(size=3000) < chance).astype(float)
+    trees = boosting.fit(rows, target, [1, 0, -1])
+    assert np.mean((trees.score(rows) > 0.5) == (target > 0.5)) > np.mean((chance > 0.5) == (target > 0.5)) - 0.03
+    line = np.linspace(0, 1, 200)
+    for b, c in rng.uniform(size=(20, 2)):
+        along = trees.score(np.stack([line, np.full(200, b), np.full(200, c)], axis=1))
+        assert (np.diff(along) >= -1e-12).all()
+        along = trees.score(np.stack([np.full(200, b), np.full(200, c), line], axis=1))
+        assert (np.diff(along) <= 1e-12).all()
+
+
+def test_flat_trees_equal_a_plain_walk():
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(200, 2))
+    trees = boosting.fit(rows, (rows.sum(axis=1) > 0).astype(float), [0, 0], trees=5)
+    for row, score in zip(rows, trees.score(rows)):
+        total = trees.base
+        for feature, cut, leaf in zip(trees.feature, trees.cut, trees.leaf):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > cut[node] else 1)
+            total += leaf[node - len(feature)]
+        assert score == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+def test_odd_documents_and_labels(spark):
+    docs = odd.documents(spark, odd.ODD).repartition(3)
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (6, 1, 0), (6, 0, 0), (8, 1, 1), (None, 1, 0), (9, None, 0), (10, 7, 0), (4, 0, 0)], LABELS
+    )
+    rows = quality.judge_quality(docs, labels).collect()
+    found = sorted(((r.doc_id or 0, *(r[name] for name in quality.COUNTS)) for r in rows))
+    assert found == sorted((i or 0, *plain_counts(text)) for i, text, _, _ in odd.ODD)
+    assert all(r.score is not None for r in rows)
+    same = {r.score for r in rows if r.doc_id in (6, 7)}
+    assert len(same) == 1
+
+
+def test_without_labels_the_base_rule_decides(spark):
+    docs = odd.documents(spark, odd.ODD)
+    labels = spark.createDataFrame([], LABELS)
+    rows = quality.judge_quality(docs, labels).collect()
+    assert all(r.score is None and r.kept == (not r.base_failed) for r in rows)
+    assert any(r.kept for r in rows) is (8 in {r.doc_id for r in rows if not r.base_failed})
+    assert quality.judge_quality(odd.documents(spark, []), labels).collect() == []
