@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -30,19 +31,38 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(length > 0, length, np.nan)
 
 
+def pair_scores(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Cosine of each row with the query in the same place (or with the only query).
+
+    All searches score with this one expression, so that they agree to the last bit. NaN
+    without a direction.
+    """
+    scale = np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((queries * queries).sum(axis=1))
+    with np.errstate(invalid="ignore", over="ignore"):
+        return (rows * queries).sum(axis=1) / np.where(scale > 0, scale, np.nan)
+
+
+def round_half_up(values: np.ndarray, places: int) -> np.ndarray:
+    """As Spark's ``round``: halves, by the shortest decimal form, away from zero."""
+    rounded = np.round(values, places)
+    scaled = np.abs(values) * 10.0**places
+    with np.errstate(invalid="ignore"):
+        close = np.abs(scaled - np.floor(scaled) - 0.5) < 1e-4
+    unit = Decimal(1).scaleb(-places)
+    for at in np.flatnonzero(close):
+        rounded[at] = float(Decimal(repr(float(values[at]))).quantize(unit, ROUND_HALF_UP))
+    return rounded
+
+
 def batch_similarity(vector: Column | str, query: Sequence[float]) -> Column:
     """The same as :func:`folioscope.functions.vectors.search_similarity`, one matrix
     product per Arrow batch. Only the vectors go to Python; faster on large tables, more
     so the longer the vectors."""
-    direction = np.asarray(query, dtype=float)
-    length = np.sqrt(direction @ direction) or np.nan
+    direction = np.asarray(query, dtype=float).reshape(1, -1)
 
     @F.arrow_udf("double")
     def similarity(vectors: pa.Array) -> pa.Array:
-        matrix = to_matrix(vectors, len(direction))
-        scale = np.sqrt((matrix * matrix).sum(axis=1)) * length
-        with np.errstate(invalid="ignore"):
-            scores = (matrix @ direction) / np.where(scale > 0, scale, np.nan)
+        scores = pair_scores(to_matrix(vectors, direction.shape[1]), direction)
         return pa.array(scores, mask=np.isnan(scores))
 
     # Declared so that a filter on the score reads the column instead of computing it again.

@@ -15,7 +15,7 @@ from folioscope.operators.blocks import batch_top_k
 from folioscope.operators.search import DEFAULT_THRESHOLD, DEFAULT_TOP_K, attach_rows, top_k
 from folioscope.schemas import DEFAULT_CHUNK_SIZE, DEFAULT_DIMENSION, PAGE_KEY
 from folioscope.sources import documents
-from folioscope.sources.store import PageStore
+from folioscope.sources.store import DEFAULT_GROUPS, PageStore
 
 HIT_COLUMNS = ("chunk_id", "word_count", "created_at", "text")
 
@@ -33,7 +33,7 @@ class Library:
         path: str,
         embed: Callable[[Column | str], Column] = embed_words,
         dimension: int = DEFAULT_DIMENSION,
-        groups: int | None = None,
+        groups: int | None = DEFAULT_GROUPS,
     ):
         self.spark, self.path, self.embed, self.dimension = spark, path.rstrip("/"), embed, dimension
         self.store = PageStore(spark, f"{self.path}/pages", groups=groups)

@@ -37,17 +37,11 @@ def assign_chunks_by_words(pages: DataFrame, budget: int) -> DataFrame:
 
 
 def manifest(pages: DataFrame, size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
-    """One descriptor per chunk, from pages numbered without gaps.
+    """One descriptor per chunk of each source, whether or not all its pages are there.
 
-    The last page of a chunk follows from the pages, so no total has to be joined.
+    The largest page number of a source is its total, here as in the header.
     """
-    _check(size)
-    chunks = (
-        assign_chunks(pages, size)
-        .groupBy("source_file", "chunk_id")
-        .agg(F.max("page_number").cast("long").alias("end_page"))
-    )
-    return _descriptors(chunks, size)
+    return manifest_from_counts(manifest_header(pages, size), size)
 
 
 def _descriptors(chunks: DataFrame, size: int) -> DataFrame:
@@ -74,11 +68,14 @@ def manifest_from_counts(counts: DataFrame, size: int = DEFAULT_CHUNK_SIZE) -> D
 
 
 def manifest_header(pages: DataFrame, size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
-    """Pages and chunks of each source."""
+    """Pages and chunks of each source: by the largest page number, or by counting rows
+    that have no numbers."""
     _check(size)
+    numbered = "page_number" in pages.columns
+    total = F.max("page_number").cast("long") if numbered else F.count(F.lit(1))
     return (
         pages.groupBy("source_file")
-        .agg(F.count(F.lit(1)).alias("total_pages"))
+        .agg(total.alias("total_pages"))
         .select(
             "source_file",
             "total_pages",

@@ -14,6 +14,7 @@ from folioscope.operators.search import in_source, ranked
 from folioscope.schemas import PAGE_KEY
 
 DEFAULT_LIMIT = 10
+SHARES = 64
 
 
 def _matches(text: str, keyword: str, literal: bool) -> Column:
@@ -36,6 +37,23 @@ def any_keyword(
     return in_source(pages, source).filter(found).orderBy(*key).limit(limit)
 
 
+def ranked_by_matches(
+    pages: DataFrame,
+    keywords: Sequence[str],
+    limit: int,
+    key: Sequence[str] = PAGE_KEY,
+    text: str = "text",
+    literal: bool = False,
+) -> DataFrame:
+    """The ``limit`` pages that contain most of the keywords, with ``matches`` and
+    ``rank``; equals by key."""
+    found = [F.when(_matches(text, keyword, literal), 1).otherwise(0) for keyword in keywords]
+    total = reduce(lambda a, b: a + b, found, F.lit(0))
+    counted = pages.withColumn("matches", F.coalesce(total, F.lit(0))).filter("matches > 0").drop(text)
+    order = [F.desc("matches"), *[F.asc(name) for name in key]]
+    return ranked(counted.orderBy(*order).limit(limit), order)
+
+
 def each_keyword(
     pages: DataFrame,
     keywords: Sequence[str],
@@ -49,8 +67,9 @@ def each_keyword(
     appears once per keyword. ``text`` becomes a snippet.
 
     One scan tests all keywords and emits a row per match; no join with the keywords.
-    Texts are cut before the sort, and the limit is applied in each task before the
-    shuffle, so neither long texts nor frequent keywords travel.
+    Texts are cut before the sort. A keyword's matches are ranked in two steps, first in
+    ``SHARES`` shares of them, so that no task sorts all matches of a frequent keyword,
+    whatever the limit.
     """
     if not keywords:
         return pages.limit(0).withColumns({"keyword": F.lit(""), "rank": F.lit(0).cast("long")})
@@ -65,5 +84,8 @@ def each_keyword(
         F.col("__hit.k").alias("keyword"),
         snippet(text, snippet_chars).alias(text),
     )
-    first = ranked(hits, [F.asc(name) for name in key], per=["__n"])
-    return first.filter(F.col("rank") <= limit).drop("__n")
+    order = [F.asc(name) for name in key]
+    share = F.pmod(F.xxhash64(*key), F.lit(SHARES))
+    shares = ranked(hits.withColumn("__share", share), order, per=["__n", "__share"])
+    first = ranked(shares.filter(F.col("rank") <= limit).drop("rank"), order, per=["__n"])
+    return first.filter(F.col("rank") <= limit).drop("__n", "__share")

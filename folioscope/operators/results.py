@@ -15,21 +15,25 @@ PROMPT = ("Context: ", "\nQuestion: ", "\nAnswer:")
 
 
 def compare_results(
-    hits: DataFrame, top: Sequence[str], query: str = "query_id", nested: bool = False
+    hits: DataFrame, queries: DataFrame, top: Sequence[str], query: str = "query_id", nested: bool = False
 ) -> DataFrame:
-    """For each query the number of hits, their mean similarity (a missing one counts
-    as 0) and the columns ``top`` of the first hit, as ``top_*``. ``nested`` adds
-    ``results``: these columns of all hits, by rank."""
+    """For each row of ``queries`` the number of hits, their mean similarity (a missing one
+    counts as 0) and the columns ``top`` of the first hit, as ``top_*``. ``nested`` adds
+    ``results``: these columns of all hits, by rank. A query without a hit has 0, 0.0 and
+    NULLs (and an empty list)."""
     first = [F.min_by(name, "rank").alias(f"top_{name}") for name in top]
     if nested:
         first.append(F.array_sort(F.collect_list(F.struct("rank", *top))).alias("results"))
-    return hits.groupBy(query).agg(
+    found = hits.groupBy(query).agg(
         F.count(F.lit(1)).alias("num_results"),
-        F.round(F.coalesce(F.avg(F.coalesce("similarity", F.lit(0.0))), F.lit(0.0)), ROUNDING).alias(
-            "avg_similarity"
-        ),
+        F.round(F.avg(F.coalesce("similarity", F.lit(0.0))), ROUNDING).alias("avg_similarity"),
         *first,
     )
+    whole = queries.select(query).join(found, query, "left")
+    empty = {"num_results": F.lit(0).cast("long"), "avg_similarity": F.lit(0.0)}
+    if nested:
+        empty["results"] = F.array().cast(found.schema["results"].dataType)
+    return whole.withColumns({name: F.coalesce(name, value) for name, value in empty.items()})
 
 
 def _context(text: str) -> Column:
@@ -52,6 +56,7 @@ def prompt(question: Column | str, context: Column | str = "context") -> Column:
 def precision(
     hits: DataFrame,
     labels: DataFrame,
+    queries: DataFrame,
     key: Sequence[str],
     label: str = "label",
     expected: str = "expected_label",
@@ -59,17 +64,18 @@ def precision(
 ) -> DataFrame:
     """Share of hits with the expected label for each query, and whether the first has it.
 
-    ``hits`` carry ``expected``; ``labels`` give ``label`` by ``key``.
+    ``queries`` have ``query`` and ``expected``; ``labels`` give ``label`` by ``key``. A hit
+    without a label is wrong; a query without a hit has precision 0.
     """
-    right = (F.col(label) == F.col(expected)).cast("double")
-    return (
-        hits.join(labels.select(*key, label), list(key))
-        .groupBy(query, expected)
-        .agg(
-            F.count(F.lit(1)).alias("num_results"),
-            F.round(F.avg(right), ROUNDING).alias("precision"),
-            F.coalesce(F.max(F.when(F.col("rank") == 1, right == 1.0)), F.lit(False)).alias("top_hit_right"),
-        )
+    labelled = hits.select(query, "rank", *key).join(labels.select(*key, label), list(key), "left")
+    scored = queries.select(query, expected).join(labelled, query, "left")
+    right = F.coalesce(F.col(label) == F.col(expected), F.lit(False))
+    return scored.groupBy(query, expected).agg(
+        F.count("rank").alias("num_results"),
+        F.round(F.coalesce(F.sum(right.cast("double")) / F.nullif(F.count("rank"), F.lit(0)), F.lit(0.0)), ROUNDING).alias(
+            "precision"
+        ),
+        F.coalesce(F.max(F.when(F.col("rank") == 1, right)), F.lit(False)).alias("top_hit_right"),
     )
 
 

@@ -70,13 +70,16 @@ def chunk_results(pages: DataFrame, processed_at: Column | None = None) -> DataF
     )
 
 
-def chunk_status(chunks: DataFrame) -> DataFrame:
-    """What each chunk's worker would report."""
-    return chunks.select(
+def chunk_status(manifest: DataFrame, results: DataFrame, path: str = "") -> DataFrame:
+    """For each chunk of the manifest whether its result was found (``done``) or is
+    ``missing``, and the folder of the results of its source below ``path``."""
+    found = results.select("source_file", "chunk_id", F.lit("done").alias("status")).distinct()
+    folder = F.concat(F.lit(f"{path}/" if path else ""), F.lit("source_file="), F.col("source_file"))
+    return manifest.join(found, ["source_file", "chunk_id"], "left").select(
         "source_file",
         "chunk_id",
-        F.concat(F.format_string(CHUNK_FILE, "chunk_id"), F.lit(".json")).alias("result_path"),
-        F.lit("done").alias("status"),
+        F.when(F.col("status").isNotNull(), folder).alias("result_path"),
+        F.coalesce("status", F.lit("missing")).alias("status"),
     )
 
 

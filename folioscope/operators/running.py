@@ -56,13 +56,19 @@ def running_total(
     first). Without ``value``, the number of earlier rows.
 
     ``(group, order)`` must be unique, ``order`` an integer and not NULL, ``group`` not
-    NULL. ``key_bits`` says how large ``order`` can get (below ``2**key_bits``); beyond
-    it the result is still right, only the last accumulation grows. Use 63 for hashed ids.
+    NULL. ``key_bits`` says how large ``order`` can get: a value of ``2**key_bits`` or
+    more, or below minus that, fails the job, as one window would grow without bound. Use
+    63 for hashed ids.
     """
     levels = max(0, -(-(key_bits - LEAF_BITS - FAN_BITS - 1) // FAN_BITS))
     group = list(group)
     counted = value is None
-    rows = df.withColumn("__bucket", F.shiftright(F.col(order).cast("long"), LEAF_BITS))
+    place = F.col(order).cast("long")
+    if key_bits < 63:
+        message = F.lit(f"{order} needs more than {key_bits} bits: pass a larger key_bits")
+        wide = (place >= 1 << key_bits) | (place < -(1 << key_bits))
+        place = F.when(wide, F.raise_error(message)).otherwise(place)
+    rows = df.withColumn("__bucket", F.shiftright(place, LEAF_BITS))
     if not counted:
         rows = rows.withColumn("__value", F.coalesce(value, F.lit(0)).cast("long"))
     total = F.count(F.lit(1)) if counted else F.sum("__value")

@@ -17,7 +17,6 @@ from folioscope.schemas import PAGE_KEY
 
 DEFAULT_TOP_K = 5
 DEFAULT_THRESHOLD = 0.5
-ATTACH_LIMIT = 2000
 
 
 def rank_order(key: Sequence[str]) -> list[Column]:
@@ -74,21 +73,12 @@ def semantic_search(
     return top_k(rows, query, limit, threshold=threshold, **options)
 
 
-def attach_rows(
-    hits: DataFrame, rows: DataFrame, key: Sequence[str] = PAGE_KEY, most: int = ATTACH_LIMIT
-) -> DataFrame:
-    """The columns of ``rows`` for each hit.
+def attach_rows(hits: DataFrame, rows: DataFrame, key: Sequence[str] = PAGE_KEY) -> DataFrame:
+    """The columns of ``rows`` for each hit: first the hits' columns, then the others.
 
-    Up to ``most`` hits are fetched (the limit is checked) and their keys become literal
-    filters on ``rows``, so that the scan skips files and row groups without a hit. More
-    hits are joined as they are.
+    Hits are few by construction, ``k`` for each query, and the queries' vectors fit one
+    task; so the hits are sent to the rows, which stay where they are.
     """
-    key = list(key)
-    found = hits.limit(most + 1).toArrow()
-    if found.num_rows > most:
-        return hits.join(rows, key)
-    for name in key:
-        values = found[name].unique().to_pylist()
-        rows = rows.filter(F.col(name).isin(values)) if values else rows.limit(0)
-    local = hits.sparkSession.createDataFrame(found, hits.schema)
-    return rows.join(F.broadcast(local), key)
+    others = [name for name in rows.columns if name not in key]
+    joined = F.broadcast(hits).join(rows, list(key))
+    return joined.select(*hits.columns, *others)

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope.functions.embedding import embed_words
 from folioscope.functions.text import or_empty, word_count, words
 from folioscope.operators.search import in_source
+from folioscope.schemas import PAGE_KEY, PAGES_TABLE
+from folioscope.session import shared_folder
 from folioscope.sources.paged import page_table
+from folioscope.sources.store import PageStore, page_vectors
 
-DOCUMENT_KEY = ("source_file", "document_id")
+STORED_PAGES = T.StructType([*PAGES_TABLE.fields, T.StructField("document_id", T.LongType())])
+_STORED: set[str] = set()
 CREATED = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id)"
 
 
@@ -19,48 +26,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """The table for heavy work per row: shuffled over all cores if it comes in fewer
-    pieces than there are cores, as a small file does. A large table is left as it is."""
+    """The table for heavy work per row. Where the session sets ``spark.folioscope.spread``, as
+    one on a single machine with few small files does, rows are shuffled over all cores."""
     rows = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+    return rows.repartition(key) if spark.conf.get("spark.folioscope.spread", "false") == "true" else rows
 
 
-def pages(
-    spark: SparkSession, folder: str, embedded: bool = False, only: str | None = None
-) -> DataFrame:
+def pages(spark: SparkSession, folder: str, only: str | None = None) -> DataFrame:
     """The page table over ``documents``: one source per ``source``, one page per row."""
     keep: dict[str, Column] = {"document_id": F.col("doc_id"), "created_at": F.expr(CREATED)}
-    if embedded:
-        keep["embedding"] = embed_words("text")
-    rows = spread_table(spark, folder, "documents", "doc_id")
-    return page_table(rows, "source", "doc_id", keep=keep, only=only)
+    return page_table(table(spark, folder, "documents"), "source", "doc_id", keep=keep, only=only)
 
 
-def unnumbered_pages(spark: SparkSession, folder: str, *columns: str | Column) -> DataFrame:
-    """Rows of ``documents`` by ``DOCUMENT_KEY``, which sorts like the page key.
+def stored_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The page table over ``documents`` with vectors, read from a page store.
 
-    A search over them moves neither texts nor vectors; page numbers are looked up for
-    the hits only, with :func:`page_numbers`.
+    Texts are numbered, measured and embedded once; the store is made when the first query
+    of an application asks for this folder, and all searches read it.
     """
-    return _keyed(table(spark, folder, "documents"), *columns)
-
+    digest = hashlib.sha256(folder.encode()).hexdigest()[:16]
+    path = f"{shared_folder(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}-{digest}"
+    store = PageStore(spark, path, schema=STORED_PAGES)
+    if path not in _STORED:
+        store.replace_sources(page_vectors(pages(spark, folder), embed_words))
+        _STORED.add(path)
+    return store.read()
 
-def embedded_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Vectors of ``documents`` by ``DOCUMENT_KEY``."""
-    rows = spread_table(spark, folder, "documents", "doc_id")
-    return _keyed(rows, embed_words("text").alias("embedding"))
 
-
-def _keyed(rows: DataFrame, *columns: str | Column) -> DataFrame:
-    return rows.select(
-        or_empty("source").alias("source_file"), F.col("doc_id").alias("document_id"), *columns
-    )
-
-
-def page_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    """Page number and chunk by ``DOCUMENT_KEY``; reads and shuffles ids only."""
-    return pages(spark, folder).select(*DOCUMENT_KEY, "page_number", "chunk_id")
+def stored_vectors(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Vectors of the stored pages by page key, with further columns."""
+    return stored_pages(spark, folder).select(*PAGE_KEY, "embedding", *columns)
 
 
 def page_contents(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,13 +72,12 @@ def embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings")
 
 
-def located_vectors(spark: SparkSession, folder: str, only: str | None = None) -> DataFrame:
-    """The given embeddings under the ``DOCUMENT_KEY`` of the page with the same id."""
+def located_vectors(spark: SparkSession, folder: str, only: str | None = None, *columns: str) -> DataFrame:
+    """The stored pages with the given embedding of the same id; pages without one have
+    NULL."""
     vectors = embeddings(spark, folder).select(F.col("vec_id").alias("document_id"), "embedding")
-    rows = in_source(table(spark, folder, "documents"), only, "source").select(
-        or_empty("source").alias("source_file"), F.col("doc_id").alias("document_id")
-    )
-    return rows.join(vectors, "document_id")
+    rows = in_source(stored_pages(spark, folder), only).select(*PAGE_KEY, "document_id", *columns)
+    return rows.join(vectors, "document_id", "left")
 
 
 def query_vector(spark: SparkSession, folder: str, vec_id: int = 0) -> list[float]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioscope.plans.queries import KEYWORDS, QUESTION
+from folioscope.plans.queries import FUSED_DEPTH, KEYWORDS, QUESTION
 
 # The separators of functions.text, as the SQL engine's regular expressions write them.
 SPACES = (
@@ -112,8 +112,8 @@ def _cosine(a: str, b: str) -> str:
 
 PAGES_WITH_VECTORS = f"""pe AS (
   SELECT p.*, {_cosine('e.embedding', 'q.embedding')} AS exact
-  FROM p JOIN embeddings e ON e.vec_id = p.document_id,
-       (SELECT embedding FROM embeddings WHERE vec_id = 0) q
+  FROM p CROSS JOIN (SELECT embedding FROM embeddings WHERE vec_id = 0) q
+  LEFT JOIN embeddings e ON e.vec_id = p.document_id
 )"""
 
 HTML = "coalesce(html, '')"
@@ -133,6 +133,7 @@ for _entity, _character in (
 HTML = _strip(f"regexp_replace({HTML}, '[{SPACES}]+', ' ', 'g')")
 
 _ANY = " OR ".join(f"text ILIKE '%{keyword}%'" for keyword in KEYWORDS[1:])
+_MATCHES = " + ".join(f"(text ILIKE '%{keyword}%')::INTEGER" for keyword in KEYWORDS[1:])
 _DIGEST = "md5(text) AS text_md5, length(text) AS text_chars"
 
 
@@ -172,13 +173,18 @@ FROM m JOIN p USING (source_file) WHERE page_number BETWEEN start_page AND end_p
     "document_chunks": _with(PAGES, CHUNKS)
     + "SELECT source_file, chunk_id, start_page, end_page, word_count, char_count FROM c",
     "chunk_status": _with(MANIFEST)
-    + "SELECT source_file, chunk_id, path || '.json' AS result_path, 'done' AS status FROM m",
+    + """SELECT source_file, chunk_id,
+       CASE WHEN chunk_id % 7 <> 3 THEN 'results/source_file=' || source_file END AS result_path,
+       CASE WHEN chunk_id % 7 <> 3 THEN 'done' ELSE 'missing' END AS status FROM m""",
     "chunk_full_text": _with(PAGES, CHUNKS)
     + f"SELECT source_file, chunk_id, word_count, char_count, {_DIGEST} FROM c",
     "chunk_pages_nested": _with(PAGES)
     + "SELECT source_file, chunk_id, page_number, word_count, char_count, md5(text) AS text_md5 FROM p",
     "book_totals": _with(PAGES, CHUNKS, BOOKS) + "SELECT * FROM b",
-    "book_totals_from_manifest": _with(PAGES, CHUNKS, BOOKS) + "SELECT * FROM b",
+    "book_totals_from_manifest": _with(PAGES, CHUNKS)
+    + """SELECT source_file, count(*) AS num_chunks, sum(page_count)::BIGINT AS total_pages,
+       coalesce(sum(word_count) FILTER (chunk_id % 7 <> 3), 0)::BIGINT AS total_word_count
+FROM c GROUP BY source_file""",
     "book_nested": _with(PAGES, CHUNKS, BOOKS)
     + """SELECT source_file, chunk_id // 8 AS part, (num_chunks + 7) // 8 AS num_parts, num_chunks,
        total_pages, total_word_count, chunk_id % 8 AS position, chunk_id, start_page, end_page,
@@ -195,7 +201,7 @@ FROM c""",
        page_count, word_count, char_count, md5(text) AS text_md5 FROM c""",
     "store_page_embeddings": _with(PAGES, EMBEDDED_PAGES)
     + """SELECT document_id, page_number, chunk_id, word_count, char_count,
-       md5(substr(text, 1, 5000)) AS text_md5, length(substr(text, 1, 5000)) AS text_chars,
+       md5(text) AS text_md5, length(text) AS text_chars,
        coalesce(used, 0) AS used_buckets, coalesce(largest, 0) AS largest_weight
 FROM p LEFT JOIN (SELECT document_id, count(*) AS used, round(max(weight), 6) AS largest
                   FROM d GROUP BY document_id) USING (document_id)""",
@@ -206,7 +212,7 @@ FROM p LEFT JOIN (SELECT document_id, count(*) AS used, round(max(weight), 6) AS
         _embedded("d", "ct", "chunk_key"),
     )
     + """SELECT source_file, chunk_id, start_page AS page_number, word_count, char_count,
-       md5(substr(text, 1, 5000)) AS text_md5, length(substr(text, 1, 5000)) AS text_chars,
+       md5(text) AS text_md5, length(text) AS text_chars,
        coalesce(used, 0) AS used_buckets, coalesce(largest, 0) AS largest_weight
 FROM ct LEFT JOIN (SELECT chunk_key, count(*) AS used, round(max(weight), 6) AS largest
                    FROM d GROUP BY chunk_key) USING (chunk_key)""",
@@ -273,11 +279,26 @@ FROM pe WHERE source_file = 'src5' QUALIFY rank <= 10""",
 FROM pe WHERE exact >= 0.2 QUALIFY rank <= 20""",
     "semantic_batch_topk": _with(PAGES, QUESTIONS, EMBEDDED_PAGES, _hits(5))
     + "SELECT query_id, source_file, page_number, rank, similarity FROM hits",
+    "batch_topk_in_source": _with(PAGES, QUESTIONS, EMBEDDED_PAGES)
+    + """, shared AS (
+  SELECT query_id, document_id, sum(q.weight * d.weight) AS product
+  FROM q JOIN d USING (bucket) GROUP BY query_id, document_id
+), scored AS (
+  SELECT n.query_id, p.source_file, p.page_number,
+         round(coalesce(s.product, 0) / (n.length * o.length), 6) AS similarity
+  FROM q_norm n CROSS JOIN p JOIN d_norm o USING (document_id)
+  LEFT JOIN shared s ON s.query_id = n.query_id AND s.document_id = p.document_id
+  WHERE n.query_id % 5 = 0 OR p.source_file = 'src' || (n.query_id % 21)
+)
+SELECT query_id, source_file, page_number, similarity, row_number() OVER (
+    PARTITION BY query_id ORDER BY similarity DESC NULLS LAST, source_file, page_number) AS rank
+FROM scored QUALIFY rank <= 3""",
     "compare_results": _with(PAGES, QUESTIONS, EMBEDDED_PAGES, _hits(5, 0.5))
-    + """SELECT query_id, count(*) AS num_results, round(avg(coalesce(similarity, 0)), 6) AS avg_similarity,
+    + """SELECT item_id AS query_id, count(rank) AS num_results,
+       coalesce(round(avg(coalesce(similarity, 0)) FILTER (rank IS NOT NULL), 6), 0) AS avg_similarity,
        arg_min(source_file, rank) AS top_source_file, arg_min(page_number, rank) AS top_page_number,
        arg_min(similarity, rank) AS top_similarity
-FROM hits GROUP BY query_id""",
+FROM benchmark LEFT JOIN hits ON query_id = item_id GROUP BY item_id""",
     "rag_context": _with(PAGES, QUESTIONS, EMBEDDED_PAGES, _hits(3))
     + """SELECT query_id, num_results, md5(prompt) AS text_md5, length(prompt) AS text_chars
 FROM (SELECT query_id, num_results,
@@ -308,11 +329,14 @@ FROM (SELECT a.vec_id AS query_id, b.vec_id, round({_cosine('a.embedding', 'b.em
       FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
 QUALIFY rank <= 3""",
     "hybrid_search": _with(
-        PAGES, _embedded("q", f"(SELECT 0 AS query_id, '{QUESTION}' AS text)", "query_id"), EMBEDDED_PAGES, _hits(20)
+        PAGES,
+        _embedded("q", f"(SELECT 0 AS query_id, '{QUESTION}' AS text)", "query_id"),
+        EMBEDDED_PAGES,
+        _hits(FUSED_DEPTH),
     )
     + f""", worded AS (
-  SELECT source_file, page_number, row_number() OVER (ORDER BY source_file, page_number) AS rank
-  FROM p WHERE {_ANY} QUALIFY rank <= 20
+  SELECT source_file, page_number, row_number() OVER (ORDER BY {_MATCHES} DESC, source_file, page_number) AS rank
+  FROM p WHERE {_ANY} QUALIFY rank <= {FUSED_DEPTH}
 ), fused AS (
   SELECT source_file, page_number,
          round(coalesce(1.0::DOUBLE / (60 + h.rank), 0) + coalesce(1.0::DOUBLE / (60 + w.rank), 0), 9) AS score
@@ -320,7 +344,33 @@ QUALIFY rank <= 3""",
 )
 SELECT *, row_number() OVER (ORDER BY score DESC, source_file, page_number) AS rank
 FROM fused QUALIFY rank <= 10""",
-    "incremental_ingest": f"""SELECT source AS source_file, doc_id + 1 AS page_number, doc_id // 20 AS chunk_id,
-       len({_words('text')}) AS word_count, length(text) AS char_count, md5(text) AS text_md5
-FROM (SELECT source, doc_id, coalesce(text, '') AS text FROM documents)""",
+    "incremental_ingest": _with(
+        "a AS (SELECT source, doc_id, coalesce(text, '') AS text FROM documents)", _embedded("d", "a", "doc_id")
+    )
+    + f"""SELECT source AS source_file, doc_id + 1 AS page_number, doc_id // 20 AS chunk_id,
+       len({_words('text')}) AS word_count, length(text) AS char_count, md5(text) AS text_md5,
+       coalesce(used, 0) AS used_buckets, coalesce(largest, 0) AS largest_weight
+FROM a LEFT JOIN (SELECT doc_id, count(*) AS used, round(max(weight), 6) AS largest FROM d GROUP BY doc_id)
+     USING (doc_id)""",
+    "running_totals": _with(PAGES)
+    + """SELECT source_file, count(*) AS total_pages, sum(word_count)::BIGINT AS total_words,
+       sum(char_count)::BIGINT AS total_chars FROM p GROUP BY source_file""",
+    "store_replace": _with(PAGES)
+    + """SELECT source_file, page_number, word_count,
+       md5(CASE WHEN source_file LIKE 'src1_' THEN replace(text, ' ', '_') ELSE text END) AS text_md5
+FROM p WHERE source_file NOT LIKE 'src1_' OR page_number % 2 = 1""",
+    "store_append": _with(PAGES)
+    + """SELECT source_file, page_number, word_count, md5(text) AS text_md5 FROM p
+UNION ALL SELECT source_file || '/more', page_number, word_count, md5(replace(text, ' ', '_')) FROM p WHERE page_number % 5 = 0""",
+    "store_delete": _with(PAGES)
+    + """SELECT source_file, page_number, word_count, md5(text) AS text_md5 FROM p
+WHERE NOT (source_file = 'src3' OR page_number % 4 = 2)""",
+    "manifest_roundtrip": _with(MANIFEST)
+    + """SELECT source_file, sum(page_count) OVER (PARTITION BY source_file)::BIGINT AS total_pages,
+       count(*) OVER (PARTITION BY source_file) AS num_chunks, chunk_id, path, start_page, end_page, page_count
+FROM m""",
+    "book_roundtrip": _with(PAGES, CHUNKS, BOOKS)
+    + """SELECT source_file, num_chunks, total_pages, total_word_count, chunk_id, md5(text) AS text_md5
+FROM c JOIN b USING (source_file)""",
 }
+ORACLES["similar_pages_blocks"] = ORACLES["similar_pages"]

@@ -12,10 +12,9 @@ from folioscope.functions import text as tx
 from folioscope.functions import vectors as vx
 from folioscope.functions.embedding import embed_words
 from folioscope.operators import approximate, chunking, keywords, listing, results, rollup, search
-from folioscope.operators.blocks import batch_top_k
+from folioscope.operators.blocks import batch_top_k, blocks_for
 from folioscope.plans import inputs
-from folioscope.plans.inputs import DOCUMENT_KEY
-from folioscope.schemas import DEFAULT_CHUNK_SIZE, STORED_TEXT_LIMIT
+from folioscope.schemas import DEFAULT_CHUNK_SIZE, PAGE_KEY, STORED_TEXT_LIMIT
 from folioscope.session import scratch_path
 from folioscope.sources import documents, store
 from folioscope.streaming import ingest
@@ -23,6 +22,8 @@ from folioscope.streaming import ingest
 SIZE = DEFAULT_CHUNK_SIZE
 KEYWORDS = ["the", "Ouè", "zzz", "of%and"]
 VECTOR_KEY = ["vec_id"]
+#: How many ranks of each list count in a fused search; a page below has no share of it.
+FUSED_DEPTH = 100
 QUESTION = "Nicht aulich for the hendnt and of ingbleand"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,9 +148,15 @@ def document_chunks(spark, folder):
     )
 
 
+def _with_losses(pages):
+    """Pages without those of every seventh chunk, as if these had never been processed."""
+    return pages.filter("chunk_id % 7 <> 3")
+
+
 @query
 def chunk_status(spark, folder):
-    return rollup.chunk_status(chunking.manifest(inputs.pages(spark, folder), SIZE))
+    pages = inputs.pages(spark, folder)
+    return rollup.chunk_status(chunking.manifest(pages, SIZE), rollup.chunk_metrics(_with_losses(pages)), "results")
 
 
 @query
@@ -175,9 +182,10 @@ def book_totals(spark, folder):
 
 @query
 def book_totals_from_manifest(spark, folder):
-    pages = inputs.pages(spark, folder)
-    chunks = rollup.chunk_metrics(pages)
-    return rollup.book_totals(rollup.with_manifest(chunks, chunking.manifest(pages, SIZE)))
+    counts = inputs.table(spark, folder, "documents").select(F.col("source").alias("source_file"))
+    chunks = chunking.manifest_from_counts(chunking.manifest_header(counts, SIZE), SIZE)
+    results_ = rollup.chunk_metrics(_with_losses(inputs.pages(spark, folder)))
+    return rollup.book_totals(rollup.with_manifest(results_, chunks))
 
 
 @query
@@ -217,8 +225,7 @@ def chunk_json_roundtrip(spark, folder):
 
 @query
 def store_page_embeddings(spark, folder):
-    pages = store.page_vectors(inputs.pages(spark, folder), embed_words)
-    return pages.select(
+    return inputs.stored_pages(spark, folder).select(
         *_long("document_id", "page_number", "chunk_id", "word_count", "char_count"),
         *_digest(),
         *_vector_digest(),
@@ -227,8 +234,9 @@ def store_page_embeddings(spark, folder):
 
 @query
 def store_chunk_embeddings(spark, folder):
-    chunks = store.chunk_vectors(inputs.pages(spark, folder), embed_words)
-    return chunks.select(
+    path = scratch_path(spark, "chunk-vectors")
+    store.append_rows(store.chunk_vectors(inputs.pages(spark, folder), embed_words), path)
+    return spark.read.parquet(path).select(
         "source_file",
         *_long("chunk_id", "page_number", "word_count", "char_count"),
         *_digest(),
@@ -288,13 +296,10 @@ def document_summary(spark, folder):
 
 @query
 def recent_pages(spark, folder):
-    pages = inputs.unnumbered_pages(spark, folder, F.expr(inputs.CREATED).alias("created_at"))
-    newest = listing.recent_pages(pages, key=DOCUMENT_KEY)
-    return _located(spark, folder, newest.withColumnRenamed("created_at", "newest")).select(
-        "source_file",
-        *_long("page_number", "chunk_id", "word_count", "rank"),
-        F.col("newest").alias("created_at"),
+    pages = inputs.stored_pages(spark, folder).select(
+        "source_file", *_long("page_number", "chunk_id", "word_count"), "created_at"
     )
+    return listing.recent_pages(pages)
 
 
 # Keyword search
@@ -302,19 +307,14 @@ def recent_pages(spark, folder):
 
 @query
 def keyword_any(spark, folder):
-    pages = inputs.unnumbered_pages(spark, folder, "text")
-    hits = keywords.any_keyword(pages, KEYWORDS[1:], key=DOCUMENT_KEY).select(
-        *DOCUMENT_KEY, tx.snippet("text", 100).alias("snippet")
-    )
-    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
-    return hits.select("source_file", *_long("page_number"), "snippet")
+    hits = keywords.any_keyword(inputs.stored_pages(spark, folder), KEYWORDS[1:])
+    return hits.select("source_file", *_long("page_number"), tx.snippet("text", 100).alias("snippet"))
 
 
 @query
 def keyword_each(spark, folder):
-    pages = inputs.unnumbered_pages(spark, folder, "text")
-    hits = keywords.each_keyword(pages, KEYWORDS, key=DOCUMENT_KEY)
-    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
+    pages = inputs.stored_pages(spark, folder).select("source_file", "page_number", "text")
+    hits = keywords.each_keyword(pages, KEYWORDS)
     return hits.select("keyword", "source_file", *_long("page_number", "rank"), F.col("text").alias("snippet"))
 
 
@@ -376,28 +376,19 @@ def semantic_topk(spark, folder):
     return hits.select("rank", *_long("vec_id", "label"), "similarity")
 
 
-def _located(spark, folder, hits):
-    """Hits by ``DOCUMENT_KEY`` with page number, chunk and contents."""
-    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
-    return search.attach_rows(hits, inputs.page_contents(spark, folder), ["document_id"])
-
-
 @query
 def topk_in_source(spark, folder):
-    rows = inputs.located_vectors(spark, folder, only="src5")
-    query_vector = inputs.query_vector(spark, folder)
-    hits = search.top_k(rows, query_vector, 10, source="src5", key=DOCUMENT_KEY)
-    return _located(spark, folder, hits).select(
-        "source_file", *_long("page_number", "chunk_id", "word_count", "rank"), "similarity"
-    )
+    rows = inputs.located_vectors(spark, folder, "src5", "chunk_id", "word_count")
+    hits = search.top_k(rows, inputs.query_vector(spark, folder), 10, source="src5")
+    return hits.select("source_file", *_long("page_number", "chunk_id", "word_count", "rank"), "similarity")
 
 
 @query
 def semantic_threshold(spark, folder):
     rows = inputs.located_vectors(spark, folder)
-    query_vector = inputs.query_vector(spark, folder)
-    hits = search.semantic_search(rows, query_vector, limit=20, threshold=0.2, key=DOCUMENT_KEY)
-    return _located(spark, folder, hits).select(
+    hits = search.semantic_search(rows, inputs.query_vector(spark, folder), limit=20, threshold=0.2)
+    hits = search.attach_rows(hits.drop("document_id"), inputs.stored_pages(spark, folder))
+    return hits.select(
         "source_file",
         *_long("page_number", "chunk_id", "word_count", "rank"),
         "similarity",
@@ -408,27 +399,36 @@ def semantic_threshold(spark, folder):
 
 def _question_hits(spark, folder, k, **options):
     questions = inputs.questions(spark, folder)
-    return batch_top_k(inputs.embedded_pages(spark, folder), questions, k, key=DOCUMENT_KEY, **options)
+    return batch_top_k(inputs.stored_vectors(spark, folder), questions, k, **options)
 
 
 @query
 def semantic_batch_topk(spark, folder):
     hits = _question_hits(spark, folder, 5)
-    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
+    return hits.select("query_id", "source_file", *_long("page_number", "rank"), "similarity")
+
+
+@query
+def batch_topk_in_source(spark, folder):
+    wanted = F.concat(F.lit("src"), F.col("query_id") % 21)  # one of them is no source
+    asked = inputs.questions(spark, folder).withColumn("wanted", F.when(F.col("query_id") % 5 > 0, wanted))
+    hits = batch_top_k(inputs.stored_vectors(spark, folder), asked, 3, source="wanted")
     return hits.select("query_id", "source_file", *_long("page_number", "rank"), "similarity")
 
 
 @query
 def compare_results(spark, folder):
     hits = _question_hits(spark, folder, 5, threshold=0.5)
-    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
-    return results.compare_results(hits, ["source_file", "page_number", "similarity"])
+    asked = inputs.table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"))
+    found = results.compare_results(hits, asked, ["source_file", "page_number", "similarity"])
+    return found.withColumn("top_page_number", F.col("top_page_number").cast("long"))
 
 
 @query
 def rag_context(spark, folder):
-    hits = _question_hits(spark, folder, 3)
-    hits = search.attach_rows(hits, inputs.page_contents(spark, folder), ["document_id"])
+    hits = search.attach_rows(
+        _question_hits(spark, folder, 3), inputs.stored_pages(spark, folder).select("source_file", "page_number", "text")
+    )
     asked = inputs.table(spark, folder, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("question")
     )
@@ -440,17 +440,17 @@ def rag_context(spark, folder):
 @query
 def precision_at_k(spark, folder):
     rows = inputs.embeddings(spark, folder)
-    hits = batch_top_k(rows, inputs.label_centroids(spark, folder), 3, key=VECTOR_KEY)
-    hits = hits.withColumn("expected_label", F.col("query_id"))
-    scored = results.precision(hits, rows, VECTOR_KEY)
+    asked = inputs.label_centroids(spark, folder).withColumn("expected_label", F.col("query_id"))
+    hits = batch_top_k(rows, asked, 3, key=VECTOR_KEY)
+    scored = results.precision(hits, rows, asked, VECTOR_KEY)
     return scored.select(*_long("query_id", "expected_label"), "num_results", "precision", "top_hit_right")
 
 
 @query
 def query_agreement(spark, folder):
     forms = inputs.question_forms(spark, folder)
-    hits = batch_top_k(inputs.embedded_pages(spark, folder), forms, 1, key=DOCUMENT_KEY)
-    return results.agreement(hits, forms, DOCUMENT_KEY, "item_id")
+    hits = batch_top_k(inputs.stored_vectors(spark, folder), forms, 1)
+    return results.agreement(hits, forms, list(PAGE_KEY), "item_id")
 
 
 @query
@@ -471,14 +471,24 @@ def approx_topk_cells(spark, folder):
     return hits.select("rank", *_long("vec_id", "label"), "similarity")
 
 
-@query
-def similar_pages(spark, folder):
+def _similar(spark, folder, blocks=None):
     rows = inputs.embeddings(spark, folder)
     queries = rows.select(F.col("vec_id").alias("query_id"), "embedding")
-    hits = results.without_self(batch_top_k(rows, queries, 4, key=VECTOR_KEY), "vec_id", 3)
+    blocks = blocks or blocks_for(rows, queries)
+    hits = results.without_self(batch_top_k(rows, queries, 4, key=VECTOR_KEY, blocks=blocks), "vec_id", 3)
     return hits.select("query_id", "vec_id", *_long("rank"), "similarity")
 
 
+@query
+def similar_pages(spark, folder):
+    return _similar(spark, folder)
+
+
+@query
+def similar_pages_blocks(spark, folder):
+    return _similar(spark, folder, (5, 3))
+
+
 @query
 def topic_clusters(spark, folder):
     grouped = approximate.topics(inputs.embeddings(spark, folder), k=10)
@@ -488,21 +498,19 @@ def topic_clusters(spark, folder):
 @query
 def hybrid_search(spark, folder):
     question = spark.range(1).select(embed_words(F.lit(QUESTION)).alias("v")).first()["v"]
-    semantic = search.top_k(inputs.embedded_pages(spark, folder), question, 20, key=DOCUMENT_KEY)
-    pages = inputs.unnumbered_pages(spark, folder, "text")
-    matched = keywords.any_keyword(pages, KEYWORDS[1:], 20, key=DOCUMENT_KEY).select(*DOCUMENT_KEY)
-    worded = search.ranked(matched, [F.asc(name) for name in DOCUMENT_KEY])
-    hits = results.fuse(semantic, worded, DOCUMENT_KEY, 10)
-    hits = search.attach_rows(hits, inputs.page_numbers(spark, folder), DOCUMENT_KEY)
+    pages = inputs.stored_pages(spark, folder)
+    semantic = search.top_k(pages.select("source_file", "page_number", "embedding"), question, FUSED_DEPTH)
+    worded = keywords.ranked_by_matches(
+        pages.select("source_file", "page_number", "text"), KEYWORDS[1:], FUSED_DEPTH
+    )
+    hits = results.fuse(semantic, worded, ["source_file", "page_number"], 10)
     return hits.select("source_file", *_long("page_number", "rank"), "score")
 
 
 # Streaming
 
 
-@query
-def incremental_ingest(spark, folder):
-    base = scratch_path(spark, "ingest")
+def _arriving(spark, folder):
     schema = T.StructType(
         [
             T.StructField("doc_id", T.LongType()),
@@ -518,11 +526,91 @@ def incremental_ingest(spark, folder):
             F.col("source").alias("source_file"), (F.col("doc_id") + 1).alias("page_number"), "text"
         )
     )
-    pages = ingest.measured_pages(arriving, SIZE)
-    ingest.append_stream(pages, f"{base}/pages", f"{base}/progress").awaitTermination()
-    stored = ingest.latest_pages(spark, f"{base}/pages", pages.schema)
-    return stored.select(
+    return ingest.measured_pages(arriving, SIZE)
+
+
+@query
+def incremental_ingest(spark, folder):
+    base = scratch_path(spark, "ingest")
+    pages = _arriving(spark, folder).withColumn("embedding", embed_words("text"))
+    arrived = store.PageStore(spark, f"{base}/pages")
+    ingest.store_stream(pages, arrived, f"{base}/progress").awaitTermination()
+    return arrived.read().select(
         "source_file",
         *_long("page_number", "chunk_id", "word_count", "char_count"),
         F.md5("text").alias("text_md5"),
+        *_vector_digest(),
+    )
+
+
+@query
+def running_totals(spark, folder):
+    base = scratch_path(spark, "totals")
+    ingest.running_totals(_arriving(spark, folder), f"{base}/table", f"{base}/progress").awaitTermination()
+    return spark.read.parquet(f"{base}/table")
+
+
+# The store, written and read back
+
+
+def _small_store(spark, folder):
+    """A store of measured pages without vectors, and these pages."""
+    pages = inputs.pages(spark, folder)
+    kept = store.PageStore(spark, scratch_path(spark, "store"), schema=inputs.STORED_PAGES, groups=8)
+    kept.replace_sources(pages)
+    return kept, pages
+
+
+def _stored(kept):
+    return kept.read().select("source_file", *_long("page_number", "word_count"), F.md5("text").alias("text_md5"))
+
+
+@query
+def store_replace(spark, folder):
+    kept, pages = _small_store(spark, folder)
+    kept.replace_sources(pages.filter("source_file LIKE 'src1_' AND page_number % 2 = 1").withColumn("text", F.replace("text", F.lit(" "), F.lit("_"))))
+    return _stored(kept)
+
+
+@query
+def store_append(spark, folder):
+    kept, pages = _small_store(spark, folder)
+    new = pages.filter("page_number % 5 = 0").withColumn("source_file", F.concat("source_file", F.lit("/more")))
+    kept.replace_pages(new)
+    kept.replace_pages(new.withColumn("text", F.replace("text", F.lit(" "), F.lit("_"))))
+    return _stored(kept)
+
+
+@query
+def store_delete(spark, folder):
+    kept, _ = _small_store(spark, folder)
+    kept.delete((F.col("source_file") == "src3") | (F.col("page_number") % 4 == 2))
+    return _stored(kept)
+
+
+@query
+def manifest_roundtrip(spark, folder):
+    path = scratch_path(spark, "manifests")
+    chunks = chunking.manifest(inputs.pages(spark, folder), SIZE)
+    documents.write_documents(rollup.manifest_documents(chunks, SIZE), path)
+    written = documents.read_manifests(spark, path)
+    return written.select("total_pages", "num_chunks", F.explode("chunks").alias("c")).select(
+        "c.source_file", "total_pages", "num_chunks", "c.chunk_id", "c.path", "c.start_page", "c.end_page", "c.page_count"
+    )
+
+
+@query
+def book_roundtrip(spark, folder):
+    path = scratch_path(spark, "books")
+    documents.write_documents(rollup.book_documents(rollup.chunk_results(inputs.pages(spark, folder))), path)
+    pages = documents.read_books(spark, path).select(
+        "source_file", "num_chunks", "total_pages", "total_word_count", F.explode("chunks").alias("c")
+    )
+    return pages.select(
+        "source_file",
+        "num_chunks",
+        "total_pages",
+        "total_word_count",
+        F.col("c.chunk_id").alias("chunk_id"),
+        F.md5(F.array_join(F.transform("c.pages", lambda page: page["text"]), "\n")).alias("text_md5"),
     )

@@ -1,7 +1,8 @@
-"""The page table on disk: Parquet, one directory per source or per group of sources."""
+"""The page table on disk: Parquet, one directory per group of sources or per source."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,23 +11,26 @@ from pyspark.sql import types as T
 
 from folioscope.functions.text import cut
 from folioscope.operators.rollup import chunk_texts
-from folioscope.schemas import PAGES_TABLE, STORED_TEXT_LIMIT, conform
+from folioscope.schemas import PAGE_KEY, PAGES_TABLE, conform
 
 GROUP_COLUMN = "source_group"
+DEFAULT_GROUPS = 64
 
 
 class PageStore:
     """Pages at ``path``, replaced per source and so never stored twice.
 
-    By default every source has a directory. With many small sources pass ``groups``:
-    sources are then hashed into that many directories, and a replacement rewrites the
-    other sources of the touched directories as well.
-
-    Writes overwrite only the directories they touch. Tasks write to a staging folder
-    and the directories are exchanged when the job commits, so a lost executor costs a
-    repeated task and no rows. A directory that outgrows one task is split over several
-    (a ``rebalance`` hint, acted on by adaptive execution). Files are in key order, so
-    that lookups skip row groups.
+    Sources are hashed into ``groups`` directories, and a replacement rewrites the other
+    sources of the touched directories as well. ``groups=None`` gives every source a
+    directory of its own; use it for few, large sources with short names.
+
+    What comes in is written once to a staging folder next to the table, and all that
+    follows reads it there: the input is computed a single time. Writes then overwrite
+    only the directories they touch, which are exchanged when the job commits, so a lost
+    executor costs a repeated task and no rows. A directory that outgrows one task is
+    split over several (a ``rebalance`` hint, acted on by adaptive execution). Files are
+    in key order, so that lookups skip row groups. A catalogue table made by
+    :meth:`create` follows every change.
     """
 
     def __init__(
@@ -34,8 +38,9 @@ class PageStore:
         spark: SparkSession,
         path: str,
         schema: T.StructType = PAGES_TABLE,
-        groups: int | None = None,
+        groups: int | None = DEFAULT_GROUPS,
     ):
+        self.tables: list[str] = []
         self.spark, self.path, self.schema, self.groups = spark, path.rstrip("/"), schema, groups
         self.partition = GROUP_COLUMN if groups else "source_file"
 
@@ -66,7 +71,15 @@ class PageStore:
                 f"PARTITIONED BY (`{self.partition}`) LOCATION '{self.path}'"
             )
         if table:
-            self.spark.catalog.recoverPartitions(table)
+            self.tables.append(table)
+            self._follow()
+
+    def _follow(self) -> None:
+        """Let the catalogue tables see the directories that are there now."""
+        for table in self.tables:
+            if self.spark.catalog.tableExists(table):
+                self.spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+                self.spark.catalog.refreshTable(table)
 
     def _stored(self) -> DataFrame:
         if not self.exists():
@@ -91,9 +104,17 @@ class PageStore:
             .partitionBy(self.partition)
             .parquet(self.path)
         )
+        self._follow()
 
     def replace_sources(self, pages: DataFrame) -> None:
         """Store ``pages``; earlier pages of the same sources go."""
+        self._take_in(pages, ["source_file"])
+
+    def replace_pages(self, pages: DataFrame) -> None:
+        """Store ``pages``; earlier versions of the same pages go, other pages stay."""
+        self._take_in(pages, list(PAGE_KEY))
+
+    def _take_in(self, pages: DataFrame, key: list[str]) -> None:
         rows = conform(pages, self.schema)
         empty = F.lit("source_file must not be empty")
         rows = rows.withColumn(
@@ -102,16 +123,24 @@ class PageStore:
         )
         if self.groups:
             rows = rows.withColumn(GROUP_COLUMN, self._group(F.col("source_file")))
-            incoming = rows.select("source_file", GROUP_COLUMN).distinct()
-            # At most ``groups`` numbers; as literals they prune the stored directories.
-            touched = [row[0] for row in incoming.select(GROUP_COLUMN).distinct().collect()]
-            kept = (
-                self._stored()
-                .filter(F.col(GROUP_COLUMN).isin(touched))
-                .join(incoming.select("source_file"), "source_file", "left_anti")
-            )
-            rows = rows.unionByName(kept)
-        self._write(rows)
+        staging = f"{self.path}-staging-{uuid.uuid4().hex}"
+        try:
+            rows.write.parquet(staging)
+            rows = self.spark.read.schema(self._full_schema()).parquet(staging)
+            if self.groups or key != ["source_file"]:
+                incoming = rows.select(*dict.fromkeys([*key, self.partition])).distinct()
+                stored = self._stored()
+                if self.groups:
+                    # At most ``groups`` numbers; as literals they prune the directories.
+                    touched = [row[0] for row in incoming.select(self.partition).distinct().collect()]
+                    stored = stored.filter(F.col(self.partition).isin(touched))
+                else:
+                    stored = stored.join(incoming.select(self.partition).distinct(), self.partition, "left_semi")
+                rows = rows.unionByName(stored.join(incoming.select(*key), key, "left_anti"))
+            self._write(rows)
+        finally:
+            files, folder = self._folder(staging)
+            files.delete(folder, True)
 
     def delete(self, condition: Column) -> None:
         """Remove the rows that meet ``condition`` (a condition that is NULL keeps its row)."""
@@ -120,7 +149,7 @@ class PageStore:
         touched = stored.groupBy(self.partition).agg(
             F.max(doomed).alias("hit"), F.min(doomed).alias("all_hit")
         )
-        # One value per directory: no more than the file listing the driver holds anyway.
+        # One value per directory that is hit: at most ``groups`` (see there for None).
         touched = touched.filter("hit").toArrow().to_pylist()
         cut = [row[self.partition] for row in touched if not row["all_hit"]]
         emptied = [row[self.partition] for row in touched if row["all_hit"]]
@@ -135,6 +164,7 @@ class PageStore:
             name = escape.getPartitionPathString(self.partition, str(value))
             files, folder = self._folder(f"{self.path}/{name}")
             files.delete(folder, True)
+        self._follow()
 
 
 def without_sources(pages: DataFrame, pattern: str) -> DataFrame:
@@ -148,16 +178,16 @@ def without_keys(pages: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def page_vectors(
-    pages: DataFrame, embed: Callable[[str], Column], max_chars: int | None = STORED_TEXT_LIMIT
+    pages: DataFrame, embed: Callable[[str], Column], max_chars: int | None = None
 ) -> DataFrame:
-    """Pages ready to store: the vector of the whole text, the text cut to ``max_chars``
-    (kept whole for ``None``)."""
+    """Pages ready to store, with the vector of the whole text. The text stays whole, or
+    is cut to ``max_chars``, which searches by keyword then cannot see past."""
     vectors = pages.withColumn("embedding", embed("text"))
     return vectors.withColumn("text", cut("text", max_chars)) if max_chars else vectors
 
 
 def chunk_vectors(
-    pages: DataFrame, embed: Callable[[str], Column], max_chars: int | None = STORED_TEXT_LIMIT
+    pages: DataFrame, embed: Callable[[str], Column], max_chars: int | None = None
 ) -> DataFrame:
     """The same for chunks: their pages' texts joined, under the number of the first page."""
     return page_vectors(chunk_texts(pages), embed, max_chars).withColumn("page_number", F.col("start_page"))

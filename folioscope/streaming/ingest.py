@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from folioscope.operators.chunking import assign_chunks
 from folioscope.schemas import DEFAULT_CHUNK_SIZE, PAGE_KEY
 from folioscope.sources.paged import with_metrics
+from folioscope.sources.store import PageStore
 
 BATCH_COLUMN = "batch_id"
 
@@ -29,6 +30,30 @@ def measured_pages(
     return enrich(pages) if enrich else pages
 
 
+def store_stream(pages: DataFrame, store: PageStore, checkpoint: str, **trigger) -> StreamingQuery:
+    """Bring every micro-batch into the page store, where searches find it at once.
+
+    A page that is there already is replaced, so a batch that is run again after a failure
+    changes nothing. Of several versions of a page in one batch the one of the latest
+    ``arrived`` time counts, if the pages have such a column, else the greatest.
+    Each batch rewrites the directories it touches: the store is compact at all times.
+    """
+
+    def take_in(batch: DataFrame, number: int) -> None:
+        first = ["arrived"] if "arrived" in batch.columns else []
+        others = [name for name in batch.columns if name not in (*PAGE_KEY, *first)]
+        newest = F.max(F.struct(*first, *others)).alias("row")
+        once = batch.groupBy(*PAGE_KEY).agg(newest).select(*PAGE_KEY, *[f"row.{name}" for name in others])
+        store.replace_pages(once)
+
+    return (
+        pages.writeStream.foreachBatch(take_in)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def append_stream(pages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Write every micro-batch to its own ``batch_id`` directory.
 
@@ -72,8 +97,9 @@ def latest_pages(
     return single.unionByName(several.select(*key, *[f"row.{name}" for name in others]))
 
 
-def running_totals(pages: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Pages, words and characters per source so far, as the in-memory table ``name``.
+def running_totals(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Pages, words and characters per source so far, as a Parquet table at ``path`` that
+    every micro-batch replaces.
 
     There is no event time, so the state keeps one row per source.
     """
@@ -84,8 +110,7 @@ def running_totals(pages: DataFrame, name: str, checkpoint: str) -> StreamingQue
     )
     return (
         totals.writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(name)
+        .foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -50,6 +50,24 @@ def test_each_keyword(pages):
     assert keywords.each_keyword(pages, []).count() == 0
 
 
+def test_pages_by_number_of_matches(pages):
+    hits = keywords.ranked_by_matches(pages.select("source_file", "page_number", "text"), ["price", "harbour", "wool"], 9)
+    got = [(r["rank"], r.matches, r.source_file, r.page_number) for r in hits.orderBy("rank").collect()]
+    assert got == [(1, 2, "a", 1), (2, 2, "b", 1), (3, 2, "b", 2)]
+    assert keywords.ranked_by_matches(pages, [], 9).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1, 3, 2000])
+def test_a_frequent_keyword_is_ranked_in_shares(spark, limit):
+    rows = spark.range(3000).selectExpr("concat('s', id % 7) source_file", "cast(id AS int) page_number", "'x' text")
+    got = keywords.each_keyword(rows, ["x", "y"], limit).orderBy("rank").collect()
+    expected = sorted((f"s{i % 7}", i) for i in range(3000))[:limit]
+    assert [(r.source_file, r.page_number) for r in got] == expected
+    plan = keywords.each_keyword(rows, ["x"], 2000)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [row_number" in line]
+    assert len(windows) == 2 and "__share" in windows[-1].split("specifiedwindowframe")[0]
+
+
 def test_each_keyword_needs_no_join(pages):
     plan = keywords.each_keyword(pages, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "WindowGroupLimit" in plan

@@ -23,8 +23,7 @@ def keys(spread, seed=3, n=3000):
     return [(s, k, rng.randrange(0, 50)) for s, k in rows]
 
 
-@pytest.mark.parametrize("key_bits", [34, 48, 63])
-@pytest.mark.parametrize("spread", [5_000, 1 << 40, 1 << 62])
+@pytest.mark.parametrize("spread,key_bits", [(5_000, 34), (5_000, 63), (1 << 40, 48), (1 << 40, 63), (1 << 62, 63)])
 def test_numbers_and_totals_equal_plain_loops(spark, spread, key_bits):
     rows = keys(spread)
     frame = spark.createDataFrame(rows, "s string, k long, v int").repartition(7)
@@ -46,6 +45,30 @@ def test_no_window_over_a_whole_source(spark):
     assert len(windows) == 1 and "__bucket" in windows[0].split("specifiedwindowframe")[0]
 
 
+def test_keys_beyond_the_stated_bits_fail(spark):
+    frame = spark.createDataFrame([("a", 1 << 34), ("a", 2)], "s string, k long")
+    with pytest.raises(Exception, match="larger key_bits"):
+        running.row_numbers(frame, ["s"], "k", "n").collect()
+    assert running.row_numbers(frame, ["s"], "k", "n", key_bits=63).count() == 2
+
+
+def test_hashed_ids_make_no_window_of_a_whole_source(spark):
+    rows = spark.range(200_000).select(F.lit("a").alias("s"), F.xxhash64("id").alias("k"))
+    numbered = running.row_numbers(rows, ["s"], "k", "n", key_bits=63)
+    assert tuple(numbered.agg(F.max("n"), F.count_distinct("n")).first()) == (200_000, 200_000)
+
+
+def test_manifest_and_header_agree_where_pages_are_missing(spark):
+    frame = spark.createDataFrame([("a", p) for p in (1, 3, 50)], "source_file string, page_number int")
+    chunks = manifest(frame, 20).orderBy("chunk_id").collect()
+    assert [(r.chunk_id, r.start_page, r.end_page, r.page_count) for r in chunks] == [
+        (0, 1, 20, 20),
+        (1, 21, 40, 20),
+        (2, 41, 50, 10),
+    ]
+    assert tuple(manifest_header(frame, 20).first()) == ("a", 50, 20, 3)
+
+
 def test_missing_key_fails(spark):
     frame = spark.createDataFrame([("a", None, "x"), ("a", 1, "y")], "source string, k long, text string")
     with pytest.raises(Exception, match="must not be NULL"):

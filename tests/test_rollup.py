@@ -104,8 +104,11 @@ def test_manifest_meets_each_page_once(spark):
 
 
 def test_status(spark):
-    row = rollup.chunk_status(manifest(pages(spark, ["x"]), 2)).first()
-    assert (row.result_path, row.status) == ("chunk_0000.json", "done")
+    frame = pages(spark, ["x"] * 9, size=2)
+    found = rollup.chunk_metrics(frame.filter("chunk_id <> 1"))
+    rows = rollup.chunk_status(manifest(frame, 2), found, "out").orderBy("chunk_id").collect()
+    assert [r.status for r in rows] == ["done", "missing", "done", "done", "done"]
+    assert [r.result_path for r in rows] == [None if n == 1 else f"out/source_file={rows[n].source_file}" for n in range(5)]
 
 
 def test_json_round_trip(spark, tmp_path):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from folioscope.functions.embedding import embed_words
 from folioscope.functions.vectors import search_similarity
 from folioscope.operators import approximate, results
+from folioscope.operators import blocks
 from folioscope.operators.blocks import batch_top_k
 from folioscope.operators.search import attach_rows, semantic_search, top_k
 
@@ -18,7 +19,7 @@ def brute(rows, query, k, threshold=None):
     for source, page, vector in rows:
         score = None
         if vector is not None and len(vector) == len(query):
-            a, b = np.array(vector, dtype=np.float32).astype(float), np.array(query, dtype=np.float32).astype(float)
+            a, b = np.array(vector, dtype=float), np.array(query, dtype=float)
             scale = np.sqrt(a @ a) * np.sqrt(b @ b)
             score = float(a @ b / scale) if scale > 0 else None
             score = None if score is None or np.isnan(score) else score
@@ -109,23 +110,59 @@ def test_no_source_means_all(table, source):
 
 
 def queries(rows, hot):
-    asked = [(i, r[2]) for i, r in enumerate(rows) if r[2] is not None and len(r[2]) == len(hot)][:60]
-    asked = [(i, v) for i, v in asked if not any(np.isnan(v))]
-    return [*asked, (1000, hot), (1001, [0.0] * len(hot))]
+    """Vectors of the table, of every kind: also short ones, missing ones and NaN."""
+    asked = [(i, r[2]) for i, r in enumerate(rows)][:60]
+    return [*asked, (1000, hot), (1001, [0.0] * len(hot)), (1002, [])]
 
 
-@pytest.mark.parametrize("max_queries", [1000, 10])
+@pytest.mark.parametrize("cut", [None, (9, 5), (1, 1)])
 @pytest.mark.parametrize("k,threshold", [(1, None), (7, None), (500, None), (7, 0.3)])
-def test_batch_equals_brute_force_both_ways(spark, table, max_queries, k, threshold):
+def test_batch_equals_brute_force_both_ways(spark, table, cut, k, threshold):
     rows, hot, frame = table
     asked = queries(rows, hot)
     question_frame = spark.createDataFrame(asked, "query_id long, embedding array<float>")
-    hits = batch_top_k(frame, question_frame, k, threshold, max_queries=max_queries, block_queries=7, cell_rows=90)
+    hits = batch_top_k(frame, question_frame, k, threshold, blocks=cut)
     got = {}
     for r in hits.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.source_file, r.page_number, r.similarity, r["rank"]))
     for query_id, vector in asked:
-        same(got.get(query_id, []), brute(rows, vector, k, threshold))
+        same(got.get(query_id, []), brute(rows, vector if vector is not None else [], k, threshold))
+
+
+@pytest.mark.parametrize("cut", [None, (2, 3)])
+def test_batch_with_a_source_for_each_query(spark, table, cut):
+    rows, hot, frame = table
+    asked = [(0, hot, "s1"), (1, hot, None), (2, hot, ""), (3, hot, "unknown"), (4, rows[9][2], "s3")]
+    asked_frame = spark.createDataFrame(asked, "query_id long, embedding array<float>, wanted string")
+    got = {}
+    for r in batch_top_k(frame, asked_frame, 6, source="wanted", blocks=cut).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.source_file, r.page_number, r.similarity, r["rank"]))
+    for query_id, vector, source in asked:
+        same(got.get(query_id, []), brute([r for r in rows if not source or r[0] == source], vector, 6))
+
+
+def test_single_and_batch_search_agree_to_the_last_place(spark):
+    # Unit vectors (a, b) against (1, 0): scores on half units of the sixth place.
+    rows = []
+    for i in range(400):
+        a = (2 * i + 1) / 2e6 + 0.25
+        rows.append(("s", i, [a, float(np.sqrt(1 - a * a))]))
+    rows += [("s", 900, [1e39, 1e38]), ("s", 901, [1e-30, 1e-31]), ("s", 902, [float("inf"), 1.0])]
+    frame = spark.createDataFrame(rows, "source_file string, page_number int, embedding array<double>")
+    asked = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, embedding array<double>")
+    single = taken(top_k(frame, [1.0, 0.0], 403))
+    assert single == taken(batch_top_k(frame, asked, 403)) == taken(batch_top_k(frame, asked, 403, blocks=(2, 3)))
+    assert single[:2] == [("s", 900, single[0][2], 1), ("s", 901, single[0][2], 2)]
+    assert single[-1][1:3] == (902, None)
+
+
+def test_too_many_query_bytes_are_refused(spark, table, monkeypatch):
+    _, hot, frame = table
+    monkeypatch.setattr(blocks, "MAX_QUERY_BYTES", 100)
+    asked = spark.createDataFrame([(i, hot) for i in range(9)], "query_id long, embedding array<float>")
+    with pytest.raises(ValueError, match="pass blocks"):
+        batch_top_k(frame, asked, 5)
+    assert batch_top_k(frame, asked, 5, blocks=blocks.blocks_for(frame, asked)).count() == 45
 
 
 def test_batch_of_nothing(spark, table):
@@ -144,15 +181,15 @@ def test_batch_emits_few_rows_per_task(table, spark):
     assert "WindowGroupLimit" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("most", [100, 2])
-def test_attach_rows(spark, table, most):
+def test_attach_rows(spark, table):
     _, hot, frame = table
     hits = top_k(frame, hot, 6)
-    rows = frame.select(*KEY, F.concat("source_file", F.lit("!")).alias("text"))
-    got = attach_rows(hits, rows, most=most)
+    rows = frame.select(F.concat("source_file", F.lit("!")).alias("text"), *KEY)
+    got = attach_rows(hits, rows)
+    assert got.columns == [*hits.columns, "text"]
     assert got.count() == 6
     assert all(r.text == r.source_file + "!" for r in got.collect())
-    assert attach_rows(hits.limit(0), rows, most=most).count() == 0
+    assert attach_rows(hits.limit(0), rows).count() == 0
 
 
 def sentences(spark, rows):
@@ -165,41 +202,47 @@ def ask(spark, *texts):
     return frame.withColumn("embedding", embed_words("text"))
 
 
-def test_related_texts_are_found_first(spark):
-    pages = sentences(
-        spark,
-        [
-            ("ai", 1, "machine learning models get better"),
-            ("ai", 2, "networks of neural units learn"),
-            ("bio", 3, "genes carry inherited traits"),
-            ("bio", 4, "cells build every living thing"),
-        ],
-    )
-    hits = batch_top_k(pages, ask(spark, "neural network machine learning"), 2)
-    assert {r.source_file for r in hits.collect()} == {"ai"}
+def invented(topic, count):
+    """Words that no other topic has."""
+    return [f"{topic}{n}word" for n in range(count)]
+
+
+def test_shared_words_decide_the_order(spark):
+    # Page n of a topic has n of the ten words that the query has, and fillers to the same length.
+    pages = []
+    for topic in ("p", "q"):
+        for n in (2, 6, 10):  # far enough apart for words that share a bucket
+            pages.append((topic, n, " ".join(invented(topic, n) + invented(f"{topic}{n}filler", 10 - n))))
+    for topic in ("p", "q"):
+        hits = batch_top_k(sentences(spark, pages), ask(spark, " ".join(invented(topic, 10))), 2).orderBy("rank")
+        assert [(r.source_file, r.page_number) for r in hits.collect()] == [(topic, 10), (topic, 6)]
 
 
 def test_agreement(spark):
-    pages = sentences(spark, [("a", 1, "the quick brown fox jumps over the lazy dog"), ("a", 2, "something else entirely")])
-    asked = ask(spark, "fox over dog", "quick fox", "brown fox", "something quick").withColumn(
-        "topic", F.when(F.col("query_id") < 3, "fox").otherwise("mixed")
+    words = invented("x", 8)
+    pages = sentences(spark, [("a", 1, " ".join(words)), ("a", 2, " ".join(invented("y", 8)))])
+    # Any part of a page's words finds this page, so three parts agree; parts of two pages do not.
+    parts = [" ".join(words[at : at + 3]) for at in (0, 2, 5)]
+    asked = ask(spark, *parts, " ".join(words[:2]), " ".join(invented("y", 2))).withColumn(
+        "topic", F.when(F.col("query_id") < 3, "one").otherwise("mixed")
     )
-    extra = ask(spark, "else entirely").withColumn("topic", F.lit("mixed")).withColumn("query_id", F.lit(9))
-    asked = asked.unionByName(extra)
     got = {r.topic: r for r in results.agreement(batch_top_k(pages, asked, 1), asked, KEY, "topic").collect()}
-    assert got["fox"].agree and got["fox"].num_queries == 3 and got["fox"].top_rows == 1
-    assert got["mixed"].num_queries == 2
+    assert got["one"].agree and got["one"].num_queries == 3 and got["one"].top_rows == 1
+    assert not got["mixed"].agree and got["mixed"].num_queries == 2
 
 
 def test_precision(spark):
     hits = spark.createDataFrame(
-        [(1, 10, 1, "x"), (1, 11, 2, "x"), (1, 12, 3, "x"), (2, 12, 1, "x")],
-        "query_id int, vec_id int, rank int, expected_label string",
+        [(1, 10, 1), (1, 11, 2), (1, 12, 3), (2, 12, 1), (4, 99, 1), (4, 98, 2), (4, 10, 3)],
+        "query_id int, vec_id int, rank int",
     )
-    labels = spark.createDataFrame([(10, "x"), (11, "x"), (12, "y")], "vec_id int, label string")
-    got = {r.query_id: r for r in results.precision(hits, labels, ["vec_id"]).collect()}
-    assert got[1].precision == 0.666667 and got[1].top_hit_right
-    assert got[2].precision == 0.0 and not got[2].top_hit_right
+    labels = spark.createDataFrame([(10, "x"), (11, "x"), (12, "y"), (98, None)], "vec_id int, label string")
+    asked = spark.createDataFrame([(n, "x") for n in (1, 2, 3, 4)], "query_id int, expected_label string")
+    got = {r.query_id: r for r in results.precision(hits, labels, asked, ["vec_id"]).collect()}
+    assert (got[1].num_results, got[1].precision, got[1].top_hit_right) == (3, 0.666667, True)
+    assert (got[2].num_results, got[2].precision, got[2].top_hit_right) == (1, 0.0, False)
+    assert (got[3].num_results, got[3].precision, got[3].top_hit_right) == (0, 0.0, False)
+    assert (got[4].num_results, got[4].precision, got[4].top_hit_right) == (3, 0.333333, False)
 
 
 def test_compare(spark):
@@ -207,11 +250,12 @@ def test_compare(spark):
         [(1, "b", 2, 0.5), (1, "a", 1, 0.9), (1, "c", 3, None)],
         "query_id int, page string, rank int, similarity double",
     )
-    row = results.compare_results(hits, ["page"]).first()
-    assert tuple(row) == (1, 3, 0.466667, "a")
-    nested = results.compare_results(hits, ["page"], nested=True).first()
-    assert [(hit["rank"], hit.page) for hit in nested.results] == [(1, "a"), (2, "b"), (3, "c")]
-    assert results.compare_results(hits.limit(0), ["page"]).count() == 0
+    asked = spark.createDataFrame([(1,), (2,)], "query_id int")
+    rows = {r.query_id: tuple(r) for r in results.compare_results(hits, asked, ["page"]).collect()}
+    assert rows == {1: (1, 3, 0.466667, "a"), 2: (2, 0, 0.0, None)}
+    nested = {r.query_id: r for r in results.compare_results(hits, asked, ["page"], nested=True).collect()}
+    assert [(hit["rank"], hit.page) for hit in nested[1].results] == [(1, "a"), (2, "b"), (3, "c")]
+    assert nested[2].results == []
 
 
 def test_context(spark):

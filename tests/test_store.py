@@ -109,7 +109,7 @@ def test_append_keeps_what_is_there(spark, tmp_path):
 
 
 def test_large_directory_is_split_over_tasks(spark, tmp_path):
-    store = PageStore(spark, f"{tmp_path}/pages")
+    store = PageStore(spark, f"{tmp_path}/pages", groups=None)
     rows = spark.range(40000).select(
         F.when(F.col("id") % 3 == 0, "small").otherwise("hot").alias("source_file"),
         F.col("id").cast("int").alias("page_number"),
@@ -132,42 +132,96 @@ def test_large_directory_is_split_over_tasks(spark, tmp_path):
     assert store.read().count() == 40000
 
 
+def made_up(topic, count=6):
+    return " ".join(f"{topic}{n}x" for n in range(count))
+
+
 def test_library(spark, tmp_path):
+    """Pages of invented words: what a query shares with a page is known by construction."""
     library = Library(spark, f"{tmp_path}/library")
-    library.ingest(
-        split_pages(
-            spark.createDataFrame(
-                [
-                    ("kb", "Relational database rows live in tables\fA document database stores documents\f"),
-                    ("langs", "Python programming suits many small tools\fWeb programming uses JavaScript\f\f"),
-                ],
-                "source string, text string",
-            ),
-            "source",
-        ),
-        chunk_size=2,
-    )
-    top = library.search("relational database", threshold=0.2).first()
-    assert (top.source_file, top.page_number, top["rank"]) == ("kb", 1, 1)
-    assert library.search("Python programming", threshold=None).first().source_file == "langs"
-    inside = library.search("Python programming", threshold=None, source="kb").collect()
-    assert {r.source_file for r in inside} == {"kb"}
-    plain = library.similarity_search(library.vector("web programming"), k=1).first()
-    assert "JavaScript" in plain.text
+    texts = {
+        "first": [made_up("red"), made_up("green") + " common"],
+        "second": [made_up("blue") + " common", made_up("gold"), ""],
+    }
+    rows = [(source, "\f".join(pages) + "\f") for source, pages in texts.items()]
+    library.ingest(split_pages(spark.createDataFrame(rows, "source string, text string"), "source"), chunk_size=2)
+    top = library.search(made_up("red", 3), threshold=0.2).first()
+    assert (top.source_file, top.page_number, top["rank"]) == ("first", 1, 1)
+    assert library.search(made_up("gold", 2), threshold=None).first().source_file == "second"
+    inside = library.search(made_up("gold", 2), threshold=None, source="first").collect()
+    assert {r.source_file for r in inside} == {"first"}
+    plain = library.similarity_search(library.vector(made_up("blue", 2)), k=1).first()
+    assert "blue1x" in plain.text
     with pytest.raises(ValueError, match="dimensions"):
         library.similarity_search([1.0])
-    asked = spark.createDataFrame([(1, "document database"), (2, "web")], "query_id int, text string")
+    asked = spark.createDataFrame([(1, made_up("green"), None), (2, made_up("blue"), "first")], "query_id int, text string, s string")
     many = {r.query_id: r for r in library.search_many(asked, 1).collect()}
-    assert (many[1].source_file, many[1].page_number) == ("kb", 2) and many[2].source_file == "langs"
-    assert library.search_keywords(["database", "WEB"]).count() == 3
-    assert library.search_any_keyword(["database"], source="langs").count() == 0
-    assert library.context("web programming", 1).first().num_results == 1
-    assert {r.source_file: r.pages for r in library.list_documents().collect()} == {"kb": 2, "langs": 3}
-    assert tuple(library.stats().first()) == (5, 2, 21)
-    assert library.document_info("kb").first().total_words == 11
+    assert (many[1].source_file, many[1].page_number) == ("first", 2) and many[2].source_file == "second"
+    limited = {r.query_id: r.source_file for r in library.search_many(asked, 1, source="s").collect()}
+    assert limited == {1: "first", 2: "first"}
+    assert library.search_keywords(["COMMON", "red1x"]).count() == 3
+    assert library.search_any_keyword(["red1x"], source="second").count() == 0
+    assert library.context(made_up("blue"), 1).first().num_results == 1
+    assert {r.source_file: r.pages for r in library.list_documents().collect()} == {"first": 2, "second": 3}
+    assert tuple(library.stats().first()) == (5, 2, 26)
+    assert library.document_info("first").first().total_words == 13
     assert library.recent(2).count() == 2
     library.write_results(2)
     books = {r.source_file: r for r in library.books().collect()}
-    assert (books["langs"].num_chunks, books["langs"].total_pages, books["langs"].total_word_count) == (2, 3, 10)
-    library.remove("k_")
-    assert [r.source_file for r in library.list_documents().collect()] == ["langs"]
+    assert (books["second"].num_chunks, books["second"].total_pages, books["second"].total_word_count) == (2, 3, 13)
+    library.remove("f_rst")
+    assert [r.source_file for r in library.list_documents().collect()] == ["second"]
+
+
+def test_input_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def extract(text):
+        seen.add(1)
+        return text
+
+    for groups in (4, None):
+        before = seen.value
+        store = PageStore(spark, f"{tmp_path}/pages-{groups}", groups=groups)
+        store.replace_sources(pages(spark, {"a": 60, "b": 40}).withColumn("text", extract("text")))
+        assert seen.value - before == 100
+        assert store.read().count() == 100
+    assert [p.name for p in tmp_path.iterdir() if "staging" in p.name] == []
+
+
+@pytest.mark.parametrize("groups", [4, None])
+def test_pages_are_replaced_by_key(spark, tmp_path, groups):
+    store = PageStore(spark, f"{tmp_path}/pages", groups=groups)
+    store.replace_pages(pages(spark, {"a": 3, "b": 2}))
+    store.replace_pages(pages(spark, {"a": 1, "c": 1}, word="changed"))
+    found = {(r.source_file, r.page_number): r.text for r in store.read().collect()}
+    assert found == {
+        ("a", 1): "changed 1",
+        ("a", 2): "text 2",
+        ("a", 3): "text 3",
+        ("b", 1): "text 1",
+        ("b", 2): "text 2",
+        ("c", 1): "changed 1",
+    }
+
+
+@pytest.mark.parametrize("groups", [4, None])
+def test_catalogue_table_follows_changes(spark, tmp_path, groups):
+    name = f"follows_{groups or 'none'}_{abs(hash(str(tmp_path)))}"
+    store = PageStore(spark, f"{tmp_path}/pages", groups=groups)
+    store.create(name)
+    store.replace_sources(pages(spark, {"a": 3}))
+    assert spark.table(name).count() == 3
+    store.replace_sources(pages(spark, {"b": 2}))
+    assert spark.table(name).count() == 5
+    store.delete(F.col("source_file") == "a")
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_long_source_names(spark, tmp_path):
+    store = PageStore(spark, f"{tmp_path}/pages")
+    name = "s3a://bucket/" + "very long/" * 60
+    store.replace_sources(pages(spark, {name: 2}))
+    assert counts(store) == {name: 2}

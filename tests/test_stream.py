@@ -1,7 +1,7 @@
-import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioscope.sources.store import PageStore
 from folioscope.streaming import ingest
 
 INPUT = T.StructType(
@@ -65,7 +65,28 @@ def test_enrichment(spark, tmp_path):
 def test_running_totals(spark, tmp_path):
     arrive(spark, f"{tmp_path}/in", [("a", 1, "one two"), ("b", 1, "x")])
     pages = ingest.measured_pages(spark.readStream.schema(INPUT).parquet(f"{tmp_path}/in"), 2)
-    name = f"totals_{np.random.default_rng().integers(1 << 30)}"
-    ingest.running_totals(pages, name, f"{tmp_path}/state").awaitTermination()
-    got = {r.source_file: tuple(r)[1:] for r in spark.table(name).collect()}
+    ingest.running_totals(pages, f"{tmp_path}/totals", f"{tmp_path}/state").awaitTermination()
+    got = {r.source_file: tuple(r)[1:] for r in spark.read.parquet(f"{tmp_path}/totals").collect()}
     assert got == {"a": (1, 2, 7), "b": (1, 1, 1)}
+
+
+def test_stream_into_the_store(spark, tmp_path):
+    store = PageStore(spark, f"{tmp_path}/store", groups=3)
+
+    def run_into_store():
+        schema = T.StructType([*INPUT.fields, T.StructField("arrived", T.LongType())])
+        pages = ingest.measured_pages(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), 2)
+        ingest.store_stream(pages, store, f"{tmp_path}/progress").awaitTermination()
+        return {(r.source_file, r.page_number): r.text for r in store.read().collect()}
+
+    def arrive_at(rows):
+        names = [*INPUT.names, "arrived"]
+        spark.createDataFrame(rows, names).selectExpr(
+            "source_file", "cast(page_number as int) page_number", "text", "arrived"
+        ).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    arrive_at([("a", 1, "zz early", 1), ("a", 1, "aa late", 2), ("b", 1, "b", 1)])
+    assert run_into_store() == {("a", 1): "aa late", ("b", 1): "b"}
+    arrive_at([("a", 2, "new", 5), ("b", 1, "changed", 6)])
+    assert run_into_store() == {("a", 1): "aa late", ("a", 2): "new", ("b", 1): "changed"}
+    assert run_into_store() == {("a", 1): "aa late", ("a", 2): "new", ("b", 1): "changed"}

@@ -75,7 +75,10 @@ def test_wrong_dimension_fails(vectors):
 
 
 def test_embedding(spark):
-    texts = ["", "   \n\t   ", None, "A red kite flies over the bay", "The red kite is over a bay", "Two dogs barked"]
+    # Text n shares n of its eight words with the last one, whatever their case and order.
+    words = [f"W{n}q" for n in range(8)]
+    others = [" ".join(words[:n][::-1] + [f"f{n}{m}" for m in range(8 - n)]).lower() for n in (6, 2)]
+    texts = ["", "   \n\t   ", None, " ".join(words), *others]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
     rows = frame.select("i", embed_words("text").alias("e")).orderBy("i").collect()
     assert all(len(r.e) == 384 for r in rows)
@@ -84,7 +87,7 @@ def test_embedding(spark):
     for filled in rows[3:]:
         assert math.isclose(sum(x * x for x in filled.e), 1.0, rel_tol=1e-6)
     assert np.dot(rows[3].e, rows[4].e) > np.dot(rows[3].e, rows[5].e)
-    alone = hashed_words(384)()(["a red kite flies over the bay"])[0]
+    alone = hashed_words(384)()([" ".join(words).lower()])[0]
     assert np.allclose(alone, rows[3].e)
 
 
