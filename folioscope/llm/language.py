@@ -188,10 +188,14 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang:
     step = F.greatest((F.length("text") - PIECE_CHARS) / (PIECES - 1), F.lit(0))
     cut = [F.substr("text", (step * k).cast("int") + 1, F.lit(PIECE_CHARS)) for k in range(PIECES)]
     # Ids that hash below a bound leave a few times the wanted number, however many rows a
-    # language has; of these the lowest are taken.
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("all"))
+    # language has; of these the lowest are taken. The languages are the network's outputs,
+    # so their counts fit the driver if the network does.
+    counts = docs.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).count().collect()
+    if not counts:
+        return None
+    rates = F.create_map(*(F.lit(x) for name, count in counts for x in (name, 4.0 * DOCUMENTS_PER_LANGUAGE / count)))
     chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
-    likely = known.join(counts, "lang").filter(chance * F.col("all") < 4 * DOCUMENTS_PER_LANGUAGE)
+    likely = known.filter(chance < F.element_at(rates, F.col("lang")))
     by_hash = Window.partitionBy("lang").orderBy(chance, "id", "h")
     sample = (
         likely.select("lang", "id", F.array(*cut).alias("pieces"), F.xxhash64("text").alias("h"))
