@@ -54,12 +54,13 @@ def timed(job, runs: int = 2) -> float:
 def main() -> None:
     from pyspark.sql import functions as F
 
-    from folioscope.operators.approximate import approximate_top_k, fit_index, recall
+    from folioscope.operators.approximate import CellIndex, recall
     from folioscope.operators.blocks import batch_top_k
     from folioscope.operators.search import top_k
     from folioscope.plans import inputs
     from folioscope.plans.queries import QUERIES
-    from folioscope.session import local_session
+    from folioscope.functions.vectors import search_similarity
+    from folioscope.session import local_session, scratch_path
 
     spark = local_session(CORES)
     spark.sparkContext.setLogLevel("ERROR")
@@ -78,12 +79,16 @@ def main() -> None:
             lambda asked=asked: run(batch_top_k(vectors, asked, 5, key=["vec_id"]))
         )
     query = inputs.query_vector(spark, FOLDER)
-    index = fit_index(vectors)
+    start = time.perf_counter()
+    index = CellIndex.build(vectors, scratch_path(spark, "bench-cells"), cells=40)
+    extra["cells_built"] = round(time.perf_counter() - start, 3)
 
     def approximate():
-        return approximate_top_k(index, vectors, query, 5, key=["vec_id"])
+        return index.top_k(query, 5, probes=4, key=["vec_id"])
 
     extra["approximate_top5"] = timed(lambda: run(approximate()))
+    in_jvm = top_k(vectors, query, 5, key=["vec_id"], score=search_similarity)
+    extra["exact_top5_in_the_jvm"] = timed(lambda: run(in_jvm))
     exact = top_k(vectors, query, 5, key=["vec_id"])
     found = recall(approximate(), exact, ["vec_id"]).first()["recall"]
     print(

@@ -1,22 +1,27 @@
-"""Approximate search and topics, on the vector models of ``pyspark.ml``."""
+"""Approximate search and topics, by clusters of directions (``pyspark.ml``)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioscope.functions.vectors import ROUNDING, is_finite, is_zero, normalize
-from folioscope.operators.search import DEFAULT_TOP_K, in_source, rank_order, ranked, top_k
+from folioscope.functions.matrices import to_matrix, unit_rows
+from folioscope.functions.vectors import is_finite, is_zero, normalize
+from folioscope.operators.blocks import meet, result_schema
+from folioscope.operators.search import DEFAULT_TOP_K, rank_order, top_k
 from folioscope.schemas import PAGE_KEY
 
 SEED = 42
+#: Cells are fitted on about so many rows, taken at random; all rows are indexed.
+FIT_ROWS = 100_000
+#: Rows without a direction are in a cell of their own.
+NO_CELL = -1
 
 
 def unit_vectors(rows: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -25,47 +30,6 @@ def unit_vectors(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     return present.withColumn("unit", array_to_vector(normalize(vector).cast("array<double>")))
 
 
-def fit_index(
-    rows: DataFrame,
-    vector: str = "embedding",
-    bucket_length: float = 1.0,
-    tables: int = 8,
-) -> BucketedRandomProjectionLSHModel:
-    """Random projections for unit vectors. Fitting looks at one row's length only."""
-    index = BucketedRandomProjectionLSH(
-        inputCol="unit", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=SEED
-    )
-    return index.fit(unit_vectors(rows, vector))
-
-
-def approximate_top_k(
-    index: BucketedRandomProjectionLSHModel,
-    rows: DataFrame,
-    query: Sequence[float],
-    k: int = DEFAULT_TOP_K,
-    source: str | None = None,
-    key: Sequence[str] = PAGE_KEY,
-    source_column: str = "source_file",
-    vector: str = "embedding",
-) -> DataFrame:
-    """Nearest rows among those that share a bucket with the query, ranked exactly.
-
-    On unit vectors the squared distance is ``2 - 2 * cosine``. Hits may be missed;
-    ``recall`` tells how many. For whole results use ``search.top_k``.
-    """
-    length = sum(float(x) * float(x) for x in query) ** 0.5
-    if not length > 0:
-        return rows.drop(vector).limit(0).withColumns(
-            {"similarity": F.lit(0.0), "rank": F.lit(0).cast("long")}
-        )
-    unit = Vectors.dense([float(x) / length for x in query])
-    candidates = unit_vectors(in_source(rows, source, source_column), vector)
-    near = index.approxNearestNeighbors(candidates, unit, k, distCol="distance")
-    similarity = F.round(1 - F.col("distance") * F.col("distance") / 2, ROUNDING)
-    hits = near.withColumn("similarity", similarity).drop(vector, "unit", "hashes", "distance")
-    return ranked(hits, rank_order(key))
-
-
 def recall(approximate: DataFrame, exact: DataFrame, key: Sequence[str] = PAGE_KEY) -> DataFrame:
     """Share of the exact hits that the approximate hits contain."""
     found = exact.select(*key).join(
@@ -74,51 +38,118 @@ def recall(approximate: DataFrame, exact: DataFrame, key: Sequence[str] = PAGE_K
     return found.agg(F.avg(F.coalesce("found", F.lit(0))).alias("recall"))
 
 
+def _fit(rows: DataFrame, k: int, vector: str, name: str, fit_rows: int | None) -> KMeansModel:
+    units = unit_vectors(rows, vector).select("unit")
+    if fit_rows is not None:
+        share = fit_rows / max(1, rows.count())
+        units = units.sample(min(1.0, share), seed=SEED)
+    units = units.persist()  # the fit passes over its rows many times
+    try:
+        return KMeans(k=k, seed=SEED, featuresCol="unit", predictionCol=name).fit(units)
+    finally:
+        units.unpersist()
+
+
+def nearest_cells(vector: Column | str, centres: np.ndarray, probes: int) -> Column:
+    """The numbers of the nearest cells, nearest first; ``NO_CELL`` without a direction."""
+
+    @F.arrow_udf("array<int>")
+    def cells(vectors: pa.Array) -> pa.Array:
+        units = unit_rows(to_matrix(vectors, centres.shape[1]))
+        distance = ((centres**2).sum(axis=1) - 2 * units @ centres.T).argsort(axis=1, kind="stable")
+        missing = np.isnan(units).any(axis=1)
+        lists = [[NO_CELL] if lost else row[:probes] for row, lost in zip(distance, missing)]
+        return pa.array(lists, pa.list_(pa.int32()))
+
+    return cells(F.col(vector) if isinstance(vector, str) else vector)
+
+
 class CellIndex:
     """Vectors clustered into cells, one directory per cell.
 
     A search looks at the ``probes`` cells whose centres are nearest to the query and
     ranks their rows exactly; the other directories are not read. Hits in other cells
-    are missed, unless all cells are probed. Large cells are written as several files.
+    are missed, unless all cells are probed: then the hits are those of the exact search.
+    Large cells are written as several files. New rows are added to the cells as they
+    are; build anew when the directions have shifted.
     """
 
-    def __init__(self, rows: DataFrame, centres: np.ndarray):
-        self.rows, self.centres = rows, centres
+    def __init__(self, spark: SparkSession, path: str, vector: str = "embedding"):
+        self.spark, self.path, self.vector = spark, path.rstrip("/"), vector
+        self.centres = np.array(KMeansModel.load(f"{self.path}/model").clusterCenters())
 
     @classmethod
-    def build(cls, rows: DataFrame, path: str, cells: int, vector: str = "embedding") -> CellIndex:
-        grouped, model = _cluster(rows, cells, vector, "cell")
-        (
-            grouped.hint("rebalance", "cell")
-            .write.mode("overwrite")
-            .partitionBy("cell")
-            .parquet(f"{path}/cells")
-        )
-        model.write().overwrite().save(f"{path}/model")
-        return cls.load(rows.sparkSession, path)
+    def build(
+        cls, rows: DataFrame, path: str, cells: int, vector: str = "embedding", fit_rows: int = FIT_ROWS
+    ) -> CellIndex:
+        _fit(rows, cells, vector, "cell", fit_rows).write().overwrite().save(f"{path}/model")
+        index = cls(rows.sparkSession, path, vector)
+        index._write(rows, "overwrite")
+        return index
 
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> CellIndex:
-        model = KMeansModel.load(f"{path}/model")
-        return cls(spark.read.parquet(f"{path}/cells"), np.array(model.clusterCenters()))
+    load = classmethod(lambda cls, spark, path, vector="embedding": cls(spark, path, vector))
+
+    def add(self, rows: DataFrame) -> None:
+        """Put further rows into the cells."""
+        self._write(rows, "append")
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        placed = rows.withColumn("cell", nearest_cells(self.vector, self.centres, 1)[0])
+        writer = placed.hint("rebalance", "cell").write.mode(mode)
+        writer.partitionBy("cell").parquet(f"{self.path}/cells")
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/cells")
 
     def top_k(
         self, query: Sequence[float], k: int = DEFAULT_TOP_K, probes: int = 1, **options
     ) -> DataFrame:
         """As :func:`folioscope.operators.search.top_k`, over the probed cells."""
-        direction = np.asarray(query, dtype=float)
-        direction = direction / (np.sqrt(direction @ direction) or 1.0)
-        distance = ((self.centres - direction) ** 2).sum(axis=1)
-        near = [int(cell) for cell in np.argsort(distance, kind="stable")[:probes]]
-        return top_k(self.rows.filter(F.col("cell").isin(near)), query, k, **options).drop("cell")
-
-
-def _cluster(rows: DataFrame, k: int, vector: str, name: str) -> tuple[DataFrame, KMeansModel]:
-    units = unit_vectors(rows, vector)
-    model = KMeans(k=k, seed=SEED, featuresCol="unit", predictionCol=name).fit(units)
-    return model.transform(units).drop("unit"), model
-
-
-def topics(rows: DataFrame, k: int, vector: str = "embedding") -> DataFrame:
-    """Rows with ``topic``: their cluster by direction; rows without one are left out."""
-    return _cluster(rows, k, vector, "topic")[0]
+        rows = self.rows
+        if probes < len(self.centres):
+            direction = np.asarray(query, dtype=float)
+            direction = direction / (np.sqrt(direction @ direction) or 1.0)
+            distance = ((self.centres - direction) ** 2).sum(axis=1)
+            near = [int(cell) for cell in np.argsort(distance, kind="stable")[:probes]]
+            rows = rows.filter(F.col("cell").isin(near))
+        return top_k(rows, query, k, vector=self.vector, **options).drop("cell")
+
+    def batch_top_k(
+        self,
+        queries: DataFrame,
+        k: int = DEFAULT_TOP_K,
+        probes: int = 1,
+        threshold: float | None = None,
+        key: Sequence[str] = PAGE_KEY,
+        query_id: str = "query_id",
+        parts: int = 1,
+    ) -> DataFrame:
+        """As :func:`folioscope.operators.blocks.batch_top_k`, each query over its
+        ``probes`` nearest cells.
+
+        Rows and queries meet by cell, so a table is compared with itself without
+        comparing all its rows. ``parts`` cuts every cell into so many tasks; raise it for
+        cells that do not fit one.
+        """
+        key, rows = list(key), self.rows
+        schema = result_schema(rows, queries, key, query_id)
+        left = rows.select(*key, F.col(self.vector).alias("__vector"), F.col("cell").alias("__row_block"))
+        left = left.withColumn("__query_block", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("long"))
+        asked = queries.select(
+            F.col(query_id).alias("query_id"),
+            F.col(self.vector).alias("__query_vector"),
+            F.explode(nearest_cells(self.vector, self.centres, probes)).alias("__row_block"),
+        )
+        everywhere = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>"))
+        best = meet(left, asked.withColumn("__query_block", everywhere), (k, key, threshold, None), schema)
+        window = Window.partitionBy("query_id").orderBy(*rank_order(key))
+        return best.withColumn("rank", F.row_number().over(window).cast("long")).filter(F.col("rank") <= k)
+
+
+def topics(rows: DataFrame, k: int, vector: str = "embedding") -> tuple[DataFrame, list[list[float]]]:
+    """Rows with ``topic``, their cluster by direction (rows without one are left out),
+    and the centres of the ``k`` topics in order."""
+    model = _fit(rows, k, vector, "topic", None)
+    centres = [[float(x) for x in centre] for centre in model.clusterCenters()]
+    return model.transform(unit_vectors(rows, vector)).drop("unit"), centres

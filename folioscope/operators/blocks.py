@@ -129,6 +129,14 @@ def blocks_for(rows: DataFrame, queries: DataFrame) -> tuple[int, int]:
     return -(-queries.count() // BLOCK_QUERIES) or 1, -(-rows.count() // CELL_ROWS) or 1
 
 
+def result_schema(rows: DataFrame, queries: DataFrame, key: Sequence[str], query_id: str) -> T.StructType:
+    return T.StructType(
+        [T.StructField("query_id", queries.schema[query_id].dataType)]
+        + [T.StructField(name, rows.schema[name].dataType) for name in key]
+        + [T.StructField("similarity", T.DoubleType())]
+    )
+
+
 def batch_top_k(
     rows: DataFrame,
     queries: DataFrame,
@@ -148,11 +156,7 @@ def batch_top_k(
     no similarity with it.
     """
     key = list(key)
-    schema = T.StructType(
-        [T.StructField("query_id", queries.schema[query_id].dataType)]
-        + [T.StructField(name, rows.schema[name].dataType) for name in key]
-        + [T.StructField("similarity", T.DoubleType())]
-    )
+    schema = result_schema(rows, queries, key, query_id)
     if k < 1:
         return rows.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0).cast("long"))
     asked = [F.col(query_id).alias("query_id"), F.col(vector).alias("__query_vector")]
@@ -206,6 +210,12 @@ def _meet(table, questions, options, schema, query_blocks, row_blocks) -> DataFr
             "__row_block": F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)).cast("array<long>")),
         }
     )
+    return meet(left, right, options, schema)
+
+
+def meet(left: DataFrame, right: DataFrame, options, schema: T.StructType) -> DataFrame:
+    """The best rows for the queries of the same ``(__row_block, __query_block)``."""
+    key = options[1]
 
     def cell_best(rows: pa.Table, block: pa.Table) -> pa.Table:
         found = []

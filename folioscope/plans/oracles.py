@@ -373,4 +373,8 @@ FROM m""",
     + """SELECT source_file, num_chunks, total_pages, total_word_count, chunk_id, md5(text) AS text_md5
 FROM c JOIN b USING (source_file)""",
 }
+ORACLES["approx_topk"] = ORACLES["semantic_topk"]
+ORACLES["cell_members"] = "SELECT vec_id, 1::BIGINT AS cells, 1::BIGINT AS rows FROM embeddings"
+ORACLES["topic_clusters"] = "SELECT vec_id, 10::BIGINT AS topics, true AS nearest FROM embeddings"
+ORACLES["similar_pages_cells"] = ORACLES["similar_pages"]
 ORACLES["similar_pages_blocks"] = ORACLES["similar_pages"]

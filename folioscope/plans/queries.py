@@ -453,24 +453,46 @@ def query_agreement(spark, folder):
     return results.agreement(hits, forms, list(PAGE_KEY), "item_id")
 
 
+CELLS, PROBES = 10, 3
+
+
+def _cells(spark, folder):
+    return approximate.CellIndex.build(inputs.embeddings(spark, folder), scratch_path(spark, "cells"), CELLS)
+
+
 @query
 def approx_topk(spark, folder):
-    rows = inputs.embeddings(spark, folder)
-    index = approximate.fit_index(rows)
-    hits = approximate.approximate_top_k(
-        index, rows, inputs.query_vector(spark, folder), 5, key=VECTOR_KEY
-    )
+    """All cells probed: the exact hits."""
+    hits = _cells(spark, folder).top_k(inputs.query_vector(spark, folder), 5, probes=CELLS, key=VECTOR_KEY)
     return hits.select("rank", *_long("vec_id", "label"), "similarity")
 
 
 @query
 def approx_topk_cells(spark, folder):
-    rows = inputs.embeddings(spark, folder)
-    index = approximate.CellIndex.build(rows, scratch_path(spark, "cells"), cells=10)
-    hits = index.top_k(inputs.query_vector(spark, folder), 5, probes=3, key=VECTOR_KEY)
+    hits = _cells(spark, folder).top_k(inputs.query_vector(spark, folder), 5, probes=PROBES, key=VECTOR_KEY)
     return hits.select("rank", *_long("vec_id", "label"), "similarity")
 
 
+@query
+def cell_members(spark, folder):
+    """In how many cells each row is, the index built from one half and given the other."""
+    rows = inputs.embeddings(spark, folder)
+    even = F.col("vec_id") % 2 == 0
+    index = approximate.CellIndex.build(rows.filter(even), scratch_path(spark, "cells"), CELLS)
+    index.add(rows.filter(~even))
+    known = F.col("cell").between(0, CELLS - 1)
+    return index.rows.groupBy("vec_id").agg(F.count_if(known).alias("cells"), F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def similar_pages_cells(spark, folder):
+    """Neighbours through the cells, all of them probed: the exact neighbours."""
+    queries = inputs.embeddings(spark, folder).select(F.col("vec_id").alias("query_id"), "embedding")
+    hits = _cells(spark, folder).batch_top_k(queries, 4, CELLS, key=VECTOR_KEY, parts=2)
+    hits = results.without_self(hits, "vec_id", 3)
+    return hits.select("query_id", "vec_id", *_long("rank"), "similarity")
+
+
 def _similar(spark, folder, blocks=None):
     rows = inputs.embeddings(spark, folder)
     queries = rows.select(F.col("vec_id").alias("query_id"), "embedding")
@@ -491,8 +513,19 @@ def similar_pages_blocks(spark, folder):
 
 @query
 def topic_clusters(spark, folder):
-    grouped = approximate.topics(inputs.embeddings(spark, folder), k=10)
-    return grouped.select(*_long("vec_id", "label", "topic"))
+    """For each vector whether its topic is the one with the nearest centre."""
+    grouped, centres = approximate.topics(inputs.embeddings(spark, folder), k=10)
+    unit = grouped.select("vec_id", "topic", vx.normalize("embedding").cast("array<double>").alias("embedding"))
+
+    def square(centre):
+        apart = F.zip_with("embedding", F.lit(centre), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(apart, F.lit(0.0), lambda x, y: x + y)
+
+    squares = F.array(*(square(centre) for centre in centres))
+    own = F.element_at(squares, F.col("topic") + 1)
+    return unit.select(
+        "vec_id", F.lit(len(centres)).cast("long").alias("topics"), (own <= F.array_min(squares) + 1e-6).alias("nearest")
+    )
 
 
 @query

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -28,8 +31,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where
-    driver and executors are one machine, may fall back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where driver
+    and executors are one process, may fall back to a temporary folder, which goes when
+    the process ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -38,9 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
     folder = context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="folioscope-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 

@@ -65,8 +65,10 @@ def split_pages(
 ) -> DataFrame:
     """Pages of documents that come as one text each; ``separator`` is a regular expression.
 
-    A trailing separator ends the last page, it does not start another.
+    A trailing separator ends the last page, it does not start another. A document
+    without text has no pages.
     """
+    documents = documents.filter(F.length(text) > 0)
     body = F.regexp_replace(or_empty(text), f"(?:{separator})\\z", "")
     pages = documents.select(
         or_empty(source).alias("source_file"), F.posexplode(F.split(body, separator))

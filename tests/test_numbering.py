@@ -130,14 +130,13 @@ def test_chunks_by_words(spark):
 
 def test_split_pages(spark):
     frame = spark.createDataFrame(
-        [("a", "one two\fthree\f"), ("b", "only"), ("c", None), ("d", "x\f\fy")], "source string, text string"
+        [("a", "one two\fthree\f"), ("b", "only"), ("c", None), ("e", ""), ("d", "x\f\fy")], "source string, text string"
     )
     got = split_pages(frame, "source", chunk_size=2).orderBy("source_file", "page_number").collect()
     assert [(r.source_file, r.page_number, r.chunk_id, r.text, r.word_count) for r in got] == [
         ("a", 1, 0, "one two", 2),
         ("a", 2, 0, "three", 1),
         ("b", 1, 0, "only", 1),
-        ("c", 1, 0, "", 0),
         ("d", 1, 0, "x", 1),
         ("d", 2, 0, "", 0),
         ("d", 3, 1, "y", 1),

@@ -286,29 +286,18 @@ def test_neighbours_without_self(spark):
     assert got[9] == [(1, 0), (2, 1)]
 
 
-def test_approximate_is_a_subset_with_exact_scores(spark):
-    rng = np.random.default_rng(1)
-    rows = [("s", i, [float(x) for x in rng.normal(size=8)]) for i in range(300)] + [("s", 999, [0.0] * 8), ("s", 998, None)]
-    frame = spark.createDataFrame(rows, SCHEMA)
-    index = approximate.fit_index(frame)
-    query = rows[7][2]
-    near = approximate.approximate_top_k(index, frame, query, 5)
-    exact = top_k(frame, query, 300)
-    scores = {r.page_number: r.similarity for r in exact.collect()}
-    got = near.orderBy("rank").collect()
-    assert got[0].page_number == 7 and [r["rank"] for r in got] == [1, 2, 3, 4, 5]
-    assert all(abs(scores[r.page_number] - r.similarity) < 2e-6 for r in got)
-    assert approximate.recall(near, top_k(frame, query, 5)).first().recall >= 0.6
-    assert approximate.approximate_top_k(index, frame, [0.0] * 8, 5).count() == 0
+def cells_fixture(spark, seed=2):
+    rng = np.random.default_rng(seed)
+    rows = [("s", i, [float(x) for x in np.float32(rng.normal(size=8))]) for i in range(300)]
+    rows += [("s", 999, [0.0] * 8), ("s", 998, None)]
+    return rows, spark.createDataFrame(rows, SCHEMA)
 
 
 def test_cells(spark, tmp_path):
-    rng = np.random.default_rng(2)
-    rows = [("s", i, [float(x) for x in np.float32(rng.normal(size=8))]) for i in range(300)] + [("s", 999, [0.0] * 8)]
-    frame = spark.createDataFrame(rows, SCHEMA)
+    rows, frame = cells_fixture(spark)
     index = approximate.CellIndex.build(frame, f"{tmp_path}/cells", cells=6)
     query = rows[7][2]
-    same(taken(index.top_k(query, 9, probes=6)), brute(rows[:-1], query, 9))
+    same(taken(index.top_k(query, 400, probes=6)), brute(rows, query, 400))
     one = index.top_k(query, 3, probes=1)
     assert one.filter("rank = 1").first().page_number == 7
     plan = one._jdf.queryExecution().executedPlan().toString()
@@ -317,9 +306,33 @@ def test_cells(spark, tmp_path):
     assert taken(again.top_k(query, 3, probes=1)) == taken(one)
 
 
+def test_rows_added_to_cells(spark, tmp_path):
+    rows, frame = cells_fixture(spark)
+    index = approximate.CellIndex.build(frame.filter("page_number % 3 = 0"), f"{tmp_path}/cells", cells=5, fit_rows=60)
+    index.add(frame.filter("page_number % 3 <> 0"))
+    assert index.rows.count() == len(rows)
+    assert index.rows.filter("cell = -1").count() == 2
+    same(taken(index.top_k(rows[8][2], 9, probes=5)), brute(rows, rows[8][2], 9))
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_batch_over_cells(spark, tmp_path, parts):
+    rows, frame = cells_fixture(spark)
+    index = approximate.CellIndex.build(frame, f"{tmp_path}/cells", cells=6)
+    asked = frame.filter("page_number < 40").selectExpr("cast(page_number AS long) query_id", "embedding")
+    whole = index.batch_top_k(asked, 4, 6, parts=parts)
+    for query_id in (0, 7, 39):
+        same(taken(whole.filter(F.col("query_id") == query_id)), brute(rows[:300], rows[query_id][2], 4))
+    exact = batch_top_k(frame, asked, 4)
+    few = index.batch_top_k(asked, 4, 2, parts=parts)
+    key = ["query_id", "page_number"]
+    assert 0.5 < approximate.recall(few, exact, key).first().recall <= 1
+    assert approximate.recall(whole, exact, key).first().recall == 1
+
+
 def test_topics_follow_direction(spark):
     rows = [("s", i, [1.0 + i % 3, 0.01 * i]) for i in range(20)] + [("s", 100 + i, [0.01 * i, 1.0 + i]) for i in range(20)]
-    got = approximate.topics(spark.createDataFrame(rows, SCHEMA), 2).collect()
+    got = approximate.topics(spark.createDataFrame(rows, SCHEMA), 2)[0].collect()
     first = {r.topic for r in got if r.page_number < 100}
     second = {r.topic for r in got if r.page_number >= 100}
     assert len(got) == 40 and len(first) == len(second) == 1 and first != second
