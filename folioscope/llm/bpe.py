@@ -188,8 +188,10 @@ def encode(
     pattern: str,
     id_column: str = "doc_id",
     text: str = "text",
+    decoded: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_tokens, ids``.
+    """One row per row of ``docs``: ``doc_id, n_tokens, ids``; with ``decoded`` also the
+    bytes that the ids stand for, as :func:`decode` gives them, made in the same task.
 
     ``ids`` holds the token ids as little-endian unsigned 32-bit integers, as a byte-pair
     encoder with these ranks gives them for each match of ``pattern`` on its own; there
@@ -202,23 +204,39 @@ def encode(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, splitter = shared.value, WordSplitter(pattern)
+        tokens = tokens_by_id(replay.ranks) if decoded else []
         for batch in batches:
             lengths = pc.binary_length(batch.column("text")).to_pylist()
             for part in portions(lengths, SLICE_BYTES):
                 rows = batch.slice(part.start, part.stop - part.start)
                 codes = encode_slice(strings(rows, "text"), splitter, replay)
+                more = {"decoded": decoded_array(codes, tokens)} if decoded else {}
                 yield with_columns(
                     rows,
                     ("text",),
                     n_tokens=pa.array([len(code) // 4 for code in codes], pa.int64()),
                     ids=pa.array(codes, pa.binary()),
+                    **more,
                 )
 
     rows = docs.select(F.col(id_column).alias("doc_id"), whole(text).alias("text"))
-    schema = T.StructType(
-        [rows.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
-    )
-    return rows.mapInArrow(encoded, schema)
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
+    if decoded:
+        fields.append(T.StructField("decoded", T.BinaryType()))
+    return rows.mapInArrow(encoded, T.StructType([rows.schema["doc_id"], *fields]))
+
+
+def tokens_by_id(ranks: dict[bytes, int]) -> list[bytes]:
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def decoded_array(codes: Sequence[bytes | None], tokens: Sequence[bytes]) -> pa.Array:
+    token_of = tokens.__getitem__
+    texts = (b"".join(map(token_of, np.frombuffer(code or b"", "<u4").tolist())) for code in codes)
+    return pa.array(texts, pa.binary(), size=len(codes))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
@@ -226,15 +244,9 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Dat
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens: list[bytes] = [b""] * (max(shared.value.values(), default=-1) + 1)
-        for token, rank in shared.value.items():
-            tokens[rank] = token
+        tokens = tokens_by_id(shared.value)
         for batch in batches:
-            texts = [
-                b"".join(map(tokens.__getitem__, np.frombuffer(code or b"", "<u4").tolist()))
-                for code in batch.column(ids).to_pylist()
-            ]
-            yield with_columns(batch, (), decoded=pa.array(texts, pa.binary()))
+            yield with_columns(batch, (), decoded=decoded_array(batch.column(ids).to_pylist(), tokens))
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
     return encoded.mapInArrow(decoded, schema)

@@ -22,8 +22,8 @@ def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every text and the bytes they decode to, as digests."""
     ranks = bpe.read_ranks(RANKS)
-    encoded = bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    documents = table(spark, folder, "documents")
+    return bpe.encode(documents, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
