@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from folioscope.functions.embedding import embed_words
 from folioscope.functions.text import snippet
 from folioscope.functions.vectors import checked
-from folioscope.operators import chunking, keywords, listing, results, rollup
+from folioscope.operators import approximate, chunking, keywords, listing, results, rollup
+from folioscope.operators.approximate import CellIndex
 from folioscope.operators.blocks import batch_top_k
 from folioscope.operators.search import DEFAULT_THRESHOLD, DEFAULT_TOP_K, attach_rows, top_k
 from folioscope.schemas import DEFAULT_CHUNK_SIZE, DEFAULT_DIMENSION, PAGE_KEY
@@ -24,7 +25,8 @@ class Library:
     """Documents stored page by page at ``path``.
 
     ``embed`` turns a text column into a vector column; see ``functions.embedding.embed``
-    for plugging in a model. Searches are lazy DataFrames over the stored table.
+    for plugging in a model. Searches are DataFrames over the stored table; the vectors
+    of the queries are fetched when a search is made.
     """
 
     def __init__(
@@ -69,7 +71,9 @@ class Library:
             rollup.manifest_documents(manifest, chunk_size), f"{self.path}/manifests"
         )
         chunk_results = rollup.chunk_results(chunking.assign_chunks(pages, chunk_size))
-        documents.write_documents(chunk_results, f"{self.path}/results")
+        documents.write_documents(chunk_results, f"{self.path}/results", partition="source_file")
+        metadata = rollup.chunk_metrics(chunking.assign_chunks(pages, chunk_size))
+        metadata.write.mode("overwrite").parquet(f"{self.path}/chunks")
         # Books are merged from the written results, as their times are part of them.
         written = documents.read_chunk_results(self.spark, f"{self.path}/results")
         documents.write_documents(rollup.book_documents(written), f"{self.path}/books")
@@ -141,6 +145,44 @@ class Library:
         found = results.context_by_query(hits)
         return found.withColumn("prompt", results.prompt("query_id"))
 
+    def compare(self, queries: DataFrame, k: int = DEFAULT_TOP_K, threshold: float | None = DEFAULT_THRESHOLD) -> DataFrame:
+        """For each row ``(query_id, text)`` how many pages are found, how similar they are
+        and which is the best; also for queries that find nothing."""
+        hits = self.search_many(queries, k, threshold=threshold)
+        return results.compare_results(hits, queries, [*PAGE_KEY, "similarity"], nested=True)
+
+    def search_hybrid(
+        self, text: str, terms: Sequence[str], k: int = DEFAULT_TOP_K, depth: int = 100
+    ) -> DataFrame:
+        """Pages by meaning and by number of terms, fused by rank. ``depth`` ranks of each
+        list count."""
+        pages = self.store.read()
+        semantic = top_k(pages.select(*PAGE_KEY, "embedding"), self.vector(text), depth)
+        worded = keywords.ranked_by_matches(pages.select(*PAGE_KEY, "text"), terms, depth)
+        return results.fuse(semantic, worded, PAGE_KEY, k)
+
+    def build_index(self, cells: int, **options) -> CellIndex:
+        """Cluster the stored vectors into cells for approximate searches."""
+        rows = self.store.read().select(*PAGE_KEY, "embedding")
+        return CellIndex.build(rows, f"{self.path}/cells", cells, **options)
+
+    def index(self) -> CellIndex:
+        return CellIndex(self.spark, f"{self.path}/cells")
+
+    def similar_pages(self, k: int = 3, probes: int = 1, parts: int = 1) -> DataFrame:
+        """For each page its ``k`` nearest others among the pages of its ``probes`` nearest
+        cells; needs :meth:`build_index`. ``query_id`` is the page's key."""
+        page = F.struct(*PAGE_KEY)
+        index = self.index()
+        asked = index.rows.filter("cell >= 0").select(page.alias("query_id"), "embedding")
+        hits = index.batch_top_k(asked, k + 1, probes, parts=parts).withColumn("__page", page)
+        return results.without_self(hits, "__page", k).drop("__page")
+
+    def topics(self, k: int) -> DataFrame:
+        """Pages with ``topic``: their cluster by direction."""
+        rows = self.store.read().select(*PAGE_KEY, "embedding")
+        return approximate.topics(rows, k)[0].drop("embedding")
+
     # Listings
 
     def list_documents(self, source: str | None = None) -> DataFrame:
@@ -149,6 +191,17 @@ class Library:
     def stats(self) -> DataFrame:
         return listing.table_stats(self.store.read())
 
+    def chunks(self, source: str | None = None) -> DataFrame:
+        """The stored metadata of chunks: span, words and characters."""
+        rows = self.spark.read.parquet(f"{self.path}/chunks")
+        return rows.filter(F.col("source_file") == source) if source else rows
+
+    def chunk_status(self, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
+        """Which chunks have a written result, after :meth:`write_results`."""
+        manifest = chunking.manifest(self.store.read().select(*PAGE_KEY), chunk_size)
+        written = documents.read_chunk_results(self.spark, f"{self.path}/results")
+        return rollup.chunk_status(manifest, written, f"{self.path}/results")
+
     def document_info(self, source: str) -> DataFrame:
         return listing.document_summary(self.store.read(source), source, "source_file")
 

@@ -166,7 +166,22 @@ def test_library(spark, tmp_path):
     assert tuple(library.stats().first()) == (5, 2, 26)
     assert library.document_info("first").first().total_words == 13
     assert library.recent(2).count() == 2
+    asked = spark.createDataFrame([(1, made_up("gold")), (2, "nothing like it")], "query_id int, text string")
+    compared = {r.query_id: r for r in library.compare(asked, threshold=0.9).collect()}
+    assert (compared[1].num_results, compared[1].top_source_file, compared[1].top_page_number) == (1, "second", 2)
+    assert (compared[2].num_results, compared[2].avg_similarity, compared[2].top_source_file) == (0, 0.0, None)
+    fused = library.search_hybrid(made_up("red"), ["common"], 3).collect()
+    # The two pages with the term are in both lists, the most similar page in one.
+    assert {(r.source_file, r.page_number) for r in fused[:2]} == {("first", 2), ("second", 1)}
+    assert (fused[2].source_file, fused[2].page_number) == ("first", 1)
+    library.build_index(2)
+    near = library.similar_pages(2, probes=2).collect()
+    assert len(near) == 8 and all((r.query_id.source_file, r.query_id.page_number) != (r.source_file, r.page_number) for r in near)
+    assert library.index().top_k(library.vector(made_up("red")), 1, probes=2).first().page_number == 1
+    assert library.topics(2).count() == 4
     library.write_results(2)
+    assert {r.status for r in library.chunk_status(2).collect()} == {"done"}
+    assert library.chunks("second").agg(F.sum("page_count")).first()[0] == 3
     books = {r.source_file: r for r in library.books().collect()}
     assert (books["second"].num_chunks, books["second"].total_pages, books["second"].total_word_count) == (2, 3, 13)
     library.remove("f_rst")
