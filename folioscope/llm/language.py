@@ -31,7 +31,7 @@ DOCUMENTS_PER_LANGUAGE = 400
 PIECES, PIECE_CHARS = 4, 240
 
 #: A text is rejected if no language gets this score.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 #: Bytes that go through the network at a time.
 BATCH_BYTES = 1 << 18
