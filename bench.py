@@ -60,7 +60,7 @@ def main() -> None:
     from folioscope.plans import inputs
     from folioscope.plans.queries import QUERIES
     from folioscope.functions.vectors import search_similarity
-    from folioscope.session import local_session, scratch_path
+    from folioscope.session import local_session, remove_scratch, scratch_path
 
     spark = local_session(CORES)
     spark.sparkContext.setLogLevel("ERROR")
@@ -111,6 +111,7 @@ def main() -> None:
             }
         )
     )
+    remove_scratch(spark)
     spark.stop()
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,12 +10,12 @@ from folioscope.functions.embedding import embed_words
 from folioscope.functions.text import or_empty, word_count, words
 from folioscope.operators.search import in_source
 from folioscope.schemas import PAGE_KEY, PAGES_TABLE
-from folioscope.session import shared_folder
+from folioscope.session import scratch_path
 from folioscope.sources.paged import page_table
 from folioscope.sources.store import PageStore, page_vectors
 
 STORED_PAGES = T.StructType([*PAGES_TABLE.fields, T.StructField("document_id", T.LongType())])
-_STORED: set[str] = set()
+_STORED: dict[tuple[str, str], str] = {}
 CREATED = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id)"
 
 
@@ -32,9 +30,10 @@ def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataF
     return rows.repartition(key) if spark.conf.get("spark.folioscope.spread", "false") == "true" else rows
 
 
-def pages(spark: SparkSession, folder: str, only: str | None = None) -> DataFrame:
-    """The page table over ``documents``: one source per ``source``, one page per row."""
-    keep: dict[str, Column] = {"document_id": F.col("doc_id"), "created_at": F.expr(CREATED)}
+def pages(spark: SparkSession, folder: str, only: str | None = None, **more: Column) -> DataFrame:
+    """The page table over ``documents``: one source per ``source``, one page per row.
+    ``more`` columns are taken from the documents before these are numbered."""
+    keep: dict[str, Column] = {"document_id": F.col("doc_id"), "created_at": F.expr(CREATED), **more}
     return page_table(table(spark, folder, "documents"), "source", "doc_id", keep=keep, only=only)
 
 
@@ -44,13 +43,13 @@ def stored_pages(spark: SparkSession, folder: str) -> DataFrame:
     Texts are numbered, measured and embedded once; the store is made when the first query
     of an application asks for this folder, and all searches read it.
     """
-    digest = hashlib.sha256(folder.encode()).hexdigest()[:16]
-    path = f"{shared_folder(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}-{digest}"
-    store = PageStore(spark, path, schema=STORED_PAGES)
-    if path not in _STORED:
-        store.replace_sources(page_vectors(pages(spark, folder), embed_words))
-        _STORED.add(path)
-    return store.read()
+    key = (spark.sparkContext.applicationId, folder)
+    known = PageStore(spark, _STORED[key], schema=STORED_PAGES) if key in _STORED else None
+    if known is None or not known.exists():
+        known = PageStore(spark, scratch_path(spark, "stored-pages"), schema=STORED_PAGES)
+        known.replace_sources(page_vectors(pages(spark, folder), embed_words))
+        _STORED[key] = known.path
+    return known.read()
 
 
 def stored_vectors(spark: SparkSession, folder: str, *columns: str) -> DataFrame:

@@ -48,10 +48,10 @@ def _digest(text: str = "text"):
 
 @query
 def page_table(spark, folder):
-    return inputs.pages(spark, folder).select(
+    return inputs.pages(spark, folder, text_md5=F.md5(tx.or_empty("text"))).select(
         "source_file",
         *_long("page_number", "chunk_id", "document_id", "word_count", "char_count"),
-        F.md5("text").alias("text_md5"),
+        "text_md5",
         tx.iso_timestamp("created_at").alias("created_at"),
     )
 

@@ -11,6 +11,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_SCRATCH: list[str] = []
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks; a cluster supplies its own."""
     return (
@@ -51,5 +54,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, for :func:`remove_scratch` to remove."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove what is at the paths handed out so far; call it when their results are used."""
+    context = spark.sparkContext
+    while _SCRATCH:
+        folder = context._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

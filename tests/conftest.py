@@ -8,9 +8,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from folioscope.session import local_session
+    from folioscope.session import local_session, remove_scratch
 
     session = local_session(8)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_scratch(session)
     session.stop()
