@@ -27,7 +27,8 @@ BLOCK = 16
 RANK = 192
 OVERSAMPLE = 16
 SEED = 11
-#: Least cosine of a candidate.
+#: Least cosine of a candidate, for an item as long as a passage. A shorter one fills only
+#: part of a passage; its bar falls with the root of that part, as its cosine does.
 COSINE = 0.55
 #: Confirmed: so much of the item in common; or less, if its answer is there too.
 LCS_SHARE = 0.8
@@ -88,6 +89,7 @@ class Space:
     basis: np.ndarray | None = None
     queries: np.ndarray | None = None
     query_item: np.ndarray | None = None
+    bar: np.ndarray | None = None
 
     @staticmethod
     def of(item_ids: list, texts: list[str]) -> Space:
@@ -121,6 +123,8 @@ class Space:
                 owner.append(at)
         self.queries = np.array(rows, np.float32).reshape(len(rows), basis.shape[1])
         self.query_item = np.array(owner, np.int64)
+        lengths = np.array([len(self.items[at]) for at in owner])
+        self.bar = COSINE * np.sqrt(np.minimum(1, lengths / (2 * BLOCK)))
 
     def weighted(self) -> np.ndarray:
         return (self.basis * self.weight[:, None]).astype(np.float32)
@@ -138,7 +142,7 @@ class Space:
             sums = _block_sums(weighted, part)
             passages = unit(sums[:-1] + sums[1:])
             cosine = passages @ self.queries.T
-            where, which = np.nonzero(cosine >= COSINE)
+            where, which = np.nonzero(cosine >= self.bar)
             text_at = np.searchsorted(first, start + where, side="right") - 1
             for row, query, text in zip(where.tolist(), which.tolist(), text_at.tolist()):
                 item_at = int(self.query_item[query])
