@@ -30,7 +30,8 @@ SEED = 11
 #: Least cosine of a candidate, for an item as long as a passage. A shorter one fills only
 #: part of a passage; its bar falls with the root of that part, as its cosine does.
 COSINE = 0.55
-#: Confirmed: so much of the item in common; or less, if its answer is there too.
+#: Confirmed: so much of the item in common; or less, if its answer is there too. Either
+#: way the words in common must have ``PARAPHRASE_SHARE`` of the item's inverse frequencies.
 LCS_SHARE = 0.8
 PARAPHRASE_SHARE, ANSWER_SHARE = 0.6, 0.8
 ANSWER_WORDS = 6
@@ -90,6 +91,7 @@ class Space:
     queries: np.ndarray | None = None
     query_item: np.ndarray | None = None
     bar: np.ndarray | None = None
+    rarity: np.ndarray | None = None
 
     @staticmethod
     def of(item_ids: list, texts: list[str]) -> Space:
@@ -112,6 +114,7 @@ class Space:
     def fit(self, frequency: np.ndarray, blocks: int, basis: np.ndarray) -> None:
         """``frequency``: blocks with each term; ``basis``: its rows' latent coordinates."""
         self.weight, self.basis = idf(frequency, blocks), basis
+        self.rarity = np.sqrt(self.weight)
         rows, owner = [], []
         for at, item in enumerate(self.items):
             if not len(item):
@@ -158,11 +161,12 @@ class Space:
         item = self.items[item_at]
         low, high = max(0, at - len(item)), min(len(code), at + 2 * BLOCK + len(item))
         around = code[low:high]
+        weight = self.rarity[item]
         present[around] = True
-        common = np.count_nonzero(present[item])  # no less than the common subsequence
+        common = weight[present[item]].sum()
         present[around] = False
-        if common < PARAPHRASE_SHARE * len(item):
-            return None
+        if common < PARAPHRASE_SHARE * weight.sum():
+            return None  # common words alone, in whatever order, are no leak
         share = lcs(item, around) / len(item)
         answer = item[-ANSWER_WORDS:]
         answer_share = lcs(answer, around) / len(answer)
@@ -318,7 +322,8 @@ def find_leaks(
     cosine, lcs_share, answer_share``; ``word`` is about where the leak begins.
 
     ``benchmark`` has ``item_id`` and ``text``. An item leaks if 0.8 of its words stand in
-    the text in their order close together, or 0.6 of them with 0.8 of its last six words.
+    the text in their order close together, or 0.6 of them with 0.8 of its last six words,
+    and if these words are not only common ones (0.6 of the inverse frequencies).
     NULL and empty texts and items give nothing, neither do empty tables; repeated rows
     give repeated leaks; equal items leak together; NULL ids are kept as they are. Texts
     are searched whole; further columns are ignored.
