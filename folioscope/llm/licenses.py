@@ -84,8 +84,9 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
-    """Spans, in code points, of runs of lines with cues."""
+def candidate_blocks(text: str, reach: int = LONG_LINE // 2) -> Iterator[tuple[int, int]]:
+    """Spans, in code points, of runs of lines with cues; of a long line what lies within
+    ``reach`` characters of a cue."""
     if not CUE.search(text):
         return
     at, start, end, quiet = 0, None, 0, 0
@@ -95,7 +96,7 @@ def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
             if start is not None:
                 yield start, end
                 start = None
-            for low, high in _around_cues(line):
+            for low, high in _around_cues(line, reach):
                 yield at + low, at + high
             at = stop + 1
             continue
@@ -115,11 +116,10 @@ def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def _around_cues(line: str) -> Iterator[tuple[int, int]]:
-    """Spans of a long line within ``LONG_LINE // 2`` characters of a cue."""
+def _around_cues(line: str, reach: int) -> Iterator[tuple[int, int]]:
     low = high = -1
     for cue in CUE.finditer(line):
-        before, after = max(0, cue.start() - LONG_LINE // 2), min(len(line), cue.end() + LONG_LINE // 2)
+        before, after = max(0, cue.start() - reach), min(len(line), cue.end() + reach)
         if high >= before:
             high = after
             continue
@@ -226,11 +226,12 @@ def scan_licenses(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates)
+        reach = max([LONG_LINE // 2, *map(len, templates.values())])  # no template is longer
         known: dict[str, list[dict]] = {}
         for batch in batches:
             rows, columns = [], []
             for at, value in enumerate(strings(batch, "text")):
-                for start, end in candidate_blocks(value):
+                for start, end in candidate_blocks(value, reach):
                     block = value[start:end]
                     if block not in known:
                         if len(known) > 10_000:  # a cache of repeated notices only
