@@ -2,15 +2,15 @@
 
 A text's candidate blocks are runs of lines around words that licenses use. A block is
 compressed alone, and with each template as a raw dictionary: the template that says the
-same things saves most bytes. The best templates by reduction are then compared with the
-block word by word, and only exact wording, up to a stated share of differences, counts.
+same things saves most bytes. The templates, ranked by reduction, are then all compared with
+the block word by word, and only exact wording, up to a stated share of differences, counts.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Mapping
-from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -70,9 +70,6 @@ CUE = re.compile(
 QUIET_LINES = 2
 #: Of longer lines only what is near a cue goes into a block.
 LONG_LINE = 4000
-#: Templates, by size reduction, that are compared word by word; those as good as the
-#: last of them are compared too.
-COMPARED = 3
 #: Least share of a template's words that a block must have in order.
 LEAST_WORDING = 0.9
 LEVEL = 6
@@ -135,7 +132,13 @@ class Scanner:
 
     def __init__(self, templates: Mapping[str, str]):
         self.names = list(templates)
-        self.words = [words_of(text) for text in templates.values()]
+        words = [words_of(text) for text in templates.values()]
+        self.code = {word: code for code, word in enumerate(sorted({w for some in words for w in some}))}
+        self.wanted = [np.array([self.code[word] for word in some], np.int64) for some in words]
+        # Which words a template has; the last column is for words of no template.
+        self.member = np.zeros((len(words), len(self.code) + 1), bool)
+        for row, some in zip(self.member, self.wanted):
+            row[some] = True
         # zstandard takes raw dictionaries of 8 bytes or more.
         padded = [text.lower().encode().ljust(8) for text in templates.values()]
         kind = zstandard.DICT_TYPE_RAWCONTENT
@@ -155,17 +158,15 @@ class Scanner:
         return 1 - sizes / alone
 
     def confirmed(self, block: str) -> list[dict]:
-        """The templates whose wording the block has, best first: by share of wording,
-        then by length. Templates within a longer one at the same place are left out."""
+        """The templates whose wording the block has, in order of place. All templates are
+        compared, those with the best reduction first: a short notice in a long block, or
+        one beside many others, may save next to nothing. Templates within a longer one at
+        the same place are left out."""
         gains = self.reductions(block)
-        order = np.argsort(-gains, kind="stable")
-        bar = gains[order[min(COMPARED, len(order)) - 1]] if len(order) else 0
-        words = words_of(block)
+        codes = np.array([self.code.get(word, -1) for word in words_of(block)], np.int64)
         found = []
-        for at in order:
-            if gains[at] < bar or gains[at] <= 0:
-                break
-            found += self._wording(words, int(at), float(gains[at]))
+        for at in np.argsort(-gains, kind="stable"):
+            found += self._wording(codes, int(at), float(gains[at]))
         found.sort(key=lambda x: (-x["n_words"], -x["wording"], x["license"]))
         kept: list[dict] = []
         for one in found:
@@ -173,30 +174,66 @@ class Scanner:
                 kept.append(one)
         return sorted(kept, key=lambda x: x["first"])
 
-    def _wording(self, words: list[str], at: int, gain: float) -> Iterator[dict]:
+    def _wording(self, codes: np.ndarray, at: int, gain: float) -> Iterator[dict]:
         """Where the template's words stand in the block, with their differences."""
-        wanted = self.words[at]
-        place = 0
-        while place < len(words):
-            matcher = SequenceMatcher(None, wanted, words[place:], autojunk=False)
-            blocks = [b for b in matcher.get_matching_blocks() if b.size]
-            same = sum(b.size for b in blocks)
-            if not blocks or same < LEAST_WORDING * len(wanted):
-                return
-            first, last = place + blocks[0].b, place + blocks[-1].b + blocks[-1].size
-            differences = len(wanted) - same + (last - first) - same
-            if differences <= (1 - LEAST_WORDING) * 2 * len(wanted):
+        wanted = self.wanted[at]
+        for low, high in self._regions(codes, at):
+            taken: list[tuple[int, int]] = []
+            for differences, lost, first, last in sorted(_alignments(wanted, codes[low:high])):
+                if any(first < other_last and other_first < last for other_first, other_last in taken):
+                    continue
+                taken.append((first, last))
                 yield {
                     "license": self.names[at],
                     "reduction": gain,
-                    "wording": same / len(wanted),
+                    "wording": (len(wanted) - lost) / len(wanted),
                     "differences": differences,
                     "n_words": len(wanted),
-                    "first": first,
-                    "last": last,
+                    "first": low + first,
+                    "last": low + last,
                 }
-            place = last
-        return
+
+    def _regions(self, codes: np.ndarray, at: int) -> Iterator[tuple[int, int]]:
+        """Where enough words are the template's, in any order: no wording lies elsewhere."""
+        least, most = bars(len(self.wanted[at]))
+        span = len(self.wanted[at]) + most
+        total = np.r_[0, np.cumsum(self.member[at][codes])]
+        ends = np.minimum(np.arange(len(codes)) + span, len(codes))
+        dense = np.flatnonzero(total[ends] - total[:-1] >= least)
+        if len(dense):
+            for run in np.split(dense, np.flatnonzero(np.diff(dense) > span) + 1):
+                yield int(run[0]), int(ends[run[-1]])
+
+
+def bars(n_words: int) -> tuple[int, int]:
+    """Of a template of so many words the least in order, and the most differences."""
+    return math.ceil(LEAST_WORDING * n_words), int((1 - LEAST_WORDING) * 2 * n_words)
+
+
+def _alignments(wanted: np.ndarray, codes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Differences, words missing, first and last (exclusive) for each end of a stretch of
+    ``codes`` that has ``wanted`` within the bars, with the fewest differences.
+
+    Exact: ``best[k, j]`` has, for the template's words so far, the fewest added words (high
+    half) and the start (low half) of a stretch that ends at ``j`` and lacks ``k`` at most.
+    """
+    least, most = bars(len(wanted))
+    lost = np.arange(len(wanted) - least + 1)
+    place = np.arange(len(codes) + 1, dtype=np.int64)
+    never, added = np.int64(1 << 60), place << 32
+    best = np.tile(place, (len(lost), 1))
+    for at, word in enumerate(wanted):
+        if at:  # words may be added between those of the template
+            best = np.minimum.accumulate(best - added, axis=1) + added
+        new = np.full_like(best, never)
+        new[:, 1:] = np.where(codes == word, best[:, :-1], never)
+        new[1:] = np.minimum(new[1:], best[:-1])
+        best = new
+    differences = lost[:, None] + (best >> 32)
+    fewest = differences.argmin(axis=0)
+    for end in np.flatnonzero(differences.min(axis=0) <= most):
+        k = int(fewest[end])
+        yield int(differences[k, end]), k, int(best[k, end] & 0xFFFFFFFF), int(end)
 
 
 RESULT = (
@@ -221,7 +258,7 @@ def scan_licenses(
 
     NULL and empty texts and texts without cues give no rows. Texts are scanned whole, line
     by line. Repeated rows are reported each; NULL ids stay; an empty table gives no rows;
-    further columns are ignored. Equal reductions are compared all.
+    further columns are ignored. All templates are compared with every block.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """License blocks: every template found as written, changed wording, odd texts."""
 
+import numpy as np
 import odd
 import pytest
 
@@ -60,3 +61,36 @@ def test_odd_documents(spark):
         (21, "", "unknown"),
     ]
     assert licenses.scan_licenses(odd.documents(spark, [])).collect() == []
+
+
+def test_every_template_is_compared():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for names in (sorted(NOTICES), sorted(set(licenses.TEMPLATES) - set(NOTICES)), ["MIT-notice", "Apache-2.0", "GPL-3.0", "CC-BY-4.0-notice"]):
+        found = scanner.confirmed("\n".join(licenses.TEMPLATES[name] for name in names))
+        assert [(x["license"], x["differences"]) for x in found] == [(name, 0) for name in names]
+    for name, text in licenses.TEMPLATES.items():
+        line = "lorem ipsum " * 420 + text + " dolor sit" * 500
+        (low, high), *_ = licenses.candidate_blocks(line)
+        assert [x["license"] for x in scanner.confirmed(line[low:high])] == [name]
+
+
+def test_alignments_equal_brute_force():
+    rng = np.random.default_rng(3)
+    wanted = rng.integers(0, 6, 20)
+    least, most = licenses.bars(20)
+    for _ in range(30):
+        codes = np.r_[rng.integers(0, 6, 5), wanted, rng.integers(0, 6, 5)]
+        codes = np.insert(np.delete(codes, rng.integers(5, 25, rng.integers(0, 4))), rng.integers(5, 20, rng.integers(0, 4)), 9)
+        expected = {}
+        for first in range(len(codes)):
+            row = np.zeros(21, int)  # longest common subsequence with each prefix of wanted
+            for last in range(first + 1, len(codes) + 1):
+                before, row = row, np.zeros(21, int)
+                for i in range(20):
+                    row[i + 1] = before[i] + 1 if wanted[i] == codes[last - 1] else max(before[i + 1], row[i])
+                differences = 20 + (last - first) - 2 * row[20]
+                if row[20] >= least and differences <= most:
+                    expected[last] = min(differences, expected.get(last, most))
+        found = {last: d for d, _, _, last in licenses._alignments(wanted, codes)}  # ends with added words are left out
+        assert found.items() <= expected.items()
+        assert min(found.values(), default=None) == min(expected.values(), default=None)
