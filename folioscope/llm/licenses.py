@@ -1,7 +1,7 @@
 """License wording, found by conditional compression.
 
-A text's candidate blocks are runs of lines around words that licenses use. A block is
-compressed alone, and with each template as a raw dictionary: the template that says the
+A text's candidate blocks are runs of lines around words that licenses use, with as many
+words before and after as the longest template has. A block is compressed alone, and with each template as a raw dictionary: the template that says the
 same things saves most bytes. The templates, ranked by reduction, are then all compared with
 the block word by word, and only exact wording, up to a stated share of differences, counts.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Mapping
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -61,14 +62,14 @@ TEMPLATES: dict[str, str] = {
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
 }
 
-#: Lines with one of these, and lines next to them within a paragraph, are candidates.
+#: Lines with one of these are candidates; :func:`joined_blocks` adds what is around them.
 CUE = re.compile(
     r"licen[sc]e|permission is hereby|redistribution and use|redistribute it|copyright|as is\"|mozilla public|SPDX",
     re.IGNORECASE,
 )
-#: A block ends at a blank line, or after so many lines without a cue.
+#: A run of lines ends at a blank line, or after so many lines without a cue.
 QUIET_LINES = 2
-#: Of longer lines only what is near a cue goes into a block.
+#: Of longer lines only what is near a cue goes into a run.
 LONG_LINE = 4000
 #: Least share of a template's words that a block must have in order.
 LEAST_WORDING = 0.9
@@ -113,6 +114,38 @@ def candidate_blocks(text: str, reach: int = LONG_LINE // 2) -> Iterator[tuple[i
         yield start, end
 
 
+def joined_blocks(text: str, n_words: int) -> Iterator[tuple[int, int]]:
+    """Spans, in code points, of candidate blocks with ``n_words`` words before and after
+    each, whatever blank lines and line ends lie between; those that meet are one. A
+    wording of up to so many words that has a cue lies within one of them."""
+    low = high = -1
+    for start, end in candidate_blocks(text, 0):
+        if start > high or high < 0:
+            before = _words_before(text, start, n_words)
+            if high < 0:
+                low = before
+            elif before > high:
+                yield low, high
+                low = before
+        high = max(high, end)
+        for word in islice(WORD.finditer(text, end), n_words):
+            high = max(high, word.end())
+    if high >= 0:
+        yield low, high
+
+
+def _words_before(text: str, at: int, n_words: int) -> int:
+    """Where the last ``n_words`` words before ``at`` begin."""
+    size = 8 * n_words
+    while True:
+        low = max(0, at - size)
+        found = [word.start() for word in WORD.finditer(text, low, at)]
+        # The first word may begin before ``low``.
+        if len(found) > n_words or not low:
+            return found[-n_words:][0] if found else at
+        size *= 2
+
+
 def _around_cues(line: str, reach: int) -> Iterator[tuple[int, int]]:
     low = high = -1
     for cue in CUE.finditer(line):
@@ -250,25 +283,25 @@ def scan_licenses(
     """One row per candidate block and license in it: ``doc_id, start, end, license,
     reduction, wording, differences, verdict``.
 
-    ``start`` and ``end`` (exclusive) are the block in code points. ``reduction`` is the
+    ``start`` and ``end`` (exclusive) are the block in code points: lines with cues and as
+    many words on either side as the longest template has, over blank lines. ``reduction`` is the
     share of compressed bytes that the template saves, ``wording`` the share of its words
     found in order, ``differences`` the words missing or added. ``verdict`` is ``exact``
     without differences and ``modified`` with some; a block without a confirmed license
     has one row with NULLs and the verdict ``unknown``.
 
-    NULL and empty texts and texts without cues give no rows. Texts are scanned whole, line
-    by line. Repeated rows are reported each; NULL ids stay; an empty table gives no rows;
+    NULL and empty texts and texts without cues give no rows. Texts are scanned whole. Repeated rows are reported each; NULL ids stay; an empty table gives no rows;
     further columns are ignored. All templates are compared with every block.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates)
-        reach = max([LONG_LINE // 2, *map(len, templates.values())])  # no template is longer
+        reach = max((len(wanted) + bars(len(wanted))[1] for wanted in scanner.wanted), default=0)
         known: dict[str, list[dict]] = {}
         for batch in batches:
             rows, columns = [], []
             for at, value in enumerate(strings(batch, "text")):
-                for start, end in candidate_blocks(value, reach):
+                for start, end in joined_blocks(value, reach):
                     block = value[start:end]
                     if block not in known:
                         if len(known) > 10_000:  # a cache of repeated notices only

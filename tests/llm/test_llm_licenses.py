@@ -94,3 +94,55 @@ def test_alignments_equal_brute_force():
         found = {last: d for d, _, _, last in licenses._alignments(wanted, codes)}  # ends with added words are left out
         assert found.items() <= expected.items()
         assert min(found.values(), default=None) == min(expected.values(), default=None)
+
+
+CUSTOMARY = {
+    "MIT": (
+        "MIT License\n\nCopyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining "
+        "a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without "
+        "restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to "
+        "the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies "
+        "or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND\n"
+    ),
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance "
+        "with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+        "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on "
+        "an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n"
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+        "following conditions are met:\n\n* Redistributions of source code must retain the above copyright notice, this\n  "
+        "list of conditions and the following disclaimer.\n"
+    ),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CUSTOMARY))
+@pytest.mark.parametrize("wrap", ["as it is", "words", "comment", "deep"])
+def test_customary_paragraphs(spark, name, wrap):
+    text = CUSTOMARY[name]
+    if wrap == "words":  # three words a line
+        parts = text.split()
+        text = "\n".join(" ".join(parts[at : at + 3]) for at in range(0, len(parts), 3))
+    elif wrap == "comment":
+        text = "".join(f" * {line}\n" for line in text.split("\n"))
+    elif wrap == "deep":
+        text = "".join(f"{' ' * 900}{line}\n\n\n" for line in text.split("\n"))
+    before, after = "Lorem ipsum.\n\n" * 300, "\n\n\n" + "dolor sit.\n\n" * 300
+    docs = odd.documents(spark, [(1, before + text + after, "en", "s")])
+    rows = licenses.scan_licenses(docs).collect()
+    assert [(r.license, r.differences, r.verdict) for r in rows if r.license == name] == [(name, 0, "exact")]
+    assert all(r.verdict != "unknown" for r in rows)
+
+
+def test_joined_blocks_cover_every_wording():
+    def cut(text, n_words):
+        return [text[start:end] for start, end in licenses.joined_blocks(text, n_words)]
+
+    assert cut("", 3) == cut("no cue", 3) == []
+    assert cut("a b c\n\nd license e\n\n\nf g h", 2) == ["b c\n\nd license e\n\n\nf g"]
+    assert cut("license\n\na b\n\nlicence", 2) == ["license\n\na b\n\nlicence"]
+    assert cut("license\n\na b c d e\n\nlicence", 2) == ["license\n\na b", "d e\n\nlicence"]
+    assert cut("license\n" + "word " * 500 + "\nlicense", 2000) == ["license\n" + "word " * 500 + "\nlicense"]
