@@ -453,7 +453,9 @@ def query_agreement(spark, folder):
     return results.agreement(hits, forms, list(PAGE_KEY), "item_id")
 
 
-CELLS, PROBES = 10, 3
+#: Probes for a recall of 0.9 at least: at sf0.1, for 40 queries, recall@5 is 0.695 with 3
+#: cells, 0.9 with 6 and 0.945 with 7.
+CELLS, PROBES = 10, 7
 
 
 def _cells(spark, folder):

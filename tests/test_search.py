@@ -8,6 +8,8 @@ from folioscope.operators import approximate, results
 from folioscope.operators import blocks
 from folioscope.operators.blocks import batch_top_k
 from folioscope.operators.search import attach_rows, semantic_search, top_k
+from folioscope.plans import inputs
+from folioscope.plans import queries as registered
 
 KEY = ["source_file", "page_number"]
 SCHEMA = "source_file string, page_number int, embedding array<float>"
@@ -330,6 +332,16 @@ def test_batch_over_cells(spark, tmp_path, parts):
     assert approximate.recall(whole, exact, key).first().recall == 1
 
 
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_registered_probes_reach_the_recall_of_an_index(spark, tmp_path, folder):
+    rows = inputs.embeddings(spark, folder)
+    index = approximate.CellIndex.build(rows, f"{tmp_path}/cells", registered.CELLS)
+    asked = rows.filter("vec_id % 50 = 0").selectExpr("vec_id AS query_id", "embedding")
+    found = index.batch_top_k(asked, 5, registered.PROBES, key=["vec_id"])
+    exact = batch_top_k(rows, asked, 5, key=["vec_id"])
+    assert approximate.recall(found, exact, ["query_id", "vec_id"]).first().recall >= 0.9
+
+
 def test_topics_follow_direction(spark):
     rows = [("s", i, [1.0 + i % 3, 0.01 * i]) for i in range(20)] + [("s", 100 + i, [0.01 * i, 1.0 + i]) for i in range(20)]
     got = approximate.topics(spark.createDataFrame(rows, SCHEMA), 2)[0].collect()
