@@ -10,7 +10,7 @@ not all pairs; components over all tasks follow by :mod:`components`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 import re
 
@@ -37,8 +37,8 @@ FRONTIER = 1 << 20
 LEADS = [(*pair, *sorted({0, 1, 2, 3} - {*pair})) for pair in combinations(range(4), 2)]
 
 
-def _hashes(text: str) -> Iterator[np.ndarray]:
-    """Hashes of the word shingles, some at a time."""
+def shingle_hashes(text: str, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of so many words, some at a time."""
     data = text.encode().lower()  # bytes: lowers A-Z only, splits at ASCII white space only
     gap = re.compile(rb"[ \t-\r]")
     words: list[bytes] = []
@@ -48,12 +48,12 @@ def _hashes(text: str) -> Iterator[np.ndarray]:
         end = cut.start() if cut else len(data)
         words += data[at:end].split()
         at = end
-        count = len(words) - SHINGLE + 1
+        count = len(words) - shingle + 1
         if count > 0:
-            shingles = map(b" ".join, zip(*(words[shift:] for shift in range(SHINGLE))))
+            shingles = map(b" ".join, zip(*(words[shift:] for shift in range(shingle))))
             yield np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, count)
             seen += count
-            words = words[-(SHINGLE - 1) :]
+            words = words[-(shingle - 1) :]
     if not seen and words:
         yield np.array([xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
 
@@ -61,7 +61,7 @@ def _hashes(text: str) -> Iterator[np.ndarray]:
 def fingerprint(text: str) -> int:
     """64 bits, each set if it is set in over half the hashes of the shingles."""
     count, ones = 0, np.zeros(64, np.int64)
-    for hashes in _hashes(text):
+    for hashes in shingle_hashes(text):
         for start in range(0, len(hashes), 1 << 14):
             part = hashes[start : start + (1 << 14)]
             bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -238,16 +238,22 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, one of each near-duplicate group: the
-    one with the smallest id, of repeated ids the one whose text hashes lowest.
+def one_of_each(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    grouped: Callable[..., DataFrame] = near_duplicates,
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, one of each near-duplicate group as
+    ``grouped`` tells them: the one with the smallest id, of repeated ids the one whose text
+    hashes lowest.
 
     Fingerprints are joined without texts; then each kept text is shuffled once. Rows
     that share id and text are reduced to one with a partial aggregation, so a row that
     is repeated very often costs each task one row.
     """
     hashed = docs.withColumn("__hash", F.xxhash64(whole(text)))
-    found = near_duplicates(hashed, id_column, text, carry=("__hash",))
+    found = grouped(hashed, id_column, text, carry=("__hash",))
     heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rows = heads.groupBy("group", "doc_id", "__hash").agg(F.count(F.lit(1)).alias("__rows"))
     kept = settled(
