@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, chat, decontaminate, language, licenses, quality, secrets, sharding, simhash, url_filters
+from folioscope.llm import (
+    bpe,
+    chat,
+    compression,
+    decontaminate,
+    language,
+    licenses,
+    quality,
+    repair,
+    secrets,
+    sharding,
+    simhash,
+    spelling,
+    url_filters,
+)
 from folioscope.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -156,6 +170,35 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge_quality(documents, labels)
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all texts, some of them damaged, with their near words, forms and roots."""
+    return spelling.spelling_variants(table(spark, folder, "documents"), damaged=spelling.DAMAGED)
+
+
+def op12_quality_compression(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every document by two dictionaries; a fifth of them was not learned from."""
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return compression.score_quality(documents, labels)
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest repair and repaired digest of every conversation, damaged before."""
+    conversations = table(spark, folder, "conversations")
+    harmed = repair.damaged(conversations)
+    told = repair.summaries(repair.repair(harmed)).withColumnRenamed("conv_id", "id")
+    gaps = repair.gaps_of(harmed).withColumnRenamed("conv_id", "gaps_id")
+    every = conversations.select("conv_id").distinct()
+    joined = every.join(told, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    joined = joined.join(gaps, F.col("conv_id").eqNullSafe(F.col("gaps_id")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
@@ -167,6 +210,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_spelling": op11_spelling,
+    "op12_quality_compression": op12_quality_compression,
+    "op13_repair": op13_repair,
 }
 
 ORACLES: dict[str, str] = {
