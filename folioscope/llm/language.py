@@ -30,8 +30,12 @@ UNKNOWN = "und"
 DOCUMENTS_PER_LANGUAGE = 400
 PIECES, PIECE_CHARS = 4, 240
 
-#: A text is rejected if no language gets this score.
-LEAST_SCORE = 0.3
+#: More labels than these are taken for an error.
+MOST_LANGUAGES = 1000
+
+#: A text is rejected if no language gets so much more than an even share: 0 is the share
+#: that every language has of a text that tells nothing, 1 is certainty.
+LEAST_MARGIN = 1 / 15
 
 #: Bytes that go through the network at a time.
 BATCH_BYTES = 1 << 18
@@ -179,31 +183,33 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang:
     """A network for the languages of the labelled documents outside the held-out third.
 
     The sample is bounded: of each language the ``DOCUMENTS_PER_LANGUAGE`` documents whose
-    ids hash lowest, of each ``PIECES`` pieces of ``PIECE_CHARS`` characters at even
-    distances. None if no labelled document has a text with a letter.
+    ids and texts hash lowest, equal ones taken once; of each ``PIECES`` pieces of
+    ``PIECE_CHARS`` characters at even distances. None if no labelled document has a text
+    with a letter. More than ``MOST_LANGUAGES`` languages are refused: that is no label.
     """
     known = docs.select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(id_column).alias("id")
     ).filter(~is_held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    known = known.withColumn("h", F.xxhash64("id", "text"))
+    # The hash up to which documents are taken, from languages and hashes alone: tasks keep
+    # only the lowest ranks of each language before the shuffle.
+    by_hash = Window.partitionBy("lang").orderBy("h")
+    lowest = known.select("lang", "h", F.dense_rank().over(by_hash).alias("at"))
+    bounds = lowest.filter(F.col("at") <= DOCUMENTS_PER_LANGUAGE).groupBy("lang").agg(F.max("h")).take(MOST_LANGUAGES + 1)
+    if len(bounds) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in {lang}")
+    if not bounds:
+        return None
+    bound = F.create_map(*(F.lit(x) for pair in bounds for x in pair))
     step = F.greatest((F.length("text") - PIECE_CHARS) / (PIECES - 1), F.lit(0))
     cut = [F.substr("text", (step * k).cast("int") + 1, F.lit(PIECE_CHARS)) for k in range(PIECES)]
-    # Ids that hash below a bound leave a few times the wanted number, however many rows a
-    # language has; of these the lowest are taken. The languages are the network's outputs,
-    # so their counts fit the driver if the network does.
-    counts = docs.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).count().collect()
-    if not counts:
-        return None
-    rates = F.create_map(*(F.lit(x) for name, count in counts for x in (name, 4.0 * DOCUMENTS_PER_LANGUAGE / count)))
-    chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
-    likely = known.filter(chance < F.element_at(rates, F.col("lang")))
-    by_hash = Window.partitionBy("lang").orderBy(chance, "id", "h")
     sample = (
-        likely.select("lang", "id", F.array(*cut).alias("pieces"), F.xxhash64("text").alias("h"))
-        .withColumn("at", F.row_number().over(by_hash))
-        .filter(F.col("at") <= DOCUMENTS_PER_LANGUAGE)
-        .select("lang", "at", "pieces")
+        known.filter(F.col("h") <= F.element_at(bound, F.col("lang")))
+        .select("lang", "h", F.array(*cut).alias("pieces"))
+        .groupBy("lang", "h")
+        .agg(F.min("pieces").alias("pieces"))
         .toArrow()
-        .sort_by([("lang", "ascending"), ("at", "ascending")])
+        .sort_by([("lang", "ascending"), ("h", "ascending")])
     )
     if not sample.num_rows:
         return None
@@ -270,11 +276,15 @@ def identify(docs: DataFrame, network: Network | None, text: str = "text") -> Da
 
 
 def with_known_language(
-    docs: DataFrame, network: Network | None, text: str = "text", least_score: float = LEAST_SCORE
+    docs: DataFrame, network: Network | None, text: str = "text", least_score: float | None = None
 ) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text has a letter and whose
-    language is told with a score of ``least_score`` or more. Without a network only the
-    letter counts. Rows are judged where they lie, without a shuffle."""
+    language is told with a score of ``least_score`` or more, by default ``LEAST_MARGIN``
+    above an even share. Without a network only the letter counts. Rows are judged where
+    they lie, without a shuffle."""
+    if least_score is None and network is not None:
+        even = 1 / len(network.labels)
+        least_score = even + LEAST_MARGIN * (1 - even)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = network.tables() if network is not None else {}

@@ -95,3 +95,28 @@ def test_nothing_to_learn_from(spark):
     assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)}
     assert [r.doc_id for r in language.with_known_language(docs, None).collect()] == [1]
     assert language.language_of_documents(odd.documents(spark, [])).collect() == []
+
+
+def test_held_out_rows_change_nothing_and_no_language_is_lost(spark):
+    """A flood of odd rows of a language: held out, without a letter, or one id repeated."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    known = docs.filter("lang <> 'fr'")
+    french = docs.filter("lang = 'fr'").filter(~language.is_held_out(docs.doc_id)).limit(20)
+    french = spark.createDataFrame(french.collect(), french.schema)
+    few = known.unionByName(french)
+    before = language.learn(few)
+    ids = spark.range(1_000_000, 1_100_000).withColumnRenamed("id", "doc_id")
+    held = ids.filter(language.is_held_out(ids.doc_id)).selectExpr("doc_id", "'the same' AS text", "'fr' AS lang")
+    blank = ids.selectExpr("doc_id", "'123' AS text", "'fr' AS lang")
+    after = language.learn(few.unionByName(held).unionByName(blank).unionByName(french.limit(1).crossJoin(spark.range(5000)).drop("id")))
+    assert before.labels == after.labels and "fr" in after.labels
+    for one, two in zip([*before.filters.values(), before.dense], [*after.filters.values(), after.dense]):
+        assert np.array_equal(one, two)
+
+
+def test_the_bar_is_above_an_even_share(spark):
+    docs = odd.documents(spark, odd.ODD)
+    for labels in (["a", "b"], ["a", "b", "c"], ["a", "b", "c", "d", "e"]):
+        network = language.Network.new(labels)
+        network.dense[:], network.bias[:] = 0, 0  # tells nothing
+        assert language.with_known_language(docs, network).count() == 0
