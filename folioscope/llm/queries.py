@@ -87,6 +87,8 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
         listed(told).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
         count(lambda s: s["example"] & s["base"]).alias("n_example"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["repositories"])), F.lit(0)).alias("most_repositories"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["owners"])), F.lit(0)).alias("most_owners"),
     )
 
 
@@ -97,7 +99,7 @@ def _secrets_sql() -> str:
         return "'" + text.replace("'", "''") + "'"
 
     kinds = " UNION ALL ".join(
-        f"""SELECT row, source, {quoted(k.name)} AS kind, {rank} AS rank, {str(k.base).lower()} AS base,
+        f"""SELECT row, doc_id, source, {quoted(k.name)} AS kind, {rank} AS rank, {str(k.base).lower()} AS base,
             {k.least} AS least, regexp_extract_all(text, {quoted(k.pattern)}, 0) AS m,
             regexp_extract_all(text, {quoted(k.pattern)}, {k.group}) AS v,
             regexp_split_to_array(text, {quoted(k.pattern)}) AS p
@@ -108,22 +110,26 @@ def _secrets_sql() -> str:
         WITH docs AS (
             SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text FROM documents
         ), lists AS ({kinds}), parts AS (
-            SELECT row, source, kind, rank, base, least, unnest(m) AS m, unnest(v) AS v,
+            SELECT row, doc_id, source, kind, rank, base, least, unnest(m) AS m, unnest(v) AS v,
                    unnest(p[1:len(m)]) AS p, unnest(range(len(m))) AS i
             FROM lists
         ), placed AS (
             SELECT *, sum(length(m) + length(p)) OVER (PARTITION BY row, rank ORDER BY i) AS e FROM parts
         ), spans AS (
-            SELECT row, source, kind, rank, base, v, e - length(m) AS s, e FROM placed WHERE length(v) >= least
+            SELECT row, doc_id, source, kind, rank, base, v, e - length(m) AS s, e FROM placed WHERE length(v) >= least
         ), owners AS (
-            SELECT v, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS owners
+            SELECT v, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS owners,
+                   count(DISTINCT (coalesce(source, ''), source IS NULL, doc_id)) AS repositories
             FROM spans GROUP BY v
+        ), examples AS (
+            SELECT *, owners >= {secrets.EXAMPLE_OWNERS} OR repositories >= {secrets.EXAMPLE_REPOSITORIES} AS example
+            FROM owners
         ), judged AS (
-            SELECT spans.*, owners >= {secrets.EXAMPLE_OWNERS} AS example,
-                   owners < {secrets.EXAMPLE_OWNERS} AND (base OR (
+            SELECT spans.*, owners, repositories, example,
+                   NOT example AND (base OR (
                        len(list_distinct(string_split(v, ''))) >= {secrets.LIVE_CHARACTERS}
                        AND regexp_matches(v, '[0-9]'))) AS live
-            FROM spans JOIN owners USING (v)
+            FROM spans JOIN examples USING (v)
         ), listed AS (
             SELECT row,
                    count(*) FILTER (kind = 'assign') AS n_assign,
@@ -132,12 +138,14 @@ def _secrets_sql() -> str:
                    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (base) AS base_spans,
                    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (base OR live) AS spans,
                    count(*) FILTER (live) AS n_live,
-                   count(*) FILTER (example AND base) AS n_example
+                   count(*) FILTER (example AND base) AS n_example,
+                   max(repositories)::BIGINT AS most_repositories, max(owners)::BIGINT AS most_owners
             FROM judged GROUP BY row
         )
         SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
                coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base_spans, '')) AS base_sha256,
-               coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+               coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+               coalesce(most_repositories, 0) AS most_repositories, coalesce(most_owners, 0) AS most_owners
         FROM docs LEFT JOIN listed USING (row)
     """
 

@@ -3,13 +3,13 @@
 Everything here is DataFrame functions. A pattern cuts a text into the pieces between its
 matches; running lengths of pieces and matches give the spans, in code points. Values of
 candidates are hashed; for each hash the distinct repositories and owners are counted over
-the whole corpus. A value found with many owners is a widely copied example; one that few
-hold, and that looks random, is a live credential.
+the whole corpus. A value found with many owners, or in very many repositories, is a widely
+copied example; one that few hold, and that looks random, is a live credential.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,10 @@ from folioscope.llm.common import settled, whole
 
 #: Owners from which on a value counts as a widely copied example.
 EXAMPLE_OWNERS = 8
+#: Repositories from which on it counts as one, whoever owns them.
+EXAMPLE_REPOSITORIES = 1000
+#: Matches whose places are summed at a time.
+BLOCK = 256
 #: A value looks live if it has so many different characters, and a digit.
 LIVE_CHARACTERS = 8
 
@@ -64,18 +68,36 @@ KINDS = (*BASE, *FURTHER)
 SPAN = "struct<kind:string,rank:int,base:boolean,start:int,end:int,value:string>"
 
 
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it; inside
+    of a lambda an expression from outside would be computed for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def spans_of(text: Column, kind: Kind, rank: int) -> Column:
-    """The spans of one kind in order, as an array of ``SPAN``."""
+    """The spans of one kind in order, as an array of ``SPAN``.
+
+    Places are running sums over pieces and matches. They are taken in blocks, within each
+    and over the blocks' totals, as a list that grows by copying would cost the square of
+    the matches.
+    """
     pattern = F.lit(kind.pattern)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    values = F.regexp_extract_all(text, pattern, F.lit(kind.group))
-    pieces = F.split(text, kind.pattern, -1)
     nothing = F.array().cast(f"array<{SPAN}>")
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
+    matched = F.struct(
+        F.transform(F.split(text, kind.pattern, -1), F.length).alias("gaps"),
+        F.regexp_extract_all(text, pattern, F.lit(0)).alias("matches"),
+        F.regexp_extract_all(text, pattern, F.lit(kind.group)).alias("values"),
+    )
+
+    def zipped(m: Column) -> Column:
+        ends = F.transform(m["matches"], F.length)
+        return F.arrays_zip(
+            F.slice(m["gaps"], 1, F.size(m["matches"])).alias("gap"), ends.alias("length"), m["values"].alias("value")
+        )
 
     def step(state: Column, one: Column) -> Column:
-        begin = state["at"] + F.length(one["piece"])
-        end = begin + F.length(one["match"])
+        begin = state["at"] + one["gap"]
+        end = begin + one["length"]
         span = F.struct(
             F.lit(kind.name).alias("kind"),
             F.lit(rank).alias("rank"),
@@ -88,10 +110,36 @@ def spans_of(text: Column, kind: Kind, rank: int) -> Column:
         spans = F.when(kept, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
         return F.struct(end.alias("at"), spans.alias("spans"))
 
-    parts = F.arrays_zip(
-        F.slice(pieces, 1, F.size(matches)).alias("piece"), matches.alias("match"), values.alias("value")
+    start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
+
+    def blocks_of(parts: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int")),
+            lambda block: F.aggregate(F.slice(parts, block * BLOCK + 1, F.lit(BLOCK)), start, step),
+        )
+
+    blocks = with_value(with_value(matched, zipped), blocks_of)
+
+    def follow(state: Column, block: Column) -> Column:
+        return F.struct(
+            (state["at"] + block["at"]).alias("at"),
+            F.concat(state["blocks"], F.array(F.struct(state["at"].alias("at"), block["spans"].alias("spans")))).alias(
+                "blocks"
+            ),
+        )
+
+    placed = F.aggregate(
+        blocks,
+        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<at:int,spans:array<{SPAN}>>>").alias("blocks")),
+        follow,
+        lambda state: state["blocks"],
     )
-    found = F.aggregate(parts, start, step, lambda state: state["spans"])
+
+    def moved(span: Column, by: Column) -> Column:
+        names = ("kind", "rank", "base", "start", "end", "value")
+        return F.struct(*((span[n] + by if n in ("start", "end") else span[n]).alias(n) for n in names))
+
+    found = F.flatten(F.transform(placed, lambda block: F.transform(block["spans"], lambda s: moved(s, block["at"]))))
     return F.when(text.rlike(kind.pattern), found).otherwise(nothing)
 
 
@@ -121,14 +169,15 @@ def looks_live(value: Column) -> Column:
     return (distinct >= LIVE_CHARACTERS) & value.rlike("[0-9]")
 
 
-def _verdicts(rows: DataFrame, example_owners: int) -> DataFrame:
+def _verdicts(rows: DataFrame, example_owners: int, example_repositories: int) -> DataFrame:
     """``row, spans`` for rows with ``row, owner, repository, found``: the spans, each with
-    ``live``. Spans come apart once, meet the counts of their values by hash, and come
+    ``live``, ``example`` and the two counts. Spans come apart once, meet the counts of their values by hash, and come
     together again by row; texts are not among the columns."""
     hits = rows.select("row", "owner", "repository", F.explode("found").alias("span"))
     hits = hits.withColumn("digest", F.sha2(F.col("span.value"), 256))
     known = ownership(hits)
     likely = F.col("span.base") | looks_live(F.col("span.value"))
+    example = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories)
     spans = hits.join(known, "digest").select(
         "row",
         F.struct(
@@ -137,8 +186,10 @@ def _verdicts(rows: DataFrame, example_owners: int) -> DataFrame:
             F.col("span.kind").alias("kind"),
             F.col("span.base").alias("base"),
             F.col("span.end").alias("end"),
-            (likely & (F.col("owners") < example_owners)).alias("live"),
-            (F.col("owners") >= example_owners).alias("example"),
+            (likely & ~example).alias("live"),
+            example.alias("example"),
+            F.col("owners").alias("owners"),
+            F.col("repositories").alias("repositories"),
         ).alias("span"),
     )
     return spans.groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("spans"))
@@ -151,12 +202,13 @@ def find_secrets(
     owner: str = "source",
     repository: str = "doc_id",
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, spans``, an array of ``start, rank, kind,
-    base, end, live, example`` in order of start and kind.
+    base, end, live, example, owners, repositories`` in order of start and kind.
 
-    A span is an ``example`` if its value is held by ``example_owners`` owners or more. It
-    is ``live`` if it is not and is of a base kind or looks random. NULL and empty texts
+    A span is an ``example`` if its value is held by ``example_owners`` owners or stands in
+    ``example_repositories`` repositories (of an owner each) or more. It is ``live`` if it is not and is of a base kind or looks random. NULL and empty texts
     have no spans. A NULL owner or repository counts as one of its own. Repeated rows are
     reported each and count once. Texts are read whole; further columns are ignored.
     """
@@ -168,7 +220,7 @@ def find_secrets(
             candidates(whole(text)).alias("found"),
         ).withColumn("row", F.monotonically_increasing_id())
     )
-    verdicts = _verdicts(rows.filter(F.size("found") > 0), example_owners)
+    verdicts = _verdicts(rows.filter(F.size("found") > 0), example_owners, example_repositories)
     nothing = F.array().cast(verdicts.schema["spans"].dataType)
     return rows.join(verdicts, "row", "left").select(
         "doc_id", F.coalesce("spans", nothing).alias("spans")
@@ -201,6 +253,7 @@ def redacted(
     text: str = "text",
     owner: str = "source",
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
     mark: str = "[secret]",
     length: str = "n_chars",
 ) -> DataFrame:
@@ -222,7 +275,7 @@ def redacted(
         )
     )
     live = F.filter("spans", lambda span: span["live"])
-    masked = hit.join(_verdicts(hit, example_owners), "row").select(
+    masked = hit.join(_verdicts(hit, example_owners, example_repositories), "row").select(
         "doc", "spans", blanked(F.col("doc")[text], live, mark).alias("masked")
     )
     changed = F.exists("spans", lambda span: span["live"])

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import defaultdict
 
 import odd
@@ -83,6 +84,35 @@ def test_ownership_is_counted_over_the_corpus(spark):
         assert [(s.live, s.example) for s in row.spans] == [(len(owners[value]) < 8, len(owners[value]) >= 8)]
 
 
+def test_many_matches_in_one_text_take_linear_time(spark):
+    """A list of spans that grows by copying would take minutes."""
+    values = [hashlib.md5(b"%d" % n).hexdigest() for n in range(100_000)]
+    text = "é " + " | ".join(values) + " end"
+    docs = odd.documents(spark, [(1, text, "en", "s")])
+    start = time.perf_counter()
+    spans = secrets.find_secrets(docs).first().spans
+    assert time.perf_counter() - start < 60
+    places = [(s.start, s.end) for s in spans if s.kind == "hex"]
+    assert places == [(2 + 35 * n, 34 + 35 * n) for n in range(100_000)]
+
+
+@pytest.mark.parametrize("count", [0, 1, 255, 256, 257, 512, 700])
+def test_spans_over_blocks(spark, count):
+    text = "é日".join(f"AKIA{n:012d}" for n in range(count))
+    row = secrets.find_secrets(odd.documents(spark, [(1, text, "en", "s")])).first()
+    assert [(s.start, s.end) for s in row.spans if s.kind == "access"] == [(18 * n, 18 * n + 16) for n in range(count)]
+
+
+def test_repositories_of_one_owner_make_an_example(spark):
+    rows = [(i, "token=copied12345" if i % 2 else f"token=own{i:09d}", "en", "one") for i in range(20)]
+    docs = odd.documents(spark, rows * 3).repartition(5)  # copies of a repository count once
+    for bar, example in ((10, True), (11, False)):
+        found = secrets.find_secrets(docs, example_repositories=bar).filter("doc_id % 2 = 1").collect()
+        assert {(s.example, s.live, s.owners, s.repositories) for r in found for s in r.spans} == {(example, not example, 1, 10)}
+    kept = secrets.redacted(docs, example_repositories=10).filter("doc_id % 2 = 1")
+    assert {r.text for r in kept.collect()} == {"token=copied12345"}
+
+
 def test_odd_documents(spark):
     docs = odd.documents(spark, odd.ODD + odd.ODD[:2]).repartition(3)
     rows = secrets.find_secrets(docs).collect()
