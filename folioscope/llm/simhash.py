@@ -252,8 +252,12 @@ def one_of_each(
     that share id and text are reduced to one with a partial aggregation, so a row that
     is repeated very often costs each task one row.
     """
-    hashed = docs.withColumn("__hash", F.xxhash64(whole(text)))
-    found = grouped(hashed, id_column, text, carry=("__hash",))
+    # The row goes as one column, so that none of its columns can clash with those made here.
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("doc")
+    hashed = docs.select(
+        row, F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(whole(text)).alias("__hash")
+    )
+    found = grouped(hashed.drop("doc"), "id", "text", carry=("__hash",))
     heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rows = heads.groupBy("group", "doc_id", "__hash").agg(F.count(F.lit(1)).alias("__rows"))
     kept = settled(
@@ -263,9 +267,8 @@ def one_of_each(
     )
 
     def rows_of(which: DataFrame) -> DataFrame:
-        same = hashed[id_column].eqNullSafe(which["__id"]) & (hashed["__hash"] == which["__hash"])
-        doc = F.struct(*(hashed[name] for name in docs.columns)).alias("doc")
-        return hashed.join(which, same).select(doc, "__group")
+        same = hashed["id"].eqNullSafe(which["__id"]) & (hashed["__hash"] == which["__hash"])
+        return hashed.select("doc", "id", "__hash").join(which, same).select("doc", "__group")
 
     out = rows_of(kept.filter(F.col("__rows") == 1)).select("doc.*")
     repeated = kept.filter(F.col("__rows") > 1)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from xxhash import xxh64_intdigest
 
-from folioscope.llm import components, queries, simhash
+from folioscope.llm import resemblance, components, queries, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -124,3 +124,12 @@ def test_repeated_rows_and_null_ids_leave_one(spark):
         (3, "q r s t u v"),
     ]
     assert simhash.one_of_each(odd.documents(spark, [])).collect() == []
+
+
+def test_clashing_and_dotted_columns_pass_through(spark):
+    rows = [(i, f"text number {i % 3} with some words", i, f"h{i}", 7) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __hash long, `a.b` string, doc int")
+    for grouped in (simhash.near_duplicates, resemblance.near_copies):
+        kept = simhash.one_of_each(docs, grouped=grouped)
+        assert kept.columns == docs.columns
+        assert sorted(map(tuple, kept.collect())) == rows[:3]
