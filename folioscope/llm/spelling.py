@@ -275,7 +275,7 @@ def group_variants(words: DataFrame, times: int = FORM_TIMES) -> DataFrame:
     distinct = words.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
     known = settled(distinct)
     compared = known.filter(F.length("word") >= GRAM * 2)
-    formed = settled(forms_of(known, near_pairs(compared, gram_order(compared)), times))
+    formed = settled(forms_of(known, settled(near_pairs(compared, gram_order(compared))), times))
     rooted = formed.join(roots_of(formed, times), "word", "left")
     return rooted.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
