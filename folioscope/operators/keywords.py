@@ -17,7 +17,7 @@ DEFAULT_LIMIT = 10
 SHARES = 64
 
 
-def _matches(text: str, keyword: str, literal: bool) -> Column:
+def matches(text: str, keyword: str, literal: bool) -> Column:
     return F.col(text).ilike(like_pattern(keyword, literal))
 
 
@@ -33,7 +33,7 @@ def any_keyword(
     """Pages that contain at least one keyword, the first ``limit`` in key order."""
     if not keywords:
         return pages.limit(0)
-    found = reduce(or_, [_matches(text, keyword, literal) for keyword in keywords])
+    found = reduce(or_, [matches(text, keyword, literal) for keyword in keywords])
     return in_source(pages, source).filter(found).orderBy(*key).limit(limit)
 
 
@@ -47,7 +47,7 @@ def ranked_by_matches(
 ) -> DataFrame:
     """The ``limit`` pages that contain most of the keywords, with ``matches`` and
     ``rank``; equals by key."""
-    found = [F.when(_matches(text, keyword, literal), 1).otherwise(0) for keyword in keywords]
+    found = [F.when(matches(text, keyword, literal), 1).otherwise(0) for keyword in keywords]
     total = reduce(lambda a, b: a + b, found, F.lit(0))
     counted = pages.withColumn("matches", F.coalesce(total, F.lit(0))).filter("matches > 0").drop(text)
     order = [F.desc("matches"), *[F.asc(name) for name in key]]
@@ -74,7 +74,7 @@ def each_keyword(
     if not keywords:
         return pages.limit(0).withColumns({"keyword": F.lit(""), "rank": F.lit(0).cast("long")})
     matched = [
-        F.when(_matches(text, keyword, literal), F.struct(F.lit(n).alias("n"), F.lit(keyword).alias("k")))
+        F.when(matches(text, keyword, literal), F.struct(F.lit(n).alias("n"), F.lit(keyword).alias("k")))
         for n, keyword in enumerate(keywords)
     ]
     others = [name for name in pages.columns if name != text]

@@ -114,6 +114,64 @@ def fuse(
     return ranked(fused.orderBy(*order).limit(k), order)
 
 
+def ranks_of(wanted: DataFrame, rows: DataFrame, key: Sequence[str], score: str, name: str) -> DataFrame:
+    """``*key, name``: the place of each row of ``wanted`` in ``rows`` by score, missing last,
+    then by key. Rows of ``wanted`` that are not among ``rows`` have none.
+
+    ``wanted`` has a bounded number of rows. Rows are counted by how many of its scores they
+    exceed, and rows of equal score by how many have a lower key; nothing is sorted.
+    """
+    key = list(key)
+    value = F.coalesce(F.col(score).cast("double"), F.lit(float("-inf")))
+    valued = rows.select(*key, value.alias("__score"))
+    held = valued.join(F.broadcast(wanted.select(*key).distinct()), key)
+    held = rows.sparkSession.createDataFrame(held.collect(), held.schema)
+    steps = sorted(row["__score"] for row in held.select("__score").distinct().collect())
+    if not steps:
+        return held.select(*key, F.lit(0).cast("long").alias(name))
+    exceeded = F.size(F.filter(F.array(*map(F.lit, steps)), lambda step: step < F.col("__score")))
+    counts = {row["e"]: row["count"] for row in valued.groupBy(exceeded.alias("e")).count().collect()}
+    above = {step: sum(n for e, n in counts.items() if e > at) for at, step in enumerate(steps)}
+    better = F.element_at(F.create_map(*(F.lit(x) for pair in above.items() for x in pair)), F.col("__score"))
+    mine = held.select("__score", F.struct(*key).alias("__mine"))
+    equal = valued.join(F.broadcast(mine), "__score").filter(F.struct(*key) < F.col("__mine"))
+    before = equal.groupBy("__mine").agg(F.count(F.lit(1)).alias("__before")).select("__mine.*", "__before")
+    place = better + F.coalesce("__before", F.lit(0)) + 1
+    return held.join(before, key, "left").select(*key, place.cast("long").alias(name))
+
+
+def fuse_whole(
+    left: DataFrame,
+    right: DataFrame,
+    key: Sequence[str],
+    scores: tuple[str, str],
+    k: int = DEFAULT_TOP_K,
+    constant: int = 60,
+) -> DataFrame:
+    """Reciprocal-rank fusion of two whole lists, given as rows with scores, not ranks.
+
+    The ``k``-th best sum is at least ``1 / (constant + k)``, the share of a ``k``-th place. A row
+    beyond the first ``constant + 2k`` places of both lists has less, so only rows among
+    these can be hits, and only their places are taken, each in the whole of both lists. A
+    list is read three times: hand in written rows.
+    """
+    key, depth = list(key), constant + 2 * k
+    lists = ((left, scores[0], "__left"), (right, scores[1], "__right"))
+
+    def first(rows: DataFrame, score: str) -> DataFrame:
+        order = [F.desc_nulls_last(score), *[F.asc(name) for name in key]]
+        return rows.orderBy(*order).limit(depth).select(*key)
+
+    both = first(left, scores[0]).union(first(right, scores[1])).distinct()
+    wanted = left.sparkSession.createDataFrame(both.collect(), both.schema)  # 2 * depth rows at most
+    fused = wanted
+    for rows, score, name in lists:
+        fused = fused.join(ranks_of(wanted, rows, key, score, name), key, "left")
+    share = [F.coalesce(F.lit(1.0) / (F.col(name) + constant), F.lit(0.0)) for _, _, name in lists]
+    order = [F.desc("score"), *[F.asc(name) for name in key]]
+    return ranked(fused.select(*key, F.round(share[0] + share[1], 9).alias("score")).orderBy(*order).limit(k), order)
+
+
 def without_self(hits: DataFrame, key: str, k: int, query: str = "query_id") -> DataFrame:
     """Neighbours of rows that were queries themselves: no row as its own hit.
 

@@ -62,6 +62,16 @@ def top_k(
     return ranked(scored.orderBy(*order).limit(k), order)
 
 
+def similarities(
+    rows: DataFrame,
+    query: Sequence[float],
+    vector: str = "embedding",
+    score: Callable[[str, Sequence[float]], Column] = batch_similarity,
+) -> DataFrame:
+    """All rows with ``similarity``, rounded as for ranking, in place of the vector."""
+    return rows.withColumn("similarity", F.round(score(vector, query), ROUNDING)).drop(vector)
+
+
 def semantic_search(
     rows: DataFrame,
     query: Sequence[float],
@@ -76,9 +86,8 @@ def semantic_search(
 def attach_rows(hits: DataFrame, rows: DataFrame, key: Sequence[str] = PAGE_KEY) -> DataFrame:
     """The columns of ``rows`` for each hit: first the hits' columns, then the others.
 
-    Hits are few by construction, ``k`` for each query, and the queries' vectors fit one
-    task; so the hits are sent to the rows, which stay where they are.
+    Whether the hits travel to the rows or both are shuffled, Spark decides by the size it
+    measures.
     """
     others = [name for name in rows.columns if name not in key]
-    joined = F.broadcast(hits).join(rows, list(key))
-    return joined.select(*hits.columns, *others)
+    return hits.join(rows, list(key)).select(*hits.columns, *others)

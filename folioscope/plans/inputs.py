@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioscope.functions.embedding import embed_words
 from folioscope.functions.text import or_empty, word_count, words
+from folioscope.operators.bm25 import WordIndex
 from folioscope.operators.search import in_source
+from folioscope.operators.trigrams import TrigramIndex
 from folioscope.schemas import PAGE_KEY, PAGES_TABLE
 from folioscope.session import scratch_path
 from folioscope.sources.paged import page_table
 from folioscope.sources.store import PageStore, page_vectors
 
 STORED_PAGES = T.StructType([*PAGES_TABLE.fields, T.StructField("document_id", T.LongType())])
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[tuple, str]] = {}
 CREATED = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id)"
 
 
@@ -37,19 +41,58 @@ def pages(spark: SparkSession, folder: str, only: str | None = None, **more: Col
     return page_table(table(spark, folder, "documents"), "source", "doc_id", keep=keep, only=only)
 
 
+def _version(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files at a path: another version, another store."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listStatus(folder)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+
+
+def _kept(spark: SparkSession, folder: str, name: str, make: Callable[[str], None]) -> str:
+    """The path of something derived from ``documents``, made when the first query of an
+    application asks for it, and again when the table has changed."""
+    version = _version(spark, f"{folder}/documents.parquet")
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key in _STORED and _STORED[key][0] == version and PageStore(spark, _STORED[key][1]).exists():
+        return _STORED[key][1]
+    path = scratch_path(spark, name)
+    make(path)
+    _STORED[key] = (version, path)
+    return path
+
+
+def page_store(spark: SparkSession, folder: str) -> PageStore:
+    """The page table over ``documents`` with vectors in a page store: texts are numbered,
+    measured and embedded once, and all searches read it."""
+
+    def make(path: str) -> None:
+        rows = page_vectors(pages(spark, folder), embed_words)
+        PageStore(spark, path, schema=STORED_PAGES).replace_sources(rows)
+
+    return PageStore(spark, _kept(spark, folder, "stored-pages", make), schema=STORED_PAGES)
+
+
 def stored_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The page table over ``documents`` with vectors, read from a page store.
-
-    Texts are numbered, measured and embedded once; the store is made when the first query
-    of an application asks for this folder, and all searches read it.
-    """
-    key = (spark.sparkContext.applicationId, folder)
-    known = PageStore(spark, _STORED[key], schema=STORED_PAGES) if key in _STORED else None
-    if known is None or not known.exists():
-        known = PageStore(spark, scratch_path(spark, "stored-pages"), schema=STORED_PAGES)
-        known.replace_sources(page_vectors(pages(spark, folder), embed_words))
-        _STORED[key] = known.path
-    return known.read()
+    return page_store(spark, folder).read()
+
+
+def trigram_index(spark: SparkSession, folder: str) -> TrigramIndex:
+    """The trigrams of the stored pages."""
+
+    def make(path: str) -> None:
+        TrigramIndex(spark, path).build(stored_pages(spark, folder))
+
+    return TrigramIndex(spark, _kept(spark, folder, "trigrams", make))
+
+
+def word_index(spark: SparkSession, folder: str) -> WordIndex:
+    """The words of the stored pages."""
+
+    def make(path: str) -> None:
+        WordIndex(spark, path).build(stored_pages(spark, folder))
+
+    return WordIndex(spark, _kept(spark, folder, "words", make))
 
 
 def stored_vectors(spark: SparkSession, folder: str, *columns: str) -> DataFrame:

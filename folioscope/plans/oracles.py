@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from folioscope.plans.queries import FUSED_DEPTH, KEYWORDS, QUESTION
+from folioscope.operators.bm25 import B, K1
+from folioscope.plans.queries import INDEX_KEYWORDS, KEYWORDS, QUESTION
 
 # The separators of functions.text, as the SQL engine's regular expressions write them.
 SPACES = (
@@ -133,7 +134,6 @@ for _entity, _character in (
 HTML = _strip(f"regexp_replace({HTML}, '[{SPACES}]+', ' ', 'g')")
 
 _ANY = " OR ".join(f"text ILIKE '%{keyword}%'" for keyword in KEYWORDS[1:])
-_MATCHES = " + ".join(f"(text ILIKE '%{keyword}%')::INTEGER" for keyword in KEYWORDS[1:])
 _DIGEST = "md5(text) AS text_md5, length(text) AS text_chars"
 
 
@@ -141,6 +141,25 @@ def _snippet(text: str, limit: int) -> str:
     return f"substr({text}, 1, {limit}) || '...'"
 
 
+_ANY_INDEXED = " OR ".join(f"text ILIKE '%{keyword}%'" for keyword in INDEX_KEYWORDS[1:6])
+
+#: CTE ``bm``: the score of every page that has a word of the question.
+BM25 = f"""pw AS (
+  SELECT source_file, page_number, word, count(*) AS times, any_value(word_count) AS length
+  FROM (SELECT source_file, page_number, word_count, unnest({_words('lower(text)')}) AS word FROM p)
+  GROUP BY source_file, page_number, word
+), qw AS (
+  SELECT word, count(*) AS asked FROM (SELECT unnest({_words(f"lower('{QUESTION}')")}) AS word) GROUP BY word
+), every AS (SELECT count(*) AS pages, avg(word_count) AS mean FROM p
+), df AS (SELECT word, count(*) AS held FROM pw GROUP BY word
+), bm AS (
+  SELECT source_file, page_number,
+         round(sum(asked * ln(1 + (pages - held + 0.5::DOUBLE) / (held + 0.5::DOUBLE))
+                   * times * ({K1}::DOUBLE + 1) / (times + {K1}::DOUBLE * (1 - {B}::DOUBLE + {B}::DOUBLE * length / mean))), 6) AS score
+  FROM pw JOIN qw USING (word) JOIN df USING (word) CROSS JOIN every
+  GROUP BY source_file, page_number
+)"""
+
 _FLAT = "replace(" + _strip("text") + ", chr(10), ' ')"
 
 ORACLES: dict[str, str] = {
@@ -245,6 +264,21 @@ FROM p WHERE {_ANY} ORDER BY source_file, page_number LIMIT 10""",
        row_number() OVER (PARTITION BY keyword ORDER BY source_file, page_number) AS rank
 FROM p JOIN (SELECT unnest({KEYWORDS}) AS keyword) k ON text ILIKE '%' || keyword || '%'
 QUALIFY rank <= 10""",
+    "keyword_index_any": _with(PAGES)
+    + f"""SELECT source_file, page_number, {_snippet('text', 100)} AS snippet
+FROM p WHERE {_ANY_INDEXED} ORDER BY source_file, page_number LIMIT 25""",
+    "keyword_index_each": _with(PAGES)
+    + f"""SELECT keyword, source_file, page_number, {_snippet('text', 200)} AS snippet,
+       row_number() OVER (PARTITION BY keyword ORDER BY source_file, page_number) AS rank
+FROM p JOIN (SELECT unnest({INDEX_KEYWORDS}) AS keyword) k ON text ILIKE '%' || keyword || '%'
+QUALIFY rank <= 10""",
+    "word_scores": _with(PAGES, BM25) + "SELECT * FROM bm",
+    "word_search": _with(PAGES, BM25)
+    + """SELECT *, row_number() OVER (ORDER BY score DESC, source_file, page_number) AS rank FROM bm
+QUALIFY rank <= 50""",
+    "word_search_in_source": _with(PAGES, BM25)
+    + """SELECT *, row_number() OVER (ORDER BY score DESC, page_number) AS rank FROM bm
+WHERE source_file = 'src5' QUALIFY rank <= 10""",
     "embed_hash": _with(_embedded("d", "(SELECT doc_id, coalesce(text, '') AS text FROM documents)", "doc_id"))
     + "SELECT doc_id, bucket::BIGINT AS bucket, round(weight, 6) AS weight FROM d",
     "vector_normalize": """SELECT vec_id, position,
@@ -332,11 +366,11 @@ QUALIFY rank <= 3""",
         PAGES,
         _embedded("q", f"(SELECT 0 AS query_id, '{QUESTION}' AS text)", "query_id"),
         EMBEDDED_PAGES,
-        _hits(FUSED_DEPTH),
+        _hits(1_000_000_000),
+        BM25,
     )
-    + f""", worded AS (
-  SELECT source_file, page_number, row_number() OVER (ORDER BY {_MATCHES} DESC, source_file, page_number) AS rank
-  FROM p WHERE {_ANY} QUALIFY rank <= {FUSED_DEPTH}
+    + """, worded AS (
+  SELECT source_file, page_number, row_number() OVER (ORDER BY score DESC, source_file, page_number) AS rank FROM bm
 ), fused AS (
   SELECT source_file, page_number,
          round(coalesce(1.0::DOUBLE / (60 + h.rank), 0) + coalesce(1.0::DOUBLE / (60 + w.rank), 0), 9) AS score

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from folioscope.functions import text as tx
 from folioscope.functions import vectors as vx
 from folioscope.functions.embedding import embed_words
-from folioscope.operators import approximate, chunking, keywords, listing, results, rollup, search
+from folioscope.operators import approximate, chunking, keywords, listing, results, rollup, search, trigrams
 from folioscope.operators.blocks import batch_top_k, blocks_for
 from folioscope.plans import inputs
 from folioscope.schemas import DEFAULT_CHUNK_SIZE, PAGE_KEY, STORED_TEXT_LIMIT
@@ -22,8 +22,8 @@ from folioscope.streaming import ingest
 SIZE = DEFAULT_CHUNK_SIZE
 KEYWORDS = ["the", "Ouè", "zzz", "of%and"]
 VECTOR_KEY = ["vec_id"]
-#: How many ranks of each list count in a fused search; a page below has no share of it.
-FUSED_DEPTH = 100
+#: Wildcards, other cases, escapes aside: patterns with and without a trigram.
+INDEX_KEYWORDS = ["THE", "Ouè", "zzz", "of%and", "tion_der", "lich%%keit", "x_", "é", "qu", "nicht zu finden"]
 QUESTION = "Nicht aulich for the hendnt and of ingbleand"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -318,6 +318,43 @@ def keyword_each(spark, folder):
     return hits.select("keyword", "source_file", *_long("page_number", "rank"), F.col("text").alias("snippet"))
 
 
+@query
+def keyword_index_any(spark, folder):
+    """As ``keyword_any``, through the trigram index."""
+    index, pages = inputs.trigram_index(spark, folder), inputs.stored_pages(spark, folder)
+    hits = trigrams.any_keyword(index, pages, INDEX_KEYWORDS[1:6], 25)
+    return hits.select("source_file", *_long("page_number"), tx.snippet("text", 100).alias("snippet"))
+
+
+@query
+def keyword_index_each(spark, folder):
+    """As ``keyword_each``, through the trigram index; some keywords have no trigram."""
+    index = inputs.trigram_index(spark, folder)
+    pages = inputs.stored_pages(spark, folder).select("source_file", "page_number", "text")
+    hits = trigrams.each_keyword(index, pages, INDEX_KEYWORDS)
+    return hits.select("keyword", "source_file", *_long("page_number", "rank"), F.col("text").alias("snippet"))
+
+
+@query
+def word_search(spark, folder):
+    """The best pages by BM25, whole lists."""
+    hits = inputs.word_index(spark, folder).top_k(QUESTION, 50)
+    return hits.select("source_file", *_long("page_number", "rank"), "score")
+
+
+@query
+def word_search_in_source(spark, folder):
+    hits = inputs.word_index(spark, folder).top_k(QUESTION, 10, source="src5")
+    return hits.select("source_file", *_long("page_number", "rank"), "score")
+
+
+@query
+def word_scores(spark, folder):
+    """The BM25 score of every page with a word of the question."""
+    scores = inputs.word_index(spark, folder).scores(QUESTION)
+    return scores.select("source_file", *_long("page_number"), "score")
+
+
 # Vectors
 
 
@@ -533,15 +570,23 @@ def topic_clusters(spark, folder):
 @query
 def hybrid_search(spark, folder):
     question = spark.range(1).select(embed_words(F.lit(QUESTION)).alias("v")).first()["v"]
-    pages = inputs.stored_pages(spark, folder)
-    semantic = search.top_k(pages.select("source_file", "page_number", "embedding"), question, FUSED_DEPTH)
-    worded = keywords.ranked_by_matches(
-        pages.select("source_file", "page_number", "text"), KEYWORDS[1:], FUSED_DEPTH
+    vectors = inputs.stored_pages(spark, folder).select("source_file", "page_number", "embedding")
+    hits = results.fuse_whole(
+        _written(spark, search.similarities(vectors, question)),
+        _written(spark, inputs.word_index(spark, folder).scores(QUESTION)),
+        ["source_file", "page_number"],
+        ("similarity", "score"),
+        10,
     )
-    hits = results.fuse(semantic, worded, ["source_file", "page_number"], 10)
     return hits.select("source_file", *_long("page_number", "rank"), "score")
 
 
+def _written(spark, rows):
+    path = scratch_path(spark, "scores")
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # Streaming
 
 
