@@ -1,9 +1,8 @@
-"""The page table on disk: Parquet, one directory per group of sources or per source."""
+"""The page table on disk: Parquet, a base in directories and the changes since."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,26 +10,39 @@ from pyspark.sql import types as T
 
 from folioscope.functions.text import cut
 from folioscope.operators.rollup import chunk_texts
+from folioscope.operators.search import in_source
 from folioscope.schemas import PAGE_KEY, PAGES_TABLE, conform
+from folioscope.sources.postings import literal_keys
 
 GROUP_COLUMN = "source_group"
 DEFAULT_GROUPS = 64
+#: What a recent row has besides the page: the number of its write, whether the page is
+#: deleted, and whether the write has all pages of the source.
+CHANGE = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("gone", T.BooleanType()),
+        T.StructField("whole", T.BooleanType()),
+    ]
+)
+# Fixed value: the characters that names of partition directories escape.
+RESERVED = '"#%\'*/:=?\\{[]^'
 
 
 class PageStore:
-    """Pages at ``path``, replaced per source and so never stored twice.
-
-    Sources are hashed into ``groups`` directories, and a replacement rewrites the other
-    sources of the touched directories as well. ``groups=None`` gives every source a
-    directory of its own; use it for few, large sources with short names.
-
-    What comes in is written once to a staging folder next to the table, and all that
-    follows reads it there: the input is computed a single time. Writes then overwrite
-    only the directories they touch, which are exchanged when the job commits, so a lost
-    executor costs a repeated task and no rows. A directory that outgrows one task is
-    split over several (a ``rebalance`` hint, acted on by adaptive execution). Files are
-    in key order, so that lookups skip row groups. A catalogue table made by
-    :meth:`create` follows every change.
+    """Pages at ``path``: a base, and the changes since, which readers apply.
+
+    The first load makes the ``base``, a directory for each group of sources, or with
+    ``groups=None`` for each source (for few, large sources). Every later write appends one
+    set of files to ``recent`` in one job: new versions of pages, whole sources
+    that replace earlier ones, or marks of deletion. So a small batch costs a small write,
+    and a change is there with its commit or not at all. Readers take the newest version of
+    each page; what they shuffle or send for that are the keys of recent rows alone. After ``compact_after``
+    writes, or when told, recent rows are merged into the groups of the base that they touch.
+
+    A directory that outgrows one task is split over several (a ``rebalance`` hint, acted on
+    by adaptive execution). Base files are in key order, so that lookups skip row groups. There is
+    one writer at a time; readers may go on, but for those of files a compaction replaces.
     """
 
     def __init__(
@@ -39,132 +51,190 @@ class PageStore:
         path: str,
         schema: T.StructType = PAGES_TABLE,
         groups: int | None = DEFAULT_GROUPS,
+        compact_after: int = 32,
     ):
-        self.tables: list[str] = []
         self.spark, self.path, self.schema, self.groups = spark, path.rstrip("/"), schema, groups
         self.partition = GROUP_COLUMN if groups else "source_file"
+        self.compact_after = compact_after
+        # The directory of the base that only tells the schema; a value of the right type.
+        self.no_group = "-1" if groups else "__none__"
+        self.base, self.recent = f"{self.path}/base", f"{self.path}/recent"
 
-    def _group(self, source: Column) -> Column:
+    def group(self, source: Column) -> Column:
         return F.pmod(F.xxhash64(source), F.lit(self.groups)).cast("int")
 
-    def _full_schema(self) -> T.StructType:
+    def _base_schema(self) -> T.StructType:
         if not self.groups:
             return self.schema
         return T.StructType([*self.schema.fields, T.StructField(GROUP_COLUMN, T.IntegerType())])
 
-    def _folder(self, path: str | None = None):
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path or self.path)
+    def _recent_schema(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, *CHANGE.fields])
+
+    def _folder(self, path: str):
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
-    def exists(self) -> bool:
-        files, folder = self._folder()
+    def _has(self, path: str) -> bool:
+        files, folder = self._folder(path)
         return files.exists(folder)
 
+    def _remove(self, path: str) -> None:
+        files, folder = self._folder(path)
+        files.delete(folder, True)
+
+    def exists(self) -> bool:
+        return self._has(self.path)
+
     def create(self, table: str | None = None) -> None:
-        """Make the folder and, if named, the catalogue table over it. Safe to repeat."""
-        files, folder = self._folder()
-        files.mkdirs(folder)
+        """Make the folder and, if named, a view of the stored pages in the catalogue. Safe to
+        repeat. The view reads the files, so it shows every change, whoever makes it."""
+        for path, schema in ((self.base, self._base_schema()), (self.recent, self._recent_schema())):
+            if not self._has(path):
+                # An empty file tells the schema. Of the base it lies in a directory of no group.
+                rows = self.spark.createDataFrame([], schema)
+                if path == self.base:
+                    path, rows = f"{path}/{self.partition}={self.no_group}", rows.drop(self.partition)
+                rows.coalesce(1).write.parquet(path)
         if table and not self.spark.catalog.tableExists(table):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._full_schema())
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-                f"PARTITIONED BY (`{self.partition}`) LOCATION '{self.path}'"
-            )
-        if table:
-            self.tables.append(table)
-            self._follow()
-
-    def _follow(self) -> None:
-        """Let the catalogue tables see the directories that are there now."""
-        for table in self.tables:
-            if self.spark.catalog.tableExists(table):
-                self.spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-                self.spark.catalog.refreshTable(table)
-
-    def _stored(self) -> DataFrame:
-        if not self.exists():
-            return self.spark.createDataFrame([], self._full_schema())
-        return self.spark.read.schema(self._full_schema()).parquet(self.path)
+            self.spark.sql(f"CREATE VIEW {table} AS {self._view()}")
+
+    def _view(self) -> str:
+        """:meth:`read` in SQL."""
+        columns = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in self.schema)
+        return f"""
+            WITH r AS (SELECT * FROM parquet.`{self.recent}`),
+            newest AS (SELECT source_file AS s, page_number AS p, max(version) AS v FROM r GROUP BY ALL),
+            cut AS (SELECT source_file AS c, max(version) AS w FROM r WHERE whole GROUP BY ALL)
+            SELECT {columns} FROM r JOIN newest ON source_file = s AND page_number = p AND version = v
+            LEFT JOIN cut ON source_file = c WHERE NOT gone AND (w IS NULL OR version >= w)
+            UNION ALL
+            SELECT {columns} FROM parquet.`{self.base}`
+            LEFT ANTI JOIN newest ON source_file = s AND page_number = p
+            LEFT ANTI JOIN cut ON source_file = c"""
+
+    def _base(self) -> DataFrame:
+        if not self._has(self.base):
+            return self.spark.createDataFrame([], self._base_schema())
+        return self.spark.read.schema(self._base_schema()).parquet(self.base)
+
+    def _changes(self, source: str | None = None) -> DataFrame | None:
+        if not self._has(self.recent):
+            return None
+        return in_source(self.spark.read.schema(self._recent_schema()).parquet(self.recent), source)
 
     def read(self, source: str | None = None) -> DataFrame:
-        """All pages or those of one source; only its directory is listed."""
-        rows = self._stored()
-        if source:
-            rows = rows.filter(F.col("source_file") == source)
-            if self.groups:
-                rows = rows.filter(F.col(GROUP_COLUMN) == self._group(F.lit(source)))
-        return rows.select(*self.schema.names)
-
-    def _write(self, rows: DataFrame) -> None:
-        (
-            rows.hint("rebalance", self.partition)
-            .sortWithinPartitions(self.partition, "source_file", "page_number")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition)
-            .parquet(self.path)
+        """All pages or those of one source; only its directory of the base is listed."""
+        return self._read(source).select(*self.schema.names)
+
+    def _read(self, source: str | None = None) -> DataFrame:
+        rows = in_source(self._base(), source)
+        if source and self.groups:
+            rows = rows.filter(F.col(GROUP_COLUMN) == self.group(F.lit(source)))
+        changes = self._changes(source)
+        return rows if changes is None else self._applied(rows, changes)
+
+    def _applied(self, rows: DataFrame, changes: DataFrame) -> DataFrame:
+        """Base rows that no change touches, and the newest changes that are pages."""
+        key = list(PAGE_KEY)
+        keys = changes.select(*key, "version", "whole")
+        cut = keys.filter("whole").groupBy("source_file").agg(F.max("version").alias("__from"))
+        newest = keys.groupBy(*key).agg(F.max("version").alias("__newest"), F.count(F.lit(1)).alias("__times"))
+        # Most keys change once: their rows need no look at the others.
+        several = newest.filter("__times > 1").select(*key, "__newest")
+        live = (
+            changes.filter("NOT gone")
+            .join(several, key, "left")
+            .filter("__newest IS NULL OR version = __newest")
+            .join(cut, "source_file", "left")
+            .filter("__from IS NULL OR version >= __from")
         )
-        self._follow()
+        untouched = rows.join(newest.select(*key), key, "left_anti").join(cut, "source_file", "left_anti")
+        names = self._base_schema().names
+        if self.groups:
+            live = live.withColumn(GROUP_COLUMN, self.group(F.col("source_file")))
+        return untouched.select(*names).unionByName(live.select(*names))
+
+    def read_pages(self, keys: Sequence[tuple[str, int]]) -> DataFrame:
+        """The pages with the given keys, a bounded number, by filters that the scan uses."""
+        rows = self._read()
+        if self.groups:
+            groups = [self.group(F.lit(source)) for source in sorted({source for source, _ in keys})]
+            rows = rows.filter(F.col(GROUP_COLUMN).isin(groups))
+        return rows.filter(literal_keys(keys)).select(*self.schema.names)
 
     def replace_sources(self, pages: DataFrame) -> None:
         """Store ``pages``; earlier pages of the same sources go."""
-        self._take_in(pages, ["source_file"])
+        rows = self._checked(pages)
+        if self._has(self.base) or self._has(self.recent):
+            self._append(rows, whole=True)
+        else:
+            self._write_base(rows)
 
     def replace_pages(self, pages: DataFrame) -> None:
         """Store ``pages``; earlier versions of the same pages go, other pages stay."""
-        self._take_in(pages, list(PAGE_KEY))
-
-    def _take_in(self, pages: DataFrame, key: list[str]) -> None:
-        rows = conform(pages, self.schema)
-        empty = F.lit("source_file must not be empty")
-        rows = rows.withColumn(
-            "source_file",
-            F.when(F.col("source_file") == "", F.raise_error(empty)).otherwise(F.col("source_file")),
-        )
-        if self.groups:
-            rows = rows.withColumn(GROUP_COLUMN, self._group(F.col("source_file")))
-        staging = f"{self.path}-staging-{uuid.uuid4().hex}"
-        try:
-            rows.write.parquet(staging)
-            rows = self.spark.read.schema(self._full_schema()).parquet(staging)
-            if self.groups or key != ["source_file"]:
-                incoming = rows.select(*dict.fromkeys([*key, self.partition])).distinct()
-                stored = self._stored()
-                if self.groups:
-                    # At most ``groups`` numbers; as literals they prune the directories.
-                    touched = [row[0] for row in incoming.select(self.partition).distinct().collect()]
-                    stored = stored.filter(F.col(self.partition).isin(touched))
-                else:
-                    stored = stored.join(incoming.select(self.partition).distinct(), self.partition, "left_semi")
-                rows = rows.unionByName(stored.join(incoming.select(*key), key, "left_anti"))
-            self._write(rows)
-        finally:
-            files, folder = self._folder(staging)
-            files.delete(folder, True)
+        self._append(self._checked(pages))
 
     def delete(self, condition: Column) -> None:
         """Remove the rows that meet ``condition`` (a condition that is NULL keeps its row)."""
-        stored = self._stored()
-        doomed = F.coalesce(condition, F.lit(False))
-        touched = stored.groupBy(self.partition).agg(
-            F.max(doomed).alias("hit"), F.min(doomed).alias("all_hit")
+        doomed = self.read().filter(F.coalesce(condition, F.lit(False))).select(*PAGE_KEY).distinct()
+        others = [F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema if f.name not in PAGE_KEY]
+        self._append(doomed.select(*PAGE_KEY, *others).select(*self.schema.names), gone=True)
+
+    def _checked(self, pages: DataFrame) -> DataFrame:
+        empty = F.raise_error(F.lit("source_file must not be empty"))
+        rows = conform(pages, self.schema)
+        name = F.col("source_file")
+        return rows.withColumn("source_file", F.when(name == "", empty).otherwise(name))
+
+    def _append(self, rows: DataFrame, gone: bool = False, whole: bool = False) -> None:
+        changes = self._changes()
+        latest = changes.agg(F.max("version")).first()[0] or 0 if changes is not None else 0
+        marks = {"version": F.lit(latest + 1).cast("long"), "gone": F.lit(gone), "whole": F.lit(whole)}
+        rows.withColumns(marks).hint("rebalance").write.mode("append").parquet(self.recent)
+        if latest + 1 >= self.compact_after:
+            self.compact()
+
+    def _write_base(self, rows: DataFrame) -> None:
+        if self.groups and GROUP_COLUMN not in rows.columns:
+            rows = rows.withColumn(GROUP_COLUMN, self.group(F.col("source_file")))
+        (
+            rows.hint("rebalance", self.partition)
+            .sortWithinPartitions(self.partition, "source_file", "page_number")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.partition)
+            .parquet(self.base)
         )
-        # One value per directory that is hit: at most ``groups`` (see there for None).
-        touched = touched.filter("hit").toArrow().to_pylist()
-        cut = [row[self.partition] for row in touched if not row["all_hit"]]
-        emptied = [row[self.partition] for row in touched if row["all_hit"]]
-        if cut:
-            self._write(stored.filter(F.col(self.partition).isin(cut) & ~doomed))
-        if emptied:
-            self._drop(emptied)
-
-    def _drop(self, values: list) -> None:
-        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        for value in values:
-            name = escape.getPartitionPathString(self.partition, str(value))
-            files, folder = self._folder(f"{self.path}/{name}")
-            files.delete(folder, True)
-        self._follow()
+
+    def compact(self) -> None:
+        """Merge the recent rows into the base.
+
+        Only directories of the base that a change touches are rewritten, and exchanged when that job
+        commits; then the recent files go. If this ends between the two, recent rows are
+        applied to a base that has them already, which changes nothing.
+        """
+        changes = self._changes()
+        if changes is None:
+            return
+        place = self.group(F.col("source_file")) if self.groups else F.col("source_file")
+        touched = changes.select(place.alias("__place")).distinct()
+        # One value per touched directory: at most ``groups`` (see the class for None).
+        places = sorted(row[0] for row in touched.collect())
+        rows = self._read().filter(F.col(self.partition).isin(places))
+        filled = {row[0] for row in rows.select(self.partition).distinct().collect()}
+        self._write_base(rows)
+        for value in places:
+            if value not in filled:
+                self._remove(f"{self.base}/{self.partition}={escaped(str(value))}")
+        self._remove(self.recent)
+        if self._has(f"{self.base}/{self.partition}={self.no_group}"):
+            self.create()
+
+
+def escaped(value: str) -> str:
+    """A value as directory names have it: characters that a path may not hold as ``%XX``."""
+    return "".join(f"%{ord(c):02X}" if c in RESERVED or ord(c) < 32 or ord(c) == 127 else c for c in value)
 
 
 def without_sources(pages: DataFrame, pattern: str) -> DataFrame:

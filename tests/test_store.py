@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,7 +81,7 @@ def test_catalogue_table(spark, filled, tmp_path):
     filled.create(name)
     assert spark.catalog.tableExists(name)
     assert spark.table(name).filter("source_file = 'ü'").count() == 4
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {name}")
     assert counts(filled) == NAMES
 
 
@@ -128,7 +131,7 @@ def test_large_directory_is_split_over_tasks(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-    assert len(list((tmp_path / "pages" / "source_file=hot").glob("*.parquet"))) > 1
+    assert len(list((tmp_path / "pages" / "base" / "source_file=hot").glob("*.parquet"))) > 1
     assert store.read().count() == 40000
 
 
@@ -232,7 +235,7 @@ def test_catalogue_table_follows_changes(spark, tmp_path, groups):
     assert spark.table(name).count() == 5
     store.delete(F.col("source_file") == "a")
     assert spark.table(name).count() == 2
-    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP VIEW {name}")
 
 
 def test_long_source_names(spark, tmp_path):
@@ -240,3 +243,78 @@ def test_long_source_names(spark, tmp_path):
     name = "s3a://bucket/" + "very long/" * 60
     store.replace_sources(pages(spark, {name: 2}))
     assert counts(store) == {name: 2}
+
+
+def files_of(path):
+    return {p: p.stat().st_size for p in path.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("groups", [4, None])
+def test_a_small_batch_writes_little(spark, tmp_path, groups):
+    store = PageStore(spark, f"{tmp_path}/pages", groups=groups)
+    store.replace_sources(pages(spark, {f"s{i}": 200 for i in range(20)}, word="w" * 500))
+    before = files_of(tmp_path / "pages")
+    store.replace_pages(pages(spark, {"s3": 1}, word="new"))
+    after = files_of(tmp_path / "pages")
+    assert before.items() <= after.items()  # nothing that was there is written again
+    new = {p: size for p, size in after.items() if p not in before}
+    assert len(new) == 1 and sum(new.values()) < 10_000
+    assert store.read("s3").count() == 200 and store.read().filter("text = 'new 1'").count() == 1
+
+
+@pytest.mark.parametrize("groups", [3, None])
+def test_changes_and_compaction_against_a_plain_model(spark, tmp_path, groups):
+    """Random writes; readers, the view and another object see the same at every step."""
+    rng = random.Random(groups or 0)
+    name = f"model_{groups or 'none'}_{abs(hash(str(tmp_path)))}"
+    store = PageStore(spark, f"{tmp_path}/pages", groups=groups, compact_after=5)
+    store.create(name)
+    model = {}
+    for step in range(12):
+        sources = {f"s={rng.randint(0, 4)}": rng.randint(1, 4) for _ in range(rng.randint(1, 3))}
+        kind = rng.choice(["sources", "pages", "delete", "one"])
+        if kind == "delete":
+            page = rng.randint(1, 3)
+            store.delete((F.col("page_number") == page) | (F.col("source_file") == "s=0"))
+            model = {k: v for k, v in model.items() if k[1] != page and k[0] != "s=0"}
+        elif kind == "one":
+            store.delete(F.col("source_file") == "s=1")
+            model = {k: v for k, v in model.items() if k[0] != "s=1"}
+        else:
+            rows = pages(spark, sources, word=f"v{step}")
+            if kind == "sources":
+                store.replace_sources(rows)
+                model = {k: v for k, v in model.items() if k[0] not in sources}
+            else:
+                store.replace_pages(rows)
+            model.update({(s, p): f"v{step} {p}" for s, n in sources.items() for p in range(1, n + 1)})
+        if step == 8:
+            store.compact()
+            assert not (tmp_path / "pages" / "recent").exists() or not store._changes().count()
+        for rows in (store.read(), spark.table(name), PageStore(spark, store.path, groups=groups).read()):
+            found = [((r.source_file, r.page_number), r.text) for r in rows.collect()]
+            assert len(found) == len(model) and dict(found) == model, (step, kind)
+        some = [*sorted(model)[:2], ("s=9", 1)]
+        assert {(r.source_file, r.page_number) for r in store.read_pages(some).collect()} == set(some) & set(model)
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_a_compaction_that_ends_early_changes_nothing(spark, tmp_path, monkeypatch):
+    store = PageStore(spark, f"{tmp_path}/pages", groups=4)
+    store.replace_sources(pages(spark, {"a": 3, "b": 2}))
+    store.replace_sources(pages(spark, {"a": 1}, word="new"))
+    store.delete(F.col("source_file") == "b")
+    monkeypatch.setattr(PageStore, "_remove", lambda self, path: (_ for _ in ()).throw(OSError))
+    with pytest.raises(OSError):
+        store.compact()
+    monkeypatch.undo()
+    assert [(r.source_file, r.text) for r in store.read().collect()] == [("a", "new 1")]
+    store.compact()
+    assert [(r.source_file, r.text) for r in store.read().collect()] == [("a", "new 1")]
+
+
+def test_a_read_by_key_prunes(spark, filled):
+    plan = filled.read_pages([("ü", 2)])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*(EqualTo|In)\((source_file|page_number)", plan)
+    assert re.search(r"PartitionFilters: \[[^\]]*(source_group|source_file)", plan)
+    assert filled.read_pages([("ü", 2), ("nope", 1)]).count() == 1
