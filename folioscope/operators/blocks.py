@@ -174,7 +174,7 @@ def batch_top_k(
     return best.withColumn("rank", F.row_number().over(window).cast("long")).filter(F.col("rank") <= k)
 
 
-def _fetched(questions: DataFrame) -> pa.Table:
+def fetched(questions: DataFrame) -> pa.Table:
     """The queries on the driver, after a look at their size."""
     size = questions.agg(F.sum(F.size("__query_vector").cast("long") * 8 + 64)).first()[0] or 0
     if size > MAX_QUERY_BYTES:
@@ -183,7 +183,7 @@ def _fetched(questions: DataFrame) -> pa.Table:
 
 
 def _scan(table, questions, options, schema) -> DataFrame:
-    block = _fetched(questions)
+    block = fetched(questions)
 
     def local_best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bests = _bests(block, *options)

@@ -181,6 +181,22 @@ FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)""",
 FROM (SELECT source_file, page_number, coalesce(sum(word_count) OVER (
         PARTITION BY source_file ORDER BY page_number
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS words_before FROM p)""",
+    "chunk_greedily": "WITH RECURSIVE "
+    + PAGES
+    + """, w AS MATERIALIZED (SELECT source_file, page_number, word_count FROM p),
+g AS (
+  SELECT source_file, page_number, word_count AS used, 0::BIGINT AS chunk_id FROM w WHERE page_number = 1
+  UNION ALL
+  SELECT w.source_file, w.page_number, CASE WHEN used + word_count > 2000 THEN word_count ELSE used + word_count END,
+         CASE WHEN used + word_count > 2000 THEN chunk_id + 1 ELSE chunk_id END
+  FROM g JOIN w ON w.source_file = g.source_file AND w.page_number = g.page_number + 1
+)
+SELECT source_file, page_number, chunk_id,
+       coalesce(sum(word_count) OVER (PARTITION BY source_file ORDER BY page_number
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS words_before
+FROM g JOIN w USING (source_file, page_number)""",
+    "page_text_files": _with(PAGES)
+    + """SELECT row_number() OVER (ORDER BY document_id) AS place, word_count, char_count, md5(text) AS text_md5 FROM p""",
     "chunk_manifest": _with(MANIFEST) + "SELECT * FROM m",
     "manifest_from_counts": _with(MANIFEST) + "SELECT * FROM m",
     "manifest_header": """SELECT source AS source_file, count(*) AS total_pages, 20::BIGINT AS chunk_size,
@@ -386,6 +402,8 @@ FROM fused QUALIFY rank <= 10""",
        coalesce(used, 0) AS used_buckets, coalesce(largest, 0) AS largest_weight
 FROM a LEFT JOIN (SELECT doc_id, count(*) AS used, round(max(weight), 6) AS largest FROM d GROUP BY doc_id)
      USING (doc_id)""",
+    "book_merge_stream": _with(PAGES, CHUNKS, BOOKS)
+    + "SELECT * FROM b WHERE source_file NOT LIKE '%3' OR num_chunks = 1",
     "running_totals": _with(PAGES)
     + """SELECT source_file, count(*) AS total_pages, sum(word_count)::BIGINT AS total_words,
        sum(char_count)::BIGINT AS total_chars FROM p GROUP BY source_file""",

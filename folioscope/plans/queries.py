@@ -4,20 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioscope.functions import text as tx
 from folioscope.functions import vectors as vx
 from folioscope.functions.embedding import embed_words
-from folioscope.operators import approximate, chunking, keywords, listing, results, rollup, search, trigrams
+from folioscope.operators import (
+    approximate,
+    chunking,
+    graph,
+    keywords,
+    listing,
+    packing,
+    quantised,
+    results,
+    rollup,
+    search,
+    trigrams,
+)
 from folioscope.operators.blocks import batch_top_k, blocks_for
 from folioscope.plans import inputs
 from folioscope.schemas import DEFAULT_CHUNK_SIZE, PAGE_KEY, STORED_TEXT_LIMIT
 from folioscope.session import scratch_path
-from folioscope.sources import documents, store
-from folioscope.streaming import ingest
+from folioscope.sources import documents, paged, store
+from folioscope.streaming import books, ingest
 
 SIZE = DEFAULT_CHUNK_SIZE
 KEYWORDS = ["the", "Ouè", "zzz", "of%and"]
@@ -88,6 +100,22 @@ def search_snippets(spark, folder):
     )
 
 
+@query
+def page_text_files(spark, folder):
+    """Texts written as files of many pages and read back: the place of each over all files."""
+    path = scratch_path(spark, "page-text")
+    texts = inputs.table(spark, folder, "documents").select("doc_id", tx.or_empty("text").alias("text"))
+    in_order = texts.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").select("text")
+    in_order.write.option("lineSep", paged.PAGE_BREAK).text(path)
+    pages = paged.read_page_text(spark, path)
+    # Five files, named in order.
+    sizes = pages.groupBy("source_file").agg(F.max("page_number").alias("n"))
+    before = F.sum("n").over(Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1))
+    first = sizes.select("source_file", F.coalesce(before, F.lit(0)).alias("before"))
+    placed = pages.join(first, "source_file").withColumn("place", F.col("before") + F.col("page_number"))
+    return placed.select(*_long("place", "word_count", "char_count"), F.md5("text").alias("text_md5"))
+
+
 # Chunks and books
 
 
@@ -102,6 +130,12 @@ def chunk_by_words(spark, folder):
     return pages.select("source_file", *_long("page_number", "words_before", "chunk_id"))
 
 
+@query
+def chunk_greedily(spark, folder):
+    pages = packing.assign_chunks_greedily(inputs.pages(spark, folder), 2000)
+    return pages.select("source_file", *_long("page_number", "words_before", "chunk_id"))
+
+
 @query
 def chunk_manifest(spark, folder):
     chunks = chunking.manifest(inputs.pages(spark, folder), SIZE)
@@ -550,6 +584,22 @@ def similar_pages_blocks(spark, folder):
     return _similar(spark, folder, (5, 3))
 
 
+@query
+def code_batch_topk(spark, folder):
+    """Hits through codes of one byte a subspace, exact scores for a shortlist."""
+    rows = inputs.embeddings(spark, folder)
+    index = quantised.CodeIndex.build(rows, scratch_path(spark, "codes"), VECTOR_KEY)
+    asked = rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return index.batch_top_k(asked, 5).select("query_id", "vec_id", *_long("rank"), "similarity")
+
+
+@query
+def neighbour_graph(spark, folder):
+    """Neighbours by local joins, without comparing all rows with all."""
+    hits, _ = graph.neighbour_graph(inputs.embeddings(spark, folder), "vec_id", 3)
+    return hits.select("query_id", "vec_id", *_long("rank"), "similarity")
+
+
 @query
 def topic_clusters(spark, folder):
     """For each vector whether its topic is the one with the nearest centre."""
@@ -623,6 +673,25 @@ def incremental_ingest(spark, folder):
     )
 
 
+@query
+def book_merge_stream(spark, folder):
+    """Totals of the sources whose chunks have all arrived, in several files in no order; the
+    sources ending in 3 lose a chunk. A restart reads on with the state there is."""
+    base = scratch_path(spark, "merge")
+    pages = inputs.pages(spark, folder)
+    sizes = rollup.book_totals(rollup.chunk_metrics(pages)).select("source_file", "num_chunks")
+    lost = F.col("source_file").like("%3") & (F.col("chunk_id") == 1)
+    chunks = rollup.chunk_metrics(pages).filter(~lost).join(sizes, "source_file")
+    arriving = chunks.select("source_file", "num_chunks", "chunk_id", "page_count", "word_count")
+    halves = F.pmod(F.xxhash64("source_file", "chunk_id"), F.lit(2))
+    spark.createDataFrame([], arriving.schema).write.parquet(f"{base}/in")
+    for half in (1, 0):
+        arriving.filter(halves == half).repartition(3).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/in")
+        books.merge_stream(spark, stream, f"{base}/books", f"{base}/progress").awaitTermination()
+    return books.finished_books(spark, f"{base}/books")
+
+
 @query
 def running_totals(spark, folder):
     base = scratch_path(spark, "totals")

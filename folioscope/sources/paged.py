@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import char_count, or_empty, word_count
@@ -106,3 +106,31 @@ def read_paged_files(
     files = reader.load(path).select("path", "content")
     pages = files.mapInPandas(extract, "source_file string, page_number long, text string")
     return assign_chunks(with_metrics(pages), chunk_size)
+
+
+def read_page_text(
+    spark: SparkSession, path: str, separator: str = PAGE_BREAK, chunk_size: int = DEFAULT_CHUNK_SIZE, pattern: str | None = None
+) -> DataFrame:
+    """Pages of UTF-8 text files below ``path`` that ``separator`` ends, files of any size.
+
+    Spark plans the files in byte ranges, and a page belongs to the range in which it
+    begins, so many tasks read one large file. Pages are numbered within their range, which
+    is bounded, and after the pages of the file's earlier ranges. The rows are those of
+    :func:`split_pages` for the texts of the files.
+    """
+    reader = spark.read.option("lineSep", separator).option("recursiveFileLookup", "true")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    lines = reader.text(path).select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__at"),
+        F.col("value").alias("text"),
+    )
+    # Counts first: what is shuffled for the numbers has no text.
+    ranges = lines.groupBy("source_file", "__start").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    earlier = Window.partitionBy("source_file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
+    number = (F.col("__before") + F.col("__at") - F.col("__first") + 1).cast("long")
+    pages = lines.join(offsets, ["source_file", "__start"]).select("source_file", number.alias("page_number"), "text")
+    return assign_chunks(with_metrics(pages), chunk_size)
