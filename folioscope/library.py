@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from folioscope.functions.embedding import embed_words
 from folioscope.functions.text import snippet
 from folioscope.functions.vectors import checked
-from folioscope.operators import approximate, chunking, keywords, listing, results, rollup
+from folioscope.operators import approximate, chunking, keywords, listing, results, rollup, trigrams
 from folioscope.operators.approximate import CellIndex
+from folioscope.operators.bm25 import WordIndex
 from folioscope.operators.blocks import batch_top_k
-from folioscope.operators.search import DEFAULT_THRESHOLD, DEFAULT_TOP_K, attach_rows, top_k
+from folioscope.operators.search import DEFAULT_THRESHOLD, DEFAULT_TOP_K, attach_rows, similarities, top_k
+from folioscope.operators.trigrams import TrigramIndex
 from folioscope.schemas import DEFAULT_CHUNK_SIZE, DEFAULT_DIMENSION, PAGE_KEY
+from folioscope.session import scratch_path
 from folioscope.sources import documents
 from folioscope.sources.store import DEFAULT_GROUPS, PageStore
 
@@ -39,6 +42,8 @@ class Library:
     ):
         self.spark, self.path, self.embed, self.dimension = spark, path.rstrip("/"), embed, dimension
         self.store = PageStore(spark, f"{self.path}/pages", groups=groups)
+        self.trigrams = TrigramIndex(spark, f"{self.path}/trigrams")
+        self.words = WordIndex(spark, f"{self.path}/words")
 
     # Ingest
 
@@ -62,6 +67,7 @@ class Library:
                 }
             ).withColumn("embedding", checked("embedding", self.dimension))
         )
+        self._reindex(self._touched(pages.select("source_file")))
 
     def write_results(self, chunk_size: int = DEFAULT_CHUNK_SIZE) -> None:
         """Write manifests, chunk results and merged books as JSON next to the pages."""
@@ -83,7 +89,36 @@ class Library:
 
     def remove(self, pattern: str) -> None:
         """Delete the sources that match a LIKE pattern."""
-        self.store.delete(F.col("source_file").like(pattern))
+        doomed = F.col("source_file").like(pattern)
+        groups = self._touched(self.store.read().filter(doomed))
+        self.store.delete(doomed)
+        self._reindex(groups)
+
+    # Indexes of words and patterns
+
+    def build_text_indexes(self) -> None:
+        """Index trigrams and words of the stored pages: keyword searches then read candidate
+        pages only, and :meth:`search_words` works. Later ingests and removals keep up the
+        groups of sources that they touch."""
+        pages = self.store.read().select(*PAGE_KEY, "text")
+        self.trigrams.build(pages)
+        self.words.build(pages)
+
+    def _indexed(self) -> bool:
+        return self.store._has(f"{self.path}/words")
+
+    def _touched(self, sources: DataFrame) -> list[int]:
+        return self.words.groups_of(sources) if self._indexed() else []
+
+    def _reindex(self, groups: list[int]) -> None:
+        if groups:
+            pages = self.store.read().select(*PAGE_KEY, "text")
+            self.trigrams.refresh(pages, groups)
+            self.words.refresh(pages, groups)
+
+    def search_words(self, text: str, k: int = DEFAULT_TOP_K, source: str | None = None) -> DataFrame:
+        """The best pages by the words of a text (BM25); needs :meth:`build_text_indexes`."""
+        return self.words.top_k(text, k, source)
 
     # Search
 
@@ -125,6 +160,8 @@ class Library:
     ) -> DataFrame:
         """For each term its first pages."""
         pages = self.store.read().select(*PAGE_KEY, "text", "created_at")
+        if self._indexed():
+            return trigrams.each_keyword(self.trigrams, pages, terms, limit, literal)
         return keywords.each_keyword(pages, terms, limit, literal=literal)
 
     def search_any_keyword(
@@ -136,7 +173,10 @@ class Library:
     ) -> DataFrame:
         """The first pages with at least one of the terms."""
         pages = self.store.read(source).select(*PAGE_KEY, "chunk_id", "text")
-        found = keywords.any_keyword(pages, terms, limit, source, literal=literal)
+        if self._indexed():
+            found = trigrams.any_keyword(self.trigrams, pages, terms, limit, source, literal)
+        else:
+            found = keywords.any_keyword(pages, terms, limit, source, literal=literal)
         return found.withColumn("snippet", snippet("text", 100))
 
     def context(self, text: str, limit: int = DEFAULT_TOP_K) -> DataFrame:
@@ -151,15 +191,21 @@ class Library:
         hits = self.search_many(queries, k, threshold=threshold)
         return results.compare_results(hits, queries, [*PAGE_KEY, "similarity"], nested=True)
 
-    def search_hybrid(
-        self, text: str, terms: Sequence[str], k: int = DEFAULT_TOP_K, depth: int = 100
-    ) -> DataFrame:
-        """Pages by meaning and by number of terms, fused by rank. ``depth`` ranks of each
-        list count."""
+    def search_hybrid(self, text: str, terms: Sequence[str], k: int = DEFAULT_TOP_K) -> DataFrame:
+        """Pages by meaning and by terms, fused by their ranks in both whole lists. Terms rank
+        by BM25 if the words are indexed, else by how many a page contains."""
         pages = self.store.read()
-        semantic = top_k(pages.select(*PAGE_KEY, "embedding"), self.vector(text), depth)
-        worded = keywords.ranked_by_matches(pages.select(*PAGE_KEY, "text"), terms, depth)
-        return results.fuse(semantic, worded, PAGE_KEY, k)
+        lists = [similarities(pages.select(*PAGE_KEY, "embedding"), self.vector(text))]
+        if self._indexed():
+            lists.append(self.words.scores(" ".join(terms)))
+        else:
+            counted = keywords.match_counts(pages.select(*PAGE_KEY, "text"), terms)
+            lists.append(counted.withColumnRenamed("matches", "score"))
+        for at, rows in enumerate(lists):
+            path = scratch_path(self.spark, "scores")
+            rows.write.parquet(path)
+            lists[at] = self.spark.read.parquet(path)
+        return results.fuse_whole(*lists, PAGE_KEY, ("similarity", "score"), k)
 
     def build_index(self, cells: int, **options) -> CellIndex:
         """Cluster the stored vectors into cells for approximate searches."""

@@ -37,6 +37,14 @@ def any_keyword(
     return in_source(pages, source).filter(found).orderBy(*key).limit(limit)
 
 
+def match_counts(pages: DataFrame, keywords: Sequence[str], text: str = "text", literal: bool = False) -> DataFrame:
+    """The pages that contain one of the keywords, with ``matches``, how many, in place of
+    the text."""
+    found = [F.when(matches(text, keyword, literal), 1).otherwise(0) for keyword in keywords]
+    total = reduce(lambda a, b: a + b, found, F.lit(0))
+    return pages.withColumn("matches", F.coalesce(total, F.lit(0))).filter("matches > 0").drop(text)
+
+
 def ranked_by_matches(
     pages: DataFrame,
     keywords: Sequence[str],
@@ -47,9 +55,7 @@ def ranked_by_matches(
 ) -> DataFrame:
     """The ``limit`` pages that contain most of the keywords, with ``matches`` and
     ``rank``; equals by key."""
-    found = [F.when(matches(text, keyword, literal), 1).otherwise(0) for keyword in keywords]
-    total = reduce(lambda a, b: a + b, found, F.lit(0))
-    counted = pages.withColumn("matches", F.coalesce(total, F.lit(0))).filter("matches > 0").drop(text)
+    counted = match_counts(pages, keywords, text, literal)
     order = [F.desc("matches"), *[F.asc(name) for name in key]]
     return ranked(counted.orderBy(*order).limit(limit), order)
 
