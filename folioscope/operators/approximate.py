@@ -12,14 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions.matrices import to_matrix, unit_rows
+from folioscope.functions.text import words
 from folioscope.functions.vectors import is_finite, is_zero, normalize
-from folioscope.operators.blocks import meet, result_schema
-from folioscope.operators.search import DEFAULT_TOP_K, rank_order, top_k
+from folioscope.operators.blocks import CELL_ROWS, meet, result_schema
+from folioscope.operators.search import DEFAULT_TOP_K, rank_order, ranked, top_k
 from folioscope.schemas import PAGE_KEY
 
 SEED = 42
 #: Cells are fitted on about so many rows, taken at random; all rows are indexed.
 FIT_ROWS = 100_000
+#: Words of a topic are ranked in so many shares first.
+SHARES = 64
 #: Rows without a direction are in a cell of their own.
 NO_CELL = -1
 
@@ -38,11 +41,9 @@ def recall(approximate: DataFrame, exact: DataFrame, key: Sequence[str] = PAGE_K
     return found.agg(F.avg(F.coalesce("found", F.lit(0))).alias("recall"))
 
 
-def _fit(rows: DataFrame, k: int, vector: str, name: str, fit_rows: int | None) -> KMeansModel:
-    units = unit_vectors(rows, vector).select("unit")
-    if fit_rows is not None:
-        share = fit_rows / max(1, rows.count())
-        units = units.sample(min(1.0, share), seed=SEED)
+def _fit(rows: DataFrame, k: int, vector: str, name: str, fit_rows: int) -> KMeansModel:
+    share = fit_rows / max(1, rows.count())
+    units = unit_vectors(rows, vector).select("unit").sample(min(1.0, share), seed=SEED)
     units = units.persist()  # the fit passes over its rows many times
     try:
         return KMeans(k=k, seed=SEED, featuresCol="unit", predictionCol=name).fit(units)
@@ -123,25 +124,32 @@ class CellIndex:
         threshold: float | None = None,
         key: Sequence[str] = PAGE_KEY,
         query_id: str = "query_id",
-        parts: int = 1,
+        parts: int | None = None,
     ) -> DataFrame:
         """As :func:`folioscope.operators.blocks.batch_top_k`, each query over its
         ``probes`` nearest cells.
 
         Rows and queries meet by cell, so a table is compared with itself without
-        comparing all its rows. ``parts`` cuts every cell into so many tasks; raise it for
-        cells that do not fit one.
+        comparing all its rows. Every cell is cut into parts of about ``CELL_ROWS`` rows, or into
+        ``parts``, each of which meets the queries on its own.
         """
         key, rows = list(key), self.rows
         schema = result_schema(rows, queries, key, query_id)
         left = rows.select(*key, F.col(self.vector).alias("__vector"), F.col("cell").alias("__row_block"))
-        left = left.withColumn("__query_block", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("long"))
+        if parts is None:
+            sizes = rows.groupBy("cell").count().collect()  # a row for each cell
+            cut = [(row["cell"], -(-row["count"] // CELL_ROWS)) for row in sizes] or [(NO_CELL, 1)]
+            cuts = F.create_map(*(F.lit(x) for pair in cut for x in pair))
+            in_parts = F.coalesce(F.element_at(cuts, F.col("__row_block").cast("int")), F.lit(1))
+        else:
+            in_parts = F.lit(parts)
+        left = left.withColumn("__query_block", F.pmod(F.xxhash64(*key), in_parts).cast("long"))
         asked = queries.select(
             F.col(query_id).alias("query_id"),
             F.col(self.vector).alias("__query_vector"),
             F.explode(nearest_cells(self.vector, self.centres, probes)).alias("__row_block"),
         )
-        everywhere = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>"))
+        everywhere = F.explode(F.sequence(F.lit(0), in_parts.cast("int") - 1).cast("array<long>"))
         best = meet(left, asked.withColumn("__query_block", everywhere), (k, key, threshold, None), schema)
         window = Window.partitionBy("query_id").orderBy(*rank_order(key))
         return best.withColumn("rank", F.row_number().over(window).cast("long")).filter(F.col("rank") <= k)
@@ -149,7 +157,28 @@ class CellIndex:
 
 def topics(rows: DataFrame, k: int, vector: str = "embedding") -> tuple[DataFrame, list[list[float]]]:
     """Rows with ``topic``, their cluster by direction (rows without one are left out),
-    and the centres of the ``k`` topics in order."""
-    model = _fit(rows, k, vector, "topic", None)
+    and the centres of the ``k`` topics in order. Centres are fitted on a bounded sample,
+    all rows are placed."""
+    model = _fit(rows, k, vector, "topic", FIT_ROWS)
     centres = [[float(x) for x in centre] for centre in model.clusterCenters()]
     return model.transform(unit_vectors(rows, vector)).drop("unit"), centres
+
+
+def topic_words(texts: DataFrame, k: int, topic: str = "topic", text: str = "text") -> DataFrame:
+    """``topic, word, weight, rank``: the ``k`` words that mark each topic.
+
+    The weight is the word's share of the topic's words, times ``ln(1 + mean / all)`` of the mean
+    number of words of a topic and the word's number in all. Words are in lower case; they
+    are counted once, by topic, and everything else comes from these counts. Equals by word.
+    """
+    found = texts.select(F.col(topic).alias("topic"), F.explode(words(F.lower(F.col(text)))).alias("word"))
+    counts = found.groupBy("topic", "word").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("topic").agg(F.sum("n").alias("size"))
+    everywhere = counts.groupBy("word").agg(F.sum("n").alias("all"))
+    mean = sizes.agg(F.avg("size")).first()[0] or 0.0
+    weight = F.col("n") / F.col("size") * F.log1p(F.lit(mean) / F.col("all"))
+    weighed = counts.join(everywhere, "word").join(sizes, "topic").select("topic", "word", F.round(weight, 9).alias("weight"))
+    share = F.pmod(F.xxhash64("word"), F.lit(SHARES))
+    order = [F.desc("weight"), F.asc("word")]
+    some = ranked(weighed.withColumn("share", share), order, per=["topic", "share"]).filter(F.col("rank") <= k)
+    return ranked(some.drop("rank", "share"), order, per=["topic"]).filter(F.col("rank") <= k)

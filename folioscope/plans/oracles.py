@@ -404,6 +404,19 @@ FROM a LEFT JOIN (SELECT doc_id, count(*) AS used, round(max(weight), 6) AS larg
      USING (doc_id)""",
     "book_merge_stream": _with(PAGES, CHUNKS, BOOKS)
     + "SELECT * FROM b WHERE source_file NOT LIKE '%3' OR num_chunks = 1",
+    "topic_words": f"""WITH n AS (
+  SELECT lang AS topic, word, count(*) AS n
+  FROM (SELECT lang, unnest({_words("lower(coalesce(text, ''))")}) AS word FROM documents) GROUP BY lang, word
+), s AS (SELECT topic, sum(n) AS size FROM n GROUP BY topic), w AS (SELECT word, sum(n) AS every FROM n GROUP BY word)
+, x AS (
+  SELECT topic, word, round(n.n::DOUBLE / size * ln(1 + mean / every), 9) AS weight
+  FROM n JOIN s USING (topic) JOIN w USING (word) CROSS JOIN (SELECT avg(size) AS mean FROM s)
+)
+SELECT *, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, word) AS rank FROM x QUALIFY rank <= 20""",
+    "kept_vectors": _with(PAGES, EMBEDDED_PAGES)
+    + """SELECT source_file, page_number, coalesce(used, 0) AS used_buckets, coalesce(largest, 0) AS largest_weight
+FROM p LEFT JOIN (SELECT document_id, count(*) AS used, round(max(weight), 6) AS largest FROM d GROUP BY document_id)
+     USING (document_id)""",
     "running_totals": _with(PAGES)
     + """SELECT source_file, count(*) AS total_pages, sum(word_count)::BIGINT AS total_words,
        sum(char_count)::BIGINT AS total_chars FROM p GROUP BY source_file""",

@@ -28,7 +28,7 @@ from folioscope.operators.blocks import batch_top_k, blocks_for
 from folioscope.plans import inputs
 from folioscope.schemas import DEFAULT_CHUNK_SIZE, PAGE_KEY, STORED_TEXT_LIMIT
 from folioscope.session import scratch_path
-from folioscope.sources import documents, paged, store
+from folioscope.sources import documents, paged, store, vectors
 from folioscope.streaming import books, ingest
 
 SIZE = DEFAULT_CHUNK_SIZE
@@ -394,10 +394,10 @@ def word_scores(spark, folder):
 
 @query
 def embed_hash(spark, folder):
-    vectors = inputs.spread_table(spark, folder, "documents", "doc_id").select(
+    embedded = inputs.spread_table(spark, folder, "documents", "doc_id").select(
         "doc_id", F.posexplode(embed_words("text")).alias("bucket", "weight")
     )
-    return vectors.filter("weight > 0").select(
+    return embedded.filter("weight > 0").select(
         "doc_id", *_long("bucket"), F.round(F.col("weight").cast("double"), 6).alias("weight")
     )
 
@@ -617,6 +617,23 @@ def topic_clusters(spark, folder):
     )
 
 
+@query
+def topic_words(spark, folder):
+    """The words that mark the pages of each language."""
+    found = approximate.topic_words(inputs.table(spark, folder, "documents"), 20, topic="lang")
+    return found.select("topic", "word", "weight", *_long("rank"))
+
+
+@query
+def kept_vectors(spark, folder):
+    """Pages with vectors kept by the content of their text, each distinct text embedded once."""
+    cache = vectors.VectorCache(spark, scratch_path(spark, "kept-vectors"), embed_words)
+    pages = inputs.pages(spark, folder)
+    cache.learn(pages.filter("page_number % 3 = 0"))
+    embedded = cache.embedded(pages)
+    return embedded.select("source_file", *_long("page_number"), *_vector_digest())
+
+
 @query
 def hybrid_search(spark, folder):
     question = spark.range(1).select(embed_words(F.lit(QUESTION)).alias("v")).first()["v"]

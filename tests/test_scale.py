@@ -13,6 +13,7 @@ from folioscope.operators.blocks import batch_top_k
 from folioscope.operators.search import top_k
 from folioscope.plans import inputs, queries
 from folioscope.sources.paged import read_page_text, split_pages
+from folioscope.sources.vectors import VectorCache
 from folioscope.streaming import books
 
 FOLDER = "/root/testdata/sf0.01"
@@ -158,3 +159,22 @@ def test_lost_chunks_are_reported_after_a_wait(spark, tmp_path):
         query.stop()
     assert {tuple(r) for r in books.lost_chunks(spark, f"{tmp_path}/out").collect()} == {("a", 1), ("a", 3)}
     assert finished(spark, tmp_path) == {"b": (1, 5, 50)}
+
+
+def test_one_call_of_the_model_for_each_distinct_text(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<float>")
+    def model(text):
+        calls.add(1)
+        return [float(len(text)), 1.0]
+
+    cache = VectorCache(spark, f"{tmp_path}/kept", lambda text: model(F.col(text)))
+    rows = [(i, None if i % 7 == 0 else f"text {i % 5}") for i in range(70)]
+    frame = spark.createDataFrame(rows, "n int, text string").repartition(4)
+    for _ in range(3):
+        found = cache.embedded(frame).collect()
+        assert len(found) == 70 and all(r.embedding == [float(len(r.text or "")), 1.0] for r in found)
+        assert calls.value == 6
+    cache.embedded(spark.createDataFrame([(1, "new"), (2, "text 1")], "n int, text string")).collect()
+    assert calls.value == 7 and cache.kept().count() == 7
