@@ -51,6 +51,40 @@ def timed(job, runs: int = 2) -> float:
     return round(best, 3)
 
 
+def codes_at_size(spark, vectors, count: int) -> dict:
+    """Search through codes against the exact one, both from files, over ``count`` noisy copies
+    of the given vectors."""
+    from pyspark.sql import functions as F
+
+    from folioscope.operators.approximate import recall
+    from folioscope.operators.blocks import batch_top_k
+    from folioscope.operators.quantised import CodeIndex
+    from folioscope.operators.search import top_k
+    from folioscope.session import scratch_path
+
+    copies = -(-count // vectors.count())
+    noisy = F.transform("embedding", lambda x, i: (x + 0.06 * F.sin(F.xxhash64("vec_id", "copy", i) % 10007)).cast("float"))
+    rows = vectors.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    rows = rows.repartition(32).select((F.col("vec_id") * copies + F.col("copy")).alias("id"), noisy.alias("embedding"))
+    path = scratch_path(spark, "bench-copies")
+    rows.write.parquet(path)
+    stored = spark.read.parquet(path)
+    start = time.perf_counter()
+    index = CodeIndex.build(stored, scratch_path(spark, "bench-codes"), ["id"])
+    built = time.perf_counter() - start
+    asked = stored.filter(F.col("id") % (count // 40) == 0).select(F.col("id").alias("query_id"), "embedding")
+    exact = batch_top_k(stored, asked, 5, key=["id"])
+    query = list(asked.first()["embedding"])
+    return {
+        "rows": stored.count(),
+        "built_sec": round(built, 1),
+        "queries": asked.count(),
+        "recall_at_5": round(recall(index.batch_top_k(asked, 5), exact, ["query_id", "id"]).first()[0], 4),
+        "top5_sec": timed(lambda: run(index.top_k(query, 5))),
+        "exact_top5_sec": timed(lambda: run(top_k(stored, query, 5, key=["id"]))),
+    }
+
+
 def main() -> None:
     from pyspark.sql import functions as F
 
@@ -99,6 +133,7 @@ def main() -> None:
     extra["exact_top5_in_the_jvm"] = timed(lambda: run(in_jvm))
     exact = top_k(vectors, query, 5, key=["vec_id"])
     found = recall(approximate(), exact, ["vec_id"]).first()["recall"]
+    coded = codes_at_size(spark, vectors, int(os.environ.get("BENCH_VECTORS", "1000000")))
     print(
         json.dumps(
             {
@@ -111,6 +146,7 @@ def main() -> None:
                 "vector_batches_sec": extra,
                 "approximate_recall_at_5": found,
                 "vectors": count,
+                "codes": coded,
                 "pages_per_sec": {
                     "metrics_to_book_totals": round(pages / times["book_totals"]),
                     "measured_embedded_and_stored": round(pages / extra["stored_with_vectors"]),

@@ -75,10 +75,14 @@ def approximate(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 def code_matrix(codes: pa.Array, subspaces: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes as rows, and which rows have one."""
+    if isinstance(codes, pa.ChunkedArray):
+        codes = codes.combine_chunks()
     known = codes.is_valid().to_numpy(zero_copy_only=False)
-    held = b"".join(codes.drop_null().to_pylist())
+    held = codes.drop_null().cast(pa.binary())
     matrix = np.zeros((len(codes), subspaces), np.uint8)
-    matrix[known] = np.frombuffer(held, np.uint8).reshape(-1, subspaces)
+    if len(held):  # the bytes of all codes lie one after the other
+        ends = np.frombuffer(held.buffers()[1], np.int32)[held.offset : held.offset + len(held) + 1]
+        matrix[known] = np.frombuffer(held.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, subspaces)
     return matrix, known
 
 
@@ -257,10 +261,13 @@ class CodeIndex:
 
 
 def one_of(key: Sequence[str], values: Sequence[tuple]) -> Column:
-    """A condition on the key as a balanced tree of equalities, which reaches the scan whole;
-    of a long list only its ends would."""
+    """A condition on the key that scans can use. Of one column it is a list: it reaches the
+    file pages whole if ``spark.sql.parquet.pushdown.inFilterThreshold`` allows that many
+    values, else by its ends. Of several columns it is a balanced tree of equalities."""
     if not values:
         return F.lit(False)
+    if len(key) == 1:
+        return F.col(key[0]).isin([value for (value,) in values])
     tests = [reduce(lambda a, b: a & b, (F.col(name) == v for name, v in zip(key, value))) for value in values]
     while len(tests) > 1:
         tests = [reduce(lambda a, b: a | b, tests[at : at + 2]) for at in range(0, len(tests), 2)]
