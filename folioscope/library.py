@@ -112,7 +112,9 @@ class Library:
 
     def _reindex(self, groups: list[int]) -> None:
         if groups:
-            pages = self.store.read().select(*PAGE_KEY, "text")
+            # Store and indexes share the groups, so only their directories are read again.
+            same = self.store.groups == self.words.table.groups
+            pages = (self.store.read_groups(groups) if same else self.store.read()).select(*PAGE_KEY, "text")
             self.trigrams.refresh(pages, groups)
             self.words.refresh(pages, groups)
 

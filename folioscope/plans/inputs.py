@@ -81,16 +81,16 @@ def trigram_index(spark: SparkSession, folder: str) -> TrigramIndex:
     """The trigrams of the stored pages."""
 
     def make(path: str) -> None:
-        TrigramIndex(spark, path).build(stored_pages(spark, folder))
+        TrigramIndex(spark, path).build(stored_pages(spark, folder).select(*PAGE_KEY, "text"))
 
     return TrigramIndex(spark, _kept(spark, folder, "trigrams", make))
 
 
 def word_index(spark: SparkSession, folder: str) -> WordIndex:
-    """The words of the stored pages."""
+    """The words of the pages, which need no vectors for it."""
 
     def make(path: str) -> None:
-        WordIndex(spark, path).build(stored_pages(spark, folder))
+        WordIndex(spark, path).build(pages(spark, folder).select(*PAGE_KEY, "text"))
 
     return WordIndex(spark, _kept(spark, folder, "words", make))
 

@@ -155,6 +155,10 @@ class PageStore:
             live = live.withColumn(GROUP_COLUMN, self.group(F.col("source_file")))
         return untouched.select(*names).unionByName(live.select(*names))
 
+    def read_groups(self, groups: Sequence[int]) -> DataFrame:
+        """The pages of some groups of sources; of the base only their directories are read."""
+        return self._read().filter(F.col(GROUP_COLUMN).isin(list(groups))).select(*self.schema.names)
+
     def read_pages(self, keys: Sequence[tuple[str, int]]) -> DataFrame:
         """The pages with the given keys, a bounded number, by filters that the scan uses."""
         rows = self._read()

@@ -13,7 +13,7 @@ from folioscope.operators import keywords, results, trigrams
 from folioscope.operators.bm25 import WordIndex
 from folioscope.operators.trigrams import TrigramIndex, literal_runs
 from folioscope.sources.paged import split_pages
-from folioscope.sources.postings import PostingTable, trigram_codes
+from folioscope.sources.postings import trigram_codes
 
 SCHEMA = "source_file string, page_number int, text string"
 WORDS = ["tide", "Turbine", "100%", "a_b", "Straße", "ÉTÉ", "wool\nmark", "x", "日本語", "back\\slash", "harbour"]
