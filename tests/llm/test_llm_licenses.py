@@ -39,39 +39,120 @@ def test_changed_wording_is_told():
     assert [x["license"] for x in scanner.confirmed(twice)] == ["MIT-notice"] * 2
 
 
-def test_blocks():
-    def cut(text):
-        return [text[start:end] for start, end in licenses.candidate_blocks(text)]
-
-    assert cut("") == cut("no cue\nhere") == []
-    assert cut("a\nlicense x\nb\nc\nd\n\ne") == ["license x\nb\nc"]
-    assert cut("license\n\nlicence") == ["license", "licence"]
-    long = "w" * 9000 + " license " + "v" * 9000 + " license " + "u" * 9000
-    assert [len(block) for block in cut(long)] == [2 * licenses.LONG_LINE // 2 + 7] * 2
-
-
 def test_odd_documents(spark):
     notice = licenses.TEMPLATES["CC-BY-4.0-notice"]
     extra = [(20, notice, "en", "s"), (20, notice, "en", "s"), (None, "x " * 30_000 + notice, "en", "s"), (21, "license", "en", "s")]
+    extra.append((22, "# SPDX-License-Identifier: MIT", "en", "s"))
     rows = licenses.scan_licenses(odd.documents(spark, odd.ODD + extra).repartition(3)).collect()
     assert sorted((r.doc_id or 0, r.license or "", r.verdict) for r in rows) == [
         (0, "CC-BY-4.0-notice", "exact"),
         (20, "CC-BY-4.0-notice", "exact"),
         (20, "CC-BY-4.0-notice", "exact"),
         (21, "", "unknown"),
+        (22, "MIT", "tag"),
     ]
     assert licenses.scan_licenses(odd.documents(spark, [])).collect() == []
 
 
-def test_every_template_is_compared():
+def every_wording(scanner, block):
+    """All templates compared with the whole block, nothing ranked or cut."""
+    codes = np.array([scanner.code.get(word, -1) for word in licenses.words_of(block)], np.int64)
+    for at, name in enumerate(scanner.names):
+        rules = scanner.needed[at], scanner.banned[at]
+        for differences, _, first, last in licenses._alignments(scanner.wanted[at], codes, *rules):
+            yield name, first, last, differences
+
+
+def check_nothing_is_lost(scanner, block):
+    found = scanner.confirmed(block)
+    for one, other in zip(found, found[1:]):
+        assert one["last"] <= other["first"]
+    for name, first, last, differences in every_wording(scanner, block):
+        assert any(one["first"] < last and first < one["last"] for one in found), (name, first, last, differences)
+
+
+def test_ranking_and_cutting_lose_nothing():
     scanner = licenses.Scanner(licenses.TEMPLATES)
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        names = [str(name) for name in rng.choice(scanner.names, rng.integers(1, 9))]
+        parts = []
+        for name in names:
+            words = licenses.TEMPLATES[name].split()
+            for _ in range(rng.integers(0, 4)):
+                words[rng.integers(len(words))] = "other"
+            parts += [" ".join(words), "lorem " * rng.integers(0, 40)]
+        check_nothing_is_lost(scanner, " ".join(parts))
     for names in (sorted(NOTICES), sorted(set(licenses.TEMPLATES) - set(NOTICES)), ["MIT-notice", "Apache-2.0", "GPL-3.0", "CC-BY-4.0-notice"]):
         found = scanner.confirmed("\n".join(licenses.TEMPLATES[name] for name in names))
         assert [(x["license"], x["differences"]) for x in found] == [(name, 0) for name in names]
-    for name, text in licenses.TEMPLATES.items():
-        line = "lorem ipsum " * 420 + text + " dolor sit" * 500
-        (low, high), *_ = licenses.candidate_blocks(line)
-        assert [x["license"] for x in scanner.confirmed(line[low:high])] == [name]
+
+
+def test_documents_lose_nothing(spark):
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    texts = [r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    blocks = {text[low:high] for text in texts for low, high in licenses.candidate_blocks(text, 150)}
+    assert blocks
+    for block in blocks:
+        check_nothing_is_lost(scanner, block)
+
+
+def test_the_greatest_reduction_decides_between_overlapping_templates():
+    templates = {"one": "licensed " + "a b c d e f g h i", "two": "c d e f g h i j k license terms of the book"}
+    scanner = licenses.Scanner(templates)
+    block = "licensed a b c d e f g h i j k license terms of the book"
+    gains = dict(zip(scanner.names, scanner.reductions(block)))
+    assert [x["license"] for x in scanner.confirmed(block)] == [max(gains, key=gains.get)]
+    scanner.reductions = lambda piece: np.array([gains["two"], gains["one"]])
+    assert [x["license"] for x in scanner.confirmed(block)] == [min(gains, key=gains.get)]
+
+
+FAMILIES = {
+    "BSD-2-Clause": licenses.TEMPLATES["BSD-2-Clause"] + " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS",
+    "BSD-3-Clause": licenses.TEMPLATES["BSD-3-Clause"].replace("copyright holder nor", "University nor"),
+    "GPL-2.0": licenses.TEMPLATES["GPL-2.0"].replace("This program", "This library").replace("software:", "software;"),
+    "GPL-2.0-only": licenses.TEMPLATES["GPL-2.0-only"],
+    "GPL-3.0": licenses.TEMPLATES["GPL-3.0"].replace("This program", "Foo"),
+    "LGPL-2.1": licenses.TEMPLATES["LGPL-2.1"].replace("This program", "This library"),
+    "LGPL-3.0": licenses.TEMPLATES["LGPL-3.0"],
+    "AGPL-3.0": licenses.TEMPLATES["AGPL-3.0"],
+    "ISC": licenses.TEMPLATES["ISC"] + " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES",
+    "CC-BY-SA-4.0": licenses.TEMPLATES["CC-BY-SA-4.0"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(FAMILIES))
+def test_families_are_told_apart(name):
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    text = FAMILIES[name]
+    assert [x["license"] for x in scanner.confirmed("Copyright (c) 2001 Someone\n\n" + text)] == [name]
+    for other in ("license, version 9", "some licensed words"):
+        assert [x["license"] for x in scanner.confirmed(f"{other} {text} {other}")] == [name]
+
+
+def test_no_license_where_decisive_words_differ():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for text in (
+        "This work is licensed under the GNU General Public License, version 9.",
+        "Licensed under CC BY SA 4.0.",
+        "Licensed under the Apache License, Version 1.1.",
+        licenses.TEMPLATES["GPL-3.0"].replace("version 3", "version 4"),
+    ):
+        assert scanner.confirmed(text) == []
+
+
+@pytest.mark.parametrize(
+    "line, names",
+    [
+        ("// SPDX-License-Identifier: MIT", ["MIT"]),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-2-Clause.", ["(MIT OR Apache-2.0) AND BSD-2-Clause"]),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */", ["GPL-2.0-only WITH Classpath-exception-2.0"]),
+        ("SPDX-License-Identifier: ISC\nReleased under the MIT License.", ["ISC", "MIT-notice"]),
+        ("SPDX-License-Identifier:", []),
+    ],
+)
+def test_tags(line, names):
+    assert [x["license"] for x in licenses.Scanner(licenses.TEMPLATES).confirmed(line)] == names
 
 
 def test_alignments_equal_brute_force():
@@ -111,7 +192,7 @@ CUSTOMARY = {
         "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on "
         "an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n"
     ),
-    "BSD-3-Clause": (
+    "BSD-1-Clause": (
         "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
         "following conditions are met:\n\n* Redistributions of source code must retain the above copyright notice, this\n  "
         "list of conditions and the following disclaimer.\n"
@@ -137,12 +218,15 @@ def test_customary_paragraphs(spark, name, wrap):
     assert all(r.verdict != "unknown" for r in rows)
 
 
-def test_joined_blocks_cover_every_wording():
+def test_blocks_cover_every_wording():
     def cut(text, n_words):
-        return [text[start:end] for start, end in licenses.joined_blocks(text, n_words)]
+        return [text[start:end] for start, end in licenses.candidate_blocks(text, n_words)]
 
     assert cut("", 3) == cut("no cue", 3) == []
-    assert cut("a b c\n\nd license e\n\n\nf g h", 2) == ["b c\n\nd license e\n\n\nf g"]
+    assert cut("a b c\n\nd license e\n\n\nf g h", 2) == ["c\n\nd license e\n\n\nf"]
     assert cut("license\n\na b\n\nlicence", 2) == ["license\n\na b\n\nlicence"]
     assert cut("license\n\na b c d e\n\nlicence", 2) == ["license\n\na b", "d e\n\nlicence"]
     assert cut("license\n" + "word " * 500 + "\nlicense", 2000) == ["license\n" + "word " * 500 + "\nlicense"]
+    assert cut("a. (license) b). c", 1) == ["a. (license) b)."]
+    for length in (3_990, 4_001, 9_000):  # one rule for lines of any length
+        assert cut("w" * length + " license " + "v" * length, 1) == ["w" * length + " license " + "v" * length]
