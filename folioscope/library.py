@@ -153,8 +153,9 @@ class Library:
         return attach_rows(hits, rows.select(*PAGE_KEY, *HIT_COLUMNS)).orderBy("rank")
 
     def search_many(self, queries: DataFrame, k: int = DEFAULT_TOP_K, **options) -> DataFrame:
-        """The most similar pages for each row ``(query_id, text)`` of ``queries``."""
+        """The most similar pages for each row ``(query_id, text)`` of ``queries``, any number."""
         asked = queries.withColumn("embedding", self.embed("text"))
+        options.setdefault("blocks", "auto")
         return batch_top_k(self.store.read(), asked, k, **options)
 
     def search_keywords(
@@ -233,10 +234,22 @@ class Library:
 
     # Listings
 
+    def keep_summaries(self) -> None:
+        """Count the stored pages once; later writes keep the counts, and :meth:`list_documents`,
+        :meth:`stats` and :meth:`document_info` read no pages."""
+        self.store.summaries.build()
+
+    def _counted(self) -> bool:
+        return self.store.summaries is not None and self.store.summaries.exist()
+
     def list_documents(self, source: str | None = None) -> DataFrame:
+        if self._counted():
+            return self.store.summaries.list_documents(source)
         return listing.list_documents(self.store.read(source), source)
 
     def stats(self) -> DataFrame:
+        if self._counted():
+            return self.store.summaries.table_stats()
         return listing.table_stats(self.store.read())
 
     def chunks(self, source: str | None = None) -> DataFrame:
@@ -250,7 +263,14 @@ class Library:
         written = documents.read_chunk_results(self.spark, f"{self.path}/results")
         return rollup.chunk_status(manifest, written, f"{self.path}/results")
 
-    def document_info(self, source: str) -> DataFrame:
+    def document_info(self, source: str | int) -> DataFrame:
+        """Pages, words and characters of a source, by its name or its number (``xxhash64`` of
+        the name); no row for an unknown one."""
+        if isinstance(source, int):
+            pages = self.store.read_document(source).withColumn("document_id", F.xxhash64("source_file"))
+            return listing.document_summary(pages, source)
+        if source and self._counted():
+            return self.store.summaries.document_summary(source)
         return listing.document_summary(self.store.read(source), source, "source_file")
 
     def recent(self, limit: int = listing.DEFAULT_RECENT) -> DataFrame:

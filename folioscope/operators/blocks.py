@@ -147,10 +147,12 @@ def batch_top_k(
     vector: str = "embedding",
     source: str | None = None,
     source_column: str = "source_file",
-    blocks: tuple[int, int] | None = None,
+    blocks: tuple[int, int] | str | None = None,
 ) -> DataFrame:
     """``(query_id, *key, similarity, rank)``: the best ``k`` rows for each query.
 
+    ``blocks="auto"`` takes :func:`blocks_for` where the queries are too large to travel.
+
     ``source`` names a column of ``queries``: the source that a query is limited to (NULL
     or empty: none). A query whose vector has another length than a row's, or none, has
     no similarity with it.
@@ -166,6 +168,8 @@ def batch_top_k(
     names = list(dict.fromkeys([*key, *([source_column] if source else [])]))
     table = rows.select(*names, F.col(vector).alias("__vector"))
     options = (k, key, threshold, source_column if source else None)
+    if blocks == "auto":
+        blocks = None if _bytes(questions) <= MAX_QUERY_BYTES else blocks_for(rows, queries)
     if blocks is None:
         best = _scan(table, questions, options, schema)
     else:
@@ -174,9 +178,13 @@ def batch_top_k(
     return best.withColumn("rank", F.row_number().over(window).cast("long")).filter(F.col("rank") <= k)
 
 
+def _bytes(questions: DataFrame) -> int:
+    return questions.agg(F.sum(F.size("__query_vector").cast("long") * 8 + 64)).first()[0] or 0
+
+
 def fetched(questions: DataFrame) -> pa.Table:
     """The queries on the driver, after a look at their size."""
-    size = questions.agg(F.sum(F.size("__query_vector").cast("long") * 8 + 64)).first()[0] or 0
+    size = _bytes(questions)
     if size > MAX_QUERY_BYTES:
         raise ValueError(f"{size} bytes of query vectors: pass blocks, for example blocks_for(rows, queries)")
     return questions.toArrow()

@@ -56,6 +56,13 @@ BOOKS = """b AS (
 )"""
 
 
+# Pages left when odd ones replace sources, and others are deleted.
+COUNTED = """k AS (
+  SELECT * FROM p
+  WHERE NOT (source_file LIKE 'src1_' AND page_number % 2 = 0) AND NOT (source_file = 'src3' OR page_number % 4 = 2)
+)"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
@@ -430,6 +437,13 @@ UNION ALL SELECT source_file || '/more', page_number, word_count, md5(replace(te
     "store_delete": _with(PAGES)
     + """SELECT source_file, page_number, word_count, md5(text) AS text_md5 FROM p
 WHERE NOT (source_file = 'src3' OR page_number % 4 = 2)""",
+    "table_stats_kept": _with(PAGES, COUNTED)
+    + """SELECT count(*) AS total_pages, count(DISTINCT source_file) AS unique_documents,
+       coalesce(sum(word_count), 0)::BIGINT AS total_words FROM k""",
+    "list_documents_kept": _with(PAGES, COUNTED) + "SELECT source_file, count(*) AS pages FROM k GROUP BY source_file",
+    "page_sizes_kept": _with(PAGES, COUNTED)
+    + """SELECT length(bin(word_count)) AS size_class, count(*) AS pages, sum(word_count)::BIGINT AS words
+FROM k GROUP BY size_class""",
     "manifest_roundtrip": _with(MANIFEST)
     + """SELECT source_file, sum(page_count) OVER (PARTITION BY source_file)::BIGINT AS total_pages,
        count(*) OVER (PARTITION BY source_file) AS num_chunks, chunk_id, path, start_page, end_page, page_count

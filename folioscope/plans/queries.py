@@ -470,7 +470,7 @@ def semantic_threshold(spark, folder):
 
 def _question_hits(spark, folder, k, **options):
     questions = inputs.questions(spark, folder)
-    return batch_top_k(inputs.stored_vectors(spark, folder), questions, k, **options)
+    return batch_top_k(inputs.stored_vectors(spark, folder), questions, k, blocks="auto", **options)
 
 
 @query
@@ -483,7 +483,7 @@ def semantic_batch_topk(spark, folder):
 def batch_topk_in_source(spark, folder):
     wanted = F.concat(F.lit("src"), F.col("query_id") % 21)  # one of them is no source
     asked = inputs.questions(spark, folder).withColumn("wanted", F.when(F.col("query_id") % 5 > 0, wanted))
-    hits = batch_top_k(inputs.stored_vectors(spark, folder), asked, 3, source="wanted")
+    hits = batch_top_k(inputs.stored_vectors(spark, folder), asked, 3, source="wanted", blocks="auto")
     return hits.select("query_id", "source_file", *_long("page_number", "rank"), "similarity")
 
 
@@ -512,7 +512,7 @@ def rag_context(spark, folder):
 def precision_at_k(spark, folder):
     rows = inputs.embeddings(spark, folder)
     asked = inputs.label_centroids(spark, folder).withColumn("expected_label", F.col("query_id"))
-    hits = batch_top_k(rows, asked, 3, key=VECTOR_KEY)
+    hits = batch_top_k(rows, asked, 3, key=VECTOR_KEY, blocks="auto")
     scored = results.precision(hits, rows, asked, VECTOR_KEY)
     return scored.select(*_long("query_id", "expected_label"), "num_results", "precision", "top_hit_right")
 
@@ -520,7 +520,7 @@ def precision_at_k(spark, folder):
 @query
 def query_agreement(spark, folder):
     forms = inputs.question_forms(spark, folder)
-    hits = batch_top_k(inputs.stored_vectors(spark, folder), forms, 1)
+    hits = batch_top_k(inputs.stored_vectors(spark, folder), forms, 1, blocks="auto")
     return results.agreement(hits, forms, list(PAGE_KEY), "item_id")
 
 
@@ -754,6 +754,30 @@ def store_delete(spark, folder):
     return _stored(kept)
 
 
+def _counted(spark, folder):
+    """The counts kept beside a store, after sources were replaced and pages deleted."""
+    kept, pages = _small_store(spark, folder)
+    kept.summaries.build()
+    kept.replace_sources(pages.filter("source_file LIKE 'src1_' AND page_number % 2 = 1"))
+    kept.delete((F.col("source_file") == "src3") | (F.col("page_number") % 4 == 2))
+    return kept.summaries
+
+
+@query
+def table_stats_kept(spark, folder):
+    return _counted(spark, folder).table_stats()
+
+
+@query
+def list_documents_kept(spark, folder):
+    return _counted(spark, folder).list_documents()
+
+
+@query
+def page_sizes_kept(spark, folder):
+    return _counted(spark, folder).page_sizes()
+
+
 @query
 def manifest_roundtrip(spark, folder):
     path = scratch_path(spark, "manifests")

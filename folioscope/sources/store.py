@@ -13,6 +13,7 @@ from folioscope.operators.rollup import chunk_texts
 from folioscope.operators.search import in_source
 from folioscope.schemas import PAGE_KEY, PAGES_TABLE, conform
 from folioscope.sources.postings import literal_keys
+from folioscope.sources.summaries import StoreSummaries
 
 GROUP_COLUMN = "source_group"
 DEFAULT_GROUPS = 64
@@ -39,6 +40,7 @@ class PageStore:
     and a change is there with its commit or not at all. Readers take the newest version of
     each page; what they shuffle or send for that are the keys of recent rows alone. After ``compact_after``
     writes, or when told, recent rows are merged into the groups of the base that they touch.
+    Where :attr:`summaries` were built, every write keeps them in step.
 
     A directory that outgrows one task is split over several (a ``rebalance`` hint, acted on
     by adaptive execution). Base files are in key order, so that lookups skip row groups. There is
@@ -59,6 +61,7 @@ class PageStore:
         # The directory of the base that only tells the schema; a value of the right type.
         self.no_group = "-1" if groups else "__none__"
         self.base, self.recent = f"{self.path}/base", f"{self.path}/recent"
+        self.summaries = StoreSummaries(self) if groups else None
 
     def group(self, source: Column) -> Column:
         return F.pmod(F.xxhash64(source), F.lit(self.groups)).cast("int")
@@ -155,6 +158,14 @@ class PageStore:
             live = live.withColumn(GROUP_COLUMN, self.group(F.col("source_file")))
         return untouched.select(*names).unionByName(live.select(*names))
 
+    def read_document(self, document_id: int) -> DataFrame:
+        """The pages of the source with this number, which is the ``xxhash64`` of its name; of the
+        base only its directory is read."""
+        rows = self._read()
+        if self.groups:
+            rows = rows.filter(F.col(GROUP_COLUMN) == document_id % self.groups)
+        return rows.filter(F.xxhash64("source_file") == document_id).select(*self.schema.names)
+
     def read_groups(self, groups: Sequence[int]) -> DataFrame:
         """The pages of some groups of sources; of the base only their directories are read."""
         return self._read().filter(F.col(GROUP_COLUMN).isin(list(groups))).select(*self.schema.names)
@@ -195,7 +206,12 @@ class PageStore:
         changes = self._changes()
         latest = changes.agg(F.max("version")).first()[0] or 0 if changes is not None else 0
         marks = {"version": F.lit(latest + 1).cast("long"), "gone": F.lit(gone), "whole": F.lit(whole)}
+        counted = self.summaries is not None and self.summaries.exist()
+        if counted:
+            self.summaries.announce(latest + 1)
         rows.withColumns(marks).hint("rebalance").write.mode("append").parquet(self.recent)
+        if counted:
+            self.summaries.settle()
         if latest + 1 >= self.compact_after:
             self.compact()
 
