@@ -37,9 +37,13 @@ PARAPHRASE_SHARE, ANSWER_SHARE = 0.6, 0.8
 ANSWER_WORDS = 6
 #: Items of the benchmark that share a vocabulary and a pass over the corpus.
 ITEMS_AT_A_TIME = 20_000
-#: Blocks of words that are projected at a time, and terms in one row of a partial sum.
+#: Blocks of words that are projected at a time, queries they are compared with at a time,
+#: and terms in one row of a partial sum.
 BLOCKS_AT_A_TIME = 4096
+QUERIES_AT_A_TIME = 8192
 TERM_GROUP = 256
+#: Partial sums of a group of terms are added in so many shares first, then the shares.
+SHARES = 64
 
 # Bytes: A-Z lowered, ASCII punctuation and controls as spaces, all others as they are.
 _FOLD = bytes(
@@ -144,19 +148,31 @@ class Space:
             part = table[start : start + BLOCKS_AT_A_TIME + 1]
             sums = _block_sums(weighted, part)
             passages = unit(sums[:-1] + sums[1:])
-            cosine = passages @ self.queries.T
-            where, which = np.nonzero(cosine >= self.bar)
+            where, which, cosine = self._near(passages)
             text_at = np.searchsorted(first, start + where, side="right") - 1
-            for row, query, text in zip(where.tolist(), which.tolist(), text_at.tolist()):
+            for row, query, text, near in zip(where.tolist(), which.tolist(), text_at.tolist(), cosine.tolist()):
                 item_at = int(self.query_item[query])
                 found = self._confirm(codes[text], (start + row - first[text]) * BLOCK, item_at, present)
                 known = best.get((text, item_at))
                 if found and (known is None or found["lcs_share"] > known["lcs_share"]):
-                    found["cosine"] = float(cosine[row, query])
+                    found["cosine"] = near
                     best[text, item_at] = found
         for (text, item_at), found in sorted(best.items()):
             yield text, item_at, found
 
+    def _near(self, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Passages and queries above the bar, in this order, and their cosines; some queries at a
+        time, so that memory does not grow with the benchmark."""
+        parts = []
+        for first in range(0, len(self.queries), QUERIES_AT_A_TIME):
+            some = slice(first, first + QUERIES_AT_A_TIME)
+            cosine = passages @ self.queries[some].T
+            where, which = np.nonzero(cosine >= self.bar[some])
+            parts.append((where, which + first, cosine[where, which]))
+        where, which, cosine = (np.concatenate(part) for part in zip(*parts))
+        order = np.lexsort((which, where))
+        return where[order], which[order], cosine[order]
+
     def _confirm(self, code: np.ndarray, at: int, item_at: int, present: np.ndarray) -> dict | None:
         item = self.items[item_at]
         low, high = max(0, at - len(item)), min(len(code), at + 2 * BLOCK + len(item))
@@ -271,11 +287,11 @@ def _range(coded: DataFrame, space: Space, weight: np.ndarray, rank: int) -> np.
             [pa.array([*groups], pa.int64()), pa.array(data, pa.binary())], names=["term", "sums"]
         )
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for term, data in zip(batch.column("term").to_pylist(), batch.column("sums").to_pylist()):
-                part = np.frombuffer(data, np.float32).astype(np.float64)
+                part = np.frombuffer(data, kind).astype(np.float64)
                 totals[term] = totals[term] + part if term in totals else part
         data = [part.tobytes() for part in totals.values()]
         yield pa.RecordBatch.from_arrays(
@@ -283,7 +299,11 @@ def _range(coded: DataFrame, space: Space, weight: np.ndarray, rank: int) -> np.
         )
 
     schema = "term long, sums binary"
-    summed = coded.mapInArrow(run, schema).repartition("term").mapInArrow(add, schema).toArrow()
+    # A group of terms has a row from every task: shares of them are added by many tasks.
+    share = F.pmod(F.spark_partition_id(), F.lit(SHARES))
+    parts = coded.mapInArrow(run, schema).withColumn("share", share).repartition("term", "share")
+    parts = parts.select("term", "sums").mapInArrow(lambda rows: add(rows, np.float32), schema)
+    summed = parts.repartition("term").mapInArrow(lambda rows: add(rows, np.float64), schema).toArrow()
     product = np.zeros((terms, width))
     for term, data in zip(summed.column("term").to_pylist(), summed.column("sums").to_pylist()):
         part = np.frombuffer(data, np.float64).reshape(-1, width)

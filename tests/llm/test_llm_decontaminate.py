@@ -100,3 +100,36 @@ def test_odd_and_empty_tables(spark):
     assert decontaminate.find_leaks(odd.documents(spark, []), item).collect() == []
     rows = decontaminate.find_leaks(docs, item).collect()
     assert sorted((r.doc_id or 0, r.item_id) for r in rows) == [(0, 1)] * 2 + [(6, 1)] * 4 + [(7, 1)] * 2
+
+
+def test_cosines_lose_nothing_that_the_words_confirm(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    benchmark = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    rng = np.random.default_rng(9)
+    rows = []
+    for at, (_, text) in enumerate(benchmark):
+        words = (text or "").split()
+        changed = [word for word in words if rng.random() > 0.12]
+        for place in rng.choice(max(len(changed), 1), len(changed) // 10, replace=False):
+            changed[place] = "changed"
+        rows.append((10_000 + at, "some words before " * 9 + " ".join(changed) + " and after" * 20, "en", "s"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    space = decontaminate.Space.of([i for i, _ in benchmark], [t or "" for _, t in benchmark])
+    decontaminate.fit_space(decontaminate._coded(docs, space, "doc_id", "text"), space)
+    codes = [space.codes(text) for _, text, *_ in rows]
+    present = np.zeros(len(space.vocabulary) + 1, bool)
+    confirmed = {
+        (text, item)
+        for text, code in enumerate(codes)
+        for item in range(len(benchmark))
+        if len(space.items[item])
+        and any(space._confirm(code, at, item, present) for at in range(0, len(code), decontaminate.BLOCK))
+    }
+    found = [*space.leaks(codes)]
+    pairs = {(text, item) for text, item, _ in found}
+    assert len(confirmed) > len(benchmark) // 3 and pairs <= confirmed
+    assert len(pairs & confirmed) >= 0.99 * len(confirmed)
+    monkeypatch.setattr(decontaminate, "QUERIES_AT_A_TIME", 7)
+    tiled = [*space.leaks(codes)]
+    assert [(t, i, x["word"], x["lcs_share"]) for t, i, x in tiled] == [(t, i, x["word"], x["lcs_share"]) for t, i, x in found]
