@@ -410,8 +410,8 @@ def enter(joins: dict[int, Join], linked: list[list[tuple]], exits: dict[tuple[i
     """Set the entries: the state in which each linked run leaves, from the one it enters."""
     for runs in linked:
         state = START
-        for part, last, *_ in runs:
-            if joins[part].from_before:
+        for place, (part, last, *_) in enumerate(runs):
+            if place:  # the run that opens a chain may follow another chain's end in its partition
                 joins[part].entry = state
             state = exits[part, last][state]
 

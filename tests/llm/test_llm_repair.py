@@ -154,6 +154,16 @@ def test_conversations_across_partitions(spark):
         assert shape == "ua" * (len(shape) // 2)
 
 
+def test_partitions_between_two_conversations(spark):
+    """Partitions that begin within one conversation and end within the next."""
+    rows = random_rows(4, [30] * 40)
+    frame = spark.createDataFrame([(*row, 1, 2, "x") for row in rows], SCHEMA)
+    fixed = repair.repair(repair.damaged(frame), partitions=31)
+    assert sum(join.from_before and join.goes_on for join in fixed.joins.values()) >= 10
+    found = {r.conv_id: tuple(r[n] for n in NAMES[1:]) for r in repair.summaries(fixed).collect()}
+    assert found == {conv: row[1:] for conv, row in expected(rows).items()}
+
+
 def test_grammar_decides_nothing(spark):
     rng = random.Random(3)
     sequences = ["".join(rng.choices("\0\1\2\3\4\5\6\7\x08", k=n)).encode() for n in (1, 2, 5, 40, 700, 1300)] * 3
