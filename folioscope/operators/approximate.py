@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from folioscope.functions.matrices import to_matrix, unit_rows
 from folioscope.functions.text import words
 from folioscope.functions.vectors import is_finite, is_zero, normalize
-from folioscope.operators.blocks import CELL_ROWS, meet, result_schema
+from folioscope.operators.blocks import BLOCK_QUERIES, CELL_ROWS, meet, result_schema
 from folioscope.operators.search import DEFAULT_TOP_K, rank_order, ranked, top_k
 from folioscope.schemas import PAGE_KEY
 
@@ -130,31 +130,42 @@ class CellIndex:
         ``probes`` nearest cells.
 
         Rows and queries meet by cell, so a table is compared with itself without
-        comparing all its rows. Every cell is cut into parts of about ``CELL_ROWS`` rows, or into
-        ``parts``, each of which meets the queries on its own.
+        comparing all its rows. Every cell is cut into parts of about ``CELL_ROWS`` rows, into
+        ``parts`` at least, and the queries that probe it into blocks of about ``BLOCK_QUERIES``;
+        each part meets each block on its own, so no task holds a whole cell or all queries.
         """
         key, rows = list(key), self.rows
         schema = result_schema(rows, queries, key, query_id)
         left = rows.select(*key, F.col(self.vector).alias("__vector"), F.col("cell").alias("__row_block"))
-        if parts is None:
-            sizes = rows.groupBy("cell").count().collect()  # a row for each cell
-            cut = [(row["cell"], -(-row["count"] // CELL_ROWS)) for row in sizes] or [(NO_CELL, 1)]
-            cuts = F.create_map(*(F.lit(x) for pair in cut for x in pair))
-            in_parts = F.coalesce(F.element_at(cuts, F.col("__row_block").cast("int")), F.lit(1))
-        else:
-            in_parts = F.lit(parts)
-        left = left.withColumn("__query_block", F.pmod(F.xxhash64(*key), in_parts).cast("long"))
         asked = queries.select(
             F.col(query_id).alias("query_id"),
             F.col(self.vector).alias("__query_vector"),
             F.explode(nearest_cells(self.vector, self.centres, probes)).alias("__row_block"),
         )
-        everywhere = F.explode(F.sequence(F.lit(0), in_parts.cast("int") - 1).cast("array<long>"))
-        best = meet(left, asked.withColumn("__query_block", everywhere), (k, key, threshold, None), schema)
+        in_parts = _cuts(left, CELL_ROWS, parts or 1)
+        in_blocks = _cuts(asked.select("__row_block"), BLOCK_QUERIES, 1)
+
+        def everywhere(count: Column) -> Column:
+            return F.explode(F.sequence(F.lit(0), count - 1).cast("array<long>"))
+
+        # One number for a part of a cell and a block of its queries.
+        left = left.withColumn("__part", F.pmod(F.xxhash64(*key), in_parts)).withColumn("__block", everywhere(in_blocks))
+        asked = asked.withColumn("__block", F.pmod(F.xxhash64("query_id"), in_blocks)).withColumn("__part", everywhere(in_parts))
+        number = (F.col("__part") * in_blocks + F.col("__block")).cast("long")
+        left, asked = (side.withColumn("__query_block", number).drop("__part", "__block") for side in (left, asked))
+        best = meet(left, asked, (k, key, threshold, None), schema)
         window = Window.partitionBy("query_id").orderBy(*rank_order(key))
         return best.withColumn("rank", F.row_number().over(window).cast("long")).filter(F.col("rank") <= k)
 
 
+def _cuts(rows: DataFrame, most: int, least: int) -> Column:
+    """Into how many of about ``most`` rows each ``__row_block`` is cut, ``least`` at least."""
+    sizes = rows.groupBy("__row_block").count().collect()  # a row for each cell
+    cut = [(row["__row_block"], max(least, -(-row["count"] // most))) for row in sizes] or [(NO_CELL, least)]
+    cuts = F.create_map(*(F.lit(x) for pair in cut for x in pair))
+    return F.coalesce(F.element_at(cuts, F.col("__row_block").cast("int")), F.lit(least))
+
+
 def topics(rows: DataFrame, k: int, vector: str = "embedding") -> tuple[DataFrame, list[list[float]]]:
     """Rows with ``topic``, their cluster by direction (rows without one are left out),
     and the centres of the ``k`` topics in order. Centres are fitted on a bounded sample,

@@ -34,6 +34,8 @@ MAX_QUERY_BYTES = 64 << 20
 BLOCK_CELLS = 1 << 20
 BLOCK_QUERIES = 4096
 CELL_ROWS = 1 << 16
+#: Rows that are held as doubles, and candidates that are scored, at a time.
+STEP_ROWS, STEP_PAIRS = 1 << 13, 1 << 14
 # Preselected scores may be off by rounding to ROUNDING places, and by a little more.
 SLACK = 1.1 * 10.0**-ROUNDING
 
@@ -51,10 +53,9 @@ class _Best:
         self.kept: pa.Table | None = None
 
     def add(self, keys: pa.Table, vectors: pa.Array) -> None:
-        matrix = to_matrix(vectors, self.queries.shape[1])
-        step = max(1, BLOCK_CELLS // max(1, len(self.ids)))
-        for start in range(0, len(matrix), step):
-            self._add_block(keys.slice(start, step), matrix[start : start + step])
+        step = min(STEP_ROWS, max(1, BLOCK_CELLS // max(1, len(self.ids))))
+        for start in range(0, len(vectors), step):
+            self._add_block(keys.slice(start, step), to_matrix(vectors.slice(start, step), self.queries.shape[1]))
 
     def _allowed(self, keys: pa.Table) -> np.ndarray | None:
         """Rows x queries: is the row of the source that the query asks for?"""
@@ -83,7 +84,13 @@ class _Best:
         if allowed is not None:
             candidates &= allowed
         row, query = np.nonzero(candidates)
-        scores = pair_scores(matrix[row], self.queries[query])
+        # Rows that tie for the last place are all candidates, so there may be very many.
+        scores = np.concatenate(
+            [
+                pair_scores(matrix[row[at : at + STEP_PAIRS]], self.queries[query[at : at + STEP_PAIRS]])
+                for at in range(0, max(len(row), 1), STEP_PAIRS)
+            ]
+        )
         if self.threshold is not None:
             good = scores >= self.threshold
             row, query, scores = row[good], query[good], scores[good]

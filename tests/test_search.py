@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from folioscope.functions.embedding import embed_words
+from folioscope.functions.matrices import pair_scores
 from folioscope.functions.vectors import search_similarity
 from folioscope.operators import approximate, results
 from folioscope.operators import blocks
@@ -348,3 +350,34 @@ def test_topics_follow_direction(spark):
     first = {r.topic for r in got if r.page_number < 100}
     second = {r.topic for r in got if r.page_number >= 100}
     assert len(got) == 40 and len(first) == len(second) == 1 and first != second
+
+
+def test_queries_of_a_cell_come_in_blocks(spark, tmp_path, monkeypatch):
+    """With all cells probed every query is in each cell; none is told all of them at once."""
+    rows, frame = cells_fixture(spark)
+    index = approximate.CellIndex.build(frame, f"{tmp_path}/cells", cells=6)
+    asked = frame.filter("page_number < 200").selectExpr("cast(page_number AS long) query_id", "embedding")
+    met = []
+    monkeypatch.setattr(approximate, "BLOCK_QUERIES", 32, raising=False)
+    plain = approximate.meet
+    monkeypatch.setattr(approximate, "meet", lambda left, right, *rest: met.append(right) or plain(left, right, *rest))
+    found = index.batch_top_k(asked, 4, 6, parts=2)
+    most = met[0].groupBy("__row_block", "__query_block").count().agg(F.max("count")).first()[0]
+    assert most < 100
+    for query_id in (0, 7, 39, 150):
+        same(taken(found.filter(F.col("query_id") == query_id)), brute(rows[:300], rows[query_id][2], 4))
+
+
+def test_rows_that_tie_are_scored_some_at_a_time(monkeypatch):
+    block = pa.table({"query_id": pa.array([1]), "__query_vector": pa.array([[1.0, 2.0]], pa.list_(pa.float64()))})
+    sizes = []
+
+    def scores(rows, queries):
+        sizes.append(len(rows))
+        return pair_scores(rows, queries)
+
+    monkeypatch.setattr(blocks, "pair_scores", scores)
+    best = blocks._Best(block, 3, ["id"], None, None)
+    best.add(pa.table({"id": np.arange(50_000)[::-1]}), pa.array([[2.0, 4.0]] * 50_000, pa.list_(pa.float32())))
+    assert max(sizes) <= 1 << 14
+    assert best.result().column("id").to_pylist() == [0, 1, 2]
