@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ from folioscope.schemas import DEFAULT_DIMENSION
 
 Encoder = Callable[[list[str]], np.ndarray]
 ModelFactory = Callable[[], Encoder]
+#: Rows and bytes of text that a model is given at a time, whatever the size of an Arrow batch.
+SLICE_ROWS, SLICE_BYTES = 512, 2 << 20
 
 
 def embed(
@@ -37,29 +40,44 @@ def embed(
         encode = factory()
         for batch in batches:
             vectors = np.zeros((len(batch), dimension), dtype=np.float32)
-            filled = np.flatnonzero(batch.is_valid().to_numpy(zero_copy_only=False))
-            if len(filled):
-                encoded = np.asarray(encode(batch.take(pa.array(filled)).to_pylist()))
-                if encoded.shape != (len(filled), dimension):
+            for some in _slices(batch):
+                encoded = np.asarray(encode(batch.take(pa.array(some)).to_pylist()))
+                if encoded.shape != (len(some), dimension):
                     raise ValueError(f"the model returned {encoded.shape}, expected dimension {dimension}")
-                vectors[filled] = encoded
+                vectors[some] = encoded
             starts = np.arange(0, vectors.size + 1, dimension, dtype=np.int32)
             yield pa.ListArray.from_arrays(starts, vectors.reshape(-1))
 
     return encode_batches(F.when(~is_blank(text), prepare(text) if prepare else text))
 
 
+def _slices(batch: pa.Array) -> Iterator[np.ndarray]:
+    """The places of the texts that there are, a bounded number and size at a time; a text
+    that is longer comes alone."""
+    filled = np.flatnonzero(batch.is_valid().to_numpy(zero_copy_only=False))
+    sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)[filled].astype(np.int64)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(filled):
+        before = ends[start] - sizes[start]
+        stop = int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))
+        stop = min(max(stop, start + 1), start + SLICE_ROWS)
+        yield filled[start:stop]
+        start = stop
+
+
 class _Buckets(dict):
-    """The bucket of each word, computed when a word is first seen."""
+    """The bucket of each word, computed when a word is first seen and kept for a while."""
 
-    def __init__(self, dimension: int, most: int = 1_000_000):
+    def __init__(self, dimension: int, most: int = 1 << 17):
         super().__init__()
         self.dimension, self.most = dimension, most
 
     def __missing__(self, word: str) -> int:
         bucket = int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % self.dimension
-        if len(self) < self.most:
-            self[word] = bucket
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = bucket
         return bucket
 
 

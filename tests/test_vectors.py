@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from folioscope.functions import vectors as vx
-from folioscope.functions.embedding import embed, embed_words, hashed_words
+from folioscope.functions.embedding import _Buckets, embed, embed_words, hashed_words
 from folioscope.functions.matrices import batch_similarity
 
 ROWS = [
@@ -111,3 +111,25 @@ def test_model_of_wrong_dimension_fails(spark):
     frame = spark.createDataFrame([("ab",)], "text string")
     with pytest.raises(Exception, match="expected dimension 3"):
         frame.select(embed("text", hashed_words(2), 3)).collect()
+
+
+def test_models_get_a_bounded_number_of_texts(spark):
+    def factory():
+        def encode(texts):
+            if len(texts) > 512 or (len(texts) > 1 and sum(map(len, texts)) > 2 << 20):
+                raise ValueError(f"{len(texts)} texts at once")
+            return np.array([[len(text), 1.0] for text in texts])
+
+        return encode
+
+    sizes = [1, 0, 5, None, 1 << 20, (1 << 20) + 1, 3 << 20] + [7] * 3000
+    texts = spark.createDataFrame([(at, size) for at, size in enumerate(sizes)], "id int, n int").coalesce(1)
+    got = texts.selectExpr("id", "repeat('x', n) AS t").select("id", embed("t", factory, 2).alias("v")).collect()
+    assert {r.id: r.v for r in got} == {at: [float(n), 1.0] if n else [0.0, 0.0] for at, n in enumerate(sizes)}
+
+
+def test_buckets_are_kept_for_a_while():
+    buckets = _Buckets(384, most=10)
+    first = [buckets[f"w{at}"] for at in range(50)]
+    assert len(buckets) <= 10 and [buckets[f"w{at}"] for at in range(50)] == first
+    assert _Buckets(384).most <= 1 << 17
