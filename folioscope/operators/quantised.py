@@ -30,6 +30,8 @@ FIT_ROWS = 20_000
 FIT_ROUNDS = 12
 #: Rows that are scored exactly for a query.
 SHORTLIST = 300
+#: Codes that a task compares with the queries at a time, and hits that it hands on at a time.
+HELD_CODES, HELD_HITS = 1 << 18, 1 << 16
 #: Rows of a page of the vector files, so that a look-up by key reads little else.
 PAGE_ROWS = 256
 
@@ -204,14 +206,13 @@ class CodeIndex:
         self, queries: DataFrame, k: int = DEFAULT_TOP_K, shortlist: int = SHORTLIST, query_id: str = "query_id"
     ) -> DataFrame:
         """``(query_id, *key, similarity, rank)``: the same for each row of ``queries`` (up to 64 MB
-        of vectors). Each task keeps a shortlist a query; the best of these meet
-        their vectors."""
+        of vectors). Each task tells a shortlist a query of some codes at a time; the best of
+        these meet their vectors. Codes are held, of 16 bytes, not what was found for all queries."""
         asked = queries.select(F.col(query_id).alias("query_id"), F.col(self.vector).alias("__query_vector"))
         block = fetched(asked)
         ids = block["query_id"].combine_chunks()
         units = np.nan_to_num(unit_rows(to_matrix(block["__query_vector"], self.dimension)))
-        tables = [look_ups(unit, self.books) for unit in units]
-        key, subspaces, size = self.key, len(self.books), max(shortlist, k)
+        key, books, subspaces, size = self.key, self.books, len(self.books), max(shortlist, k)
         names = ["query_id", *key, "approximate"]
         codes = self.codes
         schema = T.StructType(
@@ -223,26 +224,41 @@ class CodeIndex:
         )
 
         def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[pa.Table | None] = [None] * len(tables)
+            held, count = [], 0
             for batch in batches:
-                matrix, known = code_matrix(batch.column("code"), subspaces)
-                keys = pa.Table.from_batches([batch]).select(key)
-                for at, table in enumerate(tables):
-                    scores = np.where(known, approximate(matrix, table), -np.inf)
-                    few = np.argpartition(-scores, size)[:size] if len(scores) > size else np.arange(len(scores))
-                    few = few[np.isfinite(scores[few])]
-                    found = keys.take(pa.array(few)).append_column("approximate", pa.array(scores[few]))
-                    if held[at] is not None:
-                        found = pa.concat_tables([held[at], found])
-                    if found.num_rows > 4 * size:
-                        found = found.sort_by([("approximate", "descending")]).slice(0, size)
-                    held[at] = found.combine_chunks()
-            for at, found in enumerate(held):
-                if found is not None and found.num_rows:
-                    found = found.sort_by([("approximate", "descending")]).slice(0, size).combine_chunks()
-                    columns = [found[name].combine_chunks() for name in [*key, "approximate"]]
-                    own = ids.take(pa.array(np.full(found.num_rows, at)))
-                    yield pa.RecordBatch.from_arrays([own, *columns], names=names)
+                held.append(batch)
+                count += len(batch)
+                if count >= HELD_CODES:
+                    yield from hits(pa.Table.from_batches(held))
+                    held, count = [], 0
+            if count:
+                yield from hits(pa.Table.from_batches(held))
+
+        def hits(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            matrix, known = code_matrix(rows["code"], subspaces)
+            matrix, places = matrix[known], np.flatnonzero(known)
+            keys = rows.select(key).combine_chunks()
+            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+            def told() -> pa.RecordBatch:
+                own, place, scores = map(np.concatenate, zip(*found))
+                found.clear()
+                taken = keys.take(pa.array(place))
+                columns = [taken[name].combine_chunks() for name in key]
+                return pa.RecordBatch.from_arrays([ids.take(pa.array(own)), *columns, pa.array(scores)], names=names)
+
+            for at, unit in enumerate(units):
+                scores = approximate(matrix, look_ups(unit, books))
+                few = np.arange(len(scores))
+                if len(scores) > size:  # of equals the first, which have the lowest keys
+                    last = np.partition(scores, -size)[-size]
+                    above = np.flatnonzero(scores > last)
+                    few = np.append(above, np.flatnonzero(scores == last)[: size - len(above)])
+                found.append((np.full(len(few), at), places[few], scores[few]))
+                if size * len(found) >= HELD_HITS:
+                    yield told()
+            if found:
+                yield told()
 
         order = Window.partitionBy("query_id").orderBy(F.desc("approximate"), *key)
         listed = codes.mapInArrow(best, schema).withColumn("__at", F.row_number().over(order)).filter(F.col("__at") <= size)

@@ -178,3 +178,13 @@ def test_one_call_of_the_model_for_each_distinct_text(spark, tmp_path):
         assert calls.value == 6
     cache.embedded(spark.createDataFrame([(1, "new"), (2, "text 1")], "n int, text string")).collect()
     assert calls.value == 7 and cache.kept().count() == 7
+
+
+def test_shortlists_of_some_codes_at_a_time(spark, vectors, tmp_path, monkeypatch):
+    index = quantised.CodeIndex.build(vectors, f"{tmp_path}/codes", ["vec_id"])
+    asked = vectors.filter("vec_id % 50 = 0").selectExpr("vec_id AS query_id", "embedding")
+    whole = {(r.query_id, r.rank): r.similarity for r in index.batch_top_k(asked, 5).collect()}
+    monkeypatch.setattr(quantised, "HELD_CODES", 100)
+    monkeypatch.setattr(quantised, "HELD_HITS", 500)
+    # A shortlist from every hundred codes or more finds what one of all codes does.
+    assert {(r.query_id, r.rank): r.similarity for r in index.batch_top_k(asked, 5).collect()} == whole
