@@ -2,7 +2,8 @@
 
 Two texts are near copies if the Jaccard similarity of their sets of five-word shingles is
 0.8 or more. Texts with equal sets are one node. Nodes that agree in a band of minhashes
-are candidates; every candidate is confirmed on the whole sets, so none is wrong. A pair of
+are candidates, and so are nodes that the trie of SimHash fingerprints (:mod:`simhash`)
+links; every candidate is confirmed on the whole sets, so none is wrong. A pair of
 similarity 0.8 agrees in no band with probability 2e-5, and in under half of the minhashes,
 which spares a candidate its sets, with probability 1e-6.
 
@@ -27,7 +28,7 @@ from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from folioscope.llm.common import settled, strings, whole, with_columns
 from folioscope.llm.components import roots
-from folioscope.llm.simhash import shingle_hashes
+from folioscope.llm.simhash import fingerprint, links_between, shingle_hashes
 
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
@@ -72,26 +73,28 @@ def jaccard(first: np.ndarray, second: np.ndarray) -> float:
 
 
 def _sketched(rows: DataFrame) -> DataFrame:
-    """``node`` (128 bits of the set), ``bands``, ``sketch`` in place of ``__text``."""
+    """``node`` (128 bits of the set), ``bands``, ``sketch``, ``fp`` in place of ``__text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, bands, sketches = [], [], []
+            nodes, bands, sketches, prints = [], [], [], []
             for value in strings(batch, "__text"):
                 hashes = shingle_set(value)
                 least = minhashes(hashes)
                 nodes.append(xxh3_128_digest(hashes.tobytes()))
                 bands.append(bands_of(least))
                 sketches.append((least >> np.uint64(48)).astype(np.uint16).tobytes())
+                prints.append(fingerprint(value))
             yield with_columns(
                 batch,
                 ("__text",),
                 node=pa.array(nodes, pa.binary()),
                 bands=pa.array(bands, pa.list_(pa.int64())),
                 sketch=pa.array(sketches, pa.binary()),
+                fp=pa.array(np.array(prints, np.uint64).view(np.int64)),
             )
 
-    new = T.StructType.fromDDL("node binary, bands array<long>, sketch binary").fields
+    new = T.StructType.fromDDL("node binary, bands array<long>, sketch binary, fp long").fields
     return rows.mapInArrow(run, T.StructType([*rows.drop("__text").schema.fields, *new]))
 
 
@@ -101,9 +104,20 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _by_trie(nodes: DataFrame) -> DataFrame:
+    """``u, v``: each node with the least of its fingerprint, and the least nodes of the
+    fingerprints that the trie links; no more pairs than nodes and links."""
+    least = settled(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")))
+    same = nodes.join(least.filter(F.col("n") > 1).select("fp", "first"), "fp")
+    ends = [least.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_node")) for end in ("u", "v")]
+    linked = links_between(least.select("fp")).join(ends[0], "u").join(ends[1], "v")
+    pairs = same.select(F.col("node").alias("u"), F.col("first").alias("v"))
+    return _ordered(pairs.union(linked.select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))))
+
+
 def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``u, v``: distinct pairs of nodes that share a band, in a crowded band those with one
-    of its nodes; and the nodes of crowded bands."""
+    """``u, v``: distinct pairs of nodes that the trie links or that share a band, in a crowded
+    band those with one of its nodes; and the nodes of crowded bands."""
     keys = settled(nodes.select("node", F.explode("bands").alias("band")))
     seen = keys.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "band"), "node")).alias("x")
@@ -113,6 +127,7 @@ def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = few.select("band", F.col("node").alias("u")).join(few.select("band", F.col("node").alias("v")), "band")
     crowded = settled(keys.join(shared.filter(F.col("n") > CROWD), "band").select(F.col("node").alias("u"), "v"))
     both = pairs.select("u", "v").filter(F.col("u") < F.col("v")).unionByName(_ordered(crowded))
+    both = both.unionByName(_by_trie(nodes.select("node", "fp")))
     return settled(_alike(settled(both.distinct()), nodes)), crowded.select(F.col("u").alias("node")).distinct()
 
 
@@ -251,6 +266,7 @@ def near_copies(
             F.min("__own").alias("own"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
+            F.min("fp").alias("fp"),
         )
     )
     pairs, crowded = _candidates(nodes)

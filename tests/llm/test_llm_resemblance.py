@@ -51,6 +51,23 @@ def test_near_copies_go_and_others_stay(spark):
     assert resemblance.near_copies(odd.documents(spark, [])).collect() == []
 
 
+def test_the_trie_tells_near_copies(spark, monkeypatch):
+    """Without a band in common, near copies are found by their fingerprints alone."""
+    monkeypatch.setattr(resemblance, "bands_of", lambda least: [])
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(30):
+        words = [f"w{x}" for x in rng.integers(0, 9000, 4000)]
+        rows += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(words[:-1])), (3 * k + 2, " ".join([*words, "more"]))]
+    # The same fingerprint, zero hashes apart, and no near copy: confirmed by the sets alone.
+    rows += [(900, ""), (901, " "), (902, "two words"), (903, "two more")]
+    docs = odd.documents(spark, [(i, text, "en", "s") for i, text in rows]).repartition(3)
+    found = {r.doc_id: r.component_id for r in resemblance.near_copies(docs).collect()}
+    expected = plain_components(rows)
+    assert all(found[i] in (i, expected[i]) for i in found)
+    assert sum(found[i] == expected[i] for i in found) >= 0.9 * len(rows)
+
+
 def crowd(pages, body, own, changed):
     """Pages with a common body and words of their own, each with a copy."""
     rng = np.random.default_rng(7)
