@@ -13,6 +13,10 @@ missing, links between nodes of crowded bands in different components, is found
 shingles are ordered from rare to common, near copies share one within their prefixes,
 and there their places leave room for the overlap they need. Shingles that only nodes of
 one component have in their prefixes are left out, so large groups of copies cost no pairs.
+
+Of all candidates those go on whose sets can be near by their parities: the places, of
+512, that an odd number of hashes falls on. Two sets differ in as many hashes at least as their
+parities in places, so this loses none, and alike texts that are not near cost no sets.
 """
 
 from __future__ import annotations
@@ -37,6 +41,8 @@ BANDS, BAND_ROWS = 16, 3
 CROWD = 32
 #: Candidates go on if so many of their minhashes agree, by 16 bits each.
 LEAST_AGREEING = BANDS * BAND_ROWS // 2
+#: Places on which the hashes of a set are counted, odd or even: 64 to a word.
+PARITY_WORDS = 8
 #: Pairs that meet the set of one node in one task, and copies of a text that do.
 SHARE, SALTS = 256, 8
 
@@ -65,6 +71,18 @@ def bands_of(least: np.ndarray) -> list[int]:
     return [xxh64_intdigest(row.tobytes(), band) - (1 << 63) for band, row in enumerate(rows)]
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each place, set if an odd number of hashes falls on it."""
+    places = hashes // np.uint64((1 << 64) // (64 * PARITY_WORDS))
+    odd = np.bincount(places.astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def most_apart(least: float) -> float:
+    """The share of the sizes of two sets, added, in which near ones differ at most."""
+    return (1 - least) / (1 + least)
+
+
 def jaccard(first: np.ndarray, second: np.ndarray) -> float:
     """Of two sets in order; 1 if both are empty."""
     common = len(np.intersect1d(first, second, assume_unique=True))
@@ -73,7 +91,8 @@ def jaccard(first: np.ndarray, second: np.ndarray) -> float:
 
 
 def _sketched(rows: DataFrame) -> DataFrame:
-    """``node`` (128 bits of the set), ``bands``, ``sketch``, ``fp`` in place of ``__text``."""
+    """``node`` (128 bits of the set), ``bands``, ``sketch`` (minhashes, parity, size), ``fp``
+    in place of ``__text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +102,8 @@ def _sketched(rows: DataFrame) -> DataFrame:
                 least = minhashes(hashes)
                 nodes.append(xxh3_128_digest(hashes.tobytes()))
                 bands.append(bands_of(least))
-                sketches.append((least >> np.uint64(48)).astype(np.uint16).tobytes())
+                least = (least >> np.uint64(48)).astype(np.uint16)
+                sketches.append(least.tobytes() + parity(hashes).tobytes() + np.int64(len(hashes)).tobytes())
                 prints.append(fingerprint(value))
             yield with_columns(
                 batch,
@@ -115,7 +135,7 @@ def _by_trie(nodes: DataFrame) -> DataFrame:
     return _ordered(pairs.union(linked.select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))))
 
 
-def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _candidates(nodes: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """``u, v``: distinct pairs of nodes that the trie links or that share a band, in a crowded
     band those with one of its nodes; and the nodes of crowded bands."""
     keys = settled(nodes.select("node", F.explode("bands").alias("band")))
@@ -128,19 +148,20 @@ def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     crowded = settled(keys.join(shared.filter(F.col("n") > CROWD), "band").select(F.col("node").alias("u"), "v"))
     both = pairs.select("u", "v").filter(F.col("u") < F.col("v")).unionByName(_ordered(crowded))
     both = both.unionByName(_by_trie(nodes.select("node", "fp")))
-    return settled(_alike(settled(both.distinct()), nodes)), crowded.select(F.col("u").alias("node")).distinct()
+    return settled(_alike(settled(both.distinct()), nodes, least)), crowded.select(F.col("u").alias("node")).distinct()
 
 
-def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs of which enough minhashes agree."""
+def _alike(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The pairs of which enough minhashes agree, and whose parities leave room to be near."""
+    kind = np.dtype([("least", np.uint16, BANDS * BAND_ROWS), ("parity", np.int64, PARITY_WORDS), ("size", np.int64)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint16).reshape(len(batch), -1)
-                for name in ("a", "b")
-            )
-            yield batch.filter(pa.array((a == b).sum(axis=1) >= LEAST_AGREEING)).select(["u", "v"])
+            a, b = (np.frombuffer(b"".join(batch.column(name).to_pylist()), kind) for name in ("a", "b"))
+            apart = np.bitwise_count((a["parity"] ^ b["parity"]).view(np.uint64)).sum(axis=1)
+            alike = (a["least"] == b["least"]).sum(axis=1) >= LEAST_AGREEING
+            alike &= apart <= most_apart(least) * (a["size"] + b["size"]) + 1e-9
+            yield batch.filter(pa.array(alike, pa.bool_())).select(["u", "v"])
 
     joined = _with_both(pairs, nodes.select("node", F.col("sketch").alias("value")))
     return joined.mapInArrow(run, "u binary, v binary")
@@ -205,13 +226,27 @@ def _shingles(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, "node binary, token long")
 
 
+def _parities(sets: DataFrame) -> DataFrame:
+    """``node, p0, p1, ...``: the parity of each set, word by word."""
+    names = [f"p{word}" for word in range(PARITY_WORDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [parity(np.frombuffer(x, np.uint64)) for x in batch.column("value").to_pylist()]
+            words = np.array(found, np.int64).reshape(-1, PARITY_WORDS).T
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *map(pa.array, words)], names=["node", *names])
+
+    return sets.mapInArrow(run, ", ".join(["node binary", *(f"{name} long" for name in names)]))
+
+
 def _prefix_pairs(sets: DataFrame, component: DataFrame, least: float) -> DataFrame:
     """``u, v``: pairs of the given nodes, of different components (``node, part``), that
     can be near by the prefixes of their shingles; no near pair is missing.
 
     Of two near sets the smaller has one of its first ``size - 2·least/(1 + least)·size + 1``
     shingles among the first ``size - least·size + 1`` of the larger. The rarest that they share is
-    preceded by none in common, so what follows it in both bounds their overlap.
+    preceded by none in common, so what follows it in both bounds their overlap; so do their
+    parities.
     """
     shingles = settled(_shingles(sets))
     counts = shingles.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
@@ -226,18 +261,22 @@ def _prefix_pairs(sets: DataFrame, component: DataFrame, least: float) -> DataFr
         .select("node", "part", "size", "pos", F.col("t.token").alias("token"))
     )
     prefixes = settled(prefixes)
+    parities = _parities(sets)
+    columns = ["node", "part", "size", "pos", *parities.columns[1:]]
     mixed = prefixes.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("token")
-    rows = settled(prefixes.join(mixed, "token"))
+    rows = settled(prefixes.join(mixed, "token").join(parities, "node"))
     share = least / (1 + least)
     indexed = rows.filter(F.col("pos") < F.col("size") - F.ceil(2 * share * F.col("size") - 1e-9) + 1)
-    a = indexed.select("token", *(F.col(c).alias(f"a_{c}") for c in ("node", "part", "size", "pos")))
-    b = rows.select("token", *(F.col(c).alias(f"b_{c}") for c in ("node", "part", "size", "pos")))
+    a = indexed.select("token", *(F.col(c).alias(f"a_{c}") for c in columns))
+    b = rows.select("token", *(F.col(c).alias(f"b_{c}") for c in columns))
+    apart = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in parities.columns[1:])
     room = F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos"))
     met = a.join(b, "token").filter(
         (F.col("a_part") != F.col("b_part"))
         & (F.col("a_size") <= F.col("b_size"))
         & (F.col("a_size") >= least * F.col("b_size") - 1e-9)
         & (room >= share * (F.col("a_size") + F.col("b_size")) - 1e-9)
+        & (apart <= most_apart(least) * (F.col("a_size") + F.col("b_size")) + 1e-9)
     )
     return _ordered(met.select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))).distinct()
 
@@ -269,7 +308,7 @@ def near_copies(
             F.min("fp").alias("fp"),
         )
     )
-    pairs, crowded = _candidates(nodes)
+    pairs, crowded = _candidates(nodes, least)
     crowded = settled(crowded)
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).union(crowded).distinct()
     # One text for each wanted node: of rows with its text hash, all have the same text. The

@@ -124,3 +124,19 @@ def test_prefix_pairs_miss_no_near_pair(spark):
             if a < b and a % parts != b % parts and len(sets[a]) and resemblance.jaccard(sets[a].view(np.uint64), sets[b].view(np.uint64)) >= 0.8
         }
         assert near and near <= found
+
+
+def test_prefix_pairs_of_alike_sets_that_are_not_near_are_few(spark):
+    """Each set is a part of one and shares rare hashes with most others, hardly ever enough."""
+    rng = np.random.default_rng(10)
+    common = rng.integers(-(1 << 63), 1 << 63, 220)
+    sets = [np.sort(common[rng.random(220) < 0.6].view(np.uint64)) for _ in range(120)]
+    sets += [s[1:] for s in sets[:20]]
+    name = [b"%03d" % i for i in range(len(sets))]
+    frame = spark.createDataFrame([(bytearray(n), bytearray(s.tobytes())) for n, s in zip(name, sets)], "node binary, value binary")
+    component = spark.createDataFrame([(bytearray(n), bytearray(n)) for n in name], "node binary, part binary")
+    found = {(bytes(r.u), bytes(r.v)) for r in resemblance._prefix_pairs(frame, component, 0.8).collect()}
+    pairs = [(a, b) for b in range(len(sets)) for a in range(b)]
+    near = {(name[a], name[b]) for a, b in pairs if resemblance.jaccard(sets[a], sets[b]) >= 0.8}
+    assert len(near) >= 20 and near <= found
+    assert len(found) < 3 * len(near)
