@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ PART_BITS = 13
 #: Characters of text that a task turns into lists at a time.
 HELD_CHARS = 8 << 20
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
 #: Distinct terms of a text (codes or words), how often each occurs, the text's length.
 Terms = tuple[Sequence, Sequence[int], int]
 
@@ -48,6 +51,7 @@ class _Lists:
 
     def __init__(self) -> None:
         self.groups: list[int] = []
+        self.bare: list[int] = []
         self.blocks: dict[tuple, int] = {}
         self.numbers: dict[object, int] = {}
         self.block, self.page, self.length = [], [], []
@@ -66,15 +70,15 @@ class _Lists:
         self.terms.append(found)
         self.times.append(np.asarray(times, np.int64))
 
-    def totals(self) -> list[tuple[int, int, int]]:
-        """Group, pages and length of all."""
+    def totals(self) -> list[tuple[int, int | None, int | None]]:
+        """Group, pages and length of all; groups that are only named have neither."""
         count, length = Counter(self.groups), Counter()
         for group, size in zip(self.groups, self.length):
             length[group] += size
-        return [(group, count[group], length[group]) for group in count]
+        return [(group, count[group], length[group]) for group in count] + [(group, None, None) for group in self.bare]
 
     def batch(self, schema: pa.Schema) -> pa.RecordBatch:
-        owner = np.repeat(np.arange(len(self.page)), [len(terms) for terms in self.terms])
+        owner = np.repeat(np.arange(len(self.page)), np.array([len(terms) for terms in self.terms], np.int64))
         terms = np.concatenate([np.zeros(0, np.int64), *self.terms])
         times = np.concatenate([np.zeros(0, np.int64), *self.times])
         page, length, block = (np.array(x, np.int64)[owner] for x in (self.page, self.length, self.block))
@@ -110,6 +114,17 @@ class _Lists:
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session, for one write."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 class PostingTable:
     """Lists of the pages that hold a term, at ``path``.
 
@@ -120,8 +135,9 @@ class PostingTable:
     rows of a term. Rows without a term have the number and the total length of the pages.
 
     Sources are hashed into groups, a directory each, and a refresh replaces whole groups.
-    Files are in order of term: a look-up of terms skips most row groups, and reads the
-    arrays only where they are asked for.
+    Files have runs in order of term, one for each ``HELD_CHARS`` of text: a look-up of terms skips
+    most of the pages of a file by their least and greatest term, and reads the arrays only
+    where they are asked for.
     """
 
     def __init__(
@@ -163,19 +179,27 @@ class PostingTable:
         self._write(pages.filter(self._group(F.col("source_file")).isin(list(groups))), list(groups))
 
     def _write(self, pages: DataFrame, groups: list[int]) -> None:
-        # Every group gets a row, so that one without pages is replaced as well.
-        nothing = self.spark.createDataFrame([(group,) for group in groups], f"{GROUP_COLUMN} int")
-        rows = self._lists(pages).unionByName(nothing, allowMissingColumns=True)
-        (
-            rows.hint("rebalance", GROUP_COLUMN)
-            .sortWithinPartitions(GROUP_COLUMN, "term", "source_file", "part")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(GROUP_COLUMN)
-            .parquet(self.path)
+        # Lists weigh far more than texts, as most terms stand on few pages, and sorting a task's
+        # lists takes several times its texts. So the texts of a group are brought together, and
+        # lists go to the files as they are made, in runs in order of term: with several files
+        # open in a task Spark asks for no order by directory.
+        texts = pages.select(
+            self._group(F.col("source_file")).alias("g"), *PAGE_KEY, F.lower(or_empty("text")).alias("text")
         )
-
-    def _lists(self, pages: DataFrame) -> DataFrame:
+        # Every group gets a row, so that one without pages is replaced as well.
+        nothing = self.spark.createDataFrame([(group,) for group in groups], "g int")
+        rows = texts.unionByName(nothing, allowMissingColumns=True).hint("rebalance", "g")
+        with _setting(self.spark, OPEN_FILES, str(self.groups)):
+            (
+                self._lists(rows)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(GROUP_COLUMN)
+                .parquet(self.path)
+            )
+
+    def _lists(self, texts: DataFrame) -> DataFrame:
+        """The lists of ``g, source_file, page_number, text``; a group without a page is named."""
         terms_of = self.terms
         kinds = {"bigint": pa.int64(), "string": pa.string(), "int": pa.int32(), "array<int>": pa.list_(pa.int32())}
         names = [GROUP_COLUMN, *self.schema.names[:-1]]
@@ -187,18 +211,18 @@ class PostingTable:
             for batch in batches:
                 columns = (batch.column(name).to_pylist() for name in ("g", *PAGE_KEY, "text"))
                 for group, source, page, text in zip(*columns):
+                    if page is None:
+                        held.bare.append(group)
+                        continue
                     held.add(group, source, page, terms_of(text))
                     chars += len(text)
                     if chars >= HELD_CHARS:
                         yield held.batch(schema)
                         held, chars = _Lists(), 0
-            if held.page:
+            if held.page or held.bare:
                 yield held.batch(schema)
 
-        rows = pages.select(
-            self._group(F.col("source_file")).alias("g"), *PAGE_KEY, F.lower(or_empty("text")).alias("text")
-        )
-        return rows.mapInArrow(run, out)
+        return texts.mapInArrow(run, out)
 
     @property
     def rows(self) -> DataFrame:

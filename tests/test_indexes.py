@@ -1,10 +1,12 @@
 """Indexes of trigrams and words against scans and plain scoring."""
 
+import itertools
 import math
 import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from folioscope.library import Library
 from folioscope.operators import keywords, results, trigrams
 from folioscope.operators.bm25 import WordIndex
 from folioscope.operators.trigrams import TrigramIndex, literal_runs
+from folioscope.sources import postings
 from folioscope.sources.paged import split_pages
 from folioscope.sources.postings import trigram_codes
 
@@ -170,3 +173,19 @@ def test_fusion_of_whole_lists_equals_a_plain_one(spark):
         found = results.fuse_whole(*frames, ["source_file", "page_number"], ("l", "r"), k).orderBy("rank").collect()
         assert [(r.source_file, r.page_number) for r in found] == expected
         assert [r.score for r in found] == pytest.approx([scores[key] for key in expected])
+
+
+def test_lists_go_to_the_files_as_they_are_made(spark, tmp_path, monkeypatch):
+    """Neither shuffled nor sorted after they were made: a run in order of term for each part of the texts."""
+    monkeypatch.setattr(postings, "HELD_CHARS", 2000)
+    made = [(f"s{page % 3}", page, f"w{page} w{page + 1} every") for page in range(1, 600)]
+    before = spark.conf.get(postings.OPEN_FILES, None)
+    index = WordIndex(spark, f"{tmp_path}/words", groups=4)
+    index.build(spark.createDataFrame(made, SCHEMA).coalesce(1))
+    assert spark.conf.get(postings.OPEN_FILES, None) == before
+    files = [pq.read_table(path, columns=["term"])["term"].drop_null().to_pylist() for path in tmp_path.glob("words/*/*.parquet")]
+    runs = [1 + sum(b < a for a, b in itertools.pairwise(terms)) for terms in files if terms]
+    assert max(runs) > 1 and sum(runs) < 40
+    assert index.table.counts(["every", "w7", "w600", "none"]) == {"every": 599, "w7": 2, "w600": 1}
+    assert index.table.totals() == (599, 3 * 599)
+    assert sorted(r[0] for r in index.table.rows.select("source_group").distinct().collect()) == [0, 1, 2, 3]
