@@ -20,6 +20,7 @@ from folioscope.operators import keywords as scans
 from folioscope.operators.keywords import DEFAULT_LIMIT, SHARES, matches
 from folioscope.operators.search import in_source, ranked
 from folioscope.schemas import PAGE_KEY
+from folioscope.session import scratch_path
 from folioscope.sources.postings import DEFAULT_GROUPS, PostingTable, literal_keys, trigram_codes, trigram_terms
 
 #: Of a pattern so many trigrams, the rarest, are intersected.
@@ -134,13 +135,17 @@ def _search(
     """Matching pages with ``which``, for each number all of the first ``limit`` at least.
 
     At first the first few candidates are read, by their keys. Where too few of them match and
-    there are more, all candidates are joined with the pages.
+    there are more, all candidates are joined with the pages. Candidates are written, keys
+    alone: so they are found once, and Spark knows their size and sends few of them to the
+    pages instead of moving all texts.
     """
     grams = dict(zip(asked, index.grams([like_pattern(keyword, literal) for keyword in asked.values()])))
     grams = {which: codes for which, codes in grams.items() if codes != [0]}
     if not grams or limit < 1:
         return []
-    candidates = index.candidates(grams, source)
+    path = scratch_path(index.spark, "candidates")
+    index.candidates(grams, source).write.parquet(path)
+    candidates = index.spark.read.parquet(path)
     several = AT_FIRST * limit
     short, out = list(grams), []
     if limit <= MOST_KEYS:

@@ -189,3 +189,22 @@ def test_lists_go_to_the_files_as_they_are_made(spark, tmp_path, monkeypatch):
     assert index.table.counts(["every", "w7", "w600", "none"]) == {"every": 599, "w7": 2, "w600": 1}
     assert index.table.totals() == (599, 3 * 599)
     assert sorted(r[0] for r in index.table.rows.select("source_group").distinct().collect()) == [0, 1, 2, 3]
+
+
+def test_few_candidates_go_to_the_pages(spark, tmp_path):
+    """Texts stay where they are while candidates are few."""
+    rng = random.Random(4)
+    rows = [("a", p, "abcx bcdx cdey " + "".join(rng.choices("fghijklmn", k=2000))) for p in range(1, 80)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    index = TrigramIndex(spark, f"{tmp_path}/t")
+    index.build(pages.withColumn("text", F.replace("text", F.lit("cdey"), F.lit("cde"))))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        rest = trigrams._search(index, pages, {0: "abcde"}, 5, False)[-1]
+        plan = rest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rest.count() == 0
