@@ -2,8 +2,10 @@
 
 The first lists come from blocks of rows that several random projections put side by side.
 Then, in rounds, each row brings its neighbours together, those it lists and the best of those that
-list it; they are compared with one another, and all keep the best they have met. A round
-costs a fixed number of comparisons a row; nothing compares all rows with all.
+list it; they are compared with one another, and all keep the best they have met. Those that
+the same row brought together in the round before are not compared again, and a row that brings no
+one new sits out. A round costs a fixed number of comparisons a row at most; nothing compares all
+rows with all.
 """
 
 from __future__ import annotations
@@ -41,9 +43,9 @@ def _written(rows: DataFrame, name: str) -> DataFrame:
 def _local_join(rows: DataFrame, dimension: int, width: int, blocks: bool) -> DataFrame:
     """``id, near, similarity`` of the best pairs among the rows of each group, for either end.
 
-    ``rows`` have ``place, id, vector, floor``, groups side by side in their partitions: those of
-    one place, or with ``blocks`` every ``BLOCK_ROWS`` rows. A row's pairs at or below its floor
-    are left out: it has better ones.
+    ``rows`` have ``place, id, vector, floor, fresh``, groups side by side in their partitions:
+    those of one place, or with ``blocks`` every ``BLOCK_ROWS`` rows. A row's pairs at or below its
+    floor are left out: it has better ones; so are pairs of rows neither of which is fresh.
     """
     kind = rows.schema["id"].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("near", kind), T.StructField("similarity", T.DoubleType())])
@@ -51,12 +53,15 @@ def _local_join(rows: DataFrame, dimension: int, width: int, blocks: bool) -> Da
     def pairs_of(held: pa.Table) -> pa.RecordBatch:
         matrix = to_matrix(held["vector"], dimension)
         units, floor = unit_rows(matrix), held["floor"].to_numpy()
+        stale = ~held["fresh"].to_numpy()
         place = np.arange(len(matrix)) // BLOCK_ROWS if blocks else held["place"].to_numpy()
         starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
         left, right = [], []
         for start, stop in zip(starts, np.append(starts[1:], len(place))):
             scores = units[start:stop] @ units[start:stop].T
             np.fill_diagonal(scores, -2)
+            known = np.flatnonzero(stale[start:stop])
+            scores[known[:, None], known] = -2
             if stop - start > width:
                 least = np.partition(scores, -width, axis=1)[:, -width]
                 scores[scores < least[:, None]] = -2
@@ -85,7 +90,7 @@ def _local_join(rows: DataFrame, dimension: int, width: int, blocks: bool) -> Da
         if rest is not None and len(rest):
             yield pairs_of(rest)
 
-    return rows.select("place", "id", "vector", "floor").mapInArrow(run, schema)
+    return rows.select("place", "id", "vector", "floor", "fresh").mapInArrow(run, schema)
 
 
 def _best(pairs: DataFrame, width: int) -> DataFrame:
@@ -108,7 +113,9 @@ def _projected(vectors: DataFrame, dimension: int, number: int) -> DataFrame:
     rows = vectors.withColumn("p", place(F.col("vector")))
     order = ["p.bits", "p.along", "id"]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return rows.select(F.lit(0).cast("long").alias("place"), "id", "vector", F.lit(-2.0).alias("floor"))
+    return rows.select(
+        F.lit(0).cast("long").alias("place"), "id", "vector", F.lit(-2.0).alias("floor"), F.lit(True).alias("fresh")
+    )
 
 
 def neighbour_graph(
@@ -134,7 +141,7 @@ def neighbour_graph(
         lists = found if lists is None else lists.unionByName(found)
         compared += count * (BLOCK_ROWS - 1) // 2
     lists = _written(_best(lists, width), "graph-0")
-    done = 0
+    done, known = 0, None
     for done in range(1, rounds + 1):
         back = Window.partitionBy("near").orderBy(F.desc("similarity"), "id")
         reverse = lists.withColumn("r", F.row_number().over(back)).filter(F.col("r") <= REVERSE)
@@ -144,12 +151,20 @@ def neighbour_graph(
             .union(vectors.select(F.col("id").alias("centre"), "id"))
             .distinct()
         )
+        if known is not None:
+            members = members.join(known.withColumn("known", F.lit(True)), ["centre", "id"], "left")
+            members = members.select("centre", "id", F.col("known").isNull().alias("fresh"))
+        else:
+            members = members.withColumn("fresh", F.lit(True))
+        members = _written(members, f"graph-members-{done}")
+        known = members.select("centre", "id")
+        active = members.filter("fresh").select("centre").distinct()
         floors = lists.filter(F.col("at") == width).select("id", F.col("similarity").alias("worst"))
         held = vectors.join(floors, "id", "left").select("id", "vector", F.coalesce("worst", F.lit(-2.0)).alias("floor"))
-        met = members.join(held, "id").withColumn("place", F.xxhash64("centre"))
-        met = _written(met.select("place", "id", "vector", "floor"), f"graph-met-{done}")
-        size = met.groupBy("place").agg(F.count(F.lit(1)).alias("m"))
-        compared += size.agg(F.sum(F.expr("m * (m - 1) div 2"))).first()[0] or 0
+        brought = members.join(active, "centre", "left_semi")
+        size = brought.groupBy("centre").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("fresh")).alias("o"))
+        compared += size.agg(F.sum(F.expr("m * (m - 1) div 2 - o * (o - 1) div 2"))).first()[0] or 0
+        met = brought.join(held, "id").withColumn("place", F.xxhash64("centre"))
         side_by_side = met.repartition("place").sortWithinPartitions("place", "id")
         found = _local_join(side_by_side, dimension, width, False)
         before = lists.select("id", "near", F.lit(1).alias("old"))

@@ -79,6 +79,17 @@ def test_comparisons_a_row_do_not_grow(spark):
     assert costs[1] < 1.6 * costs[0]
 
 
+def test_rows_that_met_are_not_compared_again(spark):
+    rows = [(1, i, [1.0, float(i)], -2.0, i > 2) for i in range(1, 5)]
+    held = spark.createDataFrame(rows, "place long, id long, vector array<double>, floor double, fresh boolean").coalesce(1)
+    found = {(r.id, r.near) for r in graph._local_join(held, 2, 8, False).collect()}
+    assert found == {(a, b) for a in range(1, 5) for b in range(1, 5) if a != b and {a, b} != {1, 2}}
+    rng = np.random.default_rng(2)
+    frame = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(500)], "vec_id long, embedding array<double>")
+    costs = [graph.neighbour_graph(frame, "vec_id", 2, width=8, rounds=rounds)[1]["comparisons"] for rounds in (0, 1, 3)]
+    assert costs[2] - costs[1] < costs[1] - costs[0]
+
+
 def greedy(words, budget):
     out, used, chunk = [], 0, -1
     for n in words:
