@@ -179,10 +179,11 @@ def test_lists_go_to_the_files_as_they_are_made(spark, tmp_path, monkeypatch):
     """Neither shuffled nor sorted after they were made: a run in order of term for each part of the texts."""
     monkeypatch.setattr(postings, "HELD_CHARS", 2000)
     made = [(f"s{page % 3}", page, f"w{page} w{page + 1} every") for page in range(1, 600)]
-    before = spark.conf.get(postings.OPEN_FILES, None)
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting, None)
     index = WordIndex(spark, f"{tmp_path}/words", groups=4)
     index.build(spark.createDataFrame(made, SCHEMA).coalesce(1))
-    assert spark.conf.get(postings.OPEN_FILES, None) == before
+    assert spark.conf.get(setting, None) == before
     files = [pq.read_table(path, columns=["term"])["term"].drop_null().to_pylist() for path in tmp_path.glob("words/*/*.parquet")]
     runs = [1 + sum(b < a for a, b in itertools.pairwise(terms)) for terms in files if terms]
     assert max(runs) > 1 and sum(runs) < 40
