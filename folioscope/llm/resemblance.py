@@ -33,6 +33,7 @@ from xxhash import xxh3_128_digest, xxh64_intdigest
 from folioscope.llm.common import settled, strings, whole, with_columns
 from folioscope.llm.components import roots
 from folioscope.llm.simhash import fingerprint, links_between, shingle_hashes
+from folioscope.session import scratch_path
 
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
@@ -127,28 +128,27 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def _by_trie(nodes: DataFrame) -> DataFrame:
     """``u, v``: each node with the least of its fingerprint, and the least nodes of the
     fingerprints that the trie links; no more pairs than nodes and links."""
-    least = settled(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")))
+    least = nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"))
     same = nodes.join(least.filter(F.col("n") > 1).select("fp", "first"), "fp")
-    ends = [least.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_node")) for end in ("u", "v")]
-    linked = links_between(least.select("fp")).join(ends[0], "u").join(ends[1], "v")
     pairs = same.select(F.col("node").alias("u"), F.col("first").alias("v"))
-    return _ordered(pairs.union(linked.select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))))
+    return _ordered(pairs.union(links_between(least.select("fp", "first"), "first")))
 
 
 def _candidates(nodes: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """``u, v``: distinct pairs of nodes that the trie links or that share a band, in a crowded
-    band those with one of its nodes; and the nodes of crowded bands."""
-    keys = settled(nodes.select("node", F.explode("bands").alias("band")))
+    band those with one of its nodes; and the nodes of crowded bands, some repeated."""
+    keys = nodes.select("node", F.explode("bands").alias("band"))
     seen = keys.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "band"), "node")).alias("x")
     )
-    shared = settled(seen.filter(F.col("n") > 1).select("band", "n", F.col("x.node").alias("v")))
-    few = keys.join(shared.filter(F.col("n") <= CROWD).select("band"), "band")
-    pairs = few.select("band", F.col("node").alias("u")).join(few.select("band", F.col("node").alias("v")), "band")
-    crowded = settled(keys.join(shared.filter(F.col("n") > CROWD), "band").select(F.col("node").alias("u"), "v"))
-    both = pairs.select("u", "v").filter(F.col("u") < F.col("v")).unionByName(_ordered(crowded))
+    shared = seen.filter(F.col("n") > 1).select("band", "n", F.col("x.node").alias("v"))
+    met = settled(keys.join(shared, "band").select("band", "n", F.col("node").alias("u"), "v"))
+    few = met.filter(F.col("n") <= CROWD)
+    pairs = few.select("band", "u").join(few.select("band", F.col("u").alias("v")), "band")
+    crowded = met.filter(F.col("n") > CROWD)
+    both = pairs.select("u", "v").filter(F.col("u") < F.col("v")).unionByName(_ordered(crowded.select("u", "v")))
     both = both.unionByName(_by_trie(nodes.select("node", "fp")))
-    return settled(_alike(settled(both.distinct()), nodes, least)), crowded.select(F.col("u").alias("node")).distinct()
+    return settled(_alike(settled(both.distinct()), nodes, least)), crowded.select(F.col("u").alias("node"))
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -171,36 +171,37 @@ def _with_both(pairs: DataFrame, values: DataFrame) -> DataFrame:
     """``u, v, a, b``: the pairs with the ``value`` of either node.
 
     A node of very many pairs would gather them all in one task: its pairs are dealt into
-    shares, and its value is repeated for each.
+    shares, and its value is repeated for each. Such nodes are few; they are written, so that
+    Spark knows their size before it plans the joins, and neither pairs nor values are
+    shuffled to meet them.
     """
-    # Shares are counted on the pairs as they come: counting them between the joins would
-    # run the first join twice.
-    hot = {
-        end: pairs.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("__shares")).filter("__shares > 1")
-        for end in ("u", "v")
-    }
-    for end, name in (("u", "a"), ("v", "b")):
-        other = "v" if end == "u" else "u"
-        dealt = pairs.join(hot[end], end, "left").withColumn(
-            "__share", F.coalesce(F.pmod(F.xxhash64(other), F.col("__shares")), F.lit(0)).cast("int")
-        )
-        held = values.select(F.col("node").alias(end), F.col("value").alias(name)).join(hot[end], end, "left")
-        held = held.select(
-            end, name, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__shares") - 1, F.lit(0)))).alias("__share")
-        )
-        pairs = dealt.drop("__shares").join(held, [end, "__share"]).drop("__share")
+    spark = pairs.sparkSession
+    counts = pairs.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.select("node", F.ceil(F.col("n") / SHARE).cast("int").alias("__shares")).filter("__shares > 1")
+    path = scratch_path(spark, "shares")
+    hot.write.parquet(path)
+    hot = spark.read.schema(hot.schema).parquet(path)
+    every = F.sequence(F.lit(0), F.coalesce(F.col("__shares") - 1, F.lit(0)))
+    held = values.select("node", "value").join(hot, "node", "left").select("node", "value", F.explode(every).alias("__share"))
+    for end, name, other in (("u", "a", "v"), ("v", "b", "u")):
+        share = F.coalesce(F.pmod(F.xxhash64(other), F.col("__shares")), F.lit(0)).cast("int")
+        dealt = pairs.join(hot.withColumnRenamed("node", end), end, "left").withColumn("__share", share)
+        pairs = dealt.drop("__shares").join(
+            held.withColumnsRenamed({"node": end, "value": name}), [end, "__share"]
+        ).drop("__share")
     return pairs
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """``node, value`` of ``node, __text``: the hashes of the shingles in order."""
+    """``value`` in place of ``__text``: the hashes of the shingles in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(value).tobytes() for value in strings(batch, "__text")]
             yield with_columns(batch, ("__text",), value=pa.array(sets, pa.binary()))
 
-    return texts.mapInArrow(run, "node binary, value binary")
+    value = T.StructField("value", T.BinaryType())
+    return texts.mapInArrow(run, T.StructType([*texts.drop("__text").schema.fields, value]))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -240,15 +241,16 @@ def _parities(sets: DataFrame) -> DataFrame:
 
 
 def _prefix_pairs(sets: DataFrame, component: DataFrame, least: float) -> DataFrame:
-    """``u, v``: pairs of the given nodes, of different components (``node, part``), that
-    can be near by the prefixes of their shingles; no near pair is missing.
+    """``u, v``: pairs of the given nodes, of different components (``node, part``; a node
+    without is one of its own), that can be near by the prefixes of their shingles; no near
+    pair is missing.
 
     Of two near sets the smaller has one of its first ``size - 2·least/(1 + least)·size + 1``
     shingles among the first ``size - least·size + 1`` of the larger. The rarest that they share is
     preceded by none in common, so what follows it in both bounds their overlap; so do their
     parities.
     """
-    shingles = settled(_shingles(sets))
+    shingles = _shingles(sets)
     counts = shingles.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     ordered = shingles.join(counts, "token").groupBy("node").agg(
         F.array_sort(F.collect_list(F.struct("n", "token"))).alias("tokens")
@@ -256,8 +258,8 @@ def _prefix_pairs(sets: DataFrame, component: DataFrame, least: float) -> DataFr
     size = F.size("tokens")
     probing = size - F.ceil(size * least - 1e-9) + 1
     prefixes = (
-        ordered.join(component, "node")
-        .select("node", "part", size.alias("size"), F.posexplode(F.slice("tokens", F.lit(1), probing.cast("int"))).alias("pos", "t"))
+        ordered.join(component, "node", "left")
+        .select("node", F.coalesce("part", "node").alias("part"), size.alias("size"), F.posexplode(F.slice("tokens", F.lit(1), probing.cast("int"))).alias("pos", "t"))
         .select("node", "part", "size", "pos", F.col("t.token").alias("token"))
     )
     prefixes = settled(prefixes)
@@ -301,7 +303,6 @@ def near_copies(
     )
     nodes = settled(
         rows.groupBy("node").agg(
-            F.min("doc_id").alias("least_id"),
             F.min("__own").alias("own"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
@@ -309,26 +310,24 @@ def near_copies(
         )
     )
     pairs, crowded = _candidates(nodes, least)
-    crowded = settled(crowded)
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).union(crowded).distinct()
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node"), F.lit(False).alias("crowded"))
+    wanted = wanted.union(crowded.withColumn("crowded", F.lit(True))).groupBy("node").agg(F.max("crowded").alias("crowded"))
     # One text for each wanted node: of rows with its text hash, all have the same text. The
     # copies of a text are dealt into shares, each of which keeps one.
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
-    owns = nodes.join(wanted, "node").select("node", F.col("own").alias("__own"), salts)
+    owns = nodes.join(wanted, "node").select("node", "crowded", F.col("own").alias("__own"), salts)
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("__salt")
     texts = docs.select(F.xxhash64(whole(text)).alias("__own"), salt, whole(text).alias("__text"))
-    held = texts.join(owns, ["__own", "__salt"]).groupBy("node").agg(F.first("__text").alias("__text"))
+    held = texts.join(owns, ["__own", "__salt"]).groupBy("node", "crowded").agg(F.first("__text").alias("__text"))
     sets = settled(_sets(held))
-    links = settled(_confirmed(pairs, sets, least))
-    root = roots(links)
-    if not crowded.isEmpty():
-        among = root.select(F.col("u").alias("node"), F.col("v").alias("part"))
-        component = crowded.join(among, "node", "left").select("node", F.coalesce("part", "node").alias("part"))
-        further = _prefix_pairs(sets.join(crowded, "node"), component, least)
-        root = roots(links.unionByName(_confirmed(settled(further), sets, least)))
-    rooted = nodes.join(root.select(F.col("u").alias("node"), "v"), "node", "left").select(
-        "node", "least_id", F.coalesce("v", "node").alias("group")
-    )
-    ids = rooted.groupBy("group").agg(F.min("least_id").alias("component_id"))
-    by_node = rooted.join(ids, "group").select("node", "group", "component_id")
-    return rows.join(by_node, "node").select("doc_id", *carry, "component_id", "group")
+    root = roots(_confirmed(pairs, sets, least))
+    if crowded.head(1):
+        component = root.select(F.col("u").alias("node"), F.col("v").alias("part"))
+        further = _prefix_pairs(sets.filter("crowded"), component, least)
+        root = roots(root.unionByName(_confirmed(settled(further), sets, least)))
+    # Members of a group and its id meet last, by an outer join: who does not ask for the id
+    # spares that join.
+    rooted = rows.select("node", "doc_id", *carry).join(root.select(F.col("u").alias("node"), "v"), "node", "left")
+    rooted = rooted.select("doc_id", *carry, F.coalesce("v", "node").alias("group"))
+    ids = rooted.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(ids, "group", "left").select("doc_id", *carry, "component_id", "group")

@@ -175,29 +175,37 @@ def _led(lead: int) -> F.Column:
     return parts[0].bitwiseOR(parts[1]).bitwiseOR(parts[2]).bitwiseOR(parts[3])
 
 
-def links_between(distinct: DataFrame) -> DataFrame:
+def links_between(distinct: DataFrame, name: str = "fp") -> DataFrame:
     """``u, v``: links between fingerprints (column ``fp``, distinct) that differ in two
-    bits or fewer, enough of them to connect what is connected."""
+    bits or fewer, enough of them to connect what is connected. Another column can name
+    the fingerprints in the links."""
+    kind = distinct.schema[name].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column("lead").to_numpy(), b.column("led").to_numpy()) for b in batches]
-        if not parts:
+        batches = list(batches)
+        if not batches:
             return
-        lead, led = (np.concatenate(column) for column in zip(*parts))
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        lead, led = rows["lead"].to_numpy(), rows["led"].to_numpy().view(np.uint64)
         for which, blocks in enumerate(LEADS):
-            values = np.sort(led[lead == which].view(np.uint64))
+            own = np.flatnonzero(lead == which)
+            own = own[np.argsort(led[own])]
+            values = led[own]
             root = local_roots(len(values), trie_links(values))
             linked = np.flatnonzero(root != np.arange(len(values)))
-            plain = _unled(values, blocks)
             for at in range(0, len(linked), 100_000):
                 some = linked[at : at + 100_000]
-                ends = [pa.array(plain[rows].view(np.int64)) for rows in (some, root[some])]
+                if name == "fp":
+                    ends = [pa.array(_unled(values[x], blocks).view(np.int64)) for x in (some, root[some])]
+                else:
+                    ends = [rows["name"].take(pa.array(own[x])).combine_chunks() for x in (some, root[some])]
                 yield pa.RecordBatch.from_arrays(ends, names=["u", "v"])
 
     leads = F.array(*(F.struct(F.lit(k).alias("lead"), _led(k).alias("led")) for k in range(len(LEADS))))
-    rows = distinct.select(F.explode(leads).alias("x")).select("x.lead", "x.led")
+    named = [] if name == "fp" else [F.col(name).alias("name")]
+    rows = distinct.select(F.explode(leads).alias("x"), *named).select("x.lead", "x.led", *(["name"] if named else []))
     owner = F.shiftrightunsigned("led", 32)
-    return rows.repartition("lead", owner).mapInArrow(run, "u long, v long")
+    return rows.repartition("lead", owner).mapInArrow(run, f"u {kind}, v {kind}")
 
 
 def _unled(values: np.ndarray, blocks: tuple[int, ...]) -> np.ndarray:
@@ -258,11 +266,11 @@ def one_of_each(
         row, F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(whole(text)).alias("__hash")
     )
     found = grouped(hashed.drop("doc"), "id", "text", carry=("__hash",))
-    heads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    rows = heads.groupBy("group", "doc_id", "__hash").agg(F.count(F.lit(1)).alias("__rows"))
+    rows = found.groupBy("group", "doc_id", "__hash").agg(F.count(F.lit(1)).alias("__rows"))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__hash", "__rows")).alias("kept")
     kept = settled(
         rows.groupBy("group")
-        .agg(F.min(F.struct("__hash", "doc_id", "__rows")).alias("kept"))
+        .agg(least)
         .select(F.col("group").alias("__group"), "kept.__hash", F.col("kept.doc_id").alias("__id"), "kept.__rows")
     )
 

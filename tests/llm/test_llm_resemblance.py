@@ -140,3 +140,18 @@ def test_prefix_pairs_of_alike_sets_that_are_not_near_are_few(spark):
     near = {(name[a], name[b]) for a, b in pairs if resemblance.jaccard(sets[a], sets[b]) >= 0.8}
     assert len(near) >= 20 and near <= found
     assert len(found) < 3 * len(near)
+
+
+def test_near_copies_take_few_stages(spark):
+    """Each stage costs a cluster the files and events of all its tasks, however few its rows."""
+    docs = odd.documents(spark, [(i, text, "en", "s") for i, text in crowd(60, 350, 50, 3)]).repartition(3)
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("few stages", "near copies")
+    try:
+        kept = {r.doc_id for r in stages.near_duplicates(spark, docs, "").collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    ran = {s for job in tracker.getJobIdsForGroup("few stages") for s in tracker.getJobInfo(job).stageIds}
+    found = [info for info in map(tracker.getStageInfo, ran) if info and info.numCompletedTasks]
+    assert kept == {2 * page for page in range(60)}
+    assert 20 < len(found) < 120

@@ -133,3 +133,17 @@ def test_clashing_and_dotted_columns_pass_through(spark):
         kept = simhash.one_of_each(docs, grouped=grouped)
         assert kept.columns == docs.columns
         assert sorted(map(tuple, kept.collect())) == rows[:3]
+
+
+def test_links_can_be_named_by_another_column(spark):
+    values = clusters(2, 300).view(np.int64)
+    rows = [(int(v), bytearray(b"n%d" % v)) for v in values]
+    frame = spark.createDataFrame(rows, "fp long, node binary")
+    named = {(bytes(r.u), bytes(r.v)) for r in simhash.links_between(frame, "node").collect()}
+    plain = {(b"n%d" % r.u, b"n%d" % r.v) for r in simhash.links_between(frame.select("fp")).collect()}
+    assert named == plain and named
+
+
+def test_repeated_and_turned_links_give_each_node_once(spark):
+    links = spark.createDataFrame([(1, 2), (1, 2), (2, 1), (5, 4), (5, 4), (6, 6)], "u long, v long")
+    assert sorted((r.u, r.v) for r in components.roots(links).collect()) == [(2, 1), (5, 4)]
